@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import op3_sharding, op5_url_filter, op6_mixing, op8_fingerprints, op10_exact_dedup
+from . import op1_jaccard_join, op3_sharding, op5_url_filter, op6_mixing, op8_fingerprints, op10_exact_dedup
 
 QUERIES = {
+    "op1_jaccard_join": op1_jaccard_join.op1_jaccard_join,
     "op3_shard_documents": op3_sharding.op3_shard_documents,
     "op5_url_filter": op5_url_filter.op5_url_filter,
     "op6_mix_sources": op6_mixing.op6_mix_sources,
