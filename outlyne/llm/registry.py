@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import op1_jaccard_join, op2_language, op3_sharding, op5_url_filter, op6_mixing, op7_toxicity, op8_fingerprints, op9_bpe, op10_exact_dedup
+from . import op1_jaccard_join, op2_language, op3_sharding, op4_language_model, op5_url_filter, op6_mixing, op7_toxicity, op8_fingerprints, op9_bpe, op10_exact_dedup
 
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join.op1_jaccard_join,
     "op2_language": op2_language.op2_language,
     "op3_shard_documents": op3_sharding.op3_shard_documents,
+    "op4_language_model": op4_language_model.op4_language_model,
     "op5_url_filter": op5_url_filter.op5_url_filter,
     "op6_mix_sources": op6_mixing.op6_mix_sources,
     "op7_toxicity": op7_toxicity.op7_toxicity,
