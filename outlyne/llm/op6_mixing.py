@@ -49,7 +49,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: tuple[int, int] = (3, 2), seed: str = SEED) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) for every row of docs (doc_id, text, source)."""
+    """(doc_id, source, size, source_size, target, taken, turns) for every row of docs (doc_id, text, source)."""
     ws = Workspace(docs.sparkSession, "mix")
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
     order = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
@@ -66,16 +66,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: tuple[int, i
     queue = ws.put("queue", queue.select("doc_id", "source", "size", "source_size", "target", F.array(*at).alias("vt")))
     cut = _cut(queue, share)
     if cut is None:
-        taken = F.lit(0).cast("long")
+        turns = F.lit(0)
     else:
         vt, doc, size, turn = (F.lit(x) for x in cut)
         id_ = F.coalesce("doc_id", F.lit(-(1 << 63)))
-        taken = F.lit(0).cast("long")
+        turns = F.lit(0)
         for p in range(REPEAT):
             v = F.col("vt")[p]
             inside = (v < vt) | ((v == vt) & (F.struct(id_, F.col("size"), F.lit(p)) <= F.struct(doc.cast("long"), size.cast("long"), turn)))
-            taken = taken + F.when(inside, F.col("size")).otherwise(0)
-    return queue.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
+            turns = turns + F.when(inside, 1).otherwise(0)
+    return queue.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * turns).alias("taken"), turns.alias("turns"))
 
 
 def _cut(queue: DataFrame, share: tuple[int, int]) -> tuple | None:
@@ -103,7 +103,7 @@ def _cut(queue: DataFrame, share: tuple[int, int]) -> tuple | None:
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("source")
+    return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("source", "turns")
 
 
 ORACLE = r"""

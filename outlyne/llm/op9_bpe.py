@@ -225,22 +225,27 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256; ids are encoded and decoded in one pass and not stored."""
+def digests(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
+    """The columns of docs but text, and n_tokens, ids_sha256, decoded_sha256; ids too if asked for.  One pass encodes and decodes."""
+    kept = [f for f in docs.schema.fields if f.name not in ("text", "n_tokens", "ids_sha256", "decoded_sha256", "ids")]
+    made = ["n_tokens long", "ids_sha256 string", "decoded_sha256 string", *["ids array<int>"] * with_ids]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *made])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path or default_path())
         for batch in batches:
             texts = [x or "" for x in batch.column("text").to_pylist()]
-            rows = []
             for a in range(0, len(texts), 64):
-                for ids in t.encode_batch(texts[a : a + 64]):
-                    rows.append((len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(t.decode(ids.tolist()).encode()).hexdigest()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                got = t.encode_batch(texts[a : a + 64])
+                n = pa.array([len(g) for g in got], pa.int64())
+                sha = pa.array([hashlib.sha256(g.astype("<u4").tobytes()).hexdigest() for g in got], pa.string())
+                back = pa.array([hashlib.sha256(t.decode(g.tolist()).encode()).hexdigest() for g in got], pa.string())
+                ids = [pa.array([g.astype(np.int32) for g in got], pa.list_(pa.int32()))] * with_ids
+                yield pa.RecordBatch.from_arrays([*(batch.column(f.name).slice(a, len(got)) for f in kept), n, sha, back, *ids], names=[*(f.name for f in kept), *(m.split()[0] for m in made)])
 
     ws = Workspace(docs.sparkSession, "bpe")
     with arrow_rows(docs.sparkSession):
-        return ws.put("digests", docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"))
+        return ws.put("digests", docs.select(*(f.name for f in kept), "text").mapInArrow(run, schema))
 
 
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
