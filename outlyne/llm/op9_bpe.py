@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import json
 from collections.abc import Iterator
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import Workspace, arrow_rows, table
 
-MEMO = 400_000
+MEMO = 300_000
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _BIG = np.int64(1 << 40)
 _loaded: dict[str, Tokenizer] = {}
@@ -59,63 +60,90 @@ class Tokenizer:
         n = max(self.texts) + 1
         # rank of the merge that makes a token (-1: a byte), and its two parts
         self.rank, self.left, self.right = np.full(n, -1, np.int64), np.arange(n), np.arange(n)
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.ranks: dict[int, int] = {}  # of pairs, as left << 32 | right
+        self.made: list[int] = []
         for r, m in enumerate(model["merges"]):
             a, b = (to_bytes(x) for x in (m if isinstance(m, list) else m.split(" ")))
             a, b, c = self.ids[a], self.ids[b], self.ids[a + b]
-            self.merges.setdefault((a, b), (r, c))
+            self.ranks.setdefault(a << 32 | b, r)
+            self.made.append(c)
             if self.rank[c] < 0:
                 self.rank[c], self.left[c], self.right[c] = r, a, b
-        keys = np.array([a << 32 | b for a, b in self.merges], np.int64)
+        keys = np.array(list(self.ranks), np.int64)
         order = np.argsort(keys)
-        self.pair_key, self.pair_rank = keys[order], np.array([r for r, _ in self.merges.values()], np.int64)[order]
+        self.pair_key, self.pair_rank = keys[order], np.array(list(self.ranks.values()), np.int64)[order]
         self.byte = [self.ids[bytes([b])] for b in range(256)]
-        self.longest = max(map(len, self.ids))
         self.stable = np.zeros(n, bool)
         for s, i in self.ids.items():
             self.stable[i] = self.merge(s) == [i]
-        self.sure = {s: i for s, i in self.ids.items() if self.stable[i]}
-        # beginnings of tokens, so that a match can stop early
-        self.starts = {s[:k] for s in self.sure for k in range(1, len(s) + 1)}
-        self.memo: dict[str, tuple[int, ...]] = {}
+        # beginnings of tokens: the token's id, or -1 for what only begins one
+        self.starts: dict[bytes, int] = {}
+        for s, i in self.ids.items():
+            if self.stable[i]:
+                for k in range(1, len(s)):
+                    self.starts.setdefault(s[:k], -1)
+                self.starts[s] = i
+        # words and their ids as little-endian 32-bit integers: the latest, and those before
+        self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.known: dict[int, bool] = {}
         self.exact = 0  # words that were merged exactly
 
     def merge(self, word: bytes) -> list[int]:
-        """Exact merging: always the lowest rank, leftmost first, with a heap over a linked list."""
+        """Exact merging: always the lowest rank, leftmost first."""
         tok = [self.byte[b] for b in word]
+        if len(tok) > 64:
+            return self.merge_long(tok)
+        get, none = self.ranks.get, 1 << 40
+        ranks = [get(a << 32 | b, none) for a, b in zip(tok, tok[1:])]
+        while ranks:
+            r = min(ranks)
+            if r == none:
+                break
+            i = ranks.index(r)
+            tok[i] = self.made[r]
+            del tok[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = get(tok[i - 1] << 32 | tok[i], none)
+            if i < len(ranks):
+                ranks[i] = get(tok[i] << 32 | tok[i + 1], none)
+        return tok
+
+    def merge_long(self, tok: list[int]) -> list[int]:
+        """The same with a heap over a linked list, for words of any length."""
         n = len(tok)
         nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(m[0], i, tok[i], tok[i + 1]) for i in range(n - 1) if (m := self.merges.get((tok[i], tok[i + 1])))]
+        heap = [(r, i, tok[i], tok[i + 1]) for i in range(n - 1) if (r := self.ranks.get(tok[i] << 32 | tok[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            r, i, a, b = heapq.heappop(heap)
             j = nxt[i]
             if tok[i] != a or j >= n or tok[j] != b:
                 continue
-            tok[i], tok[j] = self.merges[a, b][1], -1
+            tok[i], tok[j] = self.made[r], -1
             nxt[i] = nxt[j]
             if nxt[j] < n:
                 prv[nxt[j]] = i
             for x, y in ((prv[i], i), (i, nxt[i])):
-                if x >= 0 and y < n and (m := self.merges.get((tok[x], tok[y]))):
-                    heapq.heappush(heap, (m[0], x, tok[x], tok[y]))
+                if x >= 0 and y < n and (r := self.ranks.get(tok[x] << 32 | tok[y])) is not None:
+                    heapq.heappush(heap, (r, x, tok[x], tok[y]))
         return [t for t in tok if t >= 0]
 
     def propose(self, word: bytes) -> list[int]:
         """Greedy longest match."""
-        out, at, n = [], 0, len(word)
-        whole = self.sure.get(word)
-        if whole is not None:
+        get = self.starts.get
+        whole = get(word, -1)
+        if whole >= 0:
             return [whole]
+        out, at, n = [], 0, len(word)
         while at < n:
-            k, best = 1, 1
-            while at + k < n and word[at : at + k + 1] in self.starts:
-                k += 1
-                if word[at : at + k] in self.sure:
-                    best = k
-            out.append(self.ids[word[at : at + best]])
-            at += best
+            end, best, to = at + 1, -1, at + 1
+            while end <= n and (i := get(word[at:end])) is not None:
+                if i >= 0:
+                    best, to = i, end
+                end += 1
+            out.append(best if best >= 0 else self.byte[word[at]])
+            at = to
         return out
 
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -161,10 +189,12 @@ class Tokenizer:
         for i in np.flatnonzero(bad).tolist():
             made[i] = self.merge(raw[i])
         self.exact += int(bad.sum())
-        self.memo.update(zip(words, map(tuple, made)))
+        flat = np.fromiter(itertools.chain.from_iterable(made), np.uint32).astype("<u4").tobytes()
+        ends = list(itertools.accumulate(4 * len(m) for m in made))
+        self.memo.update(zip(words, (flat[a:b] for a, b in zip([0, *ends], ends))))
 
-    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
-        """Token ids of whole texts."""
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """Token ids of whole texts as little-endian 32-bit integers."""
         cut = []
         for t in texts:
             if self.cut and any(s in t for s in self.special):
@@ -172,20 +202,22 @@ class Tokenizer:
             else:
                 cut.append(self.words.findall(t))
         if len(self.memo) > MEMO:
-            self.memo.clear()
-        memo = self.memo
+            self.memo, self.old = {}, self.memo
+        memo, old = self.memo, self.old
         fresh = {w for words in cut for w in words if w not in memo}
-        for s, i in self.special.items():
-            if s in fresh:
-                fresh.discard(s)
-                memo[s] = (i,)
+        for w in fresh & old.keys() if old else ():
+            memo[w] = old[w]
+            fresh.discard(w)
+        for w in fresh & self.special.keys():
+            memo[w] = self.special[w].to_bytes(4, "little")
+            fresh.discard(w)
         if fresh:
             self.encode_words(list(fresh))
-        return [np.fromiter((i for w in words for i in memo[w]), np.uint32) for words in cut]
+        return [b"".join(map(memo.__getitem__, words)) for words in cut]
 
-    def decode(self, ids) -> str:
+    def decode(self, ids: list[int]) -> str:
         """Special tokens are kept; bytes that are no UTF-8 become U+FFFD."""
-        return b"".join([self.texts[i] for i in ids]).decode("utf-8", "replace")
+        return b"".join(map(self.texts.__getitem__, ids)).decode("utf-8", "replace")
 
 
 def tokenizer(path: str) -> Tokenizer:
@@ -194,6 +226,10 @@ def tokenizer(path: str) -> Tokenizer:
     return _loaded[path]
 
 
+def id_lists(encoded: list[bytes]) -> pa.Array:
+    return pa.array([np.frombuffer(g, "<i4").astype(np.int32) for g in encoded], pa.list_(pa.int32()))
+
+
 def default_path() -> str:
     import public_tokenizers
 
@@ -209,7 +245,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
             texts = [x or "" for x in batch.column("text").to_pylist()]
             for a in range(0, len(texts), 64):
                 got = t.encode_batch(texts[a : a + 64])
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, len(got)), pa.array([g.astype(np.int32) for g in got], pa.list_(pa.int32()))], names=["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, len(got)), id_lists(got)], names=["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -237,10 +273,10 @@ def digests(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
             texts = [x or "" for x in batch.column("text").to_pylist()]
             for a in range(0, len(texts), 64):
                 got = t.encode_batch(texts[a : a + 64])
-                n = pa.array([len(g) for g in got], pa.int64())
-                sha = pa.array([hashlib.sha256(g.astype("<u4").tobytes()).hexdigest() for g in got], pa.string())
-                back = pa.array([hashlib.sha256(t.decode(g.tolist()).encode()).hexdigest() for g in got], pa.string())
-                ids = [pa.array([g.astype(np.int32) for g in got], pa.list_(pa.int32()))] * with_ids
+                n = pa.array([len(g) // 4 for g in got], pa.int64())
+                sha = pa.array([hashlib.sha256(g).hexdigest() for g in got], pa.string())
+                back = pa.array([hashlib.sha256(t.decode(np.frombuffer(g, "<u4").tolist()).encode()).hexdigest() for g in got], pa.string())
+                ids = [id_lists(got)] * with_ids
                 yield pa.RecordBatch.from_arrays([*(batch.column(f.name).slice(a, len(got)) for f in kept), n, sha, back, *ids], names=[*(f.name for f in kept), *(m.split()[0] for m in made)])
 
     ws = Workspace(docs.sparkSession, "bpe")
