@@ -40,13 +40,14 @@ from .common import Workspace, arrow_rows, id_crc, maybe_broadcast, table
 SHORT, LONG = 3, 8
 MIN_DOCS, MIN_SHARE, MIN_WEIGHT = 5, 0.003, 2.5
 FIT_ROWS = 20_000
-HELD = 400_000
+HELD = 200_000
 
 # Letters of other scripts that look like Latin ones, by their Latin form.
 _LOOKS = {"a": "аα", "b": "ƅ", "c": "сϲ", "d": "ԁ", "e": "еε", "g": "ɡ", "h": "һ", "i": "іιı", "j": "ј", "k": "кκ", "m": "м", "n": "ո", "o": "оοօ", "p": "рρ", "q": "ԛ", "s": "ѕ", "t": "тτ", "u": "υս", "v": "ν", "w": "ԝ", "x": "хχ", "y": "у", "z": "ᴢ"}
 _FOLD = {ord(c): latin for latin, signs in _LOOKS.items() for c in signs} | {ord(c): None for c in "​‌‍⁠﻿­"}
 _DIGITS = str.maketrans("013457@$!|", "oieastasil")
-_MASKED = re.compile(r"[^\W\d_]+[0-9@$!|]+(?=[^\W_])[^\s]*|[0-9@$]+[^\W\d_][^\s]*")
+_SIGN = re.compile(r"[0-9@$!|]+(?=[^\W\d_])")  # a sign before a letter
+_MASKED = re.compile(r"(?<!\S)\S*[0-9@$!|][^\W\d_]\S*(?<![!|@$])")  # a word with such a sign, signs at its end left out
 _WORD = re.compile(r"[^\W\d_]+")
 _ODD = re.compile(r"[^\x00-\xff]")
 
@@ -56,7 +57,7 @@ def fold(text: str) -> str:
     t = text.lower()
     if _ODD.search(t) or "­" in t:
         t = unicodedata.normalize("NFC", unicodedata.normalize("NFKC", t).translate(_FOLD))
-    if _MASKED.search(t):
+    if _SIGN.search(t):
         t = _MASKED.sub(lambda m: m[0].translate(_DIGITS), t)
     words = _WORD.findall(t)
     return " " + " ".join(words) + " " if words else ""
