@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import Workspace, arrow_rows, table
 
-MEMO = 300_000
+MEMO = 250_000
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _BIG = np.int64(1 << 40)
 _loaded: dict[str, Tokenizer] = {}
@@ -204,7 +204,7 @@ class Tokenizer:
         if len(self.memo) > MEMO:
             self.memo, self.old = {}, self.memo
         memo, old = self.memo, self.old
-        fresh = {w for words in cut for w in words if w not in memo}
+        fresh = {w for w in set().union(*cut) if w not in memo}
         for w in fresh & old.keys() if old else ():
             memo[w] = old[w]
             fresh.discard(w)
