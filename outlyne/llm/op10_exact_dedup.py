@@ -16,7 +16,7 @@ carry kept = true.  Extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Workspace, table
@@ -24,6 +24,10 @@ from .common import Workspace, table
 BLOCK = 2048
 
 
+def block_hash(block: Column) -> Column:
+    return F.xxhash64(block)
+
+
 def _number(distinct: DataFrame, *keys: str) -> DataFrame:
     """Sorted rank within the task plus the task's own range: the same rows always get the same numbers."""
     return distinct.sortWithinPartitions(*keys).withColumn("name", F.monotonically_increasing_id())
@@ -34,7 +38,7 @@ def identities(ws: Workspace, docs: DataFrame, block: int = BLOCK) -> DataFrame:
     data = F.col("text").cast("binary")
     n = F.greatest(F.lit(1), F.ceil(F.octet_length(data) / block).cast("int"))
     cut = docs.select("doc", F.posexplode(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(data, i * block + 1, F.lit(block)))).alias("pos", "block"))
-    cut = cut.select("doc", "pos", F.xxhash64("block").alias("h"), "block")
+    cut = cut.select("doc", "pos", block_hash(F.col("block")).alias("h"), "block")
     names = ws.put("blocks", _number(cut.select("h", "block").distinct(), "h", "block").select("h", "name"))
     shared = names.groupBy("h").count().filter("count > 1").select("h")
     clash = ws.put("clash", shared)
