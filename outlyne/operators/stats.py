@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scoring import is_finite, stats_spread
@@ -22,19 +22,54 @@ def finite(scores: DataFrame) -> DataFrame:
     return scores.filter(is_finite(F.col("value")))
 
 
-def baseline_stats(scores: DataFrame, *keys: str) -> DataFrame:
+CUTS = 64
+
+
+def exact_quantiles(values: DataFrame, by: Sequence[str], ps: Sequence[float]) -> DataFrame:
+    """(by, q): exact quantiles at ps, interpolated between neighbours, of the finite `value`s of each group.
+
+    Spark's own exact percentile holds a group's distinct values in one buffer; here no task holds a group.  Distinct values are counted first,
+    cut into CUTS ranges at approximate quantiles (which only balance the work), and the ranges' totals say which ranges hold the wanted
+    ranks; only those are ranked.
+    """
+    by = list(by)
+    counts = values.groupBy(*by, "value").agg(F.count("*").alias("c"))
+    cuts = counts.groupBy(*by).agg(F.percentile_approx("value", [i / CUTS for i in range(1, CUTS)], 2000).alias("cuts"))
+    counts = counts.join(F.broadcast(cuts), by).withColumn("b", F.size(F.filter("cuts", lambda x: x < F.col("value")))).drop("cuts")
+    total, before = Window.partitionBy(*by), Window.partitionBy(*by).orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
+    sums = counts.groupBy(*by, "b").agg(F.sum("c").alias("m")).withColumns({"n": F.sum("m").over(total), "upto": F.sum("m").over(before)})
+    at = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p")) for i, p in enumerate(ps)])).alias("w")
+    want = sums.select(*by, "b", "n", "m", "upto", at).withColumn("pos", (F.col("n") - 1) * F.col("w.p"))
+    want = want.select(*by, "b", F.col("w.i").alias("i"), (F.col("upto") - F.col("m")).alias("base"), "m", "pos", F.explode(F.array(F.floor("pos"), F.floor("pos") + 1)).alias("r"))
+    want = want.filter((F.col("r") >= F.col("base")) & (F.col("r") < F.col("base") + F.col("m")))
+    ranges = want.select(*by, "b", "base").distinct()
+    in_range = Window.partitionBy(*by, "b").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.join(F.broadcast(ranges), [*by, "b"]).withColumn("end", F.col("base") + F.sum("c").over(in_range))
+    hit = ranked.select(*by, "b", "value", "c", "end").join(F.broadcast(want.drop("base", "m")), [*by, "b"]).filter((F.col("r") < F.col("end")) & (F.col("r") >= F.col("end") - F.col("c")))
+    weight = F.when(F.col("r") == F.floor("pos"), F.floor("pos") + 1 - F.col("pos")).otherwise(F.col("pos") - F.floor("pos"))
+    each = hit.groupBy(*by, "i").agg(F.sum(F.when(weight > 0, F.col("value") * weight)).alias("v"))
+    return each.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("q")).withColumn("q", F.transform("q", lambda x: x["v"]))
+
+
+def baseline_stats(scores: DataFrame, *keys: str, distributed: bool = False) -> DataFrame:
     """Statistics for each dim (and keys) over finite values, rounded to four places; the spread is taken before rounding.
 
-    Two aggregates: the median first, then the median of the distances from it.  Percentiles are exact and interpolate.
+    The median comes first, then the median of the distances from it.  Quantiles are exact and interpolate.  distributed: for dims
+    whose distinct values do not fit a task (some ten millions); several shuffles more, which small tables need not pay.
     """
     by = ["dim", *keys]
-    v = finite(scores)
-    first = v.groupBy(*by).agg(
-        F.avg("value").alias("m"), F.stddev_pop("value").alias("sd"), F.percentile("value", F.array(F.lit(0.5), F.lit(0.1), F.lit(0.9))).alias("p"), F.count("*").alias("n"),
-    )
-    away = v.join(F.broadcast(first.select(*by, F.col("p")[0].alias("md"))), by).groupBy(*by).agg(F.percentile(F.abs(F.col("value") - F.col("md")), F.lit(0.5)).alias("mad"))
+    v = finite(scores).select(*by, "value")
+    ps = (0.5, 0.1, 0.9)
+    aggs = [F.avg("value").alias("m"), F.stddev_pop("value").alias("sd"), F.count("*").alias("n")]
+    if distributed:
+        first = v.groupBy(*by).agg(*aggs).join(exact_quantiles(v, by, ps).withColumnRenamed("q", "p"), by)
+    else:
+        first = v.groupBy(*by).agg(*aggs, F.percentile("value", F.array(*map(F.lit, ps))).alias("p"))
+    away = v.join(F.broadcast(first.select(*by, F.col("p")[0].alias("md"))), by).select(*by, F.abs(F.col("value") - F.col("md")).alias("value"))
+    mad = exact_quantiles(away, by, (0.5,)).select(*by, F.col("q")[0].alias("mad")) if distributed else away.groupBy(*by).agg(F.percentile("value", F.lit(0.5)).alias("mad"))
+    first = first.join(mad, by)
     r = lambda c: F.round(c, 4)
-    return first.join(away, by).select(
+    return first.select(
         *by, r(F.col("m")).alias("mean"), r(F.col("p")[0]).alias("median"), r(F.col("sd")).alias("std"), r(F.col("mad")).alias("mad"),
         r(stats_spread(F.col("mad"), F.col("sd"))).alias("spread"), r(F.col("p")[1]).alias("p10"), r(F.col("p")[2]).alias("p90"), "n",
     )

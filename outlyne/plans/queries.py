@@ -41,6 +41,13 @@ def a01_lineitem(spark, sf):
     return stats.baseline_stats(stats.melt(table(spark, sf, "lineitem"), [], {"QTY": c("l_quantity"), "PRICE": c("l_extendedprice"), "DISC": c("l_discount"), "TAX": c("l_tax")}))
 
 
+@query("a01_baseline_distributed", f"WITH {_LI}, {T.stats('li')} SELECT {_STATS} FROM stats")
+def a01_distributed(spark, sf):
+    c = F.col
+    scores = stats.melt(table(spark, sf, "lineitem"), [], {"QTY": c("l_quantity"), "PRICE": c("l_extendedprice"), "DISC": c("l_discount"), "TAX": c("l_tax")})
+    return stats.baseline_stats(scores, distributed=True)
+
+
 @query("a01_baseline_events", f"WITH ev AS (SELECT event_type AS dim, value FROM events), {T.stats('ev')} SELECT {_STATS} FROM stats")
 def a01_events(spark, sf):
     return stats.baseline_stats(table(spark, sf, "events").select(F.col("event_type").alias("dim"), "value"))

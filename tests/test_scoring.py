@@ -66,6 +66,20 @@ def test_stats_edges(spark):
     assert stats.baseline_stats(spark.createDataFrame([], "dim string, value double")).count() == 0
 
 
+def test_distributed_quantiles(spark):
+    import numpy as np
+
+    rnd = np.random.default_rng(1)
+    groups = {"one": [5.0], "two": [1.0, 2.0], "ties": [3.0] * 900 + [9.0] * 100, "many": rnd.normal(size=999).tolist(), "neg": [-1.0, 0.0, 7.5, 7.5]}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "dim string, value double")
+    got = {r["dim"]: r["q"] for r in stats.exact_quantiles(df, ["dim"], (0.5, 0.1, 0.9, 0.0, 1.0)).collect()}
+    assert set(got) == set(groups)
+    for g, vs in groups.items():
+        assert got[g] == pytest.approx(np.percentile(vs, [50, 10, 90, 0, 100]).tolist()), g
+    a, b = (sorted(map(tuple, stats.baseline_stats(df, distributed=d).collect())) for d in (False, True))
+    assert a == b
+
+
 def _z(spark, rows):
     return spark.createDataFrame(rows, "entity_id long, dim string, dim_ix int, value double, z double")
 
