@@ -46,6 +46,15 @@ def merge(a: Column, b: Column, k: int = K) -> Column:
     return F.slice(F.sort_array(F.array_union(a, b)), 1, k)
 
 
+def merge_parts(parts: DataFrame, key: str, column: str = "sketch", k: int = K) -> DataFrame:
+    """(key, column): the sketch of each whole from the sketches of its parts, however many they are: no task holds more than k hashes of a key."""
+    hashes = parts.select(key, F.explode(column).alias("h")).distinct()
+    least = hashes.withColumn("rk", F.row_number().over(Window.partitionBy(key).orderBy("h"))).filter(F.col("rk") <= k)
+    some = least.groupBy(key).agg(F.array_sort(F.collect_list("h")).alias(column))
+    none = parts.select(key).distinct().join(some, key, "left")
+    return none.select(key, F.coalesce(column, F.array().cast("array<bigint>")).alias(column))
+
+
 def resemblance(a: Column, b: Column, k: int = K) -> Column:
     whole = F.when((F.size(a) < k) & (F.size(b) < k), F.array_union(a, b)).otherwise(merge(a, b, k))
     both = F.array_intersect(a, b)

@@ -390,6 +390,16 @@ def test_op8_estimates(spark):
     assert abs(r[0] - 4000) < 600 and abs(r[1] - 0.5) < 0.08 and r[2] > 0.85 and r[3]
 
 
+def test_op8_parts_make_the_whole(spark):
+    rnd = random.Random(8)
+    texts = [" ".join(rnd.choice("abcdefghij") + str(rnd.randint(0, 99)) for _ in range(40)) for _ in range(30)]
+    df = spark.createDataFrame([(i % 3, t) for i, t in enumerate(texts)] + [(9, "")], "k int, t string").select("k", op8_fingerprints.sketch(F.col("t"), 16).alias("sketch"))
+    want = {}
+    for r in df.collect():
+        want[r["k"]] = sorted({*want.get(r["k"], []), *r["sketch"]})[:16]
+    assert {r["k"]: r["sketch"] for r in op8_fingerprints.merge_parts(df, "k", k=16).collect()} == want
+
+
 # 9
 def test_op9_equals_the_library(spark, odd, none):
     from tokenizers import Tokenizer
