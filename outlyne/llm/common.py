@@ -61,6 +61,10 @@ class Workspace:
         df.write.mode("overwrite").parquet(f"{self.root}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
+    def keep(self, *names: str) -> None:
+        """Removes all other stages."""
+        self.drop(*(n for n in (s.getPath().getName() for s in self._fs.listStatus(self._path(self.root))) if n not in names))
+
     def drop(self, *names: str) -> None:
         for n in names:
             self._fs.delete(self._path(f"{self.root}/{n}"), True)

@@ -82,6 +82,7 @@ def exact_groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     own = own.withColumn("doc", F.col("doc_id") if plain else F.xxhash64(F.struct("doc_id", "text_sha256")))
     full = ws.put("full", own.join(ids, "doc").select("doc_id", "text_sha256", "level", "name"))
     groups = ws.put("groups", full.groupBy("level", "name").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
+    ws.keep("full", "groups")
     return full.join(groups, ["level", "name"]).select("doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id").eqNullSafe(F.col("keep_id")), F.lit(False)).alias("kept"), "text_sha256")
 
 

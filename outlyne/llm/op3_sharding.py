@@ -58,6 +58,13 @@ def shard(df: DataFrame, key: str, shards: Sequence[str] = SHARDS, slots: int =
     return keyed.join(F.broadcast(lookup), "slot", "left")
 
 
+def oracle() -> str:
+    """The placement in SQL, over the filled table as a list."""
+    names, owner = ", ".join(f"'{s}'" for s in SHARDS), ", ".join(str(o + 1) for o in fill(SHARDS))
+    slot = f"(('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % {SLOTS})::INT"
+    return f"WITH t AS (SELECT [{names}] AS names, [{owner}] AS owner), d AS (SELECT doc_id, {slot} AS slot FROM documents) SELECT doc_id, slot, names[owner[slot + 1]] AS shard FROM d, t"
+
+
 def op3_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, slot, shard of every document."""
     return shard(table(spark, sf_dir, "documents").select("doc_id"), "doc_id").select("doc_id", "slot", "shard")

@@ -99,6 +99,7 @@ def judge(pages: DataFrame, rules=RULES, support: float = SUPPORT, confidence: f
     mined = mine(ws, rows.filter("rule is not null").select("tokens", said.alias("verdict")), support, confidence)
     open_ = rows.filter("rule is null and url is not null").groupBy("url").agg(F.first("tokens").alias("tokens"))
     found = ws.put("found", match(open_, mined))
+    ws.keep("rows", "found")
     return rows.join(found, "url", "left").select("page_id", "host", "path", "rule", F.coalesce(said, "mined", F.lit(DEFAULT)).alias("verdict"))
 
 

@@ -64,6 +64,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: tuple[int, i
     half = F.col("base") + F.col("cum") - F.col("size") / F.lit(2.0)
     at = [(half + F.col("source_size") * p) / F.nullif(F.col("target"), F.lit(0.0)) for p in range(REPEAT)]
     queue = ws.put("queue", queue.select("doc_id", "source", "size", "source_size", "target", F.array(*at).alias("vt")))
+    ws.keep("queue")
     cut = _cut(queue, share)
     if cut is None:
         turns = F.lit(0)

@@ -215,6 +215,10 @@ class Tokenizer:
             self.encode_words(list(fresh))
         return [b"".join(map(memo.__getitem__, words)) for words in cut]
 
+    def forget(self) -> None:
+        """Empties the memo, so that an idle worker process does not hold it."""
+        self.memo, self.old, self.known = {}, {}, {}
+
     def decode(self, ids: list[int]) -> str:
         """Special tokens are kept; bytes that are no UTF-8 become U+FFFD."""
         return b"".join(map(self.texts.__getitem__, ids)).decode("utf-8", "replace")
@@ -246,6 +250,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
             for a in range(0, len(texts), 64):
                 got = t.encode_batch(texts[a : a + 64])
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, len(got)), id_lists(got)], names=["doc_id", "ids"])
+        t.forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -278,6 +283,7 @@ def digests(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
                 back = pa.array([hashlib.sha256(t.decode(np.frombuffer(g, "<u4").tolist()).encode()).hexdigest() for g in got], pa.string())
                 ids = [id_lists(got)] * with_ids
                 yield pa.RecordBatch.from_arrays([*(batch.column(f.name).slice(a, len(got)) for f in kept), n, sha, back, *ids], names=[*(f.name for f in kept), *(m.split()[0] for m in made)])
+        t.forget()
 
     ws = Workspace(docs.sparkSession, "bpe")
     with arrow_rows(docs.sparkSession):

@@ -18,6 +18,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_jaccard_join": op1_jaccard_join.ORACLE,
+    "op3_shard_documents": op3_sharding.oracle(),
     "op6_mix_sources": op6_mixing.ORACLE,
     "op10_exact_dedup": op10_exact_dedup.ORACLE,
 }
