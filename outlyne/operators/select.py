@@ -25,7 +25,7 @@ def normalise_layout(records: DataFrame, baseline: DataFrame) -> DataFrame:
     dims = F.when(nested, obj(p, "$.dims")).otherwise(F.from_json(p, "map<string,string>"))
     order = F.json_object_keys(F.when(nested, F.get_json_object(p, "$.dims")).otherwise(p))
     rows = records.select(KEY, nested.alias("nested"), dims.alias("m"), F.coalesce(order, F.array().cast("array<string>")).alias("k"), obj(p, "$.emo").alias("e"), F.json_object_keys(F.get_json_object(p, "$.emo")).alias("ek"), F.get_json_object(p, "$.genu").alias("genu"), F.get_json_object(p, "$.blend").alias("blend"))
-    emotions = baseline.filter("grp = 'emonet'").select("dim", F.lit(True).alias("is_emotion"))
+    emotions = baseline.filter("grp = 'emotion'").select("dim", F.lit(True).alias("is_emotion"))
     flat = rows.select(KEY, "nested", "genu", F.posexplode("k").alias("dim_ix", "dim"), "m").select(KEY, "nested", "genu", "dim_ix", "dim", F.col("m")[F.col("dim")].alias("cell")).join(F.broadcast(emotions), "dim", "left")
     is_genu = (F.col("dim") == "genuineness") | (~F.col("nested") & (F.col("dim") == "genu"))
     grp = F.when(is_genu & (F.col("genu").isNull() | ~F.col("nested")), "genu").when(is_genu, None).when(~F.col("nested") & (F.col("dim") == "blend"), "blend").when(~F.col("nested") & F.coalesce("is_emotion", F.lit(False)), "emo").otherwise("dims")
@@ -121,17 +121,17 @@ def quality_words(quality: DataFrame) -> DataFrame:
 def detail(scores: DataFrame, baseline: DataFrame, lexicon: Lexicon, cfg: Config, seed: Column | None = None, experts: DataFrame | None = None, shuffle: bool = False) -> DataFrame:
     """The long form of an entity's description: (entity_id, part, pos, dim, name, value, z, direction, intensity, always_on, phrase, tag).
 
-    scores: (entity_id, grp, dim, dim_ix, value) with groups voicenet, emonet and quality.  Parts come in the order dims, emotions, quality.
+    scores: (entity_id, grp, dim, dim_ix, value) with groups trait, emotion and quality.  Parts come in the order dims, emotions, quality.
     seed: a column of entity_id or a literal.  The exact z decides; z and value are rounded at the end.
     """
     seed = F.lit(0) if seed is None else seed
     z = with_z(scores, baseline)
-    dims = described(z.filter("grp = 'voicenet'"), lexicon)
+    dims = described(z.filter("grp = 'trait'"), lexicon)
     if experts is not None:
         dims = confidence_gate(dims, experts, cfg)
     quality = z.filter("grp = 'quality'")
     chosen = dim_words(with_always_on(dims, cfg.k_dims, cfg.always_on), lexicon)
-    emotions = emotion_words(z.filter("grp = 'emonet'"), genuineness(quality), cfg.k_emotions, seed)
+    emotions = emotion_words(z.filter("grp = 'emotion'"), genuineness(quality), cfg.k_emotions, seed)
     if shuffle:
         chosen, emotions = shuffle_positions(chosen, seed, "dims", ~F.col("always_on")), shuffle_positions(emotions, seed, "emotions")
     out = lambda df, part, ix: df.select(

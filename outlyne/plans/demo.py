@@ -37,9 +37,9 @@ def supplier_scores(spark: SparkSession, sf: str) -> DataFrame:
     r = lambda c, n=6: F.round(c, n)
     k = F.col("s_suppkey")
     cells = {
-        ("voicenet", "QTY"): F.col("q"), ("voicenet", "PRICE"): r(F.col("p")), ("voicenet", "DISC"): r(F.col("d"), 9), ("voicenet", "TAX"): r(F.col("t"), 9),
-        ("voicenet", "AGEV"): F.col("s_nationkey") * 0.24, ("voicenet", "GEND"): F.pmod(k, F.lit(25)) * 0.24, ("voicenet", "REGS"): F.pmod(k * 7, F.lit(25)) * 0.24, ("voicenet", "TEMP"): F.col("ln"),
-        ("emonet", "RETURN"): F.col("r"), ("emonet", "ACCEPT"): F.col("a"), ("emonet", "OPEN"): F.col("o"),
+        ("trait", "QTY"): F.col("q"), ("trait", "PRICE"): r(F.col("p")), ("trait", "DISC"): r(F.col("d"), 9), ("trait", "TAX"): r(F.col("t"), 9),
+        ("trait", "AGEV"): F.col("s_nationkey") * 0.24, ("trait", "GEND"): F.pmod(k, F.lit(25)) * 0.24, ("trait", "REGS"): F.pmod(k * 7, F.lit(25)) * 0.24, ("trait", "TEMP"): F.col("ln"),
+        ("emotion", "RETURN"): F.col("r"), ("emotion", "ACCEPT"): F.col("a"), ("emotion", "OPEN"): F.col("o"),
         ("quality", "genuineness"): (F.col("s_acctbal") + 1000.0) / 1833.0, ("quality", "blend"): r(F.col("t") * 125, 7),
     }
     ix = {d: i for names in (DIM_ORDER, EMOTIONS, ("genuineness", "blend")) for i, d in enumerate(names)}

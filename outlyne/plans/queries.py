@@ -119,9 +119,9 @@ def p08_bands(spark, sf):
     return table(spark, sf, "part").select("p_partkey", S.level(F.col("p_size").cast("double"), *zip(*_BANDS)).alias("band"))
 
 
-@query("p09_neutral", f"WITH {T.Z}, t AS (SELECT *, {T.DIM_WORDS} FROM z WHERE grp = 'voicenet') SELECT entity_id, dim, direction, intensity, phrase, tag FROM t")
+@query("p09_neutral", f"WITH {T.Z}, t AS (SELECT *, {T.DIM_WORDS} FROM z WHERE grp = 'trait') SELECT entity_id, dim, direction, intensity, phrase, tag FROM t")
 def p09_words(spark, sf):
-    return select.dim_words(_z(spark, sf).filter("grp = 'voicenet'"), LEXICON).select("entity_id", "dim", "direction", "intensity", "phrase", "tag")
+    return select.dim_words(_z(spark, sf).filter("grp = 'trait'"), LEXICON).select("entity_id", "dim", "direction", "intensity", "phrase", "tag")
 
 
 @query("p14_genuineness", f"WITH {T.Z}, {T.QUALITY} SELECT entity_id, dim, phrase, tag FROM qual")
@@ -136,24 +136,24 @@ def f03_gate(spark, sf):
 
 @query("w01_topk", f"WITH {T.Z}, {T.selection(5, ())} SELECT entity_id, dim, rk, round(z, 2) AS z FROM sel")
 def w01_topk(spark, sf):
-    return select.top_k(select.described(_z(spark, sf).filter("grp = 'voicenet'"), LEXICON), 5).select("entity_id", "dim", F.col("rk").cast("bigint").alias("rk"), F.round("z", 2).alias("z"))
+    return select.top_k(select.described(_z(spark, sf).filter("grp = 'trait'"), LEXICON), 5).select("entity_id", "dim", F.col("rk").cast("bigint").alias("rk"), F.round("z", 2).alias("z"))
 
 
 @query("j03_always_on", f"WITH {T.Z}, {T.selection(3)} SELECT entity_id, dim, pos::INT AS pos, always_on FROM sel")
 def j03_always(spark, sf):
-    return select.with_always_on(select.described(_z(spark, sf).filter("grp = 'voicenet'"), LEXICON), 3, CFG.always_on).select("entity_id", "dim", F.col("pos").cast("int").alias("pos"), "always_on")
+    return select.with_always_on(select.described(_z(spark, sf).filter("grp = 'trait'"), LEXICON), 3, CFG.always_on).select("entity_id", "dim", F.col("pos").cast("int").alias("pos"), "always_on")
 
 
 @query("f04_confidence_gate", f"WITH {T.Z}, {T.EXPERTS}, {T.selection(5, gated=True)} SELECT entity_id, dim, pos::INT AS pos, always_on FROM sel")
 def f04_confidence(spark, sf):
-    z = select.confidence_gate(select.described(_z(spark, sf).filter("grp = 'voicenet'"), LEXICON), demo.experts(spark, sf), CFG)
+    z = select.confidence_gate(select.described(_z(spark, sf).filter("grp = 'trait'"), LEXICON), demo.experts(spark, sf), CFG)
     return select.with_always_on(z, 5, CFG.always_on).select("entity_id", "dim", F.col("pos").cast("int").alias("pos"), "always_on")
 
 
 @query("f02_neutral_drop", f"WITH {T.Z}, {T.emotions(3)} SELECT entity_id, dim, pos::INT AS pos, gate, synonym, intensity, phrase, tag FROM emo")
 def f02_emotions(spark, sf):
     z = _z(spark, sf)
-    e = select.emotion_words(z.filter("grp = 'emonet'"), select.genuineness(z.filter("grp = 'quality'")), 3, F.lit(0))
+    e = select.emotion_words(z.filter("grp = 'emotion'"), select.genuineness(z.filter("grp = 'quality'")), 3, F.lit(0))
     return e.select("entity_id", "dim", F.col("pos").cast("int").alias("pos"), "gate", "synonym", "intensity", "phrase", "tag")
 
 
@@ -224,7 +224,7 @@ def v01_template(spark, sf):
 @query("v02_synonym", f"WITH {T.Z}, {T.emotions(3, 'entity_id')} SELECT entity_id, dim, synonym FROM emo")
 def v02_synonym(spark, sf):
     z = _z(spark, sf)
-    return select.emotion_words(z.filter("grp = 'emonet'"), select.genuineness(z.filter("grp = 'quality'")), 3, F.col("entity_id")).select("entity_id", "dim", "synonym")
+    return select.emotion_words(z.filter("grp = 'emotion'"), select.genuineness(z.filter("grp = 'quality'")), 3, F.col("entity_id")).select("entity_id", "dim", "synonym")
 
 
 @query("v03_shuffle", f"{T.detail(seed='entity_id', shuffle=True)} SELECT entity_id, part, pos, dim, phrase FROM detail")
@@ -286,7 +286,7 @@ def p01_layout(spark, sf):
     nested = F.to_json(F.struct(F.struct(F.col("value").alias("A"), F.lit(2.5).alias("genuineness")).alias("dims"), F.struct(F.col("user_id").alias("JOY")).alias("emo"), F.lit(3.0).alias("blend")))
     flat = F.to_json(F.struct(F.col("value").alias("A"), F.struct(F.col("user_id").alias("r")).alias("JOY"), F.lit(1.5).alias("genu"), F.struct(F.lit(3.0).alias("value"), F.lit(9).alias("r")).alias("blend")))
     recs = e.select(F.col("event_id").alias("entity_id"), F.when(F.pmod("event_id", F.lit(2)) == 0, nested).otherwise(flat).alias("preds"))
-    base = spark.createDataFrame([("emonet", "JOY")], "grp string, dim string")
+    base = spark.createDataFrame([("emotion", "JOY")], "grp string, dim string")
     return select.normalise_layout(recs, base).select("entity_id", "grp", "dim", S.scalar_cell(F.col("cell")).alias("value"))
 
 

@@ -43,8 +43,8 @@ def stats(source: str, *keys: str, name: str = "stats") -> str:
 
 
 _CELLS = [
-    ("voicenet", "QTY", 0, "q"), ("voicenet", "PRICE", 1, "round(p, 6)"), ("voicenet", "DISC", 2, "round(d, 9)"), ("voicenet", "TAX", 3, "round(t, 9)"), ("voicenet", "AGEV", 4, "s_nationkey * 0.24::DOUBLE"),
-    ("voicenet", "GEND", 5, "(k % 25) * 0.24::DOUBLE"), ("voicenet", "REGS", 6, "((k * 7) % 25) * 0.24::DOUBLE"), ("voicenet", "TEMP", 7, "ln"), ("emonet", "RETURN", 0, "r"), ("emonet", "ACCEPT", 1, "a"), ("emonet", "OPEN", 2, "o"),
+    ("trait", "QTY", 0, "q"), ("trait", "PRICE", 1, "round(p, 6)"), ("trait", "DISC", 2, "round(d, 9)"), ("trait", "TAX", 3, "round(t, 9)"), ("trait", "AGEV", 4, "s_nationkey * 0.24::DOUBLE"),
+    ("trait", "GEND", 5, "(k % 25) * 0.24::DOUBLE"), ("trait", "REGS", 6, "((k * 7) % 25) * 0.24::DOUBLE"), ("trait", "TEMP", 7, "ln"), ("emotion", "RETURN", 0, "r"), ("emotion", "ACCEPT", 1, "a"), ("emotion", "OPEN", 2, "o"),
     ("quality", "genuineness", 0, "(s_acctbal + 1000.0::DOUBLE) / 1833.0::DOUBLE"), ("quality", "blend", 1, "round(t * 125, 7)"),
 ]
 
@@ -86,7 +86,7 @@ def selection(k: int, always=ALWAYS, gated: bool = False) -> str:
     src = "z" if not gated else "(SELECT z.* FROM z LEFT JOIN experts e USING (entity_id) WHERE NOT coalesce(e.expert IS NOT NULL AND abs(e.expert) < 0.5 AND z.dim = 'GEND', false))"
     flag = "dim IN (" + ", ".join(map(q, always)) + ")" if always else "false"
     place = case("dim", {d: str(i + 1) for i, d in enumerate(always)}, "0") if always else "0"
-    return f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY abs(z) DESC, dim_ix) AS rk, {flag} AS always_on FROM {src} WHERE grp = 'voicenet' AND {known}),
+    return f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY abs(z) DESC, dim_ix) AS rk, {flag} AS always_on FROM {src} WHERE grp = 'trait' AND {known}),
 sel AS (SELECT *, CASE WHEN rk <= {k} THEN rk ELSE {k} + {place} END AS pos FROM ranked WHERE rk <= {k} OR always_on)"""
 
 
@@ -95,7 +95,7 @@ def emotions(k: int, seed: str = "0") -> str:
     syn = draw(seed, "synonym", "dim")
     word = f"CASE WHEN len(synonyms) > 0 THEN synonyms[({syn} % greatest(len(synonyms), 1) + 1)::INT] ELSE lower(dim) END"
     return f"""gates AS (SELECT entity_id, {GATE} AS gate FROM z WHERE grp = 'quality' AND dim = 'genuineness'),
-emo_r AS (SELECT z.*, coalesce(gate, 'open') AS gate, row_number() OVER (PARTITION BY entity_id ORDER BY abs(z) DESC, dim_ix) AS pos FROM z LEFT JOIN gates USING (entity_id) WHERE grp = 'emonet' AND coalesce(gate, 'open') <> 'dropped'),
+emo_r AS (SELECT z.*, coalesce(gate, 'open') AS gate, row_number() OVER (PARTITION BY entity_id ORDER BY abs(z) DESC, dim_ix) AS pos FROM z LEFT JOIN gates USING (entity_id) WHERE grp = 'emotion' AND coalesce(gate, 'open') <> 'dropped'),
 emo_w AS (SELECT *, {word} AS synonym, {CAPPED} AS intensity FROM emo_r WHERE pos <= {k} AND abs(z) >= 0.5),
 emo AS (SELECT *, CASE WHEN z >= 0 THEN 'above' ELSE 'below' END AS direction, CASE WHEN z >= 0 THEN lower(intensity) || ' carrying ' || synonym ELSE 'notably free of ' || synonym END AS phrase,
   CASE WHEN z >= 0 THEN trim({case('intensity', SHORT)} || ' ' || synonym) ELSE 'no ' || synonym END AS tag FROM emo_w)"""

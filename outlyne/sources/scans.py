@@ -29,11 +29,14 @@ def predictions_from_text(spark: SparkSession, text: str) -> DataFrame:
     return spark.createDataFrame([(json.loads(text).get("id"), text)], "entity_id string, preds string")
 
 
-def baseline_document(spark: SparkSession, path: str) -> DataFrame:
-    """Baseline rows from a JSON object dim -> statistics; the entry `_meta` has no group and stays out."""
+def baseline_document(spark: SparkSession, path: str, groups: dict[str, str] | None = None) -> DataFrame:
+    """Baseline rows from a JSON object dim -> statistics; the entry `_meta` has no group and stays out.
+
+    groups: names of the file's groups -> trait, emotion, quality, if it has others.
+    """
     doc = F.from_json("value", "map<string,string>")
     rows = spark.read.text(path, wholetext=True).select(F.explode(doc).alias("dim", "s")).select("dim", F.from_json("s", STAT).alias("s"))
-    return rows.select("dim", *[F.col(f"s.{c}").alias("grp" if c == "group" else c) for c in rows.schema["s"].dataType.names]).filter("grp is not null")
+    return rows.select("dim", *[F.col(f"s.{c}").alias("grp" if c == "group" else c) for c in rows.schema["s"].dataType.names]).filter("grp is not null").replace(groups or {"": ""}, subset=["grp"])
 
 
 def baseline_table(spark: SparkSession, path: str) -> DataFrame:

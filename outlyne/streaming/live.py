@@ -1,4 +1,4 @@
-"""Scores of a stream against a fixed baseline.  The reference data flow is a batch; this is an addition."""
+"""Scores of a stream against a fixed baseline.  The data flow itself is a batch; this is an addition."""
 
 from __future__ import annotations
 

@@ -146,7 +146,7 @@ def test_lexicon_defaults():
 
 def test_layout(spark):
     recs = [(1, '{"dims": {"A": 1, "genuineness": 2}, "emo": {"Joy": 3}, "blend": 4}'), (2, '{"A": {"score": 5}, "Joy": 6, "genu": 7}'), (3, '{"dims": {"genuineness": 2}, "genu": 1}'), (4, "not json"), (5, None)]
-    base = spark.createDataFrame([("emonet", "Joy")], "grp string, dim string")
+    base = spark.createDataFrame([("emotion", "Joy")], "grp string, dim string")
     got = select.normalise_layout(spark.createDataFrame(recs, "entity_id long, preds string"), base)
     rows = sorted((r["entity_id"], r["grp"], r["dim"], r["v"]) for r in got.select("entity_id", "grp", "dim", S.scalar_cell(F.col("cell")).alias("v")).collect())
     assert rows == [(1, "blend", "blend", 4.0), (1, "dims", "A", 1.0), (1, "emo", "Joy", 3.0), (1, "genu", "genuineness", 2.0), (2, "dims", "A", 5.0), (2, "emo", "Joy", 6.0), (2, "genu", "genu", 7.0), (3, "dims", "genuineness", 2.0), (3, "genu", "genu", 1.0)]

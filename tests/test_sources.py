@@ -18,12 +18,13 @@ def test_json_documents(spark, tmp_path):
 
 
 def test_baseline_round_trip(spark, tmp_path):
-    stats = spark.createDataFrame([("b", 1.0, 0.5, "voicenet", ["s"]), ("a", 2.0, 1.5, "emonet", None)], "dim string, median double, spread double, grp string, synonyms array<string>")
+    stats = spark.createDataFrame([("b", 1.0, 0.5, "trait", ["s"]), ("a", 2.0, 1.5, "emotion", None)], "dim string, median double, spread double, grp string, synonyms array<string>")
     text = sinks.baseline_document(stats, {"seed": 1}).first()["value"]
     assert list(json.loads(text)) == ["_meta", "a", "b"]
     (tmp_path / "b.json").write_text(text)
     got = {r["dim"]: r for r in scans.baseline_document(spark, str(tmp_path / "b.json")).collect()}
-    assert set(got) == {"a", "b"} and got["b"]["spread"] == 0.5 and got["b"]["synonyms"] == ["s"] and got["a"]["grp"] == "emonet"
+    assert set(got) == {"a", "b"} and got["b"]["spread"] == 0.5 and got["b"]["synonyms"] == ["s"] and got["a"]["grp"] == "emotion"
+    assert {r["grp"] for r in scans.baseline_document(spark, str(tmp_path / "b.json"), {"trait": "x"}).collect()} == {"x", "emotion"}
     sinks.stage(stats, str(tmp_path / "st"))
     assert scans.baseline_table(spark, str(tmp_path / "st")).count() == 2
 
