@@ -37,7 +37,8 @@ def normalise_layout(records: DataFrame, baseline: DataFrame) -> DataFrame:
 
 def with_z(scores: DataFrame, baseline: DataFrame) -> DataFrame:
     """Scores joined with their dimension's baseline row: z, name and synonyms added.  Dimensions without one, or of another group, drop out."""
-    b = baseline.select("grp", "dim", "median", "std", "mad", "spread", *[c for c in ("name", "synonyms") if c in baseline.columns])
+    given = {"name": F.lit(None).cast("string"), "synonyms": F.lit(None).cast("array<string>")}
+    b = baseline.select("grp", "dim", "median", "std", "mad", "spread", *[F.col(c) if c in baseline.columns else none.alias(c) for c, none in given.items()])
     z = S.zscore(F.col("value"), F.col("median"), S.spread(F.col("spread"), F.col("mad"), F.col("std")))
     return scores.filter("value is not null").join(F.broadcast(b), ["grp", "dim"]).withColumn("z", z)
 

@@ -150,3 +150,16 @@ def test_layout(spark):
     got = select.normalise_layout(spark.createDataFrame(recs, "entity_id long, preds string"), base)
     rows = sorted((r["entity_id"], r["grp"], r["dim"], r["v"]) for r in got.select("entity_id", "grp", "dim", S.scalar_cell(F.col("cell")).alias("v")).collect())
     assert rows == [(1, "blend", "blend", 4.0), (1, "dims", "A", 1.0), (1, "emo", "Joy", 3.0), (1, "genu", "genuineness", 2.0), (2, "dims", "A", 5.0), (2, "emo", "Joy", 6.0), (2, "genu", "genu", 7.0), (3, "dims", "genuineness", 2.0), (3, "genu", "genu", 1.0)]
+
+
+def test_plain_baseline_is_enough(spark):
+    """The README's example: a baseline of traits only, without names or synonyms."""
+    from outlyne.plans import demo
+
+    from .twins import SF
+
+    scores = demo.supplier_scores(spark, SF)
+    baseline = stats.document(stats.baseline_stats(scores.filter("grp = 'trait'")), {}, "trait")
+    detail = select.detail(scores, baseline, Lexicon(dims=demo.LEXICON.dims), Config())
+    assert {r["part"] for r in detail.select("part").distinct().collect()} == {"dims"}
+    assert render.render(detail, "identity_first").count() == 10
