@@ -57,7 +57,11 @@ class Workspace:
         self._fs.mkdirs(self._path(self.root))
         self._fs.deleteOnExit(self._path(self.root))
 
-    def put(self, name: str, df: DataFrame) -> DataFrame:
+    def put(self, name: str, df: DataFrame, narrow: bool = False) -> DataFrame:
+        """narrow: rows that are much smaller than what they were made from.  They are dealt over fewer files than there were tasks, an
+        eighth of the shuffle partitions, since each file costs its creation and a later task."""
+        if narrow:
+            df = df.repartition(max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 8))
         df.write.mode("overwrite").parquet(f"{self.root}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 

@@ -142,7 +142,7 @@ def identify(docs: DataFrame, top: int = TOP) -> DataFrame:
     with arrow_rows(docs.sparkSession):
         model = ws.put("profiles", train(rows.filter("doc_id is not null and not held_out"), top))
         profiles = Profiles([tuple(r) for r in model.collect()], top)  # TOP rows a language
-        return ws.put("guesses", predict(rows, profiles))
+        return ws.put("guesses", predict(rows, profiles), narrow=True)
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:

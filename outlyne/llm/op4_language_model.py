@@ -308,7 +308,7 @@ def score(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", "text", held.alias("held_out"))
     with arrow_rows(docs.sparkSession):
         model = train(ws, rows.filter("doc_id is not null and not held_out").select("text"))
-        out = ws.put("scores", evaluate(rows, model))
+        out = ws.put("scores", evaluate(rows, model), narrow=True)
     ws.drop("model")
     return out.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
 

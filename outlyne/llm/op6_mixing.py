@@ -53,7 +53,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: tuple[int, i
     ws = Workspace(docs.sparkSession, "mix")
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
     order = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    sizes = ws.put("sizes", docs.select("doc_id", "source", size.alias("size"), order.alias("k")))
+    sizes = ws.put("sizes", docs.select("doc_id", "source", size.alias("size"), order.alias("k")), narrow=True)
     targets = ws.put("targets", source_targets(sizes, weights, share))
     rows = sizes.join(targets, sizes["source"].eqNullSafe(targets["source"])).select("doc_id", targets["source"], "s", "size", "source_size", "target", "k")
     rows = ws.put("rows", rows.withColumn("r", F.conv(F.substring("k", 1, 3), 16, 10).cast("int")))

@@ -226,7 +226,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(s, pa.float64()), pa.array([int(x >= 0.5) for x in s], pa.int32())], names=["doc_id", "held_out", "score", "predicted"])
 
         held = F.coalesce(id_crc(F.col("doc_id")) % 5 == 0, F.lit(False)).alias("held_out")
-        return ws.put("scores", docs.select("doc_id", held, "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int"))
+        return ws.put("scores", docs.select("doc_id", held, "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int"), narrow=True)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

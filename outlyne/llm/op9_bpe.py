@@ -287,7 +287,7 @@ def digests(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
 
     ws = Workspace(docs.sparkSession, "bpe")
     with arrow_rows(docs.sparkSession):
-        return ws.put("digests", docs.select(*(f.name for f in kept), "text").mapInArrow(run, schema))
+        return ws.put("digests", docs.select(*(f.name for f in kept), "text").mapInArrow(run, schema), narrow=not with_ids)
 
 
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
