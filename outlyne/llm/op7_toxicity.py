@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Workspace, arrow_rows, id_crc, maybe_broadcast, table
+from .textkit import rest
 
 SHORT, LONG = 3, 8
 MIN_DOCS, MIN_SHARE, MIN_WEIGHT = 5, 0.003, 2.5
@@ -92,6 +93,9 @@ def _tally(make, keys: str):
                 bad.clear()
                 good.clear()
         yield from rows()
+        bad.clear()
+        good.clear()
+        rest()
 
     return run
 
@@ -224,6 +228,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
             for batch in batches:
                 s = [lexicon.score(t) for t in batch.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(s, pa.float64()), pa.array([int(x >= 0.5) for x in s], pa.int32())], names=["doc_id", "held_out", "score", "predicted"])
+            rest()
 
         held = F.coalesce(id_crc(F.col("doc_id")) % 5 == 0, F.lit(False)).alias("held_out")
         return ws.put("scores", docs.select("doc_id", held, "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int"), narrow=True)

@@ -25,6 +25,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import Workspace, arrow_rows, table
+from .textkit import rest
 
 MEMO = 250_000
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -218,6 +219,7 @@ class Tokenizer:
     def forget(self) -> None:
         """Empties the memo, so that an idle worker process does not hold it."""
         self.memo, self.old, self.known = {}, {}, {}
+        rest()
 
     def decode(self, ids: list[int]) -> str:
         """Special tokens are kept; bytes that are no UTF-8 become U+FFFD."""

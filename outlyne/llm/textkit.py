@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +19,16 @@ _MI = np.uint64(pow(int(_M), -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
 
 
+def rest() -> None:
+    """Gives freed memory back to the system at the end of a task: worker processes live on and serve other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return
+
+
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijective scramble of 64-bit integers."""
     x = x + np.uint64((0x632BE59BD9B4E019 * (seed + 1)) & 0xFFFFFFFFFFFFFFFF)
