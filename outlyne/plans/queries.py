@@ -215,6 +215,11 @@ def x18_html(spark, sf):
     return table(spark, sf, "documents").select("doc_id", S.emphasise(S.html_escape(F.concat(F.lit("("), F.substring("text", 1, 80), F.lit(")")))).alias("html"))
 
 
+@query("x18_html_whole", """SELECT doc_id, regexp_replace(replace(replace(replace(replace(replace('(' || text || ')', '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;'), '\\(([^)]+)\\)', '<span class="burst">(\\1)</span>', 'g') AS html FROM documents""")
+def x18_html_whole(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", S.emphasise(S.html_escape(F.concat(F.lit("("), F.col("text"), F.lit(")")))).alias("html"))
+
+
 # ---- seeded variation ----
 @query("v01_template_pick", f"SELECT p_partkey, {T.pick(TEMPLATES, T.draw('p_partkey', 'template'))} AS template FROM part")
 def v01_template(spark, sf):

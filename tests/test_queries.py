@@ -1,3 +1,5 @@
+import html
+
 import pytest
 
 import __spark_entry__ as entry
@@ -11,6 +13,14 @@ def test_twin(spark, name):
     compare(spark, name, queries.QUERIES[name], queries.TWINS[name])
 
 
+def test_x18_whole_text(spark):
+    long = spark.read.parquet(f"{SF}/documents.parquet").filter("length(text) > 80").select("doc_id", "text")
+    got = queries.QUERIES["x18_html_whole"](spark, SF).join(long, "doc_id").collect()
+    assert got
+    for r in got:
+        assert html.unescape(r["html"].replace('<span class="burst">', "").replace("</span>", "")) == f"({r['text']})"
+
+
 def test_without_twin(spark):
     for name in sorted(set(queries.QUERIES) - set(queries.TWINS)):
         assert queries.QUERIES[name](spark, SF).count() > 0
