@@ -1,7 +1,8 @@
 """Toxicity by a weighted lexicon that an Aho-Corasick automaton matches.
 
 Folding: lower case, homoglyphs of other scripts and full-width forms to Latin letters, marks and zero-width signs off, digits and
-signs inside words that stand for letters (`1d10t`, `m@ron`) to those letters, anything else between words to one space.
+signs in words with letters (`1d10t`, `m@ron`, `a$$`, `shi7`; not ! or | at the end) to those letters, anything else between words to one space.
+Where signs end a word the text is also read without those (`idiot$$$`); both readings are learned from, and the one that hits more is scored.
 
 Lexicon: candidates are the beginnings of words (three to eight characters, the space after a short word included).  Their document
 counts among toxic and clean training texts give a log-odds weight; those with enough toxic documents and a weight of MIN_WEIGHT or
@@ -47,21 +48,47 @@ HELD = 200_000
 _LOOKS = {"a": "аα", "b": "ƅ", "c": "сϲ", "d": "ԁ", "e": "еε", "g": "ɡ", "h": "һ", "i": "іιı", "j": "ј", "k": "кκ", "m": "м", "n": "ո", "o": "оοօ", "p": "рρ", "q": "ԛ", "s": "ѕ", "t": "тτ", "u": "υս", "v": "ν", "w": "ԝ", "x": "хχ", "y": "у", "z": "ᴢ"}
 _FOLD = {ord(c): latin for latin, signs in _LOOKS.items() for c in signs} | {ord(c): None for c in "​‌‍⁠﻿­"}
 _DIGITS = str.maketrans("013457@$!|", "oieastasil")
-_SIGN = re.compile(r"[0-9@$!|]+(?=[^\W\d_])")  # a sign before a letter
-_MASKED = re.compile(r"(?<!\S)\S*[0-9@$!|][^\W\d_]\S*(?<![!|@$])")  # a word with such a sign, signs at its end left out
+_SIGN = re.compile(r"[0-9@$!|]")
+_MASKED = re.compile(r"(?<!\S)[^\s0-9@$!|]*+[0-9@$!|]\S*")  # a word with such a sign
+_TO_LETTER = re.compile(r".*[^\W\d_]", re.S)  # a word up to its last letter
+_TO_SIGN = re.compile(r".*(?:[^\W_]|[@$])", re.S)  # a word without the ! and | at its end, which are punctuation
 _WORD = re.compile(r"[^\W\d_]+")
 _ODD = re.compile(r"[^\x00-\xff]")
 
 
-def fold(text: str) -> str:
-    """Words of a text in plain letters, one space before each and one after the last."""
+def _all_signs(m: re.Match) -> str:
+    w = m[0]
+    if not _TO_LETTER.match(w):
+        return w
+    n = _TO_SIGN.match(w).end()
+    return w[:n].translate(_DIGITS) + w[n:]
+
+
+def _inner_signs(m: re.Match) -> str:
+    w = m[0]
+    to = _TO_LETTER.match(w)
+    return w[: to.end()].translate(_DIGITS) + w[to.end() :] if to else w
+
+
+def _spaced(t: str) -> str:
+    words = _WORD.findall(t)
+    return " " + " ".join(words) + " " if words else ""
+
+
+def readings(text: str) -> tuple[str, ...]:
+    """Words of a text in plain letters, one space before each and one after the last; where signs end a word a second time without those."""
     t = text.lower()
     if _ODD.search(t) or "­" in t:
         t = unicodedata.normalize("NFC", unicodedata.normalize("NFKC", t).translate(_FOLD))
-    if _SIGN.search(t):
-        t = _MASKED.sub(lambda m: m[0].translate(_DIGITS), t)
-    words = _WORD.findall(t)
-    return " " + " ".join(words) + " " if words else ""
+    if not _SIGN.search(t):
+        return (_spaced(t),)
+    t, inner = _MASKED.sub(_all_signs, t), _MASKED.sub(_inner_signs, t)
+    return (_spaced(t),) if t == inner else (_spaced(t), _spaced(inner))
+
+
+def fold(text: str) -> str:
+    """The first reading of a text."""
+    return readings(text)[0]
 
 
 def beginnings(folded: str) -> set[str]:
@@ -87,7 +114,7 @@ def _tally(make, keys: str):
 
         for batch in batches:
             for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist()):
-                (bad if toxic else good).update(make(fold(text)))
+                (bad if toxic else good).update(set().union(*map(make, readings(text))))
             if len(bad) + len(good) > HELD:
                 yield from rows()
                 bad.clear()
@@ -141,7 +168,10 @@ class Lexicon:
                 yield at, word + " " + folded[end + 1 : folded.index(" ", end + 1)]
 
     def features(self, text: str | None) -> tuple[float, float, float]:
-        folded = fold(text or "")
+        """Of the reading that hits most."""
+        return max(map(self._features, readings(text or "")))
+
+    def _features(self, folded: str) -> tuple[float, float, float]:
         hits = self.hits(folded)
         if hits and self.exceptions:
             for at in {at for at, p in self.phrases(folded) if p in self.exceptions}:

@@ -306,6 +306,14 @@ def test_op7_folding():
     assert op7_toxicity.beginnings(" ab abcd ") == {" ab ", " abc", " abcd", " abcd "}
 
 
+def test_op7_folding_signs_at_the_end():
+    f = op7_toxicity.fold
+    assert f("pi55 a55 IDI07 a$$ shi7") == " piss ass idiot ass shit " and f("(a$$!!) b!7ch|, wh0!") == " ass bitch who "
+    assert f("in 2019, $5 or 10% no! it|") == " in or no it "
+    x = op7_toxicity.Lexicon({" idiot ": 3.0, " ass ": 3.0}, frozenset(), (-3.0, 3.0, 0.0, 0.0))
+    assert all(x.score(t) > 0.5 for t in ("you idi07", "you idiot$$$", "you a$$", "you ass1")) and x.score("you a!") < 0.5
+
+
 def test_op7_exceptions_and_weights():
     x = op7_toxicity.Lexicon({" clown": 3.0, " clow": 1.0}, frozenset({"clown fish"}), (-3.0, 3.0, 0.0, 0.0))
     assert x.hits(" a clown ") == {2: 3.0} and x.score("you clown") > 0.5 > x.score("a clown fish") == x.score("")
