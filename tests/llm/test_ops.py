@@ -320,6 +320,17 @@ def test_op7_exceptions_and_weights():
     assert list(x.phrases(" big clown fish ")) == [(4, "big clown"), (4, "clown fish")]
 
 
+def test_op7_rare_terms_of_many_toxic_texts(spark):
+    texts = [(i, f"vile thing {words_of(i)}" + " zorblat" * (i < 5), 1) for i in range(2000)] + [(i, f"kind thing {words_of(i)}", 0) for i in range(2000, 6000)]
+    found = op7_toxicity.learn(Workspace(spark, "rare"), spark.createDataFrame(texts, "doc_id long, text string, toxic int"))
+    assert found.hits(" a zorblat ") and found.hits(" vile ") and not found.hits(" kind thing ")
+    assert not found.weights and found.score("a zorblat") > found.score("a thing")
+
+
+def words_of(i):
+    return "".join("abcdefghij"[int(c)] for c in str(i))
+
+
 def test_op7_held_out(spark):
     sf = SF.replace("sf0.001", "sf0.1")
     truth = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
