@@ -28,6 +28,11 @@ def block_hash(block: Column) -> Column:
     return F.xxhash64(block)
 
 
+def row_key(sha: Column) -> Column:
+    """The digest of a row's text and the row's id themselves; a null id adds nothing."""
+    return F.concat(F.unhex(sha), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+
+
 def _number(distinct: DataFrame, *keys: str) -> DataFrame:
     """Sorted rank within the task plus the task's own range: the same rows always get the same numbers."""
     return distinct.sortWithinPartitions(*keys).withColumn("name", F.monotonically_increasing_id())
@@ -76,10 +81,10 @@ def exact_groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     plain = not src.groupBy("doc_id").count().filter("count > 1 or doc_id is null").limit(1).count()
     if not plain:
         # repeated or null ids: rows are told apart by what they hold
-        rows = src.select(F.xxhash64(F.struct("doc_id", F.sha2("text", 256))).alias("doc"), "text").dropDuplicates(["doc"])
+        rows = src.select(row_key(F.sha2("text", 256)).alias("doc"), "text").dropDuplicates(["doc"])
     ids = ws.put("ids", identities(ws, rows, block))
     own = src.select("doc_id", F.sha2("text", 256).alias("text_sha256"))
-    own = own.withColumn("doc", F.col("doc_id") if plain else F.xxhash64(F.struct("doc_id", "text_sha256")))
+    own = own.withColumn("doc", F.col("doc_id") if plain else row_key(F.col("text_sha256")))
     full = ws.put("full", own.join(ids, "doc").select("doc_id", "text_sha256", "level", "name"))
     groups = ws.put("groups", full.groupBy("level", "name").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
     ws.keep("full", "groups")

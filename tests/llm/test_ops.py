@@ -474,6 +474,17 @@ def test_op10_equal_hashes_of_different_blocks(spark, monkeypatch):
     assert rows(got, "doc_id", "keep_id", "group_size", "kept", "text_sha256") == plain_groups(docs)
 
 
+def test_op10_repeated_ids_with_one_hash(spark, monkeypatch):
+    monkeypatch.setattr(F, "xxhash64", lambda *cols: F.lit(7).cast("long"))
+    docs = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (2, "a"), (2, "a"), (None, None)], "doc_id long, text string")
+    got = rows(op10_exact_dedup.exact_groups(docs), "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    digest = {t: hashlib.sha256(t.encode()).hexdigest() for t in ("", "a", "b", "c")}
+    want = [(1, 2, 3, False, digest["a"]), (1, 1, 1, True, digest["b"]), (2, 2, 3, True, digest["a"]), (2, 2, 3, True, digest["a"])]
+    null = [(None, None, 1, None, digest["c"]), (None, None, 1, None, digest[""])]
+    assert [r for r in got if r[0] is not None] == sorted(want, key=repr)
+    assert sorted(((*r[:3], None, r[4]) for r in got if r[0] is None), key=repr) == sorted(null, key=repr)
+
+
 def test_op10_odd_rows(spark, odd, none):
     assert op10_exact_dedup.exact_groups(none).count() == 0
     twice = odd.unionByName(odd).unionByName(frame(spark, [(None, "one", None, None), (9, "other", None, None)]))
