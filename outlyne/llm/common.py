@@ -74,6 +74,18 @@ class Workspace:
             self._fs.delete(self._path(f"{self.root}/{n}"), True)
 
 
+def numbered(ws: Workspace, docs: DataFrame, row: str | None = None) -> tuple[DataFrame, bool]:
+    """docs with a column `row` of unique integers, and whether that is just doc_id.
+
+    Ids that are unique and not null number the rows; else rows get numbers in a stored table.  row: a column that has such numbers already.
+    """
+    if row:
+        return docs.withColumnRenamed(row, "row"), False
+    if docs.groupBy("doc_id").count().filter("count > 1 or doc_id is null").isEmpty():
+        return docs.withColumn("row", F.col("doc_id")), True
+    return ws.put("rows", docs.withColumn("row", F.monotonically_increasing_id())), False
+
+
 @contextlib.contextmanager
 def arrow_rows(spark: SparkSession, n: int = 500):
     """Rows of an Arrow batch sent to Python while the block runs: whole texts are long, so batches are short."""

@@ -85,6 +85,68 @@ def test_op1_large_group_of_near_copies(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == {d: c for d, (_, c) in jaccard_components(docs).items()}
 
 
+def counted(monkeypatch):
+    """How many candidate pairs each verification gets."""
+    seen, real = [], op1_jaccard_join._verify
+    monkeypatch.setattr(op1_jaccard_join, "_verify", lambda pairs, sets: seen.append(pairs.count()) or real(pairs, sets))
+    return seen
+
+
+def test_op1_passage_in_every_document(spark, monkeypatch):
+    rnd, seen = random.Random(5), counted(monkeypatch)
+    passage = [f"p{i}" for i in range(60)]
+    docs = [(i, " ".join([f"w{rnd.randrange(10**9)}" for _ in range(140)] + passage)) for i in range(600)]
+    got = op1_jaccard_join.similarity_classes(frame(spark, [(d, t, None, None) for d, t in docs])).collect()
+    assert all(r["component_id"] == r["doc_id"] and r["n_shingles"] == 196 for r in got) and sum(seen) == 0
+
+
+def test_op1_large_group_below_the_bound(spark, monkeypatch):
+    """Documents that share some six tenths with each other and are not linked, and some that are."""
+    rnd, seen = random.Random(6), counted(monkeypatch)
+    base, docs = [f"w{i}" for i in range(200)], []
+    for i in range(300):
+        t = list(base)
+        for at in rnd.sample(range(40), 5):
+            t[at * 5 : at * 5 + 1] = [f"x{i}-{at}"]
+        docs.append((i, " ".join(t)))
+    docs += [(1000 + i, docs[i][1] + f" end{i}") for i in range(0, 300, 10)]
+    got = op1_jaccard_join.similarity_classes(frame(spark, [(d, t, None, None) for d, t in docs])).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {d: c for d, (_, c) in jaccard_components(docs).items()}
+    assert sum(seen) < 330 * 329 / 2 / 5
+
+
+def test_op1_all_links(spark):
+    docs = variants(2)
+    got = op1_jaccard_join.similarity_classes(frame(spark, [(d, t, None, None) for d, t in docs]), all_links=True).collect()
+    sets = {frozenset(shingle_set(t)) for _, t in docs} - {frozenset()}
+    want = {s: sum(s is not o and 100 * len(s & o) >= 80 * len(s | o) for o in sets) for s in sets}
+    text = dict(docs)
+    assert all(r["links"] == want.get(frozenset(shingle_set(text[r["doc_id"]])), 0) for r in got)
+    assert {r["doc_id"]: r["component_id"] for r in got} == {d: c for d, (_, c) in jaccard_components(docs).items()}
+
+
+def test_op1_rows_of_one_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    docs = frame(spark, [(5, a, None, None), (5, b, None, None), (9, b + " more", None, None), (None, c, None, None), (3, c + " end", None, None), (None, "lone words", None, None)])
+    got = rows(op1_jaccard_join.similarity_classes(docs), "doc_id", "n_shingles", "component_id")
+    assert got == sorted([(5, 36, 5), (5, 36, 5), (9, 37, 5), (None, 36, 3), (3, 37, 3), (None, 1, None)], key=repr)
+
+
+def test_op1_pieces_of_a_shard(spark, monkeypatch):
+    """Keys held in many small pieces give the same result."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(op1_jaccard_join, "HELD", 50)
+    rnd = np.random.default_rng(2)
+    k, d = rnd.integers(0, 400, 3000).astype(np.uint64), np.arange(3000)
+    schema = ["kind", "shard", "keys", "docs", "bands", "doc", "id", "n", "s1", "s2", "emits", "ok"]
+    parts = [[1, 0, k[i : i + 20].tobytes(), d[i : i + 20].tobytes(), np.full(20, 5, np.int8).tobytes(), *[None] * 7] for i in range(0, 3000, 20)]
+    batch = pa.RecordBatch.from_arrays([pa.array([p[j] for p in parts]) for j in range(12)], names=schema)
+    got = [r for b in op1_jaccard_join._shared(iter([batch])) for r in b.to_pylist()]
+    often = collections.Counter(k.tolist())
+    assert sorted((r["key"], r["doc"], r["band"]) for r in got) == sorted((int(x), int(y), 5) for x, y in zip(k, d) if often[int(x)] > 1)
+
+
 def test_op1_odd_rows(spark, odd, none):
     got = rows(op1_jaccard_join.similarity_classes(odd), "doc_id", "n_shingles", "component_id")
     want = jaccard_components([(r["doc_id"], r["text"]) for r in odd.collect()])
