@@ -9,9 +9,11 @@ Occurrences find their block's name by that 64-bit hash; a hash that two differe
 and its occurrences are matched by content instead, so names never collide.  Later levels move pairs of integers.
 All levels join stored tables, so that adaptive execution can split a group of copies that holds a large part of all rows.
 
-Nulls: a null text is an empty text; a null id stays as it is.  Equal ids with equal texts count as rows of one group.
+Names are numbered anew in each run: equal names mean equal texts within one run, whatever the number of partitions.
+
+Nulls: a null text is an empty text; a null id stays as it is.  If ids repeat or are null, rows are told apart by numbers in a stored table.
 An empty table gives an empty result.  Of a group the row with the largest id stays; among rows with that same id all
-carry kept = true.  Extra columns are ignored.
+carry kept = true (keep_row names one of them).  Texts of any length are read whole.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, table
+from .common import Workspace, numbered, table
 
 BLOCK = 2048
 
@@ -28,11 +30,6 @@ def block_hash(block: Column) -> Column:
     return F.xxhash64(block)
 
 
-def row_key(sha: Column) -> Column:
-    """The digest of a row's text and the row's id themselves; a null id adds nothing."""
-    return F.concat(F.unhex(sha), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-
-
 def _number(distinct: DataFrame, *keys: str) -> DataFrame:
     """Sorted rank within the task plus the task's own range: the same rows always get the same numbers."""
     return distinct.sortWithinPartitions(*keys).withColumn("name", F.monotonically_increasing_id())
@@ -73,22 +70,25 @@ def identities(ws: Workspace, docs: DataFrame, block: int = BLOCK) -> DataFrame:
     return out
 
 
-def exact_groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """One row for each row of docs (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256."""
+def exact_groups(docs: DataFrame, block: int = BLOCK, row: str | None = None) -> DataFrame:
+    """One row for each row of docs (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256.
+
+    row: a column of unique integers; the result then has it too, with keep_row: the row of the largest id (a null one is least), of several
+    the largest row.
+    """
     ws = Workspace(docs.sparkSession, "exact")
-    src = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = src.select(F.col("doc_id").alias("doc"), "text")
-    plain = not src.groupBy("doc_id").count().filter("count > 1 or doc_id is null").limit(1).count()
-    if not plain:
-        # repeated or null ids: rows are told apart by what they hold
-        rows = src.select(row_key(F.sha2("text", 256)).alias("doc"), "text").dropDuplicates(["doc"])
+    src = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *([row] if row else []))
+    src, plain = numbered(ws, src, row)
+    rows = src.select(F.col("row").alias("doc"), "text")
     ids = ws.put("ids", identities(ws, rows, block))
-    own = src.select("doc_id", F.sha2("text", 256).alias("text_sha256"))
-    own = own.withColumn("doc", F.col("doc_id") if plain else row_key(F.col("text_sha256")))
-    full = ws.put("full", own.join(ids, "doc").select("doc_id", "text_sha256", "level", "name"))
-    groups = ws.put("groups", full.groupBy("level", "name").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
+    own = src.select("doc_id", F.col("row").alias("doc"), F.sha2("text", 256).alias("text_sha256"))
+    full = ws.put("full", own.join(ids, "doc").select("doc_id", "doc", "text_sha256", "level", "name"))
+    best = [] if plain else [F.max(F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("i"), "doc")).alias("best")]
+    groups = ws.put("groups", full.groupBy("level", "name").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"), *best))
     ws.keep("full", "groups")
-    return full.join(groups, ["level", "name"]).select("doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id").eqNullSafe(F.col("keep_id")), F.lit(False)).alias("kept"), "text_sha256")
+    kept = F.coalesce(F.col("doc_id").eqNullSafe(F.col("keep_id")), F.lit(False)).alias("kept")
+    more = [F.col("doc").alias(row), F.col("best.doc").alias("keep_row")] if row else []
+    return full.join(groups, ["level", "name"]).select("doc_id", "keep_id", "group_size", kept, "text_sha256", *more)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

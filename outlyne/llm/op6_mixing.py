@@ -8,25 +8,27 @@ source goes on where the first ended.  Documents are then sorted globally by vir
 
 Scale: the text is read once and only counts of words leave that stage.  A source's cumulative sum is taken in 4096
 hash ranges with the ranges' totals added, so a source with a third of all rows is spread over tasks.  The global
-cut is found from totals of 4096 time slots, then in the one slot where the budget ends; each row then
-compares itself with that cut, so nothing is sorted on one task but a slot.
+cut is found from totals of 4096 time slots; the slot where the budget ends is cut into slots again until it has at most 100,000
+rows, which one task sorts.  Each row then compares itself with that cut.  Targets are broadcast only below a counted size.
 
 Nulls: a null text has no tokens; null is a source of its own, last; a null id takes part like any other.  Repeated rows each
-count.  A source without tokens has target 0 and takes 0.  An empty table gives an empty result.
+count; those of one id and size are taken alike, unless row tells them apart.  A source without tokens has target 0 and takes 0.  Equal
+times go by id, size, row and turn.  An empty table gives an empty result.  Texts of any length are read whole.  Extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, Workspace, table
+from .common import WORD, Workspace, maybe_broadcast, table
 
 WEIGHTS = (5, 2, 1)
 REPEAT = 2
 SEED = "mix-1:"
 RANGES = 4096
 SLOTS = 4096
+ONE_TASK = 100_000  # rows that are sorted in one task at the end
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: tuple[int, int] = (3, 2)) -> DataFrame:
@@ -48,59 +50,76 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     return t.withColumn("target", F.least(F.col("cap").cast("double"), F.col("w").cast("double") * level)).select("source", "s", "source_size", "target")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: tuple[int, int] = (3, 2), seed: str = SEED) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken, turns) for every row of docs (doc_id, text, source)."""
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: tuple[int, int] = (3, 2), seed: str = SEED, row: str | None = None) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken, turns) for every row of docs (doc_id, text, source).
+
+    row: a column of unique integers, which tells rows of equal id and size apart; the result then has it too.
+    """
     ws = Workspace(docs.sparkSession, "mix")
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
     order = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    sizes = ws.put("sizes", docs.select("doc_id", "source", size.alias("size"), order.alias("k")), narrow=True)
+    own = F.col(row).cast("long") if row else F.lit(0).cast("long")
+    sizes = ws.put("sizes", docs.select("doc_id", own.alias("row"), "source", size.alias("size"), order.alias("k")), narrow=True)
     targets = ws.put("targets", source_targets(sizes, weights, share))
-    rows = sizes.join(targets, sizes["source"].eqNullSafe(targets["source"])).select("doc_id", targets["source"], "s", "size", "source_size", "target", "k")
+    known = maybe_broadcast(targets, targets.count(), 96)
+    rows = sizes.join(known, sizes["source"].eqNullSafe(known["source"])).select("doc_id", "row", known["source"], "s", "size", "source_size", "target", "k")
     rows = ws.put("rows", rows.withColumn("r", F.conv(F.substring("k", 1, 3), 16, 10).cast("int")))
     ranges = rows.groupBy("s", "r").agg(F.sum("size").alias("n"))
     ranges = ranges.withColumn("base", F.coalesce(F.sum("n").over(Window.partitionBy("s").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    in_range = Window.partitionBy("s", "r").orderBy("k", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    in_range = Window.partitionBy("s", "r").orderBy("k", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, 0)
     queue = rows.withColumn("cum", F.sum("size").over(in_range)).join(ranges.select("s", "r", "base"), ["s", "r"])
     half = F.col("base") + F.col("cum") - F.col("size") / F.lit(2.0)
     at = [(half + F.col("source_size") * p) / F.nullif(F.col("target"), F.lit(0.0)) for p in range(REPEAT)]
-    queue = ws.put("queue", queue.select("doc_id", "source", "size", "source_size", "target", F.array(*at).alias("vt")))
+    queue = ws.put("queue", queue.select("doc_id", "row", "source", "size", "source_size", "target", F.array(*at).alias("vt")))
     ws.keep("queue")
     cut = _cut(queue, share)
-    if cut is None:
-        turns = F.lit(0)
-    else:
-        vt, doc, size, turn = (F.lit(x) for x in cut)
-        id_ = F.coalesce("doc_id", F.lit(-(1 << 63)))
-        turns = F.lit(0)
+    turns = F.lit(0)
+    if cut is not None:
+        vt, *last = (F.lit(x) for x in cut)
+        last = F.struct(*(x.cast("long") for x in last))
         for p in range(REPEAT):
             v = F.col("vt")[p]
-            inside = (v < vt) | ((v == vt) & (F.struct(id_, F.col("size"), F.lit(p)) <= F.struct(doc.cast("long"), size.cast("long"), turn)))
-            turns = turns + F.when(inside, 1).otherwise(0)
-    return queue.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * turns).alias("taken"), turns.alias("turns"))
+            here = F.struct(*(x.cast("long") for x in (_id(), F.col("size"), F.col("row"), F.lit(p))))
+            turns = turns + F.when((v < vt) | ((v == vt) & (here <= last)), 1).otherwise(0)
+    more = [F.col("row").alias(row)] if row else []
+    return queue.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * turns).alias("taken"), turns.alias("turns"), *more)
+
+
+def _id() -> Column:
+    return F.coalesce("doc_id", F.lit(-(1 << 63)))
 
 
 def _cut(queue: DataFrame, share: tuple[int, int]) -> tuple | None:
-    """The last (virtual time, id, size, turn) inside the budget; None if nothing is."""
+    """The last (virtual time, id, size, row, turn) inside the budget; None if nothing is.
+
+    Documents without tokens take nothing and are passed over, so equal times are those of different sources.
+    """
     num, den = share
     total = queue.select(F.sum("size")).first()[0]
     if not total:
         return None
-    turns = queue.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "size", F.posexplode("vt").alias("turn", "v")).filter("v is not null")
-    turns = turns.withColumn("slot", F.least(F.lit(SLOTS - 1), F.floor(F.least(F.lit(4.0), F.col("v")) * (SLOTS // 4))).cast("int"))
-    slots = turns.groupBy("slot").agg(F.sum("size").alias("n"))
-    slots = slots.withColumn("upto", F.sum("n").over(Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)))
-    last = slots.filter(F.col("upto") * den > total * num).orderBy("slot").limit(1).first()
-    if last is None:
-        slot, base = SLOTS - 1, 0
-        rows = turns
-    else:
-        slot, base = last["slot"], last["upto"] - last["n"]
-        rows = turns.filter(F.col("slot") == slot)
-    run = F.sum("size").over(Window.partitionBy("slot").orderBy("v", "id", "size", "turn").rowsBetween(Window.unboundedPreceding, 0)) + base
-    found = rows.withColumn("run", run).filter(F.col("run") * den <= total * num).select(F.max(F.struct("v", "id", "size", "turn"))).first()[0]
-    if found is None:  # the cut is where the slot begins
-        return (slot / (SLOTS // 4), -(1 << 63), -1, -1)
-    return tuple(found)
+    rows = queue.filter("size > 0").select(_id().alias("id"), "size", "row", F.posexplode("vt").alias("turn", "v")).filter("v is not null")
+    lo, hi = rows.select(F.min("v"), F.max("v")).first()
+    base = 0
+    while True:
+        # totals of SLOTS slots of time, and the slot in which the budget ends
+        width = (hi - lo) / SLOTS
+        at = F.least(F.lit(SLOTS - 1), F.floor((F.col("v") - lo) / width)).cast("int") if width else F.lit(0)
+        slots = rows.groupBy(at.alias("slot")).agg(F.sum("size").alias("n"), F.count("*").alias("k"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("slot").collect()
+        for last in slots:
+            if (base + last["n"]) * den > total * num:
+                break
+            base += last["n"]
+        else:  # all is inside
+            return (float("inf"), 0, 0, 0, 0)
+        rows = rows.filter(at == last["slot"])
+        if last["k"] <= ONE_TASK or last["lo"] == last["hi"]:
+            break
+        lo, hi = last["lo"], last["hi"]
+    run = F.sum("size").over(Window.orderBy("v", "id", "size", "row", "turn").rowsBetween(Window.unboundedPreceding, 0)) + base
+    found = rows.withColumn("run", run).filter(F.col("run") * den <= total * num).select(F.max(F.struct("v", "id", "size", "row", "turn"))).first()[0]
+    # none: the cut is where the slot begins
+    return tuple(found) if found else (last["lo"], -(1 << 63), -1, -1, -1)
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

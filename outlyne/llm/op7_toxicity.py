@@ -272,8 +272,8 @@ def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").join(maybe_broadcast(known, labels.count(), 16), "doc_id")
 
 
-def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every row of docs (doc_id, text)."""
+def score(docs: DataFrame, labels: DataFrame, row: str | None = None) -> DataFrame:
+    """(doc_id, held_out, score, predicted) for every row of docs (doc_id, text); row: an integer column that the result has too."""
     spark = docs.sparkSession
     ws = Workspace(spark, "toxicity")
     with arrow_rows(spark):
@@ -282,11 +282,16 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 s = [lexicon.score(t) for t in batch.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(s, pa.float64()), pa.array([int(x >= 0.5) for x in s], pa.int32())], names=["doc_id", "held_out", "score", "predicted"])
+                kept = ["doc_id", "held_out", *carried]
+                yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(s, pa.float64()), pa.array([int(x >= 0.5) for x in s], pa.int32())], names=[*kept, "score", "predicted"])
             rest()
 
+        carried = ["row"] if row else []
         held = F.coalesce(id_crc(F.col("doc_id")) % 5 == 0, F.lit(False)).alias("held_out")
-        return ws.put("scores", docs.select("doc_id", held, "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int"), narrow=True)
+        texts = docs.select("doc_id", held, *([F.col(row).cast("long").alias("row")] if row else []), "text")
+        schema = "doc_id long, held_out boolean, " + "row long, " * len(carried) + "score double, predicted int"
+        out = ws.put("scores", texts.mapInArrow(run, schema), narrow=True)
+        return out.withColumnRenamed("row", row) if row else out
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
