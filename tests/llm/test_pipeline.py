@@ -84,11 +84,45 @@ def test_run_is_the_stages_in_order(spark, stages):
 
 
 def test_odd_rows(spark):
-    schema = "doc_id long, text string, lang string, source string, n_chars long, turns int, h long"
-    rows = [(None, "a b", None, None, None, 1, 1), (1, None, None, None, None, 1, 1), (2, "", "en", "s", 0, 1, 1), (2, "", "en", "s", 0, 1, 1), (3, "w " * 30_000, "en", "s", 1, 1, 1), (4, "w " * 30_000, "en", "t", 1, 1, 1)]
-    for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, turns int, h long, row long"
+    long, more = "w " * 30_000, [(1, 1, 1)]
+    rows = [(None, "a b", None, None, None), (1, None, None, None, None), (2, "", "en", "s", 0), (2, "", "en", "s", 0), (3, long, "en", "s", 1), (4, long, "en", "t", 1)]
+    for docs in (spark.createDataFrame([(*r, *more[0]) for r in rows], schema), spark.createDataFrame([], schema)):
         for _, f in cp.STAGES[:-1]:
             docs = f(spark, docs, SF)
             assert docs.columns == COLUMNS
         last = cp.STAGES[-1][1](spark, docs, SF)
         assert last.filter(F.col("n_tokens") < 0).count() == 0
+
+
+def kept(stage, spark, rows):
+    docs = spark.createDataFrame([(d, t, "en", s, None) for d, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    return sorted(((r["doc_id"], r["text"], r["source"]) for r in stage(spark, docs, SF).collect()), key=repr)
+
+
+def test_copies_of_rows_with_equal_or_null_ids(spark):
+    rows = [(5, "A text", "s"), (5, "B text", "s"), (9, "B text", "s"), (7, "C", "s"), (7, "C", "s"), (None, "D", "s"), (None, "D", "s"), (None, "C", "s"), (1, "", "s"), (None, None, "s")]
+    assert kept(cp.drop_copies, spark, rows) == sorted([(5, "A text", "s"), (9, "B text", "s"), (7, "C", "s"), (None, "D", "s"), (1, "", "s")], key=repr)
+
+
+def test_near_copies_of_rows_with_equal_or_null_ids(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(5, a, "s"), (5, b, "s"), (3, a + " end", "s"), (None, b + " end", "s"), (8, "", "s"), (8, None, "s"), (None, "few words", "s"), (None, "few words", "s")]
+    assert kept(cp.drop_near_copies, spark, rows) == sorted([(3, a + " end", "s"), (5, b, "s"), (8, "", "s"), (8, None, "s"), (None, "few words", "s")], key=repr)
+
+
+def test_toxic_rows_with_equal_or_null_ids(spark, stages):
+    bad = min((r["doc_id"] for r in stages[0].join(stages[1], "doc_id", "left_anti").collect()))
+    text = {r["doc_id"]: r["text"] for r in stages[0].collect()}
+    good = min(ids(stages[1]))
+    # the labelled rows come along, so that there is something to learn from
+    docs = stages[0].unionByName(spark.createDataFrame([(None, text[bad], "en", "planted", None), (good, text[bad], "en", "planted", None), (bad, text[good], "en", "planted", None)], stages[0].schema))
+    left = [(r["doc_id"], r["text"]) for r in cp.drop_toxic(spark, docs, SF).filter("source = 'planted'").collect()]
+    assert left == [(bad, text[good])]
+
+
+def test_mixing_of_rows_with_equal_or_null_ids(spark):
+    rows = [(1, "one two", "s"), (1, "one two", "s"), (1, "three", "s"), (None, "four", "s"), (None, "four", "s"), (None, None, None)]
+    got = kept(cp.mix_sources, spark, rows)
+    words_taken = sum(len(words(t)) for _, t, _ in got)
+    assert {t for _, t, _ in got if t} == {"one two", "three", "four"} and words_taken in (9, 10, 11, 12)
