@@ -6,10 +6,12 @@ out-of-place distance sums, over the text's n-grams, how far their ranks differ;
 The nearest profile wins; equal distances go to the first name.
 
 Scale: each task adds up its texts' counts before they are shuffled as (lang, n-gram, count); a language that holds a third of
-all rows arrives as one row for each task and n-gram.  Profiles hold TOP rows a language and are all that reaches the driver.
+all rows arrives as one row for each task and n-gram.  Each task then keeps the TOP of what it holds of a language, so the task that
+ranks a language gets at most TOP rows from each.  Profiles hold TOP rows a language and are all that reaches the driver.
 
 Nulls: null text, or a text without a letter: `und`, score 0.  Rows without lang are not learned from.  Without any training row all
 texts are `und`.  Repeated rows count each and get equal answers.  A null id is held out never and learned from never.
+Texts of any length are read whole.
 An empty table gives an empty result.  Extra columns are ignored.
 """
 
@@ -95,7 +97,8 @@ def train(labelled: DataFrame, top: int = TOP) -> DataFrame:
     rows = labelled.select("lang", "text").filter("lang is not null and text is not null")
     counts = rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram"))
-    return counts.withColumn("rank", rank - 1).filter(F.col("rank") < top).select("lang", "gram", "rank")
+    # compared bare, so that each task keeps its own first rows only before they are shuffled
+    return counts.withColumn("rank", rank).filter(F.col("rank") <= top).select("lang", "gram", (F.col("rank") - 1).alias("rank"))
 
 
 class Profiles:

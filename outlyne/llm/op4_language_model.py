@@ -102,17 +102,25 @@ class Tally:
 
 def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(shard, distinct keys, sums) of rows that come sorted by shard."""
-    now, keys, counts = None, [], []
+    now, runs, size = None, [], 0
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        return summed(np.concatenate([k for k, _ in runs]), np.concatenate([c for _, c in runs]))
+
     for batch in batches:
         for s, k, c in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            if s != now and keys:
-                yield (now, *summed(np.concatenate(keys), np.concatenate(counts)))
-                keys, counts = [], []
+            if s != now and runs:
+                yield (now, *merged())
+                runs, size = [], 0
             now = s
-            keys.append(np.cumsum(unpack(k), dtype=np.uint64))
-            counts.append(unpack(c))
-    if keys:
-        yield (now, *summed(np.concatenate(keys), np.concatenate(counts)))
+            runs.append((np.cumsum(unpack(k), dtype=np.uint64), unpack(c)))
+            size += len(runs[-1][0])
+            # runs of many tasks are added up as they come: held are the distinct keys and at most as many more
+            if len(runs) > 1 and size > max(HELD, 2 * len(runs[0][0])):
+                runs = [merged()]
+                size = len(runs[0][0])
+    if runs:
+        yield (now, *merged())
 
 
 def deal(rows: DataFrame, f) -> DataFrame:
@@ -129,6 +137,7 @@ class Model:
     starts: list[int] = field(default_factory=list)  # first word number of each shard of words
     total: int = 0
     pairs: dict[int, int] = field(default_factory=dict)  # bigrams in each shard of contexts
+    wide: set[int] = field(default_factory=set)  # shards with a count of 2^32 or more
     d2: tuple[float, ...] = (0, 0, 0, 0)
     d1: tuple[float, ...] = (0, 0, 0, 0)
     types: int = 0  # distinct bigrams
@@ -191,7 +200,7 @@ class Model:
             at, about = at[seen], about[seen]
             have = map_array(f"{self.root}/pairs-{s}", np.uint64)
             i = np.minimum(np.searchsorted(have, keys[at]), n - 1)
-            c = np.where(have[i] == keys[at], map_array(f"{self.root}/times-{s}", np.uint32)[i], 0).astype(np.int64)
+            c = np.where(have[i] == keys[at], map_array(f"{self.root}/times-{s}", np.uint64 if s in self.wide else np.uint32)[i], 0).astype(np.int64)
             back = about[:, 1:] @ np.array(self.d2)[1:] / about[:, 0]
             p[at] = np.maximum(c - np.array(self.d2)[np.minimum(c, 3)], 0) / about[:, 0] + back * one[at]
         return p
@@ -228,6 +237,8 @@ def train(ws: Workspace, rows: DataFrame) -> Model:
     m.total = sum(r["total"] for r in found.values())
     if not m.size:
         return m
+    if m.size + 2 > 1 << 32:
+        raise ValueError(f"{m.size} distinct words do not fit the 32 bits that a key has for each")
     m.block = -(-m.size // shards)
 
     def pairs(batches):
@@ -240,25 +251,27 @@ def train(ws: Workspace, rows: DataFrame) -> Model:
 
     def store_pairs(batches):
         tally, seen = Tally(lambda k: (k // np.uint64(m.block)).astype(np.int32)), []
+        names = ["shard", "keys", "counts", "n", "n1", "n2", "n3", "n4", "top"]
         for s, k, c in by_shard(batches):
             write_array(f"{m.root}/pairs-{s}", k)
-            write_array(f"{m.root}/times-{s}", np.minimum(c, 0xFFFFFFFF).astype(np.uint32))
+            top = int(c.max())
+            write_array(f"{m.root}/times-{s}", c if top >> 32 else c.astype(np.uint32))
             v = (k >> np.uint64(32)).astype(np.int64) // shards
             about = np.zeros(((m.size + 1) // shards + 1, 4), np.int64)
             for i in range(4):
                 part = c if i == 0 else (c == i if i < 3 else c > 2)
-                about[:, i] = np.bincount(v, part, len(about)).astype(np.int64)
+                np.add.at(about[:, i], v, part.astype(np.int64))
             write_array(f"{m.root}/contexts-{s}", about)
-            seen.append((s, len(k), *(int((c == i).sum()) for i in (1, 2, 3, 4))))
-            yield from (pa.RecordBatch.from_arrays([*b.columns, *[pa.nulls(len(b), pa.int64())] * 5], names=["shard", "keys", "counts", "n", "n1", "n2", "n3", "n4"]) for b in tally.add(k & np.uint64(0xFFFFFFFF)))
-        yield from (pa.RecordBatch.from_arrays([*b.columns, *[pa.nulls(len(b), pa.int64())] * 5], names=["shard", "keys", "counts", "n", "n1", "n2", "n3", "n4"]) for b in tally.take())
+            seen.append((s, len(k), *(int((c == i).sum()) for i in (1, 2, 3, 4)), top))
+            yield from (pa.RecordBatch.from_arrays([*b.columns, *[pa.nulls(len(b), pa.int64())] * 6], names=names) for b in tally.add(k & np.uint64(0xFFFFFFFF)))
+        yield from (pa.RecordBatch.from_arrays([*b.columns, *[pa.nulls(len(b), pa.int64())] * 6], names=names) for b in tally.take())
         if seen:
             c = list(zip(*seen))
-            yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int32()), pa.nulls(len(seen), pa.binary()), pa.nulls(len(seen), pa.binary()), *[pa.array(x, pa.int64()) for x in c[1:]]], names=["shard", "keys", "counts", "n", "n1", "n2", "n3", "n4"])
+            yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int32()), pa.nulls(len(seen), pa.binary()), pa.nulls(len(seen), pa.binary()), *[pa.array(x, pa.int64()) for x in c[1:]]], names=names)
 
-    out = ws.put("follows", deal(rows, pairs).mapInArrow(store_pairs, "shard int, keys binary, counts binary, n long, n1 long, n2 long, n3 long, n4 long"))
+    out = ws.put("follows", deal(rows, pairs).mapInArrow(store_pairs, "shard int, keys binary, counts binary, n long, n1 long, n2 long, n3 long, n4 long, top long"))
     seen = out.filter("n is not null").drop("keys", "counts").collect()
-    m.pairs = {r["shard"]: r["n"] for r in seen}
+    m.pairs, m.wide = {r["shard"]: r["n"] for r in seen}, {r["shard"] for r in seen if r["top"] >> 32}
     m.types = sum(m.pairs.values())
     m.d2 = discounts([sum(r[f"n{i}"] for r in seen) for i in (1, 2, 3, 4)])
 

@@ -7,11 +7,14 @@ digits folded, extension, query keys, fragment) and the verdict as one more item
 inverted index token -> rule finds the rules of a url: a rule matches when all of its tokens were found.
 The surest rule decides; with none the verdict is DEFAULT.
 
-Scale: only the url column is read.  A support of SUPPORT bounds the frequent items and so the rules, whatever the input; the
-index is broadcast only after its size was counted.  Equal urls are matched once.  All steps are DataFrame operations.
+Of equally sure rules the one with more support decides, then the one with more tokens, then the verdict that sorts last.
+
+Scale: only the url column is read.  A support of SUPPORT bounds the frequent tokens, whatever the input, but not the sets of them: n frequent
+tokens that always occur together make 2^n sets, all of which are mined before the longer ones are pruned.  The index is broadcast
+only after its size was counted.  Equal urls are matched once.  All steps are DataFrame operations.
 
 Nulls: a null url, or one without `://`, has an empty host and path, no rule and the DEFAULT verdict.  Repeated pages each get a row.
-An empty table gives an empty result.  Extra columns are ignored.
+An empty table gives an empty result.  Urls of any length are read whole.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -71,7 +74,7 @@ def mine(ws: Workspace, labelled: DataFrame, support: float = SUPPORT, confidenc
     with_label = with_label.select(F.filter("items", lambda x: ~is_label(x)).alias("tokens"), F.substring(F.filter("items", is_label)[0], 2, 99).alias("verdict"), "freq")
     alone = sets.filter(~F.exists("items", is_label)).select(F.col("items").alias("tokens"), F.col("freq").alias("all"))
     rules = with_label.join(alone, "tokens").select("tokens", "verdict", (F.col("freq") / F.col("all")).alias("confidence"), (F.col("freq") / F.lit(n)).alias("support"))
-    rules = ws.put("rules", rules.filter(F.col("confidence") >= confidence).withColumn("rid", F.concat_ws(" ", "tokens", F.array(F.lit("="), "verdict"))))
+    rules = ws.put("rules", rules.filter(F.col("confidence") >= confidence).withColumn("rid", F.to_json(F.struct("tokens", "verdict"))))
     # a rule goes if leaving out one of its tokens gives one that is as sure
     shorter = rules.select("rid", "verdict", "confidence", F.explode(F.transform("tokens", lambda t: F.array_except("tokens", F.array(t)))).alias("tokens"))
     worse = shorter.alias("a").join(rules.alias("b"), (F.col("a.tokens") == F.col("b.tokens")) & (F.col("a.verdict") == F.col("b.verdict")) & (F.col("b.confidence") >= F.col("a.confidence"))).select("a.rid").distinct()

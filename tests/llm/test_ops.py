@@ -195,6 +195,42 @@ def test_op2_counts_and_distance():
     assert p.langs == ["x", "y"] and p.guess(None) == ("und", 0.0) and p.guess("77") == ("und", 0.0)
 
 
+def plain_grams(text):
+    """Counts of n-grams with _ between words: letters, pairs with a letter, triples around a letter."""
+    folded = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    s = "_" + "_".join(folded) + "_"
+    out = collections.Counter(c for c in s if c != "_")
+    out.update(s[i : i + 2] for i in range(len(s) - 1) if folded)
+    out.update(s[i : i + 3] for i in range(len(s) - 2) if s[i + 1] != "_")
+    return out
+
+
+def plain_ranks(counts, top=op2_language.TOP):
+    place = lambda g: [0 if c == "_" else ord(c) for c in g] + [0x1FFFFF] * (3 - len(g))
+    return {g: i for i, g in enumerate(sorted(counts, key=lambda g: (-counts[g], place(g)))[:top])}
+
+
+def test_op2_against_plain_profiles(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()
+    whole = collections.defaultdict(collections.Counter)
+    for r in docs:
+        if r["lang"] is not None and r["text"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1:
+            whole[r["lang"]].update(plain_grams(r["text"]))
+    profiles = {lang: plain_ranks(c) for lang, c in sorted(whole.items())}
+    got = {r["doc_id"]: r for r in op2_language.op2_language(spark, SF).collect()}
+    assert len(got) == len(docs) and len(profiles) > 2
+    for r in docs:
+        own = plain_ranks(plain_grams(r["text"] or ""))
+        away = sorted((sum(abs(i - p[g]) if g in p else op2_language.TOP for g, i in own.items()), lang) for lang, p in profiles.items())
+        want = (away[0][1], (away[1][0] - away[0][0]) / away[1][0]) if own else ("und", 0.0)
+        assert (got[r["doc_id"]]["lang_pred"], got[r["doc_id"]]["score"]) == (want[0], pytest.approx(want[1])), r["doc_id"]
+
+
+def test_op2_ranks_within_tasks_first(spark):
+    plan = op2_language.train(spark.createDataFrame([("a b", "en")], "text string, lang string"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+
+
 def test_op2_odd_rows(spark, odd, none):
     got = {r["doc_id"]: r for r in op2_language.identify(odd).collect()}
     assert got[0]["lang_pred"] == got[3]["lang_pred"] == got[33]["lang_pred"] == "und" and got[15]["lang_pred"] == "en" and len(got) == odd.count()
@@ -277,6 +313,27 @@ def test_op4_odd_rows(spark, none):
     assert with_null.count() == 3
 
 
+def test_op4_large_counts_and_runs(spark, monkeypatch, tmp_path):
+    """Counts of 2^32 and more are kept, and runs of many tasks are added up on the way."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(op4_language_model, "HELD", 10)
+    rnd, want, parts = np.random.default_rng(4), collections.Counter(), []
+    for _ in range(30):
+        k = np.unique(rnd.integers(0, 40, 8).astype(np.uint64))
+        c = np.full(len(k), 1 << 31, np.uint64)
+        want.update(dict(zip(k.tolist(), c.tolist())))
+        parts.append(op4_language_model.packed_rows(k, c, np.zeros(len(k), np.int32)))
+    (shard, k, c), = op4_language_model.by_shard(iter(parts))
+    assert shard == 0 and dict(zip(k.tolist(), c.tolist())) == want and max(want.values()) >> 32
+    m = op4_language_model.Model(str(tmp_path), 1, [0, 2], 9, {0: 2}, {0}, (0, 0.5, 0.5, 0.5), (0, 0.5, 0.5, 0.5), 2, 0.5, 2)
+    op4_language_model.write_array(f"{tmp_path}/pairs-0", np.array([0, 1], np.uint64))
+    op4_language_model.write_array(f"{tmp_path}/times-0", np.array([3 << 32, 1 << 32], np.uint64))
+    op4_language_model.write_array(f"{tmp_path}/contexts-0", np.array([[4 << 32, 0, 0, 2]] * 3, np.int64))
+    op4_language_model.write_array(f"{tmp_path}/follows-0", np.array([1, 1], np.uint32))
+    assert m.probability(np.array([0, 1], np.uint64)) == pytest.approx([0.75, 0.25])
+
+
 def test_op4_packing():
     a = np.array([0, 1, 255, 256, 2**40, 2**63], np.uint64)
     assert (op4_language_model.unpack(op4_language_model.pack(a)) == a).all()
@@ -339,6 +396,55 @@ def test_op5_mined_rules_against_counting(spark):
         assert found.get(f"u{i}") == (max(fit)[3] if fit else None)
 
 
+def test_op5_tokens_with_spaces(spark):
+    """Rules whose tokens read alike when joined are two rules."""
+    rules = spark.createDataFrame([(op, t, v, c, 0.1) for op, t, v, c in [("1", ["p:a p:b"], "allow", 0.8), ("2", ["p:a", "p:b"], "block", 0.9)]], "rid string, tokens array<string>, verdict string, confidence double, support double")
+    data = [(["p:a p:b"], "allow")] * 9 + [(["p:a", "p:b"], "block")] * 9 + [(["p:a"], "allow"), (["p:b"], "allow"), (["p:b"], "allow"), (["p:a"], "allow")] * 3
+    mined = op5_url_filter.mine(Workspace(spark, "t"), spark.createDataFrame(data, "tokens array<string>, verdict string"), 0.05, 0.7)
+    assert mined.select("rid").distinct().count() == mined.count() and {tuple(r["tokens"]) for r in mined.collect()} >= {("p:a p:b",), ("p:a", "p:b")}
+    urls = spark.createDataFrame([("all", ["p:a p:b", "p:a", "p:b"]), ("one", ["p:a p:b"])], "url string, tokens array<string>")
+    assert {r["url"]: r["mined"] for r in op5_url_filter.match(urls, rules).collect()} == {"all": "block", "one": "allow"}
+    assert {r["url"] for r in op5_url_filter.match(urls, mined).collect()} == {"all", "one"}
+
+
+def plain_tokens(host, path, more):
+    import re
+
+    words_ = re.split(r"[/_\-]", re.sub(r"[0-9]+", "#", re.sub(r"\.[A-Za-z]+$", "", path)))
+    ext = re.search(r"\.([A-Za-z]+)$", path)
+    query = re.match(r"\?([^#]*)", more)
+    keys = re.sub(r"=[^&]*", "", query[1]).split("&") if query else []
+    out = [f"h:{x}" for x in host.split(".") if x] + [f"p:{x}" for x in words_ if x] + [f"q:{x}" for x in keys if x]
+    return frozenset(out + ([f"x:{ext[1]}"] if ext else []) + (["f:"] if "#" in more else []))
+
+
+def test_op5_whole_table_against_counting(spark):
+    from itertools import combinations
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url").collect()
+    said = dict((r, v) for v, r in op5_url_filter.RULES)
+    of = {}
+    for r in pages:
+        host, path, rule = plain_rule(r["url"])
+        more = (r["url"] or "").split("://", 1)[1][len(host) + len(path) :] if "://" in (r["url"] or "") else ""
+        of[r["page_id"]] = (host, path, rule, plain_tokens(host, path, more))
+    known = [(t, said[rule]) for _, _, rule, t in of.values() if rule]
+    sets, hits = collections.Counter(), collections.Counter()
+    for t, v in known:
+        for n in range(1, len(t) + 1):
+            for x in combinations(sorted(t), n):
+                sets[x] += 1
+                hits[x, v] += 1
+    rules = {k: c / sets[k[0]] for k, c in hits.items() if c >= op5_url_filter.SUPPORT * len(known) and c / sets[k[0]] >= op5_url_filter.CONFIDENCE}
+    kept = {(x, v): c for (x, v), c in rules.items() if not any(rules.get((y, v), -1) >= c for y in combinations(x, len(x) - 1))}
+    got = {r["page_id"]: r for r in op5_url_filter.op5_url_filter(spark, SF).collect()}
+    assert len(got) == len(pages) and kept
+    for page, (host, path, rule, t) in of.items():
+        fit = [(c, hits[x, v] / len(known), len(x), v) for (x, v), c in kept.items() if t.issuperset(x)]
+        verdict = said[rule] if rule else max(fit)[3] if fit else op5_url_filter.DEFAULT
+        assert (got[page]["host"], got[page]["path"], got[page]["rule"], got[page]["verdict"]) == (host, path, rule, verdict), page
+
+
 # 6
 def test_op6_targets_and_limits(spark, odd, none):
     got = op6_mixing.mix(odd).collect()
@@ -382,6 +488,59 @@ def test_op7_exceptions_and_weights():
     assert list(x.phrases(" big clown fish ")) == [(4, "big clown"), (4, "clown fish")]
 
 
+def test_op7_against_plain_lexicon(spark):
+    sf, op = SF.replace("sf0.001", "sf0.01"), op7_toxicity
+    text = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    toxic = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r["toxic"] is not None}
+    train = {(text[d], t) for d, t in toxic.items() if d in text and zlib.crc32(str(d).encode()) % 5}
+    total = collections.Counter(t for _, t in train)
+
+    def tally(make):
+        counts = (collections.Counter(), collections.Counter())
+        for t, y in train:
+            counts[y].update(set().union(*(make(x) for x in op.readings(t))))
+        return counts
+
+    def odds(good, bad):
+        return math.log((bad + 0.5) / (total[1] + 1)) - math.log((good + 0.5) / (total[0] + 1))
+
+    def starts(x):
+        return {f" {w} "[:k] for w in x.split() for k in range(op.SHORT + 1, min(op.LONG + 1, len(w) + 2) + 1)}
+
+    good, bad = tally(starts)
+    weight = {g: odds(good[g], n) for g, n in bad.items() if n >= op.MIN_DOCS and odds(good[g], n) >= op.MIN_WEIGHT}
+
+    def hits(x):
+        w = x.split()
+        return w, {i: max(weight[g] for g in starts(v) if g in weight) for i, v in enumerate(w) if starts(v) & weight.keys()}
+
+    def phrases(x):
+        w, h = hits(x)
+        return {(i, p) for i in h for p in ([f"{w[i - 1]} {w[i]}"] if i else []) + ([f"{w[i]} {w[i + 1]}"] if i + 1 < len(w) else [])}
+
+    good, bad = tally(lambda x: {p for _, p in phrases(x)})
+    exempt = {p for p, n in good.items() if n >= max(op.MIN_DOCS, math.ceil(op.MIN_SHARE * total[0] / 10)) and odds(n, bad[p]) <= 0}
+
+    def features(t):
+        out = []
+        for x in op.readings(t):
+            w, h = hits(x)
+            for i, p in phrases(x):
+                if p in exempt:
+                    h.pop(i, None)
+            s, n = sum(h.values()), max(1, len(w))
+            out.append((math.log1p(s), 100 * s / n / (1 + 10 * s / n), max(h.values(), default=0.0)))
+        return max(out)
+
+    rows_ = sorted(train)
+    curve = op.logistic(np.array([features(t) for t, _ in rows_]), np.array([float(y) for _, y in rows_]))
+    got = {r["doc_id"]: r for r in op.op7_toxicity(spark, sf).collect()}
+    assert len(got) == len(text) and len(weight) > 20
+    for d, t in text.items():
+        z = curve[0] + sum(w * v for w, v in zip(curve[1:], features(t)))
+        assert got[d]["score"] == pytest.approx(1 / (1 + math.exp(-max(-40.0, min(40.0, z)))), rel=1e-5, abs=1e-9), d
+
+
 def test_op7_rare_terms_of_many_toxic_texts(spark):
     texts = [(i, f"vile thing {words_of(i)}" + " zorblat" * (i < 5), 1) for i in range(2000)] + [(i, f"kind thing {words_of(i)}", 0) for i in range(2000, 6000)]
     found = op7_toxicity.learn(Workspace(spark, "rare"), spark.createDataFrame(texts, "doc_id long, text string, toxic int"))
