@@ -1,7 +1,9 @@
 """Bursts among words and sentences, and the script that comes of it.
 
-words (clip, ix, w, start, end), sentences (clip, ix, text, start, end), bursts (clip, b_ix, start, end, label).  All joins
-are on the clip with a range as the rest; a clip's words are few, so its rows stay together.
+words (clip, ix, w, start, end), sentences (clip, ix, text, start, end), bursts (clip, b_ix, start, end, label).
+
+Points are joined with intervals on the clip and a piece of time, in which an interval is as often as it is long; so a long clip is
+neither compared pair by pair nor held by one task.  What comes next or before in time is found by one sort of both sides.
 """
 
 from __future__ import annotations
@@ -11,48 +13,68 @@ from pyspark.sql import functions as F
 
 from ..functions.scoring import pause_text
 from ..model import Config
+from ..sources import stages
+
+PIECE = 16.0  # length of a piece of time
 
 
 def midpoint() -> Column:
     return (F.col("start") + F.col("end")) / 2.0
 
 
+def within(points: DataFrame, intervals: DataFrame, keys: list[str], at: str, lo: str, hi: str, piece: float = PIECE) -> DataFrame:
+    """Points joined with each interval that holds them: keys equal, lo <= at <= hi.  Null times meet nothing."""
+    of = lambda c: F.floor(F.col(c) / piece)
+    p = points.withColumn("_piece", of(at))
+    i = intervals.filter(F.col(lo) <= F.col(hi)).withColumn("_piece", F.explode(F.sequence(of(lo), of(hi))))
+    return p.join(i, [*keys, "_piece"]).filter((F.col(lo) <= F.col(at)) & (F.col(at) <= F.col(hi))).drop("_piece")
+
+
 def bursts_to_sentences(bursts: DataFrame, sentences: DataFrame, cfg: Config) -> DataFrame:
     """Each burst once, with `s_ix`: the first sentence that holds its midpoint (slack included), else the one with the nearest
-    edge, the earliest of equal ones; sentence 0 if none has times.  A minimum of one composite key, not a sort."""
+    edge, the earliest of equal ones; sentence 0 if none has times."""
     s = sentences.filter("start is not null and end is not null").select("clip", F.col("ix").alias("s_ix"), F.col("start").alias("sa"), F.col("end").alias("sb"))
     b = bursts.withColumn("mid", midpoint())
-    inside = (F.col("sa") - cfg.slack <= F.col("mid")) & (F.col("mid") <= F.col("sb") + cfg.slack)
-    away = F.least(F.abs(F.col("mid") - F.col("sa")), F.abs(F.col("mid") - F.col("sb")))
-    key = F.struct(F.when(inside, 0).otherwise(1).alias("o"), F.when(inside, F.col("s_ix").cast("double")).otherwise(away).alias("d"), F.col("s_ix").alias("s_ix"))
-    best = b.join(s, "clip").groupBy("clip", "b_ix").agg(F.min(key).alias("k")).select("clip", "b_ix", F.col("k.s_ix").alias("s_ix"))
-    return b.drop("mid").join(best, ["clip", "b_ix"], "left").withColumn("s_ix", F.coalesce("s_ix", F.lit(0)))
+    bounds = s.select("clip", "s_ix", (F.col("sa") - cfg.slack).alias("lo"), (F.col("sb") + cfg.slack).alias("hi"))
+    inside = within(b.select("clip", "b_ix", "mid"), bounds, ["clip"], "mid", "lo", "hi").groupBy("clip", "b_ix").agg(F.min("s_ix").alias("inside"))
+    # the last edge before and the first after; of edges at one time that of the earliest sentence is nearest
+    edges = s.select("clip", "s_ix", F.explode(F.array("sa", "sb")).alias("mid"))
+    both = b.unionByName(edges, allowMissingColumns=True)
+    edge = F.when(F.col("s_ix").isNotNull(), F.struct("mid", "s_ix"))
+    is_burst = F.col("s_ix").isNull()
+    around = [F.last(edge, ignorenulls=True).over(Window.partitionBy("clip").orderBy(t, is_burst, F.col("s_ix").desc()).rowsBetween(Window.unboundedPreceding, 0)) for t in (F.col("mid").asc_nulls_first(), F.col("mid").desc_nulls_first())]
+    near = lambda e: F.when(e.isNotNull(), F.struct(F.abs(F.col("mid") - e["mid"]).alias("d"), e["s_ix"].alias("s_ix")))
+    both = both.withColumns({"before": around[0], "after": around[1]}).filter(is_burst).drop("s_ix")
+    best = F.least(near(F.col("before")), near(F.col("after")))
+    placed = both.withColumn("near", best["s_ix"]).drop("before", "after", "mid").join(inside, ["clip", "b_ix"], "left")
+    return placed.withColumn("s_ix", F.coalesce("inside", "near", F.lit(0))).drop("inside", "near")
 
 
 def words_in_sentences(words: DataFrame, sentences: DataFrame) -> DataFrame:
     """Timed words with each sentence that holds their start."""
-    s = sentences.filter("start is not null and end is not null").select("clip", F.col("ix").alias("s_ix"), F.col("start").alias("sa"), F.col("end").alias("sb"))
-    w = words.filter("start is not null")
-    return w.join(s, "clip").filter((F.col("sa") - 1e-6 <= F.col("start")) & (F.col("start") <= F.col("sb") + 1e-6)).drop("sa", "sb")
+    s = sentences.select("clip", F.col("ix").alias("s_ix"), (F.col("start") - 1e-6).alias("lo"), (F.col("end") + 1e-6).alias("hi"))
+    return within(words, s, ["clip"], "start", "lo", "hi").drop("lo", "hi")
 
 
 def overlapping(bursts: DataFrame, sentences: DataFrame, cfg: Config) -> DataFrame:
     """Sentences with the sorted labels of every burst whose midpoint is inside, slack included: a burst may appear in several, or in none."""
     b = bursts.select("clip", "b_ix", "label", midpoint().alias("mid"))
-    near = (F.col("start") - cfg.slack <= F.col("mid")) & (F.col("mid") <= F.col("end") + cfg.slack)
-    hit = sentences.join(b, "clip").filter(near).groupBy("clip", "ix").agg(F.transform(F.array_sort(F.collect_list(F.struct("b_ix", "label"))), lambda x: x["label"]).alias("bursts"))
+    s = sentences.select("clip", "ix", (F.col("start") - cfg.slack).alias("lo"), (F.col("end") + cfg.slack).alias("hi"))
+    hit = within(b, s, ["clip"], "mid", "lo", "hi").groupBy("clip", "ix").agg(F.transform(F.array_sort(F.collect_list(F.struct("b_ix", "label"))), lambda x: x["label"]).alias("bursts"))
     return sentences.join(hit, ["clip", "ix"], "left").withColumn("bursts", F.coalesce("bursts", F.array().cast("array<string>")))
 
 
 def slots(words: DataFrame, bursts: DataFrame, keys: list[str]) -> DataFrame:
     """Bursts with `slot`: the place of the first word that starts at or after the midpoint (the number of words if none does), never
     before the slot of a burst that started earlier.  words need `wi`, their place from 0."""
-    n = words.groupBy(*keys).agg(F.count("*").alias("n"))
-    b = bursts.withColumn("mid", midpoint())
-    raw = b.select(*keys, "b_ix", "mid").join(words.select(*keys, "wi", F.col("start").alias("ws")), keys).filter(F.col("ws") >= F.col("mid")).groupBy(*keys, "b_ix").agg(F.min("wi").alias("raw"))
-    b = b.drop("mid").join(raw, [*keys, "b_ix"], "left").join(n, keys, "left").withColumn("raw", F.coalesce("raw", "n", F.lit(0)))
-    w = Window.partitionBy(*keys).orderBy("start", "b_ix")
-    return b.withColumns({"slot": F.max("raw").over(w), "bo": F.row_number().over(w)}).drop("raw", "n")
+    own = Window.partitionBy(*keys)
+    both = bursts.withColumn("mid", midpoint()).unionByName(words.select(*keys, F.col("start").alias("mid"), "wi"), allowMissingColumns=True)
+    is_burst = F.col("wi").isNull()
+    later = own.orderBy(F.col("mid").desc(), is_burst).rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumns({"raw": F.when(F.col("mid").isNotNull(), F.min("wi").over(later)), "n": F.count("wi").over(own)}).filter(is_burst)
+    b = both.withColumn("raw", F.coalesce("raw", "n")).drop("mid", "wi", "n")
+    w = own.orderBy("start", "b_ix")
+    return b.withColumns({"slot": F.max("raw").over(w), "bo": F.row_number().over(w)}).drop("raw")
 
 
 def numbered(words: DataFrame, keys: list[str]) -> DataFrame:
@@ -60,7 +82,8 @@ def numbered(words: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def gaps(words: DataFrame, keys: list[str], cfg: Config) -> DataFrame:
-    """Words with `gap`: time since the end (or, without one, the start) of the word before; null for the first."""
+    """Words with `gap`: time since the end of the word before, or since its start if it has no end, whether its end is null or
+    absent (a column can't tell the two); null for the first."""
     before = F.lag(F.coalesce("end", "start")).over(Window.partitionBy(*keys).orderBy("wi"))
     return words.withColumn("gap", F.col("start") - before)
 
@@ -98,8 +121,9 @@ def script_lines(words: DataFrame, sentences: DataFrame, bursts: DataFrame, cfg:
     """(clip, ix, text, bursts): one line for each sentence, its words with the bursts that belong to it; and for a clip with bursts but no
     sentence one line of its bursts."""
     keys = ["clip", "s_ix"]
-    placed = bursts_to_sentences(bursts, sentences, cfg)
-    inner = words_in_sentences(words, sentences)
+    sentences = stages.once(sentences, "sentences")
+    placed = stages.once(bursts_to_sentences(bursts, sentences, cfg), "placed")
+    inner = stages.once(words_in_sentences(words, sentences), "inner")
     order = F.array_sort(F.collect_list(F.struct("start", "b_ix", "label")))
     own = placed.groupBy(*keys).agg(F.transform(order, lambda x: x["label"]).alias("labels"))
     both = inner.join(own.select(*keys), keys, "left_semi")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scoring as S
 from ..model import NEUTRAL, Config, Lexicon
+from ..sources import stages
 
 KEY = "entity_id"
 
@@ -25,8 +26,8 @@ def normalise_layout(records: DataFrame, baseline: DataFrame) -> DataFrame:
     dims = F.when(nested, obj(p, "$.dims")).otherwise(F.from_json(p, "map<string,string>"))
     order = F.json_object_keys(F.when(nested, F.get_json_object(p, "$.dims")).otherwise(p))
     rows = records.select(KEY, nested.alias("nested"), dims.alias("m"), F.coalesce(order, F.array().cast("array<string>")).alias("k"), obj(p, "$.emo").alias("e"), F.json_object_keys(F.get_json_object(p, "$.emo")).alias("ek"), F.get_json_object(p, "$.genu").alias("genu"), F.get_json_object(p, "$.blend").alias("blend"))
-    emotions = baseline.filter("grp = 'emotion'").select("dim", F.lit(True).alias("is_emotion"))
-    flat = rows.select(KEY, "nested", "genu", F.posexplode("k").alias("dim_ix", "dim"), "m").select(KEY, "nested", "genu", "dim_ix", "dim", F.col("m")[F.col("dim")].alias("cell")).join(F.broadcast(emotions), "dim", "left")
+    emotions = stages.small(stages.once(baseline.filter("grp = 'emotion'").select("dim", F.lit(True).alias("is_emotion")), "emotions"))
+    flat = rows.select(KEY, "nested", "genu", F.posexplode("k").alias("dim_ix", "dim"), "m").select(KEY, "nested", "genu", "dim_ix", "dim", F.col("m")[F.col("dim")].alias("cell")).join(emotions, "dim", "left")
     is_genu = (F.col("dim") == "genuineness") | (~F.col("nested") & (F.col("dim") == "genu"))
     grp = F.when(is_genu & (F.col("genu").isNull() | ~F.col("nested")), "genu").when(is_genu, None).when(~F.col("nested") & (F.col("dim") == "blend"), "blend").when(~F.col("nested") & F.coalesce("is_emotion", F.lit(False)), "emo").otherwise("dims")
     out = flat.withColumn("grp", F.when(F.col("nested") & (F.col("dim") == "genuineness") & F.col("genu").isNotNull(), "dims").otherwise(grp)).select(KEY, "grp", "dim", "dim_ix", "cell")
@@ -36,11 +37,16 @@ def normalise_layout(records: DataFrame, baseline: DataFrame) -> DataFrame:
 
 
 def with_z(scores: DataFrame, baseline: DataFrame) -> DataFrame:
-    """Scores joined with their dimension's baseline row: z, name and synonyms added.  Dimensions without one, or of another group, drop out."""
+    """Scores joined with their dimension's baseline row: z, name and synonyms added.
+
+    Dimensions without one, or of another group, drop out, and so do null, NaN and infinite values: they pass no threshold.
+    The baseline is computed once, as a stage table, and broadcast if it is found small.
+    """
     given = {"name": F.lit(None).cast("string"), "synonyms": F.lit(None).cast("array<string>")}
     b = baseline.select("grp", "dim", "median", "std", "mad", "spread", *[F.col(c) if c in baseline.columns else none.alias(c) for c, none in given.items()])
+    b = stages.small(stages.once(b, "baseline"))
     z = S.zscore(F.col("value"), F.col("median"), S.spread(F.col("spread"), F.col("mad"), F.col("std")))
-    return scores.filter("value is not null").join(F.broadcast(b), ["grp", "dim"]).withColumn("z", z)
+    return scores.filter(S.is_finite(F.col("value"))).join(b, ["grp", "dim"]).withColumn("z", z)
 
 
 def described(z: DataFrame, lexicon: Lexicon) -> DataFrame:
@@ -66,19 +72,26 @@ def top_k(z: DataFrame, k: int, *keys: str) -> DataFrame:
     return z.withColumn("rk", F.row_number().over(by_size(*(keys or (KEY,))))).filter(F.col("rk") <= max(0, k))
 
 
-def with_always_on(z: DataFrame, k: int, always_on: Sequence[str]) -> DataFrame:
-    """The top k, flagged if always on, and after them the always-on dimensions that did not get there, in their own order."""
-    flag = F.col("dim").isin(list(always_on)) if always_on else F.lit(False)
+def _place(always_on: Sequence[str]) -> Column:
+    """The place of a dimension in the always-on list, from 1."""
     place = F.lit(0)
     for i, d in enumerate(always_on):
         place = F.when(F.col("dim") == d, i + 1).otherwise(place)
-    r = z.withColumn("rk", F.row_number().over(by_size(KEY))).withColumn("always_on", flag)
+    return place
+
+
+def _always_on(always_on: Sequence[str]) -> Column:
+    return F.col("dim").isin(list(always_on)) if always_on else F.lit(False)
+
+
+def with_always_on(z: DataFrame, k: int, always_on: Sequence[str]) -> DataFrame:
+    """The top k, flagged if always on, and after them the always-on dimensions that did not get there, in their own order."""
+    r = z.withColumn("rk", F.row_number().over(by_size(KEY))).withColumn("always_on", _always_on(always_on))
     r = r.filter((F.col("rk") <= max(0, k)) | F.col("always_on"))
-    return r.withColumn("pos", F.when(F.col("rk") <= max(0, k), F.col("rk")).otherwise(max(0, k) + place)).drop("rk")
+    return r.withColumn("pos", F.when(F.col("rk") <= max(0, k), F.col("rk")).otherwise(max(0, k) + _place(always_on))).drop("rk")
 
 
-def dim_words(sel: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """direction, intensity, phrase and tag of chosen dimensions."""
+def _dim_columns(lexicon: Lexicon) -> dict[str, Column]:
     d, z = F.col("dim"), F.col("z")
     banded = d.isin(sorted(lexicon.bands)) if lexicon.bands else F.lit(False)
     at = lambda i: S.by_dim(d, {k: v[i] for k, v in lexicon.dims.items()})
@@ -87,12 +100,17 @@ def dim_words(sel: DataFrame, lexicon: Lexicon) -> DataFrame:
     average = F.abs(z) < NEUTRAL
     tier = S.tier(z)
     word, tag = F.when(z >= 0, at(0)).otherwise(at(1)), F.when(z >= 0, at(2)).otherwise(at(3))
-    return sel.withColumns({
+    return {
         "direction": S.direction(z),
         "intensity": F.when(banded, "Absolute").when(average, "About-average").otherwise(tier),
         "phrase": F.when(banded, band).when(average, F.coalesce(S.by_dim(d, dict(lexicon.neutral)), F.concat(F.lit("average in "), F.lower(d)))).otherwise(F.concat(F.lower(tier), F.lit(" "), word)),
         "tag": F.when(banded, band_tag).when(average, F.lit(None).cast("string")).otherwise(S.short_tag(tier, tag)),
-    })
+    }
+
+
+def dim_words(sel: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """direction, intensity, phrase and tag of chosen dimensions."""
+    return sel.withColumns(_dim_columns(lexicon))
 
 
 def genuineness(quality: DataFrame) -> DataFrame:
@@ -101,22 +119,33 @@ def genuineness(quality: DataFrame) -> DataFrame:
     return g.select(KEY, S.gate(F.col("value"), F.col("median"), F.col("z")).alias("gate"), S.genuine_phrase(F.col("z")).alias("descriptor"), F.col("z").alias("zg"), F.col("value").alias("g"))
 
 
+def _emotion_columns(seed: Column) -> dict[str, Column]:
+    """Needs the entity's gate."""
+    z = F.col("z")
+    n = F.size(F.coalesce("synonyms", F.array().cast("array<string>")))
+    word = F.when(n > 0, F.element_at("synonyms", (F.pmod(S.draw(seed, "synonym", F.col("dim")), F.greatest(n, F.lit(1))) + 1).cast("int"))).otherwise(F.lower("dim"))
+    t = S.tier(z, F.col("gate") == "capped")
+    return {"synonym": word, "intensity": t, "direction": S.direction(z), "phrase": S.emotion_phrase(z, t, word), "tag": S.emotion_tag(z, t, word)}
+
+
 def emotion_words(z: DataFrame, gates: DataFrame, k: int, seed: Column) -> DataFrame:
     """The emotions of each entity: none behind a dropped gate; the top k, of which those near average then go; words by seed."""
     gated = z.join(gates.select(KEY, "gate"), KEY, "left").withColumn("gate", F.coalesce("gate", F.lit("open"))).filter("gate <> 'dropped'")
-    sel = top_k(gated, k).filter(F.abs("z") >= NEUTRAL).withColumnRenamed("rk", "pos")
-    n = F.size(F.coalesce("synonyms", F.array().cast("array<string>")))
-    word = F.when(n > 0, F.element_at("synonyms", (F.pmod(S.draw(seed, "synonym", F.col("dim")), F.greatest(n, F.lit(1))) + 1).cast("int"))).otherwise(F.lower("dim"))
-    t = S.tier(F.col("z"), F.col("gate") == "capped")
-    sel = sel.withColumn("synonym", word).withColumn("intensity", t)
-    return sel.withColumns({"direction": S.direction(F.col("z")), "phrase": S.emotion_phrase(F.col("z"), F.col("intensity"), F.col("synonym")), "tag": S.emotion_tag(F.col("z"), F.col("intensity"), F.col("synonym"))})
+    return top_k(gated, k).filter(F.abs("z") >= NEUTRAL).withColumnRenamed("rk", "pos").withColumns(_emotion_columns(seed))
+
+
+def _quality_columns() -> dict[str, Column]:
+    z, g = F.col("z"), F.col("dim") == "genuineness"
+    return {"pos": F.when(g, 1).otherwise(2), "phrase": F.when(g, S.genuine_phrase(z)).otherwise(S.blend_phrase(z)), "tag": F.when(g, S.genuine_tag(z)).otherwise(S.blend_tag(z))}
+
+
+def _quality_shown() -> Column:
+    return (F.col("dim") == "genuineness") | ((F.col("dim") == "blend") & (F.abs("z") >= NEUTRAL))
 
 
 def quality_words(quality: DataFrame) -> DataFrame:
     """Genuineness, and blend unless it is near average."""
-    z, d = F.col("z"), F.col("dim")
-    rows = quality.filter((d == "genuineness") | ((d == "blend") & (F.abs(z) >= NEUTRAL)))
-    return rows.withColumns({"pos": F.when(d == "genuineness", 1).otherwise(2), "phrase": F.when(d == "genuineness", S.genuine_phrase(z)).otherwise(S.blend_phrase(z)), "tag": F.when(d == "genuineness", S.genuine_tag(z)).otherwise(S.blend_tag(z))})
+    return quality.filter(_quality_shown()).withColumns(_quality_columns())
 
 
 def detail(scores: DataFrame, baseline: DataFrame, lexicon: Lexicon, cfg: Config, seed: Column | None = None, experts: DataFrame | None = None, shuffle: bool = False) -> DataFrame:
@@ -124,22 +153,40 @@ def detail(scores: DataFrame, baseline: DataFrame, lexicon: Lexicon, cfg: Config
 
     scores: (entity_id, grp, dim, dim_ix, value) with groups trait, emotion and quality.  Parts come in the order dims, emotions, quality.
     seed: a column of entity_id or a literal.  The exact z decides; z and value are rounded at the end.
+
+    One pass: scores meet the baseline once and are shuffled once, by entity; the gate and the ranks of all groups are windows over
+    that partitioning.
     """
     seed = F.lit(0) if seed is None else seed
-    z = with_z(scores, baseline)
-    dims = described(z.filter("grp = 'trait'"), lexicon)
-    if experts is not None:
-        dims = confidence_gate(dims, experts, cfg)
-    quality = z.filter("grp = 'quality'")
-    chosen = dim_words(with_always_on(dims, cfg.k_dims, cfg.always_on), lexicon)
-    emotions = emotion_words(z.filter("grp = 'emotion'"), genuineness(quality), cfg.k_emotions, seed)
-    if shuffle:
-        chosen, emotions = shuffle_positions(chosen, seed, "dims", ~F.col("always_on")), shuffle_positions(emotions, seed, "emotions")
-    out = lambda df, part, ix: df.select(
-        KEY, F.lit(ix).alias("part_ix"), F.lit(part).alias("part"), F.col("pos").cast("int").alias("pos"), "dim", F.coalesce("name", "dim").alias("name"), F.round("value", 3).alias("value"), F.round("z", 2).alias("z"),
-        *(F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in ("direction", "intensity")), (F.col("always_on") if "always_on" in df.columns else F.lit(False)).alias("always_on"), "phrase", "tag",
+    grp, dim, z = F.col("grp"), F.col("dim"), F.col("z")
+    trait, emotion, quality = (grp == g for g in ("trait", "emotion", "quality"))
+    rows = with_z(scores, baseline).filter((trait & dim.isin(sorted({*lexicon.dims, *lexicon.bands}))) | emotion | (quality & dim.isin("genuineness", "blend")))
+    if experts is not None and cfg.confidence_gate > 0:
+        weak = F.col("expert").isNotNull() & (F.abs("expert") < cfg.confidence_gate) & trait & (dim == cfg.gated_dim)
+        rows = rows.join(experts.select(KEY, "expert"), KEY, "left").filter(~F.coalesce(weak, F.lit(False))).drop("expert")
+    gate = F.max(F.when(quality & (dim == "genuineness"), S.gate(F.col("value"), F.col("median"), z))).over(Window.partitionBy(KEY))
+    rows = rows.withColumn("gate", F.coalesce(gate, F.lit("open"))).filter(~emotion | (F.col("gate") != "dropped"))
+    rows = rows.withColumns({"rk": F.row_number().over(by_size(KEY, "grp")), "always_on": trait & _always_on(cfg.always_on)})
+    k = max(0, cfg.k_dims)
+    shown = F.when(trait, (F.col("rk") <= k) | F.col("always_on")).when(emotion, (F.col("rk") <= max(0, cfg.k_emotions)) & (F.abs(z) >= NEUTRAL)).otherwise(_quality_shown())
+    part = {"trait": (1, "dims"), "emotion": (2, "emotions"), "quality": (3, "quality")}
+    of = lambda cells: F.when(trait, cells[0]).when(emotion, cells[1]).otherwise(cells[2])
+    dims, emotions, qual = _dim_columns(lexicon), _emotion_columns(seed), _quality_columns()
+    dims["pos"] = F.when(F.col("rk") <= k, F.col("rk")).otherwise(k + _place(cfg.always_on))
+    emotions["pos"] = F.col("rk")
+    none = F.lit(None).cast("string")
+    rows = rows.filter(shown).select(
+        KEY, of([F.lit(i) for i, _ in part.values()]).alias("part_ix"), of([F.lit(n) for _, n in part.values()]).alias("part"), of([x["pos"].cast("int") for x in (dims, emotions, qual)]).alias("pos"), "dim",
+        F.coalesce("name", "dim").alias("name"), "value", "z", *(of([x.get(c, none) for x in (dims, emotions, qual)]).alias(c) for c in ("direction", "intensity")), "always_on", *(of([x[c] for x in (dims, emotions, qual)]).alias(c) for c in ("phrase", "tag")),
     )
-    return out(chosen, "dims", 1).unionByName(out(emotions, "emotions", 2)).unionByName(out(quality_words(quality), "quality", 3))
+    if shuffle:
+        # the movable rows of a part are dealt anew over the places that they hold
+        rows = rows.withColumn("mv", (F.col("part") != "quality") & ~F.col("always_on"))
+        own = Window.partitionBy(KEY, "part", "mv")
+        order = F.when(F.col("part") == "dims", S.draw(seed, "dims", dim)).otherwise(S.draw(seed, "emotions", dim))
+        rows = rows.withColumns({"slots": F.array_sort(F.collect_list("pos").over(own)), "i": F.row_number().over(own.orderBy(order, "dim"))})
+        rows = rows.withColumn("pos", F.when(F.col("mv"), F.element_at("slots", F.col("i"))).otherwise(F.col("pos"))).drop("mv", "slots", "i")
+    return rows.withColumns({"value": F.round("value", 3), "z": F.round("z", 2)})
 
 
 def shuffle_positions(rows: DataFrame, seed: Column, salt: str, movable: Column | None = None) -> DataFrame:

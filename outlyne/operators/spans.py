@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scoring import is_finite, sigmoid
 from ..model import TRANSIENT, Config
+from ..sources import stages
 
 
 def islands(frames: DataFrame, cfg: Config, durations: DataFrame | None = None) -> DataFrame:
@@ -42,8 +43,8 @@ def classify(spans: DataFrame, taxonomy: DataFrame, cfg: Config, length: Column
     short = (length < 0.1) if length is not None else F.lit(False)
     said = ~short & (nb < cfg.no_burst_gate)
     s = spans.withColumns({"class_ix": F.when(said, ix), "prob": F.when(short, 0.0).when(said, best).otherwise(nb), "p_noburst": F.when(short, 1.0).otherwise(nb)})
-    names = taxonomy.select("class_ix", F.col("class").alias("label"), "grp")
-    return s.join(F.broadcast(names), "class_ix", "left").drop("class_ix", "scores")
+    names = stages.small(stages.once(taxonomy.select("class_ix", F.col("class").alias("label"), "grp"), "taxonomy"))
+    return s.join(names, "class_ix", "left").drop("class_ix", "scores")
 
 
 def duration_gate(spans: DataFrame, cfg: Config) -> DataFrame:

@@ -84,8 +84,12 @@ def event_bursts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def event_sentences(spark: SparkSession, sf: str) -> DataFrame:
+    return sentences_of(event_words(spark, sf))
+
+
+def sentences_of(words: DataFrame) -> DataFrame:
     """Five words each; some have no times."""
-    w = event_words(spark, sf).withColumn("s", F.floor(F.col("ix") / 5).cast("int"))
+    w = words.withColumn("s", F.floor(F.col("ix") / 5).cast("int"))
     text = F.concat(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ix", "w"))), lambda x: x["w"]), " "), F.lit("."))
     s = w.groupBy("clip", F.col("s").alias("ix")).agg(text.alias("text"), F.min("start").alias("a"), F.max("end").alias("b"))
     timed = F.pmod(F.col("clip") + F.col("ix"), F.lit(7)) != 0

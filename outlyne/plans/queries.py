@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import scoring as S
 from ..model import BURST_PHRASES, TEMPLATES, Config
 from ..operators import evaluate, infer, placement, records, render, seeded, select, spans, stats
+from ..sources import stages
 from . import demo, twins as T
 from .demo import CFG, EVENT_CFG, LEXICON, table
 
@@ -95,8 +96,13 @@ def f09_finite(spark, sf):
 
 
 # ---- scores and words ----
+def _scores(spark, sf):
+    """Read by the baseline and by the z-scores."""
+    return stages.once(demo.supplier_scores(spark, sf), "scores")
+
+
 def _z(spark, sf):
-    s = demo.supplier_scores(spark, sf)
+    s = _scores(spark, sf)
     return select.with_z(s, demo.supplier_baseline(s))
 
 
@@ -158,7 +164,7 @@ def f02_emotions(spark, sf):
 
 
 def _detail(spark, sf, cfg: Config = CFG, seed=None, gated=False, shuffle=False):
-    s = demo.supplier_scores(spark, sf)
+    s = _scores(spark, sf)
     return select.detail(s, demo.supplier_baseline(s), LEXICON, cfg, seed, demo.experts(spark, sf) if gated else None, shuffle)
 
 
@@ -210,13 +216,12 @@ def x13_sentence(spark, sf):
     return render.sentence_cue(d, F.when(F.pmod("entity_id", F.lit(2)) == 0, "tags").otherwise("default"))
 
 
-@query("x18_html", """SELECT doc_id, regexp_replace(replace(replace(replace(replace(replace('(' || substr(text, 1, 80) || ')', '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;'), '\\(([^)]+)\\)', '<span class="burst">(\\1)</span>', 'g') AS html FROM documents""")
-def x18_html(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", S.emphasise(S.html_escape(F.concat(F.lit("("), F.substring("text", 1, 80), F.lit(")")))).alias("html"))
+_HTML = """SELECT doc_id, regexp_replace(replace(replace(replace(replace(replace('(' || text || ')', '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;'), '\\(([^)]+)\\)', '<span class="burst">(\\1)</span>', 'g') AS html FROM documents"""
 
 
-@query("x18_html_whole", """SELECT doc_id, regexp_replace(replace(replace(replace(replace(replace('(' || text || ')', '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;'), '\\(([^)]+)\\)', '<span class="burst">(\\1)</span>', 'g') AS html FROM documents""")
-def x18_html_whole(spark, sf):
+@query("x18_html", _HTML)
+@query("x18_html_whole", _HTML)
+def x18_html(spark, sf):
     return table(spark, sf, "documents").select("doc_id", S.emphasise(S.html_escape(F.concat(F.lit("("), F.col("text"), F.lit(")")))).alias("html"))
 
 
@@ -381,7 +386,8 @@ def a10_hits(spark, sf):
 
 
 def _series(spark, sf):
-    return demo.event_words(spark, sf), demo.event_sentences(spark, sf), demo.event_bursts(spark, sf)
+    words = stages.once(demo.event_words(spark, sf), "words")
+    return words, demo.sentences_of(words), demo.event_bursts(spark, sf)
 
 
 _SER = f"{T.WORDS},\n{T.SENTENCES},\n{T.BURSTS}"
@@ -565,7 +571,7 @@ def ext_stream(spark, sf):
     base = stats.baseline_stats(table(spark, sf, "events").select(F.col("event_type").alias("dim"), "value"))
     raw = table(spark, sf, "events")
     live = spark.readStream.schema(raw.schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf}/events.parquet*")
-    name = f"live_{uuid.uuid4().hex[:8]}"
-    run = score_stream(live.select("event_id", F.col("event_type").alias("dim"), "value"), base).writeStream.format("memory").queryName(name).trigger(availableNow=True).start()
-    run.awaitTermination()
-    return spark.table(name).select("event_id", "dim", F.round("z", 2).alias("z"), "intensity")
+    root = f"{stages.shared_dir(spark)}/live-{uuid.uuid4().hex[:12]}"
+    scored = score_stream(live.select("event_id", F.col("event_type").alias("dim"), "value"), base)
+    scored.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(scored.schema).parquet(f"{root}/out").select("event_id", "dim", F.round("z", 2).alias("z"), "intensity")

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scoring import spread, tier, zscore
+from ..sources import stages
 
 
 def score_stream(stream: DataFrame, baseline: DataFrame) -> DataFrame:
     """z and intensity of streamed (dim, value, ...) rows: a stateless join with a static table."""
-    b = F.broadcast(baseline.select("dim", "median", "std", "mad", "spread"))
+    b = stages.small(stages.once(baseline.select("dim", "median", "std", "mad", "spread"), "baseline"))
     z = zscore(F.col("value"), F.col("median"), spread(F.col("spread"), F.col("mad"), F.col("std")))
     return stream.join(b, "dim").withColumn("z", z).withColumn("intensity", tier(F.col("z"))).drop("median", "std", "mad", "spread")
 
