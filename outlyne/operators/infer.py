@@ -13,7 +13,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _OWN_NAMES = {"Hope/Optimism": "Hope_Enthusiasm_Optimism", "Intoxication/Altered States": "Intoxication_Altered_States_of_Consciousness"}
-_erf = np.vectorize(math.erf, otypes=[float])
+
+
+def erf(x: np.ndarray) -> np.ndarray:
+    """The error function of whole arrays, by its series of positive terms; beyond 6 it is 1 to all digits of a double."""
+    x = np.asarray(x, float)
+    y = np.clip(x, -6.0, 6.0)
+    term = total = y.copy()
+    for n in range(1, 150):
+        term = term * (2.0 * y * y / (2 * n + 1))
+        total = total + term
+        if not np.any(np.abs(term) > 1e-17 * np.abs(total)):
+            break
+    return np.clip(2.0 / math.sqrt(math.pi) * np.exp(-y * y) * total, -1.0, 1.0)
 
 
 def standardise(x: Column, mu: Column, sd: Column) -> Column:
@@ -47,6 +59,12 @@ class Net:
     hi: float | None = None
     names: Sequence[str] = field(default_factory=list)
 
+    def flat(self, x: np.ndarray) -> np.ndarray:
+        """x (row, step, channel) as (row, step * channel) if the first layer is linear over that many inputs."""
+        if x.ndim == 3 and self.layers and self.layers[0][0] == "linear" and np.asarray(self.layers[0][1]).shape[1] == x.shape[1] * x.shape[2] != x.shape[2]:
+            return x.reshape(len(x), -1)
+        return x
+
     def __call__(self, x: np.ndarray) -> np.ndarray:
         x = np.asarray(x, float)
         if self.mu is not None:
@@ -63,7 +81,7 @@ class Net:
             elif kind == "relu":
                 x = np.maximum(x, 0)
             elif kind == "gelu":
-                x = 0.5 * x * (1 + _erf(x / math.sqrt(2)))
+                x = 0.5 * x * (1 + erf(x / math.sqrt(2)))
             elif kind == "sigmoid":
                 x = 1 / (1 + np.exp(-x))
             else:
@@ -71,31 +89,51 @@ class Net:
         return x if self.lo is None else np.clip(x, self.lo, self.hi)
 
 
+def matrices(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, array) for the rows of a column of lists, or of lists of equally long lists, that are not null; rows of one length go together."""
+    valid = np.flatnonzero(np.asarray(column.is_valid()))
+    lengths = column.take(pa.array(valid)).value_lengths().to_numpy(zero_copy_only=False)
+    for n in np.unique(lengths):
+        at = valid[lengths == n]
+        flat = column.take(pa.array(at)).flatten()
+        shape = (len(at), int(n))
+        if pa.types.is_list(flat.type) or pa.types.is_large_list(flat.type):
+            flat = flat.flatten()
+            shape = (*shape, len(flat) // (len(at) * int(n)) if n else 0)
+        yield at, np.asarray(flat.to_numpy(zero_copy_only=False), float).reshape(shape)
+
+
 def run_heads(df: DataFrame, key: str, vector: str, heads: dict[str, Net]) -> DataFrame:
-    """(key, head, value) of every head for every row: one pass, whole batches, models once for each task.  A null vector gives null values."""
+    """(key, head, value) of every head for every row: one pass, whole batches, models once for each task.  A null vector gives null values.
+
+    A head takes a list, or a list of equally long lists (a sequence), which is flattened for a head whose first layer is linear over more inputs
+    than one step has.
+    """
     schema = f"{key} {dict(df.dtypes)[key]}, head string, value double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch.column(vector).to_pylist()
-            at = [i for i, v in enumerate(x) if v is not None]
-            m = np.array([x[i] for i in at], float)
+            n = batch.num_rows
+            parts = list(matrices(batch.column(vector)))
             for name, net in heads.items():
-                out = np.full(len(x), None, object)
-                if at:
-                    out[at] = net(m).reshape(len(at), -1)[:, 0]
-                yield pa.RecordBatch.from_arrays([batch.column(key), pa.array([name] * len(x), pa.string()), pa.array(out.tolist(), pa.float64())], names=[key, "head", "value"])
+                out, known = np.zeros(n), np.zeros(n, bool)
+                for at, m in parts:
+                    out[at] = net(net.flat(m)).reshape(len(at), -1)[:, 0]
+                    known[at] = True
+                yield pa.RecordBatch.from_arrays([batch.column(key), pa.array([name] * n, pa.string()), pa.array(out, pa.float64(), mask=~known)], names=[key, "head", "value"])
 
     return df.select(key, vector).mapInArrow(run, schema)
 
 
 def run_classifier(df: DataFrame, key: str, vector: str, net: Net) -> DataFrame:
-    """(key, scores): all outputs of one net as an array."""
+    """(key, scores): all outputs of one net as an array; whole batches.  A null vector gives null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch.column(vector).to_pylist()
-            out = [None if v is None else net(np.array([v], float))[0].ravel().tolist() for v in x]
+            out: list = [None] * batch.num_rows
+            for at, m in matrices(batch.column(vector)):
+                for i, scores in zip(at, net(net.flat(m)).reshape(len(at), -1)):
+                    out[i] = scores
             yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(out, pa.list_(pa.float64()))], names=[key, "scores"])
 
     return df.select(key, vector).mapInArrow(run, f"{key} {dict(df.dtypes)[key]}, scores array<double>")

@@ -47,7 +47,7 @@ def parquet_files(spark: SparkSession, folder: str, pattern: str, columns: Seque
     """Some columns of a folder's files that match a pattern; of the first files by name if a number is given."""
     df = spark.read.option("pathGlobFilter", pattern).parquet(folder)
     if first is not None:
-        names = sorted(r[0] for r in df.select(F.input_file_name()).distinct().collect())[:first]
+        names = sorted(df.inputFiles())[:first]
         df = spark.read.parquet(*names) if names else df.limit(0)
     return df.select(*columns)
 
@@ -67,24 +67,40 @@ def embeddings_from_npz(spark: SparkSession, path: str) -> DataFrame:
     return content.mapInArrow(rows, "id string, embedding array<float>")
 
 
+def _members(content: bytes, suffix: str, wanted: frozenset[str] | None) -> Iterator[tuple[str, bytes]]:
+    """What can be read of an archive, up to the place where it is broken."""
+    try:
+        tar = tarfile.open(fileobj=io.BytesIO(content), mode="r|*")
+    except (OSError, EOFError, tarfile.TarError):
+        return
+    with tar:
+        while True:
+            try:
+                m = tar.next()
+                if m is None:
+                    return
+                key = m.name[: -len(suffix)] if suffix else m.name
+                if not m.isfile() or not m.name.endswith(suffix) or (wanted is not None and key not in wanted):
+                    continue
+                data = tar.extractfile(m).read()
+            except (OSError, EOFError, tarfile.TarError):
+                return
+            yield key, data
+
+
 def tar_members(spark: SparkSession, path: str, suffix: str, keys: Iterable[str] | None = None) -> DataFrame:
-    """(archive, key, content) of members with a suffix, and of some keys only; members that can't be read are left out."""
+    """(archive, key, content) of members with a suffix, and of some keys only; archives and members that can't be read are left out.
+
+    An archive meets a task whole, one at a time; its members leave the task one after another.
+    """
     wanted = None if keys is None else frozenset(keys)
     files = spark.read.format("binaryFile").load(path).select("path", "content")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                with tarfile.open(fileobj=io.BytesIO(content.as_py())) as tar:
-                    for m in tar:
-                        key = m.name[: -len(suffix)]
-                        if not m.name.endswith(suffix) or (wanted is not None and key not in wanted):
-                            continue
-                        try:
-                            data = tar.extractfile(m).read()
-                        except (OSError, AttributeError, tarfile.TarError):
-                            continue
-                        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([key]), pa.array([data], pa.binary())], names=["archive", "key", "content"])
+                for key, data in _members(content.as_py(), suffix, wanted):
+                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([key]), pa.array([data], pa.binary())], names=["archive", "key", "content"])
 
     return files.mapInArrow(rows, "archive string, key string, content binary")
 
