@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..model import Config
-from . import seeded
-from .placement import labels_text, overlapping, without_stops
+from ..model import Config, Lexicon
+from . import render, seeded, select
+from .placement import document, labels_text, overlapping, without_stops
+from .select import KEY
 
 
 def score_record(clips: DataFrame, sentences: DataFrame, bursts: DataFrame, cfg: Config) -> DataFrame:
@@ -33,3 +36,40 @@ def rerender_lines(lines: DataFrame) -> DataFrame:
 def sentence_seeds(lines: DataFrame) -> DataFrame:
     """Lines with the seed of their own, from `seed` and `ix`."""
     return lines.withColumn("sentence_seed", seeded.sentence_seed(F.col("seed"), F.col("ix")))
+
+
+def _drawn(scores: DataFrame, who: DataFrame, template: str | None) -> tuple[DataFrame, DataFrame]:
+    """Scores with the synonym seed and shuffling of their entity, and the entities with their form."""
+    form, synonym, shuffled = seeded.augment_draws(F.col("seed"))
+    who = who.select(KEY, (F.lit(template) if template else form).alias("form"), synonym.alias("synonym_seed"), shuffled.alias("shuffled"))
+    return scores.join(who.drop("form"), KEY), who.select(KEY, "form")
+
+
+def augment_global(scores: DataFrame, who: DataFrame, baseline: DataFrame, lexicon: Lexicon, cfg: Config, template: str | None = None, gated: bool = True) -> DataFrame:
+    """(entity_id, template, text): the general line anew from stored scores, its form, synonyms and order drawn by seed.
+
+    who: (entity_id, seed, expert); gated: the stored expert value decides about the gated dimension.  An entity without scores gets the fixed sentence.
+    """
+    rows, forms = _drawn(scores, who, template)
+    d = select.detail(rows, baseline, lexicon, cfg, F.col("synonym_seed"), who.select(KEY, "expert") if gated else None, F.col("shuffled"))
+    return render.render(d, F.col("form"), forms)
+
+
+def augment_sentences(scores: DataFrame, who: DataFrame, baseline: DataFrame, lexicon: Lexicon, cfg: Config, template: str | None = None, k: int = 3) -> DataFrame:
+    """(entity_id, cue): style cues of sentences from their stored scores, k dimensions each, none always on.  who: (entity_id, seed)."""
+    rows, forms = _drawn(scores, who, template)
+    d = select.detail(rows, baseline, lexicon, replace(cfg, k_dims=k, always_on=()), F.col("synonym_seed"), None, F.col("shuffled"))
+    return render.sentence_cue(d, F.col("form"), forms)
+
+
+def augment_script(general: tuple[DataFrame, DataFrame], sentence_scores: DataFrame, sentences: DataFrame, baseline: DataFrame, lexicon: Lexicon, cfg: Config, template: str | None = None, gated: bool = True) -> DataFrame:
+    """(clip, document): general line and script anew.
+
+    general: scores (entity_id, grp, dim, dim_ix, value) and who (entity_id, seed, expert) of the clips; sentence_scores: the same
+    of sentences, whose entity_id is a struct (clip, ix); sentences: (clip, ix, text, bursts).
+    """
+    scores, who = general
+    text = augment_global(scores, who, baseline, lexicon, cfg, template, gated).select(F.col(KEY).alias("clip"), "text")
+    seeds = sentences.join(who.select(F.col(KEY).alias("clip"), "seed"), "clip").select(F.struct("clip", "ix").alias(KEY), seeded.sentence_seed(F.col("seed"), F.col("ix")).alias("seed"))
+    cues = augment_sentences(sentence_scores, seeds, baseline, lexicon, cfg, template).select(f"{KEY}.clip", f"{KEY}.ix", "cue")
+    return document(text, rerender_lines(sentences.join(cues, ["clip", "ix"], "left")))

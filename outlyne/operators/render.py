@@ -66,12 +66,12 @@ def template_texts() -> dict[str, Column]:
 def render(detail: DataFrame, template: str | Column = "default", entities: DataFrame | None = None) -> DataFrame:
     """(entity_id, template, text).  An unknown template is the default one; an entity without any phrase gets one fixed sentence.
 
-    template may be a column of entity_id.  entities: (entity_id) of all that should appear, also those without a row in detail.
+    template may be a column of entity_id or of entities: (entity_id, ...) of all that should appear, also those without a row in detail.
     """
     g = groups(detail)
     if entities is not None:
         empty = F.array().cast("array<string>")
-        g = entities.select(KEY).join(g, KEY, "left").withColumns({c: F.coalesce(c, empty) for c in ("ordered", "ident", "timbre", "emo", "q", "tags")})
+        g = entities.join(g, KEY, "left").withColumns({c: F.coalesce(c, empty) for c in ("ordered", "ident", "timbre", "emo", "q", "tags")})
     name = F.lit(template) if isinstance(template, str) else template
     name = F.when(name.isin(list(TEMPLATES)), name).otherwise("default")
     texts = template_texts()
@@ -88,7 +88,7 @@ def sentence_cue(detail: DataFrame, template: str | Column = "tags", entities: D
     """(entity_id, cue): tags, or one sentence from the phrases, of dims and emotions only."""
     g = groups(detail.filter("part <> 'quality'"))
     if entities is not None:
-        g = entities.select(KEY).join(g, KEY, "left")
+        g = entities.join(g, KEY, "left")
     t = F.lit(template) if isinstance(template, str) else template
     tags = F.coalesce(F.nullif(F.array_join("tags", ", "), F.lit("")), F.lit("unremarkable"))
     said = F.coalesce(_part("Delivered ", F.col("ordered"), "; "), F.lit("An even, unremarkable delivery."))

@@ -148,11 +148,12 @@ def quality_words(quality: DataFrame) -> DataFrame:
     return quality.filter(_quality_shown()).withColumns(_quality_columns())
 
 
-def detail(scores: DataFrame, baseline: DataFrame, lexicon: Lexicon, cfg: Config, seed: Column | None = None, experts: DataFrame | None = None, shuffle: bool = False) -> DataFrame:
+def detail(scores: DataFrame, baseline: DataFrame, lexicon: Lexicon, cfg: Config, seed: Column | None = None, experts: DataFrame | None = None, shuffle: bool | Column = False) -> DataFrame:
     """The long form of an entity's description: (entity_id, part, pos, dim, name, value, z, direction, intensity, always_on, phrase, tag).
 
     scores: (entity_id, grp, dim, dim_ix, value) with groups trait, emotion and quality.  Parts come in the order dims, emotions, quality.
-    seed: a column of entity_id or a literal.  The exact z decides; z and value are rounded at the end.
+    seed: a column of the scores or a literal; shuffle: whether all entities are shuffled, or a column of the scores that says which.
+    The exact z decides; z and value are rounded at the end.
 
     One pass: scores meet the baseline once and are shuffled once, by entity; the gate and the ranks of all groups are windows over
     that partitioning.
@@ -175,17 +176,20 @@ def detail(scores: DataFrame, baseline: DataFrame, lexicon: Lexicon, cfg: Config
     dims["pos"] = F.when(F.col("rk") <= k, F.col("rk")).otherwise(k + _place(cfg.always_on))
     emotions["pos"] = F.col("rk")
     none = F.lit(None).cast("string")
+    moves = shuffle if isinstance(shuffle, Column) else F.lit(True) if shuffle else None
+    drawn = []
+    if moves is not None:
+        movable = F.coalesce(moves, F.lit(False)) & ~quality & ~F.col("always_on")
+        drawn = [movable.alias("mv"), F.when(trait, S.draw(seed, "dims", dim)).otherwise(S.draw(seed, "emotions", dim)).alias("drawn")]
     rows = rows.filter(shown).select(
         KEY, of([F.lit(i) for i, _ in part.values()]).alias("part_ix"), of([F.lit(n) for _, n in part.values()]).alias("part"), of([x["pos"].cast("int") for x in (dims, emotions, qual)]).alias("pos"), "dim",
-        F.coalesce("name", "dim").alias("name"), "value", "z", *(of([x.get(c, none) for x in (dims, emotions, qual)]).alias(c) for c in ("direction", "intensity")), "always_on", *(of([x[c] for x in (dims, emotions, qual)]).alias(c) for c in ("phrase", "tag")),
+        F.coalesce("name", "dim").alias("name"), "value", "z", *(of([x.get(c, none) for x in (dims, emotions, qual)]).alias(c) for c in ("direction", "intensity")), "always_on", *(of([x[c] for x in (dims, emotions, qual)]).alias(c) for c in ("phrase", "tag")), *drawn,
     )
-    if shuffle:
+    if moves is not None:
         # the movable rows of a part are dealt anew over the places that they hold
-        rows = rows.withColumn("mv", (F.col("part") != "quality") & ~F.col("always_on"))
         own = Window.partitionBy(KEY, "part", "mv")
-        order = F.when(F.col("part") == "dims", S.draw(seed, "dims", dim)).otherwise(S.draw(seed, "emotions", dim))
-        rows = rows.withColumns({"slots": F.array_sort(F.collect_list("pos").over(own)), "i": F.row_number().over(own.orderBy(order, "dim"))})
-        rows = rows.withColumn("pos", F.when(F.col("mv"), F.element_at("slots", F.col("i"))).otherwise(F.col("pos"))).drop("mv", "slots", "i")
+        rows = rows.withColumns({"slots": F.array_sort(F.collect_list("pos").over(own)), "i": F.row_number().over(own.orderBy("drawn", "dim"))})
+        rows = rows.withColumn("pos", F.when(F.col("mv"), F.element_at("slots", F.col("i"))).otherwise(F.col("pos"))).drop("mv", "drawn", "slots", "i")
     return rows.withColumns({"value": F.round("value", 3), "z": F.round("z", 2)})
 
 

@@ -471,6 +471,58 @@ def v07_rerender(spark, sf):
     return records.rerender_lines(c).join(seeds, ["clip", "ix"])
 
 
+# ---- texts from stored scores ----
+def _again(seed: str, k: int = 5, always: tuple = CFG.always_on, gated: bool = True) -> tuple[str, str]:
+    """SQL of the form and of the detail that a seed draws."""
+    shuffled = f"({T.draw(seed, 'augment-shuffle')} < 2147483648)"
+    of = lambda shuffle: T.detail(k, 3, always, gated, f"({T.draw(seed, 'augment-synonym')} % 1073741824)", shuffle)
+    return T.pick(TEMPLATES, T.draw(seed, "augment-template")), f"SELECT * FROM ({of(True)} SELECT * FROM detail) WHERE {shuffled} UNION ALL SELECT * FROM ({of(False)} SELECT * FROM detail) WHERE NOT {shuffled}"
+
+
+def _general_sql() -> str:
+    form, detail = _again("entity_id")
+    return f"WITH detail AS ({detail}),\n{T.GROUPS},\nh AS (SELECT *, {form} AS template FROM g) SELECT entity_id, template, {T.any_template('template')} AS text FROM h"
+
+
+def _cues_sql(ix: int) -> str:
+    seed = f"xor(entity_id, {(ix + 1) * seeded.SENTENCE_STEP})"
+    form, detail = _again(seed, 3, (), False)
+    phrases = "string_agg(phrase, '; ' ORDER BY part_ix, pos) AS p, string_agg(nullif(tag, ''), ', ' ORDER BY part_ix, pos) AS t"
+    return f"SELECT entity_id AS clip, {ix} AS ix, CASE WHEN {form} = 'tags' THEN coalesce(t, 'unremarkable') ELSE coalesce('Delivered ' || p || '.', 'An even, unremarkable delivery.') END AS cue FROM (SELECT entity_id, {phrases} FROM ({detail}) WHERE part <> 'quality' GROUP BY entity_id)"
+
+
+_CUES = " UNION ALL ".join(f"({_cues_sql(i)})" for i in range(2))
+
+
+def _stored(spark, sf):
+    """Scores, seeds and expert values of suppliers, and two sentences for each, which have their supplier's scores."""
+    s = _scores(spark, sf)
+    who = demo.experts(spark, sf).withColumn("seed", F.col("entity_id"))
+    said = who.select(F.col("entity_id").alias("clip"), F.explode(F.array(F.lit(0), F.lit(1))).alias("ix"))
+    said = said.withColumns({"text": F.concat(F.lit("Line "), F.col("ix").cast("string"), F.lit(".")), "bursts": F.when(F.pmod("clip", F.lit(3)) == F.col("ix"), F.array(F.lit("Sigh"), F.lit("Gasp"))).otherwise(F.array().cast("array<string>"))})
+    inner = s.withColumn("ix", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("entity_id", F.struct(F.col("entity_id").alias("clip"), "ix"))
+    return s, who, inner, said, stages.once(demo.supplier_baseline(s), "baseline")
+
+
+@query("v05_augment_global", _general_sql())
+def v05_global(spark, sf):
+    s, who, _, _, base = _stored(spark, sf)
+    return records.augment_global(s, who, base, LEXICON, CFG)
+
+
+@query("v06_augment_sentence", _CUES)
+def v06_sentences(spark, sf):
+    _, _, inner, said, base = _stored(spark, sf)
+    who = said.select(F.struct("clip", "ix").alias("entity_id"), seeded.sentence_seed(F.col("clip"), F.col("ix")).alias("seed"))
+    return records.augment_sentences(inner, who, base, LEXICON, CFG).select("entity_id.clip", "entity_id.ix", "cue")
+
+
+@query("v07_augment_script", f"WITH c AS ({_CUES}), g AS ({_general_sql()}), l AS (SELECT *, 'Line ' || ix || CASE WHEN clip % 3 = ix THEN ' (Sigh) (Gasp)' ELSE '.' END AS line FROM c) SELECT entity_id AS clip, 'GENERAL: ' || g.text || chr(10) || 'SCRIPT:' || chr(10) || string_agg('(' || cue || ') ' || line, chr(10) ORDER BY ix) AS document FROM g JOIN l ON l.clip = g.entity_id GROUP BY entity_id, g.text")
+def v07_script(spark, sf):
+    s, who, inner, said, base = _stored(spark, sf)
+    return records.augment_script((s, who), inner, said, base, LEXICON, CFG)
+
+
 # ---- heads ----
 _W = [((i * 37) % 11 - 5) / 10 for i in range(64)]
 _MU, _SD = [((i * 13) % 7 - 3) / 50 for i in range(64)], [0.5 + (i % 5) / 10 for i in range(64)]
