@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scoring import by_dim, scalar_cell
 from ..model import Config, Lexicon
 from . import render, seeded, select
 from .placement import document, labels_text, overlapping, without_stops
@@ -38,6 +39,38 @@ def sentence_seeds(lines: DataFrame) -> DataFrame:
     return lines.withColumn("sentence_seed", seeded.sentence_seed(F.col("seed"), F.col("ix")))
 
 
+_PARTS = {"dims": "trait", "emo": "emotion", "genu": "quality", "blend": "quality"}
+_CELLS = ("pos", "dim", "name", "value", "z", "direction", "intensity", "always_on", "phrase", "tag")
+
+
+def scores_of(predictions: DataFrame, baseline: DataFrame) -> DataFrame:
+    """(entity_id, grp, dim, dim_ix, value) of prediction documents (entity_id, preds), nested or flat; a cell without a number is null."""
+    rows = select.normalise_layout(predictions, baseline)
+    grp = by_dim(F.col("grp"), _PARTS)
+    dim = F.when(F.col("grp") == "genu", "genuineness").when(F.col("grp") == "blend", "blend").otherwise(F.col("dim"))
+    return rows.select(KEY, grp.alias("grp"), dim.alias("dim"), "dim_ix", scalar_cell(F.col("cell")).alias("value"))
+
+
+def detail_json(detail: DataFrame) -> DataFrame:
+    """(entity_id, json): an object with the lists dims, emotions and quality, each in order."""
+    rows = detail.groupBy(KEY).agg(F.array_sort(F.collect_list(F.struct("part_ix", *_CELLS[:2], "part", *_CELLS[2:]))).alias("r"))
+    part = lambda name: F.transform(F.filter("r", lambda x: x["part"] == name), lambda x: F.struct(*(x[c].alias(c) for c in _CELLS))).alias(name)
+    return rows.select(KEY, F.to_json(F.struct(*map(part, ("dims", "emotions", "quality")))).alias("json"))
+
+
+def caption(predictions: DataFrame, baseline: DataFrame, lexicon: Lexicon, cfg: Config, output: str = "text", seed: Column | None = None, experts: DataFrame | None = None) -> DataFrame:
+    """From prediction documents (entity_id, preds) to what is said of each: output is text (entity_id, template, text), list (entity_id,
+    phrases), or json (entity_id, json).  cfg.template names the form."""
+    d = select.detail(scores_of(predictions, baseline), baseline, lexicon, cfg, seed, experts)
+    if output == "json":
+        return detail_json(d)
+    if output == "list":
+        return render.groups(d).select(KEY, F.col("ordered").alias("phrases"))
+    if output != "text":
+        raise ValueError(output)
+    return render.render(d, cfg.template, predictions.select(KEY))
+
+
 def _drawn(scores: DataFrame, who: DataFrame, template: str | None) -> tuple[DataFrame, DataFrame]:
     """Scores with the synonym seed and shuffling of their entity, and the entities with their form."""
     form, synonym, shuffled = seeded.augment_draws(F.col("seed"))

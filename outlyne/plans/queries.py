@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scoring as S
 from ..model import BURST_PHRASES, TEMPLATES, Config
-from ..operators import evaluate, infer, placement, records, render, seeded, select, spans, stats
+from ..operators import evaluate, filters, infer, placement, records, render, seeded, select, spans, stats
 from ..sources import stages
 from . import demo, twins as T
 from .demo import CFG, EVENT_CFG, LEXICON, table
@@ -310,11 +310,27 @@ def p03_unwrap(spark, sf):
 @query("f10_json_map", "SELECT 'k' AS dim, count(*) AS n, sum((props->>'$.k')::DOUBLE) AS total FROM events WHERE event_id % 3 <> 0")
 def f10_map(spark, sf):
     broken = F.when(F.pmod("event_id", F.lit(3)) == 0, F.lit('{"k": ')).otherwise(F.col("props"))
-    m = F.from_json(broken, "map<string,double>")
-    e = table(spark, sf, "events").select(F.explode(m).alias("dim", "value")).filter("value is not null")
+    e = filters.json_cells(table(spark, sf, "events"), broken)
     return e.groupBy("dim").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 
 
+@query("f11_languages", "SELECT doc_id, lang FROM documents WHERE lower(lang) IN ('en', 'de')")
+def f11_languages(spark, sf):
+    return filters.of_languages(table(spark, sf, "documents").select("doc_id", "lang"), "lang", ("EN", "de"))
+
+
+@query("f12_key_set", "SELECT doc_id, n_chars FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
+def f12_keys(spark, sf):
+    return filters.with_keys(table(spark, sf, "documents").select("doc_id", "n_chars"), table(spark, sf, "labels").filter("quality = 1"), "doc_id")
+
+
+@query("j11_synonyms", "SELECT l AS dim, coalesce(s, '') AS synonyms FROM (SELECT DISTINCT lang AS l FROM documents WHERE lang IS NOT NULL) LEFT JOIN (SELECT lang, string_agg(DISTINCT source, ',' ORDER BY source) AS s FROM documents WHERE lang <> 'de' GROUP BY lang) ON l = lang")
+def j11_synonyms(spark, sf):
+    d = table(spark, sf, "documents").select(F.col("lang").alias("dim"), "source").filter("dim is not null")
+    words = d.filter("dim <> 'de'").groupBy("dim").agg(F.array_sort(F.collect_set("source")).alias("synonyms"))
+    return filters.with_synonyms(d.select("dim").distinct(), words).select("dim", F.array_join("synonyms", ",").alias("synonyms"))
+
+
 @query("p25_segments", """SELECT conv_id, turn, CASE WHEN ok THEN greatest(0.0, a - 0.1) ELSE 0.0 END AS a, CASE WHEN ok THEN least(30.0, b + 0.1) ELSE 30.0 END AS b FROM
 (SELECT conv_id, turn, turn * 1.5::DOUBLE AS a, CASE WHEN turn % 3 <> 2 THEN turn * 1.5::DOUBLE + (conv_id % 4) - 1 END AS b, CASE WHEN turn % 3 <> 2 THEN (conv_id % 4) - 1 > 0 ELSE false END AS ok FROM conversations)""")
 def p25_segments(spark, sf):
@@ -627,3 +643,6 @@ def ext_stream(spark, sf):
     scored = score_stream(live.select("event_id", F.col("event_type").alias("dim"), "value"), base)
     scored.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(scored.schema).parquet(f"{root}/out").select("event_id", "dim", F.round("z", 2).alias("z"), "intensity")
+
+
+from . import trips  # noqa: E402, F401  registers more

@@ -77,3 +77,31 @@ def test_agreement(spark):
     rows = spark.createDataFrame([(2, 1), (-1, -1), (0, 1), (None, 1), (1, -2)], "a int, b int")
     r = evaluate.agreement(rows, F.col("a"), F.col("b")).first()
     assert (r["n"], r["mae"], r["sign_agree"]) == (4, 1.25, 2)
+
+
+def test_one_long_clip(spark):
+    """50,000 words, 10,000 sentences and as many bursts in one clip, against numpy."""
+    import numpy as np
+
+    from outlyne.model import Config
+    from outlyne.operators import placement
+
+    rnd, cfg = np.random.default_rng(3), Config()
+    words = spark.range(50_000).selectExpr("'c' AS clip", "CAST(id AS INT) AS ix", "concat('w', id) AS w", "id * 0.5D AS start", "id * 0.5D + 0.4D AS end")
+    sent = spark.range(10_000).selectExpr("'c' AS clip", "CAST(id AS INT) AS ix", "'t' AS text", "id * 2.5D AS start", "id * 2.5D + 1.9D AS end")
+    mid = np.sort(rnd.integers(-40, 250_400, 10_000)) / 10 + 0.05
+    bursts = spark.createDataFrame([("c", i, float(m) - 0.25, float(m) + 0.25, "B") for i, m in enumerate(mid)], "clip string, b_ix long, start double, end double, label string")
+    mid = np.array([((m - 0.25) + (m + 0.25)) / 2 for m in mid])
+    placed = {r["b_ix"]: r["s_ix"] for r in placement.bursts_to_sentences(bursts, sent, cfg).collect()}
+    a = np.arange(10_000) * 2.5
+    b = a + 1.9
+    for i in rnd.integers(0, 10_000, 300).tolist():
+        m = mid[i]
+        inside = np.flatnonzero((a - cfg.slack <= m) & (m <= b + cfg.slack))
+        assert placed[i] == (inside[0] if len(inside) else int(np.argmin(np.minimum(np.abs(m - a), np.abs(m - b)))))
+    got = {r["b_ix"]: r["slot"] for r in placement.slots(placement.numbered(words, ["clip"]), bursts, ["clip"]).collect()}
+    want = np.maximum.accumulate(np.searchsorted(np.arange(50_000) * 0.5, mid))
+    assert len(placed) == len(got) == 10_000 and [got[i] for i in range(10_000)] == want.tolist()
+    assert placement.words_in_sentences(words, sent).count() == 40_000
+    hit = placement.overlapping(bursts, sent, cfg).selectExpr("sum(size(bursts))").first()[0]
+    assert hit == sum(((a - cfg.slack <= m) & (m <= b + cfg.slack)).sum() for m in mid)

@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from outlyne.functions import scoring as S
+from outlyne.plans.demo import LEXICON
 from outlyne.model import BANDS, Config, Lexicon
 from outlyne.operators import render, seeded, select, stats
 
@@ -163,3 +164,18 @@ def test_plain_baseline_is_enough(spark):
     detail = select.detail(scores, baseline, Lexicon(dims=demo.LEXICON.dims), Config())
     assert {r["part"] for r in detail.select("part").distinct().collect()} == {"dims"}
     assert render.render(detail, "identity_first").count() == 10
+
+
+def test_values_that_are_no_numbers_pass_no_threshold(spark):
+    cells = [(e, "trait", "QTY", 0, v) for e, v in enumerate((float("nan"), float("inf"), float("-inf"), None, 9.0))] + [(0, "trait", "PRICE", 1, 3.5), (0, "quality", "genuineness", 0, float("nan")), (0, "emotion", "OPEN", 0, 4.0)]
+    scores = spark.createDataFrame(cells, "entity_id long, grp string, dim string, dim_ix int, value double")
+    base = spark.createDataFrame([(g, d, 1.0, 1.0, 1.0, 1.0) for g, d in (("trait", "QTY"), ("trait", "PRICE"), ("quality", "genuineness"), ("emotion", "OPEN"))], "grp string, dim string, median double, std double, mad double, spread double")
+    got = select.detail(scores, base, Lexicon(dims=LEXICON.dims), Config(k_dims=1, always_on=())).collect()
+    assert {(r["entity_id"], r["part"], r["dim"], r["intensity"]) for r in got} == {(0, "dims", "PRICE", "Extremely"), (0, "emotions", "OPEN", "Extremely"), (4, "dims", "QTY", "Extremely")}
+
+
+def test_detail_meets_scores_once(spark):
+    scores = spark.createDataFrame([(1, "trait", "QTY", 0, 2.0)], "entity_id long, grp string, dim string, dim_ix int, value double")
+    base = spark.createDataFrame([("trait", "QTY", 1.0, 1.0, 1.0, 1.0)], "grp string, dim string, median double, std double, mad double, spread double")
+    plan = select.detail(scores, base, Lexicon(dims=LEXICON.dims), Config(), shuffle=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1 and "Union" not in plan

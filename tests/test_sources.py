@@ -48,6 +48,12 @@ def test_archives_and_audio(spark, tmp_path):
             info = tarfile.TarInfo(name)
             info.size = len(data)
             t.addfile(info, io.BytesIO(data))
+    whole = (tmp_path / "t.tar").read_bytes()
+    (tmp_path / "cut.tar").write_bytes(whole[:1100])
+    (tmp_path / "none.tar").write_bytes(b"no archive")
+    kept = {(r["archive"].rsplit("/", 1)[1], r["key"]) for r in scans.tar_members(spark, str(tmp_path / "*.tar"), ".wav").collect()}
+    assert {k for f, k in kept if f == "t.tar"} == {"a", "b", "d"}
+    assert {x for x in kept if x[0] != "t.tar"} == {("cut.tar", "a")}  # what comes before the break
     m = scans.tar_members(spark, str(tmp_path / "t.tar"), ".wav", ["a", "b"])
     got = {r["key"]: r for r in scans.decode_audio(m, "key", "content").collect()}
     assert set(got) == {"a", "b"} and len(got["a"]["samples"]) == 160 and abs(got["a"]["samples"][0] - 0.25) < 1e-6
@@ -100,3 +106,17 @@ def test_stream_windows(spark, tmp_path):
     live = score_stream(raw.withColumn("dim", F.lit("a")), base)
     windowed_deviation(live, "ts").writeStream.outputMode("complete").format("memory").queryName("win").trigger(availableNow=True).start().awaitTermination(60)
     assert [(r["n"], round(r["max_abs_z"])) for r in spark.table("win").collect()] == [(10, 8)]
+
+
+def test_heads_on_sequences(spark):
+    import math
+
+    from outlyne.operators import infer
+
+    x = np.linspace(-8, 8, 400)
+    assert np.abs(infer.erf(x) - [math.erf(v) for v in x]).max() < 1e-14
+    df = spark.createDataFrame([(1, [[1.0, 2.0], [3.0, 4.0]]), (2, None), (3, [[0.5, 0.5], [0.5, 0.5]]), (4, [[1.0, 1.0]])], "id long, v array<array<double>>")
+    conv = infer.Net([("conv", np.ones((1, 2, 1)), np.zeros(1))])
+    assert {r["id"]: r["scores"] for r in infer.run_classifier(df, "id", "v", conv).collect()} == {1: [3.0, 7.0], 2: None, 3: [1.0, 1.0], 4: [2.0]}
+    flat = infer.Net([("linear", np.array([[1.0, 1.0, 1.0, 10.0]]), np.zeros(1))])
+    assert {r["id"]: r["value"] for r in infer.run_heads(df.filter("id < 4"), "id", "v", {"h": flat}).collect()} == {1: 46.0, 2: None, 3: 6.5}
