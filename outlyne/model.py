@@ -22,7 +22,7 @@ TEMPLATES = ("default", "identity_first", "emotion_first", "telegraphic", "two_s
 BURST_PHRASES = ("punctuated by a ({b})", "with an audible ({b})", "broken by a ({b})", "carrying a ({b})", "interrupted by a ({b})", "marked by a ({b})")
 TRANSIENT = ("mouth_and_lip_sounds", "tongue_clicks", "hand_and_body_sounds")
 NOTHING = "An average, unremarkable voice."
-#: Upper bounds and phrases of the dimensions that are read as levels, and their tags.
+#: Fixed values as well: upper bounds and phrases of the dimensions that are read as levels, and their tags.
 BANDS = {
     "GEND": ((1.5, "clearly feminine and high-pitched"), (2.5, "feminine and high-pitched"), (3.5, "androgynous, gender-ambiguous in pitch"), (4.5, "masculine and deep-pitched"), (99.0, "strongly masculine, deep and low-pitched")),
     "AGEV": ((1.5, "childlike"), (2.5, "young and youthful"), (3.5, "adult"), (4.5, "middle-aged to mature"), (99.0, "elderly-sounding")),

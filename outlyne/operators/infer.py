@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: File names of two heads.
 _OWN_NAMES = {"Hope/Optimism": "Hope_Enthusiasm_Optimism", "Intoxication/Altered States": "Intoxication_Altered_States_of_Consciousness"}
 
 
