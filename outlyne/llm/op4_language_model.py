@@ -7,16 +7,23 @@ contexts that it follows.  The discounts come from the numbers of bigrams (and o
 1998).  P(w | v) = max(c(vw) - D, 0) / c(v) + g(v) P(w); P(w) is the same with the numbers of contexts over a uniform
 1 / (V + 1), which is also what an unknown word gets.  Scoring is one more pass whose workers memory-map the arrays.
 
-Order: two.  With these texts nearly every trigram is new, so a third order would store about as many entries as the corpus has tokens.
+Order: two; a third is not built.  What it would store was counted (0.5 GB of check documents, 122 million training tokens): 82 million distinct
+trigrams, 67 in 100 tokens, 86 % of them seen once, beside 45 million distinct bigrams; of held-out tokens 38 % end a trigram that was
+seen, and 69 % a bigram.  Entries of 12 bytes and context rows for every bigram would add about twice the input to a disk use of 1.9 times.
+
+Identity: words are 64-bit hashes.  Counts have 64 bits, in files of 32 where a shard's counts fit those.  A key holds two word numbers of 32
+bits; more than 2^32 distinct words raise an error.
 
 Scale: each task sums its own counts and sends them as packed, compressed sorted runs, one for each shard; shards follow
-spark.sql.shuffle.partitions, and a frequent context's shard gets one count for each task and bigram.  The driver gets one row for each shard.
-The model is in the shared folder, never broadcast; it grows with the number of distinct bigrams.  Look-ups are sorted first, so they
-read the mapped arrays in order.
+spark.sql.shuffle.partitions.  A shard adds its runs up as they come, so it holds its distinct entries, not one for each task; the bigrams of one
+context are in one shard, at most as many as there are words.  The driver gets one row for each shard.  The model is in the
+shared folder, never broadcast; it grows with the number of distinct bigrams.  Workers map it where the folder is mounted; from a store
+that is not mounted each worker process copies the files it reads to its own disk first, which a large model does not allow: mount the
+folder then.  Look-ups are sorted first, so they read the mapped arrays in order.
 
 Nulls: a null text is empty and has one token, the end.  Rows with a null id are scored and not learned from.  Repeated rows count each.
 Without training rows V and N are 0 and every token gets probability 1 / (V + 1) = 1.  An empty table gives an empty result.
-Extra columns are ignored.
+Texts of any length are read whole.  Extra columns are ignored.
 """
 
 from __future__ import annotations

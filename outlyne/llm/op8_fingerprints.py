@@ -1,16 +1,17 @@
 """Document fingerprints: bottom-k sketches of word shingle hashes, by SQL functions only.
 
 A sketch is the sorted list of the K smallest distinct 48-bit hashes of a text's five-word shingles; the word list is padded in
-front, so a text of few words has shingles too.  Sketches of parts merge into the sketch of the whole (the K smallest of
-both), and give estimates of resemblance (share of common hashes among the K smallest of both), of containment
+front, so a text of few words has shingles too.  Sketches of shingle sets merge into the sketch of their union (the K smallest of
+both; a text cut in two is not such a union, since shingles span the cut), and give estimates of resemblance (share of common hashes among the K smallest of both), of containment
 and of the number of distinct shingles (from the K-th smallest hash).  Up to K distinct shingles all three are exact.
 
 Scale: a text's sketch is computed where the text is read; no shingle is shuffled.  The `next` document of the query is found in
-ranges of ids: one shuffle by range, and each range also gets a copy of the next range's first row (4096 ranges at most).
+ranges of ids: one shuffle by range, and each range also gets a copy of the next range's first row.  Ranges hold 4000 rows each until there
+are 4096, and then grow; rows with null ids are one range, and so are rows with one id.  A range is sorted by one task, which may spill.
 
 Nulls: a null text is empty: no shingles, sketch of no hashes.  Two empty sketches have likeness 1, an empty and a filled one 0.
 Rows of equal id are ordered by text; null ids come last.  One row is its own next document.  An empty table gives an empty
-result.  Extra columns are ignored.
+result.  Texts of any length are read whole.  Extra columns are ignored.
 """
 
 from __future__ import annotations
