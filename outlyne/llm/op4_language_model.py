@@ -1,23 +1,23 @@
-"""Scoring with an interpolated modified Kneser-Ney bigram model.
+"""Scoring with an interpolated modified Kneser-Ney model of order two or three.
 
-Tokens are lower-cased words and one end of text.  Three Spark jobs count the training texts: (1) words, into sorted arrays of 64-bit
-hashes, where a word's place is its number; (2) bigrams, as sorted arrays of (context number, word number) with counts, and for
-each context its total and how many of its bigrams occur once, twice, more often; (3) for each word the number of
-contexts that it follows.  The discounts come from the numbers of bigrams (and of words) seen one to four times (Chen & Goodman,
-1998).  P(w | v) = max(c(vw) - D, 0) / c(v) + g(v) P(w); P(w) is the same with the numbers of contexts over a uniform
-1 / (V + 1), which is also what an unknown word gets.  Scoring is one more pass whose workers memory-map the arrays.
+Tokens are lower-cased words and one end of text; a start precedes the first.  Spark jobs count the training texts order by order: (1) words, into
+sorted arrays of 64-bit hashes, where a word's place is its number; (2) bigrams, sorted by context number and word number, where a bigram's
+place is its number; (3) trigrams, whose context is a bigram's number.  The highest order keeps counts; a lower one keeps with how many different
+tokens before it an entry was seen (bigrams that begin a text, which have none, keep counts).  The discounts of an order come from the numbers of
+its entries seen one to four times (Chen & Goodman, 1998).  P(w | uv) = max(c(uvw) - D, 0) / c(uv) + g(uv) P(w | v), and so on down to a uniform
+1 / (V + 1), which is also what an unknown word gets.  A context that was never seen leaves the lower order's value.  Scoring is one more pass
+whose workers memory-map the arrays.
 
-Order: two; a third is not built.  What it would store was counted (0.5 GB of check documents, 122 million training tokens): 82 million distinct
-trigrams, 67 in 100 tokens, 86 % of them seen once, beside 45 million distinct bigrams; of held-out tokens 38 % end a trigram that was
-seen, and 69 % a bigram.  With 12 bytes a trigram and 32 for each bigram's context row that is 2.4 GB more beside the 0.97 GB of order two.
+Storage: 4 bytes for each word number of an entry, one for its count (larger ones in a list of their own) and 4 for each context, which says where its
+entries end.  Sums of a context are added up when read; those of contexts with over 64 entries are stored.
 
-Identity: words are 64-bit hashes.  Counts have 64 bits, in files of 32 where a shard's counts fit those.  A key holds two word numbers of 32
-bits; more than 2^32 distinct words raise an error.
+Identity: words are 64-bit hashes.  Counts have 64 bits.  Word numbers have 32 bits; more than 2^32 distinct words raise an error, and so do more
+bigrams than fit beside a word number in 64 bits.
 
 Scale: each task sums its own counts and sends them as packed, compressed sorted runs, one for each shard; shards follow
-spark.sql.shuffle.partitions.  A shard adds its runs up as they come, so it holds its distinct entries, not one for each task; the bigrams of one
-context are in one shard, at most as many as there are words.  The driver gets one row for each shard.  The model is in the
-shared folder, never broadcast; it grows with the number of distinct bigrams.  Workers map it where the folder is mounted; from a store
+spark.sql.shuffle.partitions and are equal ranges of context numbers.  A shard adds its runs up as they come, so it holds its distinct entries, not one
+for each task; the entries of one context are in one shard, at most as many as there are words.  The driver gets one row for each shard.  The model is in the
+shared folder, never broadcast; it grows with the number of distinct entries.  Workers map it where the folder is mounted; from a store
 that is not mounted each worker process copies the files it reads to its own disk first, which a large model does not allow: mount the
 folder then.  Look-ups are sorted first, so they read the mapped arrays in order.
 
@@ -43,6 +43,8 @@ from .mapped import map_array, write_array
 
 END = np.uint64(0x0123456789ABCDEF)
 HELD = 3_000_000
+ORDER = 3
+MANY = 64  # contexts with more entries have stored sums
 
 
 def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,25 +137,61 @@ def deal(rows: DataFrame, f) -> DataFrame:
     return rows.mapInArrow(f, "shard int, keys binary, counts binary").repartition("shard").sortWithinPartitions("shard")
 
 
+def discounts(n: list[int]) -> tuple[float, float, float, float]:
+    """0 and the discounts of counts of one, two, and three or more, from the numbers of entries seen one to four times."""
+    y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.0
+    d = [k - (k + 1) * y * n[k] / n[k - 1] if n[k - 1] else 0.5 for k in (1, 2, 3)]
+    return (0.0, *(min(max(x, 0.05), k) for k, x in zip((1.0, 2.0, 3.0), d)))
+
+
+def shifted(a: np.ndarray, off: np.ndarray, first: int) -> np.ndarray:
+    """The value of the token before each; first for a row's first token."""
+    out = np.concatenate(([first], a[:-1]))
+    out[off[:-1]] = first
+    return out
+
+
+def lookup(words: np.ndarray, lo: np.ndarray, hi: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Where each w is in words[lo:hi], which ascends; -1: nowhere."""
+    at, lo, hi = np.full(len(w), -1), lo.copy(), hi.copy()
+    todo = np.flatnonzero(lo < hi)
+    while len(todo):
+        a, b = lo[todo], hi[todo]
+        mid = (a + b) >> 1
+        x, y = words[mid], w[todo]
+        at[todo[x == y]] = mid[x == y]
+        less = x < y
+        a, b = np.where(less, mid + 1, a), np.where(less, b, mid)
+        lo[todo], hi[todo] = a, b
+        todo = todo[(a < b) & (x != y)]
+    return at
+
+
 @dataclass
 class Model:
-    """Where the arrays are, and the few numbers that the driver holds."""
+    """Where the arrays are, and the few numbers that the driver holds.  Orders are keys: 1 words, 2 bigrams, 3 trigrams."""
 
     root: str
     shards: int  # a power of two
-    starts: list[int] = field(default_factory=list)  # first word number of each shard of words
+    order: int = ORDER
     total: int = 0
-    pairs: dict[int, int] = field(default_factory=dict)  # bigrams in each shard of contexts
-    wide: set[int] = field(default_factory=set)  # shards with a count of 2^32 or more
-    d2: tuple[float, ...] = (0, 0, 0, 0)
-    d1: tuple[float, ...] = (0, 0, 0, 0)
-    types: int = 0  # distinct bigrams
+    first: dict[int, list[int]] = field(default_factory=dict)  # number of the first entry of each shard, and of all
+    block: dict[int, int] = field(default_factory=dict)  # context numbers (order 1: word numbers) of a shard
+    d: dict[int, tuple[float, ...]] = field(default_factory=dict)  # discounts
+    types: int = 0  # sum of what the words keep
     rest: float = 1.0  # weight of the uniform distribution
-    block: int = 1  # word numbers in a file of context counts
 
     @property
     def size(self) -> int:
-        return self.starts[-1] if self.starts else 0
+        return self.first[1][-1] if self.first else 0
+
+    @property
+    def bits(self) -> int:
+        """Of a word number in a key; size: unknown, size + 1: start."""
+        return (self.size + 1).bit_length()
+
+    def file(self, name: str, n: int, s: int, dtype) -> np.ndarray:
+        return np.asarray(map_array(f"{self.root}/{name}{n}-{s}", dtype))
 
     def word_shard(self, h: np.ndarray) -> np.ndarray:
         return (h >> np.uint64(64 - self.shards.bit_length() + 1)).astype(np.int64) if self.shards > 1 else np.zeros(len(h), np.int64)
@@ -164,67 +202,155 @@ class Model:
         num, cnt = np.full(len(u), self.size, np.int64), np.zeros(len(u), np.int64)
         edges = np.searchsorted(self.word_shard(u), np.arange(self.shards + 1))
         for s in range(self.shards):
-            i, j, n = edges[s], edges[s + 1], self.starts[s + 1] - self.starts[s]
+            i, j, n = edges[s], edges[s + 1], self.first[1][s + 1] - self.first[1][s]
             if i == j or not n:
                 continue
-            keys = map_array(f"{self.root}/words-{s}", np.uint64)
+            keys = self.file("hashes", 1, s, np.uint64)
             p = np.minimum(np.searchsorted(keys, u[i:j]), n - 1)
             hit = keys[p] == u[i:j]
-            num[i:j][hit] = p[hit] + self.starts[s]
-            cnt[i:j][hit] = map_array(f"{self.root}/counts-{s}", np.int64)[p[hit]]
+            num[i:j][hit] = p[hit] + self.first[1][s]
+            cnt[i:j][hit] = self.file("times", 1, s, np.int64)[p[hit]]
         return num[at], cnt[at]
 
-    def keyed(self, num: np.ndarray, off: np.ndarray) -> np.ndarray:
-        """(context, word) keys; the context of a row's first token is size + 1."""
-        before = np.concatenate(([0], num[:-1]))
-        before[off[:-1]] = self.size + 1
-        return before.astype(np.uint64) << np.uint64(32) | num.astype(np.uint64)
-
-    def probability(self, keys: np.ndarray) -> np.ndarray:
-        """P(word | context) of distinct ascending keys."""
-        v, w = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        one = np.full(len(keys), self.rest / (self.size + 1))
-        if self.types:
-            known = w < self.size
-            words, back = np.unique(w[known], return_inverse=True)
-            cc = np.zeros(len(words), np.int64)
-            edges = np.searchsorted(words, np.arange(0, self.size + self.block, self.block))
-            for b, (i, j) in enumerate(zip(edges[:-1], edges[1:])):
-                if i < j:
-                    cc[i:j] = map_array(f"{self.root}/follows-{b}", np.uint32)[words[i:j] - b * self.block]
-            one[known] += (np.maximum(cc - np.array(self.d1)[np.minimum(cc, 3)], 0) / self.types)[back]
-        p = one.copy()
-        shard = v % self.shards
-        order = np.argsort(shard, kind="stable")
-        edges = np.searchsorted(shard[order], np.arange(self.shards + 1))
+    def keyed(self, context: np.ndarray, num: np.ndarray) -> np.ndarray:
+        return context.astype(np.uint64) << np.uint64(self.bits) | num.astype(np.uint64)
+
+    def parted(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Context and word numbers of keys."""
+        return (keys >> np.uint64(self.bits)).astype(np.int64), (keys & np.uint64((1 << self.bits) - 1)).astype(np.int64)
+
+    def visit(self, n: int, keys: np.ndarray) -> Iterator[tuple]:
+        """(shard, slice of the keys, contexts in the shard, begins and ends of their entries, places of the keys' entries) for ascending keys."""
+        context, w = self.parted(keys)
+        edges = np.searchsorted(context, np.arange(self.shards + 1) * self.block[n])
         for s in range(self.shards):
-            at = order[edges[s] : edges[s + 1]]
-            n = self.pairs.get(s, 0)
-            if not len(at) or not n:
+            i, j = edges[s], edges[s + 1]
+            if i == j or self.first[n][s] == self.first[n][s + 1]:
+                continue
+            local, ends = context[i:j] - s * self.block[n], self.file("ends", n, s, np.uint32)
+            lo, hi = ends[local].astype(np.int64), ends[local + 1].astype(np.int64)
+            yield s, slice(i, j), local, lo, hi, lookup(self.file("words", n, s, np.uint32), lo, hi, w[i:j])
+
+    def entries(self, n: int, keys: np.ndarray) -> np.ndarray:
+        """Numbers of the entries of ascending keys; -1: none."""
+        out = np.full(len(keys), -1)
+        for s, part, _, _, _, at in self.visit(n, keys):
+            out[part] = np.where(at < 0, -1, at + self.first[n][s])
+        return out
+
+    def last_words(self, n: int, e: np.ndarray) -> np.ndarray:
+        """Word numbers at the end of entries, for ascending numbers of entries."""
+        out, edges = np.zeros(len(e), np.int64), np.searchsorted(e, self.first[n])
+        for s, (i, j) in enumerate(zip(edges[:-1], edges[1:])):
+            if i < j:
+                out[i:j] = self.file("words", n, s, np.uint32)[e[i:j] - self.first[n][s]]
+        return out
+
+    def counts(self, n: int, s: int, at: np.ndarray) -> np.ndarray:
+        c = self.file("counts", n, s, np.uint8)[at].astype(np.int64)
+        large = np.flatnonzero(c == 255)
+        if len(large):
+            c[large] = self.file("large", n, s, np.int64)[np.searchsorted(self.file("where", n, s, np.int64), at[large])]
+        return c
+
+    def store_counts(self, n: int, s: int, ends: np.ndarray, c: np.ndarray) -> tuple[int, ...]:
+        """Writes the counts of a shard's entries; their number, and how many are one to four."""
+        c = c.astype(np.int64)
+        write_array(f"{self.root}/counts{n}-{s}", np.minimum(c, 255).astype(np.uint8))
+        at = np.flatnonzero(c >= 255)
+        write_array(f"{self.root}/where{n}-{s}", at)
+        write_array(f"{self.root}/large{n}-{s}", c[at])
+        many = np.flatnonzero(np.diff(ends.astype(np.int64)) > MANY)
+        sums = [np.concatenate(([0], np.cumsum(x, dtype=np.int64))) for x in (c, c == 1, c == 2, c > 2)]
+        write_array(f"{self.root}/sums{n}-{s}", np.column_stack([many, *(x[ends[many + 1]] - x[ends[many]] for x in sums)]))
+        return len(c), *(int((c == i).sum()) for i in (1, 2, 3, 4))
+
+    def sums(self, n: int, s: int, local: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Total, and entries with counts of one, two and more, of contexts with entries."""
+        out = np.zeros((len(local), 4), np.int64)
+        size = hi - lo
+        few, many = np.flatnonzero(size <= MANY), np.flatnonzero(size > MANY)
+        if len(few):
+            begin = np.cumsum(size[few]) - size[few]
+            c = self.counts(n, s, np.repeat(lo[few] - begin, size[few]) + np.arange(size[few].sum()))
+            out[few] = np.column_stack([np.add.reduceat(x.astype(np.int64), begin) for x in (c, c == 1, c == 2, c > 2)])
+        if len(many):
+            known = self.file("sums", n, s, np.int64).reshape(-1, 5)
+            out[many] = known[np.searchsorted(known[:, 0], local[many]), 1:]
+        return out
+
+    def step(self, n: int, context: np.ndarray, num: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Entry (-1: none) and probability of each token in order n, from its context (-1: none), word and probability in the order below."""
+        live = np.flatnonzero(context >= 0)
+        keys, one, back = np.unique(self.keyed(context[live], num[live]), return_index=True, return_inverse=True)
+        found, q, d = np.full(len(keys), -1), p[live][one], np.array(self.d[n])
+        for s, part, local, lo, hi, at in self.visit(n, keys):
+            found[part] = np.where(at < 0, -1, at + self.first[n][s])
+            seen = np.flatnonzero(lo < hi)
+            if not len(seen):
                 continue
-            about = map_array(f"{self.root}/contexts-{s}", np.int64).reshape(-1, 4)[v[at] // self.shards]
-            seen = about[:, 0] > 0
-            at, about = at[seen], about[seen]
-            have = map_array(f"{self.root}/pairs-{s}", np.uint64)
-            i = np.minimum(np.searchsorted(have, keys[at]), n - 1)
-            c = np.where(have[i] == keys[at], map_array(f"{self.root}/times-{s}", np.uint64 if s in self.wide else np.uint32)[i], 0).astype(np.int64)
-            back = about[:, 1:] @ np.array(self.d2)[1:] / about[:, 0]
-            p[at] = np.maximum(c - np.array(self.d2)[np.minimum(c, 3)], 0) / about[:, 0] + back * one[at]
-        return p
+            new = np.diff(local[seen], prepend=-1) > 0
+            each = seen[new]
+            about = self.sums(n, s, local[each], lo[each], hi[each])[np.cumsum(new) - 1]
+            c = np.zeros(len(seen), np.int64)
+            hit = np.flatnonzero(at[seen] >= 0)
+            c[hit] = self.counts(n, s, at[seen[hit]])
+            q[part.start + seen] = (np.maximum(c - d[np.minimum(c, 3)], 0) + about[:, 1:] @ d[1:] * q[part.start + seen]) / about[:, 0]
+        entry, out = np.full(len(num), -1), p.copy()
+        entry[live], out[live] = found[back], q[back]
+        return entry, out
 
+    def probability(self, num: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Of each token of rows that begin at off."""
+        p = np.full(len(num), self.rest / (self.size + 1))
+        if not self.types:
+            return p
+        known = num < self.size
+        words, back = np.unique(num[known], return_inverse=True)
+        c = np.zeros(len(words), np.int64)
+        edges = np.searchsorted(words, np.arange(self.shards + 1) * self.block[1])
+        for s, (i, j) in enumerate(zip(edges[:-1], edges[1:])):
+            if i < j:
+                c[i:j] = self.file("follows", 1, s, np.uint32)[words[i:j] - s * self.block[1]]
+        p[known] += (np.maximum(c - np.array(self.d[1])[np.minimum(c, 3)], 0) / self.types)[back]
+        entry, p = self.step(2, shifted(num, off, self.size + 1), num, p)
+        return p if self.order == 2 else self.step(3, shifted(entry, off, -1), num, p)[1]
+
+
+_TOLD = ["n", "n1", "n2", "n3", "n4"]
+_STORED = "shard int, keys binary, counts binary, " + ", ".join(f"{x} long" for x in _TOLD)
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([*b.columns, *[pa.nulls(len(b), pa.int64())] * len(_TOLD)], names=[*_PACKED.names, *_TOLD])
+
+
+def _told(rows: list[tuple[int, ...]]) -> Iterator[pa.RecordBatch]:
+    if rows:
+        c = list(zip(*rows))
+        yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int32()), *[pa.nulls(len(rows), pa.binary())] * 2, *[pa.array(x, pa.int64()) for x in c[1:]]], names=[*_PACKED.names, *_TOLD])
+
+
+def _split(stored: DataFrame) -> tuple[DataFrame, dict[int, tuple[int, ...]]]:
+    """The packed runs of a stage, and what each shard tells of itself."""
+    told = stored.filter("n is not null").select("shard", *_TOLD).collect()
+    return stored.filter("n is null").select("shard", "keys", "counts"), {r["shard"]: tuple(r)[1:] for r in told}
 
-def discounts(n: list[int]) -> tuple[float, float, float, float]:
-    """0 and the discounts of counts of one, two, and three or more, from the numbers of entries seen one to four times."""
-    y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.0
-    d = [k - (k + 1) * y * n[k] / n[k - 1] if n[k - 1] else 0.5 for k in (1, 2, 3)]
-    return (0.0, *(min(max(x, 0.05), k) for k, x in zip((1.0, 2.0, 3.0), d)))
 
+def _by_counts(told: dict[int, tuple[int, ...]]) -> list[int]:
+    return [sum(t[i] for t in told.values()) for i in (1, 2, 3, 4)]
 
-def train(ws: Workspace, rows: DataFrame) -> Model:
+
+def train(ws: Workspace, rows: DataFrame, order: int = ORDER) -> Model:
     """A model of the texts of rows (text)."""
-    spark = ws.spark
-    shards = 1 << max(2, (2 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length())
-    m = Model(f"{ws.root}/model", shards)
+    if order not in (2, 3):
+        raise ValueError(f"order {order}: two and three are supported")
+    shards = 1 << max(2, int(ws.spark.conf.get("spark.sql.shuffle.partitions")).bit_length())
+    m = Model(f"{ws.root}/model", shards, order)
+
+    def starts(sizes: dict[int, int]) -> list[int]:
+        return [0, *np.cumsum([sizes.get(s, 0) for s in range(shards)]).tolist()]
 
     def words(batches):
         tally = Tally(m.word_shard)
@@ -235,68 +361,102 @@ def train(ws: Workspace, rows: DataFrame) -> Model:
 
     def store_words(batches):
         for s, k, c in by_shard(batches):
-            write_array(f"{m.root}/words-{s}", k)
-            write_array(f"{m.root}/counts-{s}", c.astype(np.int64))
+            write_array(f"{m.root}/hashes1-{s}", k)
+            write_array(f"{m.root}/times1-{s}", c.astype(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([len(k)], pa.int64()), pa.array([int(c.sum())], pa.int64())], names=["shard", "n", "total"])
 
     found = {r["shard"]: r for r in ws.put("words", deal(rows, words).mapInArrow(store_words, "shard int, n long, total long")).collect()}
-    m.starts = [0, *np.cumsum([found[s]["n"] if s in found else 0 for s in range(shards)]).tolist()]
+    m.first[1] = starts({s: r["n"] for s, r in found.items()})
     m.total = sum(r["total"] for r in found.values())
     if not m.size:
         return m
     if m.size + 2 > 1 << 32:
-        raise ValueError(f"{m.size} distinct words do not fit the 32 bits that a key has for each")
-    m.block = -(-m.size // shards)
-
-    def pairs(batches):
-        tally = Tally(lambda k: ((k >> np.uint64(32)) % np.uint64(shards)).astype(np.int32))
-        for batch in batches:
-            for _, _, data, off in textkit.chunks(batch.column("text")):
-                h, at = tokens(data, off)
-                yield from tally.add(m.keyed(m.numbers(h)[0], at))
-        yield from tally.take()
-
-    def store_pairs(batches):
-        tally, seen = Tally(lambda k: (k // np.uint64(m.block)).astype(np.int32)), []
-        names = ["shard", "keys", "counts", "n", "n1", "n2", "n3", "n4", "top"]
+        raise ValueError(f"{m.size} distinct words do not fit 32 bits")
+
+    def count(n: int, contexts: int) -> DataFrame:
+        """Stores the entries of order n; gives runs for the counts of the order below, and of this order for those that begin a text."""
+        if contexts.bit_length() + m.bits > 64:
+            raise ValueError(f"{contexts} contexts and {m.size} words do not fit 64 bits")
+        m.block[n] = block = -(-contexts // shards)
+
+        def grams(batches):
+            tally = Tally(lambda k: (m.parted(k)[0] // block).astype(np.int32))
+            for batch in batches:
+                for _, _, data, off in textkit.chunks(batch.column("text")):
+                    h, at = tokens(data, off)
+                    num = m.numbers(h)[0]
+                    context = shifted(num, at, m.size + 1)
+                    if n == 3:
+                        keys, back = np.unique(m.keyed(context, num), return_inverse=True)
+                        context = shifted(m.entries(2, keys)[back], at, -1)
+                    live = context >= 0
+                    yield from tally.add(m.keyed(context[live], num[live]))
+            yield from tally.take()
+
+        def store(batches):
+            below = Tally(lambda k: ((k if n == 2 else m.parted(k)[0]) // m.block[n - 1]).astype(np.int32))
+            told = []
+            for s, k, c in by_shard(batches):
+                if len(k) >> 32:
+                    raise ValueError("a shard has 2^32 entries: raise spark.sql.shuffle.partitions")
+                context, w = m.parted(k)
+                ends = np.concatenate(([0], np.cumsum(np.bincount(context - s * block, minlength=block)))).astype(np.uint32)
+                write_array(f"{m.root}/ends{n}-{s}", ends)
+                write_array(f"{m.root}/words{n}-{s}", w.astype(np.uint32))
+                told.append((s, *(m.store_counts(n, s, ends, c) if n == order else (len(k), 0, 0, 0, 0))))
+                if n == 2:
+                    yield from _runs(below.add(w.astype(np.uint64))) if order == 2 else ()
+                    begins = context == m.size + 1
+                    if order == 3 and begins.any():
+                        yield from _runs([packed_rows(k[begins], c[begins], np.full(begins.sum(), s))])
+                else:
+                    each, back = np.unique(context, return_inverse=True)
+                    yield from _runs(below.add(m.keyed(m.last_words(2, each)[back], w)))
+            yield from _runs(below.take())
+            yield from _told(told)
+
+        runs, told = _split(ws.put(f"grams{n}", deal(rows, grams).mapInArrow(store, _STORED)))
+        m.first[n] = starts({s: t[0] for s, t in told.items()})
+        if n == order:
+            m.d[n] = discounts(_by_counts(told))
+        return runs
+
+    def store_middle(batches):
+        below, told = Tally(lambda k: (k // m.block[1]).astype(np.int32)), []
         for s, k, c in by_shard(batches):
-            write_array(f"{m.root}/pairs-{s}", k)
-            top = int(c.max())
-            write_array(f"{m.root}/times-{s}", c if top >> 32 else c.astype(np.uint32))
-            v = (k >> np.uint64(32)).astype(np.int64) // shards
-            about = np.zeros(((m.size + 1) // shards + 1, 4), np.int64)
-            for i in range(4):
-                part = c if i == 0 else (c == i if i < 3 else c > 2)
-                np.add.at(about[:, i], v, part.astype(np.int64))
-            write_array(f"{m.root}/contexts-{s}", about)
-            seen.append((s, len(k), *(int((c == i).sum()) for i in (1, 2, 3, 4)), top))
-            yield from (pa.RecordBatch.from_arrays([*b.columns, *[pa.nulls(len(b), pa.int64())] * 6], names=names) for b in tally.add(k & np.uint64(0xFFFFFFFF)))
-        yield from (pa.RecordBatch.from_arrays([*b.columns, *[pa.nulls(len(b), pa.int64())] * 6], names=names) for b in tally.take())
-        if seen:
-            c = list(zip(*seen))
-            yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int32()), pa.nulls(len(seen), pa.binary()), pa.nulls(len(seen), pa.binary()), *[pa.array(x, pa.int64()) for x in c[1:]]], names=names)
-
-    out = ws.put("follows", deal(rows, pairs).mapInArrow(store_pairs, "shard int, keys binary, counts binary, n long, n1 long, n2 long, n3 long, n4 long, top long"))
-    seen = out.filter("n is not null").drop("keys", "counts").collect()
-    m.pairs, m.wide = {r["shard"]: r["n"] for r in seen}, {r["shard"] for r in seen if r["top"] >> 32}
-    m.types = sum(m.pairs.values())
-    m.d2 = discounts([sum(r[f"n{i}"] for r in seen) for i in (1, 2, 3, 4)])
+            ends, w = m.file("ends", 2, s, np.uint32), m.file("words", 2, s, np.uint32)
+            have = m.keyed(np.repeat(np.arange(m.block[2]), np.diff(ends.astype(np.int64))) + s * m.block[2], w)
+            kept = np.zeros(len(have), np.int64)
+            kept[np.searchsorted(have, k)] = c
+            told.append((s, *m.store_counts(2, s, ends, kept)))
+            yield from _runs(below.add(w.astype(np.uint64)))
+        yield from _runs(below.take())
+        yield from _told(told)
 
     def store_follows(batches):
-        for b, k, c in by_shard(batches):
-            a = np.zeros(m.block, np.uint32)
-            a[k.astype(np.int64) - b * m.block] = c
-            write_array(f"{m.root}/follows-{b}", a)
-            n = [int((c == i).sum()) for i in (1, 2, 3, 4)]
-            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), *[pa.array([x], pa.int64()) for x in (*n, len(c))]], names=["shard", "n1", "n2", "n3", "n4", "n"])
-
-    runs = out.filter("n is null").select("shard", "keys", "counts").repartition("shard").sortWithinPartitions("shard")
-    seen = ws.put("followed", runs.mapInArrow(store_follows, "shard int, n1 long, n2 long, n3 long, n4 long, n long")).collect()
-    n = [sum(r[f"n{i}"] for r in seen) for i in (1, 2, 3, 4)]
-    m.d1 = discounts(n)
-    more = sum(r["n"] for r in seen) - n[0] - n[1]
-    m.rest = (m.d1[1] * n[0] + m.d1[2] * n[1] + m.d1[3] * more) / m.types
-    ws.drop("follows")
+        for s, k, c in by_shard(batches):
+            a = np.zeros(m.block[1], np.uint32)
+            a[k.astype(np.int64) - s * m.block[1]] = c
+            write_array(f"{m.root}/follows1-{s}", a)
+            yield from _told([(s, len(c), *(int((c == i).sum()) for i in (1, 2, 3, 4)))])
+
+    def dealt(runs: DataFrame) -> DataFrame:
+        return runs.repartition("shard").sortWithinPartitions("shard")
+
+    m.block[1] = -(-m.size // shards)
+    runs = count(2, m.size + 2)
+    if order == 3:
+        runs = runs.unionByName(count(3, m.first[2][-1]))
+        runs, told = _split(ws.put("middle", dealt(runs).mapInArrow(store_middle, _STORED)))
+        m.d[2] = discounts(_by_counts(told))
+        ws.drop("grams2", "grams3")
+    told = _split(ws.put("follows", dealt(runs).mapInArrow(store_follows, _STORED)))[1]
+    m.types = m.first[2][-1]
+    n = _by_counts(told)
+    m.d[1] = discounts(n)
+    more = sum(t[0] for t in told.values()) - n[0] - n[1]
+    m.rest = (m.d[1][1] * n[0] + m.d[1][2] * n[1] + m.d[1][3] * more) / m.types
+    ws.drop("words", "grams2", "middle", "follows")
     return m
 
 
@@ -310,8 +470,7 @@ def evaluate(rows: DataFrame, m: Model) -> DataFrame:
                 h, at = tokens(data, off)
                 num, cnt = m.numbers(h) if size else (np.zeros(len(h), np.int64), np.zeros(len(h), np.int64))
                 base = np.log10((cnt + 0.1) / (total + 0.1 * (size + 1)))
-                keys, back = np.unique(m.keyed(num, at), return_inverse=True)
-                p = np.log10(m.probability(keys))[back] if size else np.zeros(len(h))
+                p = np.log10(m.probability(num, at)) if size else np.zeros(len(h))
                 cut = at[:-1]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(a, b - a), batch.column("held_out").slice(a, b - a), pa.array(np.diff(at)), pa.array(np.add.reduceat((cnt > 0).astype(np.int64), cut)), pa.array(np.full(b - a, total)), pa.array(np.add.reduceat(base, cut)), pa.array(np.add.reduceat(p, cut))],
@@ -321,13 +480,13 @@ def evaluate(rows: DataFrame, m: Model) -> DataFrame:
     return rows.select("doc_id", "held_out", "text").mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def score(docs: DataFrame) -> DataFrame:
+def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """Learns from the rows of docs (doc_id, text) that are not held out and scores all."""
     ws = Workspace(docs.sparkSession, "lm")
     held = F.coalesce(id_crc(F.col("doc_id")) % 10 == 0, F.lit(False))
     rows = docs.select("doc_id", "text", held.alias("held_out"))
     with arrow_rows(docs.sparkSession):
-        model = train(ws, rows.filter("doc_id is not null and not held_out").select("text"))
+        model = train(ws, rows.filter("doc_id is not null and not held_out").select("text"), order)
         out = ws.put("scores", evaluate(rows, model), narrow=True)
     ws.drop("model")
     return out.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

@@ -262,44 +262,60 @@ def test_op3_placement(spark, odd, none):
 
 
 # 4
-def kneser_ney(docs):
+def kneser_ney(docs, order):
     tok = {d: words(t) + ["</s>"] for d, t in docs}
-    train = [d for d in tok if zlib.crc32(str(d).encode()) % 10]
-    one, two = collections.Counter(), collections.Counter()
+    train = {d for d in tok if zlib.crc32(str(d).encode()) % 10}
+    one, raw, three = collections.Counter(), collections.Counter(), collections.Counter()
     for d in train:
+        t = ["<s>", *tok[d]]
         one.update(tok[d])
-        two.update(zip(["<s>"] + tok[d], tok[d]))
+        raw.update(zip(t, t[1:]))
+        three.update(zip(t, t[1:], t[2:]))
     size, total = len(one), sum(one.values())
+    before = collections.Counter((v, w) for _, v, w in three)
+    two = raw if order == 2 else {vw: before[vw] or c for vw, c in raw.items()}
     disc = lambda v: op4_language_model.discounts([sum(1 for x in v if x == i) for i in (1, 2, 3, 4)])
     follows = collections.Counter(w for _, w in two)
-    d2, d1, kinds = disc(list(two.values())), disc(list(follows.values())), len(two)
+    d1, kinds = disc(list(follows.values())), len(two)
     rest = sum(d1[min(c, 3)] for c in follows.values()) / kinds
-    n, g = collections.Counter(), collections.Counter()
-    for (v, _), c in two.items():
-        n[v] += c
-        g[v] += d2[min(c, 3)]
 
-    def p(v, w):
-        base = max(follows[w] - d1[min(follows[w], 3)], 0) / kinds + rest / (size + 1)
-        return base if not n[v] else max(two[v, w] - d2[min(two[v, w], 3)], 0) / n[v] + g[v] / n[v] * base
+    def level(grams):
+        d, n, g = disc(list(grams.values())), collections.Counter(), collections.Counter()
+        for gram, c in grams.items():
+            n[gram[:-1]] += c
+            g[gram[:-1]] += d[min(c, 3)]
+        return grams, d, n, g
+
+    levels = [level(two)] + [level(three)] * (order == 3)
+
+    def p(*gram):
+        x = max(follows[gram[-1]] - d1[min(follows[gram[-1]], 3)], 0) / kinds + rest / (size + 1)
+        for k, (grams, d, n, g) in enumerate(levels, 2):
+            part = gram[-k:]
+            if len(part) == k and n[part[:-1]]:
+                c = grams.get(part, 0)
+                x = (max(c - d[min(c, 3)], 0) + g[part[:-1]] * x) / n[part[:-1]]
+        return x
 
     out = {}
     for d, t in tok.items():
-        out[d] = (d not in set(train), len(t), sum(w in one for w in t), total, sum(math.log10((one[w] + 0.1) / (total + 0.1 * (size + 1))) for w in t), sum(math.log10(p(v, w)) for v, w in zip(["<s>"] + t, t)))
+        s = ["<s>", *t]
+        out[d] = (d not in train, len(t), sum(w in one for w in t), total, sum(math.log10((one[w] + 0.1) / (total + 0.1 * (size + 1))) for w in t), sum(math.log10(p(*s[max(0, i - 2) : i + 1])) for i in range(1, len(s))))
     return out, p, one
 
 
-def test_op4_against_plain_model(spark, odd):
+@pytest.mark.parametrize("order", [2, 3])
+def test_op4_against_plain_model(spark, odd, order):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()] + [(10_000 + r["doc_id"], r["text"]) for r in odd.collect()]
-    want, p, one = kneser_ney(docs)
-    got = op4_language_model.score(frame(spark, [(d, t, None, None) for d, t in docs])).collect()
+    want, p, one = kneser_ney(docs, order)
+    got = op4_language_model.score(frame(spark, [(d, t, None, None) for d, t in docs]), order).collect()
     assert len(got) == len(docs)
     for r in got:
         w = want[r["doc_id"]]
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == w[:4]
         assert r["base_score"] == pytest.approx(w[4], rel=1e-9) and r["score"] == pytest.approx(w[5], rel=1e-9)
     v = next(iter(one))
-    assert sum(p(v, w) for w in one) + p(v, "never seen") == pytest.approx(1.0)
+    assert sum(p("<s>", v, w) for w in one) + p("<s>", v, "never seen") == pytest.approx(1.0)
     held = [r for r in got if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
@@ -326,12 +342,32 @@ def test_op4_large_counts_and_runs(spark, monkeypatch, tmp_path):
         parts.append(op4_language_model.packed_rows(k, c, np.zeros(len(k), np.int32)))
     (shard, k, c), = op4_language_model.by_shard(iter(parts))
     assert shard == 0 and dict(zip(k.tolist(), c.tolist())) == want and max(want.values()) >> 32
-    m = op4_language_model.Model(str(tmp_path), 1, [0, 2], 9, {0: 2}, {0}, (0, 0.5, 0.5, 0.5), (0, 0.5, 0.5, 0.5), 2, 0.5, 2)
-    op4_language_model.write_array(f"{tmp_path}/pairs-0", np.array([0, 1], np.uint64))
-    op4_language_model.write_array(f"{tmp_path}/times-0", np.array([3 << 32, 1 << 32], np.uint64))
-    op4_language_model.write_array(f"{tmp_path}/contexts-0", np.array([[4 << 32, 0, 0, 2]] * 3, np.int64))
-    op4_language_model.write_array(f"{tmp_path}/follows-0", np.array([1, 1], np.uint32))
-    assert m.probability(np.array([0, 1], np.uint64)) == pytest.approx([0.75, 0.25])
+    m = op4_language_model.Model(str(tmp_path), 1, 2, 9, {1: [0, 2], 2: [0, 2]}, {1: 2, 2: 4}, {1: (0, 0.5, 0.5, 0.5), 2: (0, 0.5, 0.5, 0.5)}, 2, 0.5)
+    ends = np.array([0, 2, 2, 2, 2], np.uint32)
+    op4_language_model.write_array(f"{tmp_path}/ends2-0", ends)
+    op4_language_model.write_array(f"{tmp_path}/words2-0", np.array([0, 1], np.uint32))
+    op4_language_model.write_array(f"{tmp_path}/follows1-0", np.array([1, 1], np.uint32))
+    assert m.store_counts(2, 0, ends, np.array([3 << 32, 1 << 32], np.uint64)) == (2, 0, 0, 0, 0)
+    assert m.probability(np.array([0, 0, 0, 1]), np.array([0, 2, 4]))[1::2] == pytest.approx([0.75, 0.25])
+
+
+def test_op4_contexts_with_many_entries(tmp_path):
+    """Sums of a context are the same whether stored or added up when read, and entries are found in both."""
+    rnd, m = np.random.default_rng(5), op4_language_model.Model(str(tmp_path), 1)
+    sizes = np.array([0, 1, 64, 65, 3000, 0, 7])
+    ends, c = np.concatenate(([0], np.cumsum(sizes))).astype(np.uint32), rnd.zipf(1.3, sizes.sum()).clip(1, 10**6)
+    m.store_counts(3, 0, ends, c)
+    local = np.flatnonzero(sizes)
+    got = m.sums(3, 0, local, ends[local].astype(np.int64), ends[local + 1].astype(np.int64))
+    for x, i in zip(got, local):
+        part = c[ends[i] : ends[i + 1]]
+        assert x.tolist() == [part.sum(), (part == 1).sum(), (part == 2).sum(), (part > 2).sum()]
+    assert (m.counts(3, 0, np.arange(len(c))) == c).all()
+    w = np.concatenate([np.sort(rnd.choice(9000, n, False)) for n in sizes])
+    lo, hi = (ends[i : i + 7].astype(np.int64).repeat(50) for i in (0, 1))
+    ask = rnd.integers(0, 9000, 350)
+    want = [next((j for j in range(a, b) if w[j] == x), -1) for a, b, x in zip(lo, hi, ask)]
+    assert op4_language_model.lookup(w, lo, hi, ask).tolist() == want
 
 
 def test_op4_packing():
