@@ -15,21 +15,38 @@ def _local(uri: str) -> str | None:
     return uri if uri.startswith("/") else "/" + uri.split(":", 1)[1].lstrip("/") if uri.startswith("file:") else None
 
 
+class Growing:
+    """An array that is written piece by piece, under another name until close(), so that a repeated task leaves one whole file."""
+
+    def __init__(self, uri: str):
+        self.uri, self.tmp = uri, f"{uri}.{uuid.uuid4().hex}"
+        path = _local(self.tmp)
+        if path:
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            self.store, self.out = None, open(path, "wb")
+        else:
+            from pyarrow import fs
+
+            self.store, at = fs.FileSystem.from_uri(self.tmp)
+            self.store.create_dir(os.path.dirname(at))
+            self.out = self.store.open_output_stream(at)
+
+    def add(self, a: np.ndarray) -> None:
+        if a.size:
+            self.out.write(np.ascontiguousarray(a).data)
+
+    def close(self) -> None:
+        self.out.close()
+        if self.store is None:
+            os.replace(_local(self.tmp), _local(self.uri))
+        else:
+            self.store.move(*(self.store.from_uri(u)[1] for u in (self.tmp, self.uri)))
+
+
 def write_array(uri: str, a: np.ndarray) -> None:
-    """Writes under another name first, so that a repeated task leaves one whole file."""
-    tmp, path = f"{uri}.{uuid.uuid4().hex}", _local(uri)
-    if path:
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        a.tofile(_local(tmp))
-        os.replace(_local(tmp), path)
-        return
-    from pyarrow import fs
-
-    store, at = fs.FileSystem.from_uri(tmp)
-    store.create_dir(os.path.dirname(at))
-    with store.open_output_stream(at) as f:
-        f.write(np.ascontiguousarray(a).data)
-    store.move(at, fs.FileSystem.from_uri(uri)[1])
+    out = Growing(uri)
+    out.add(a)
+    out.close()
 
 
 def map_array(uri: str, dtype) -> np.ndarray:

@@ -15,8 +15,9 @@ Identity: words are 64-bit hashes.  Counts have 64 bits.  Word numbers have 32 b
 bigrams than fit beside a word number in 64 bits.
 
 Scale: each task sums its own counts and sends them as packed, compressed sorted runs, one for each shard; shards follow
-spark.sql.shuffle.partitions and are equal ranges of context numbers.  A shard adds its runs up as they come, so it holds its distinct entries, not one
-for each task; the entries of one context are in one shard, at most as many as there are words.  The driver gets one row for each shard.  The model is in the
+spark.sql.shuffle.partitions and are equal ranges of context numbers.  A shard is added up and written in pieces, ranges of contexts that hold PIECE
+training tokens on average whatever the input, so a task holds the distinct entries of a piece, not one for each task that saw them; the entries of one
+context are in one piece, at most as many as there are words.  The driver gets one row for each shard.  The model is in the
 shared folder, never broadcast; it grows with the number of distinct entries.  Workers map it where the folder is mounted; from a store
 that is not mounted each worker process copies the files it reads to its own disk first, which a large model does not allow: mount the
 folder then.  Look-ups are sorted first, so they read the mapped arrays in order.
@@ -28,6 +29,7 @@ Texts of any length are read whole.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -39,11 +41,12 @@ from pyspark.sql import functions as F
 
 from . import textkit
 from .common import Workspace, arrow_rows, id_crc, table
-from .mapped import map_array, write_array
+from .mapped import Growing, map_array, write_array
 
 END = np.uint64(0x0123456789ABCDEF)
 HELD = 3_000_000
 ORDER = 3
+PIECE = 2_000_000  # training tokens whose entries a task adds up at a time, on average
 MANY = 64  # contexts with more entries have stored sums
 
 
@@ -132,9 +135,9 @@ def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarra
         yield (now, *merged())
 
 
-def deal(rows: DataFrame, f) -> DataFrame:
-    """Rows of packed runs from mapInArrow(f), one shard after another."""
-    return rows.mapInArrow(f, "shard int, keys binary, counts binary").repartition("shard").sortWithinPartitions("shard")
+def deal(runs: DataFrame, pieces: int = 1) -> DataFrame:
+    """Packed runs, one shard after another; so many pieces, numbered in their column shard, make a shard."""
+    return runs.repartition(F.expr(f"shard div {pieces}")).sortWithinPartitions("shard")
 
 
 def discounts(n: list[int]) -> tuple[float, float, float, float]:
@@ -177,6 +180,7 @@ class Model:
     total: int = 0
     first: dict[int, list[int]] = field(default_factory=dict)  # number of the first entry of each shard, and of all
     block: dict[int, int] = field(default_factory=dict)  # context numbers (order 1: word numbers) of a shard
+    piece: dict[int, int] = field(default_factory=dict)  # context numbers of a piece
     d: dict[int, tuple[float, ...]] = field(default_factory=dict)  # discounts
     types: int = 0  # sum of what the words keep
     rest: float = 1.0  # weight of the uniform distribution
@@ -253,18 +257,6 @@ class Model:
             c[large] = self.file("large", n, s, np.int64)[np.searchsorted(self.file("where", n, s, np.int64), at[large])]
         return c
 
-    def store_counts(self, n: int, s: int, ends: np.ndarray, c: np.ndarray) -> tuple[int, ...]:
-        """Writes the counts of a shard's entries; their number, and how many are one to four."""
-        c = c.astype(np.int64)
-        write_array(f"{self.root}/counts{n}-{s}", np.minimum(c, 255).astype(np.uint8))
-        at = np.flatnonzero(c >= 255)
-        write_array(f"{self.root}/where{n}-{s}", at)
-        write_array(f"{self.root}/large{n}-{s}", c[at])
-        many = np.flatnonzero(np.diff(ends.astype(np.int64)) > MANY)
-        sums = [np.concatenate(([0], np.cumsum(x, dtype=np.int64))) for x in (c, c == 1, c == 2, c > 2)]
-        write_array(f"{self.root}/sums{n}-{s}", np.column_stack([many, *(x[ends[many + 1]] - x[ends[many]] for x in sums)]))
-        return len(c), *(int((c == i).sum()) for i in (1, 2, 3, 4))
-
     def sums(self, n: int, s: int, local: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """Total, and entries with counts of one, two and more, of contexts with entries."""
         out = np.zeros((len(local), 4), np.int64)
@@ -317,8 +309,54 @@ class Model:
         return p if self.order == 2 else self.step(3, shifted(entry, off, -1), num, p)[1]
 
 
+class Stored:
+    """The files of one shard of an order, written piece by piece in the order of contexts; contexts are numbered in the shard."""
+
+    def __init__(self, m: Model, n: int, s: int):
+        self.m, self.n, self.s, self.open = m, n, s, {}
+        self.contexts = self.size = self.counted = 0
+        self.told = np.zeros(4, np.int64)
+
+    def put(self, name: str, a: np.ndarray) -> None:
+        if name not in self.open:
+            self.open[name] = Growing(f"{self.m.root}/{name}{self.n}-{self.s}")
+        self.open[name].add(a)
+
+    def entries(self, context: np.ndarray, w: np.ndarray) -> None:
+        """Entries in the order of context and word."""
+        if (self.size + len(w)) >> 32:
+            raise ValueError("a shard has 2^32 entries: raise spark.sql.shuffle.partitions")
+        if not self.contexts:
+            self.put("ends", np.zeros(1, np.uint32))
+        self.put("ends", (self.size + np.cumsum(np.bincount(context - self.contexts))).astype(np.uint32))
+        self.put("words", w.astype(np.uint32))
+        self.contexts, self.size = int(context[-1]) + 1, self.size + len(w)
+
+    def counts(self, context: np.ndarray, c: np.ndarray) -> None:
+        """Their counts."""
+        c = c.astype(np.int64)
+        self.put("counts", np.minimum(c, 255).astype(np.uint8))
+        at = np.flatnonzero(c >= 255)
+        self.put("where", at + self.counted)
+        self.put("large", c[at])
+        begin = np.flatnonzero(np.diff(context, prepend=-1))
+        many = np.diff(np.append(begin, len(c))) > MANY
+        self.put("sums", np.column_stack([context[begin], *(np.add.reduceat(x.astype(np.int64), begin) for x in (c, c == 1, c == 2, c > 2))])[many])
+        self.counted += len(c)
+        self.told += [(c == i).sum() for i in (1, 2, 3, 4)]
+
+    def close(self) -> tuple[int, ...]:
+        """Shard, entries, and how many counts are one to four."""
+        if self.contexts:
+            self.put("ends", np.full(self.m.block[self.n] - self.contexts, self.size, np.uint32))
+        for f in self.open.values():
+            f.close()
+        return self.s, max(self.size, self.counted), *self.told.tolist()
+
+
 _TOLD = ["n", "n1", "n2", "n3", "n4"]
-_STORED = "shard int, keys binary, counts binary, " + ", ".join(f"{x} long" for x in _TOLD)
+_RUN = "shard int, keys binary, counts binary"
+_STORED = f"{_RUN}, " + ", ".join(f"{x} long" for x in _TOLD)
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -365,7 +403,7 @@ def train(ws: Workspace, rows: DataFrame, order: int = ORDER) -> Model:
             write_array(f"{m.root}/times1-{s}", c.astype(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([len(k)], pa.int64()), pa.array([int(c.sum())], pa.int64())], names=["shard", "n", "total"])
 
-    found = {r["shard"]: r for r in ws.put("words", deal(rows, words).mapInArrow(store_words, "shard int, n long, total long")).collect()}
+    found = {r["shard"]: r for r in ws.put("words", deal(rows.mapInArrow(words, _RUN)).mapInArrow(store_words, "shard int, n long, total long")).collect()}
     m.first[1] = starts({s: r["n"] for s, r in found.items()})
     m.total = sum(r["total"] for r in found.values())
     if not m.size:
@@ -373,14 +411,18 @@ def train(ws: Workspace, rows: DataFrame, order: int = ORDER) -> Model:
     if m.size + 2 > 1 << 32:
         raise ValueError(f"{m.size} distinct words do not fit 32 bits")
 
+    pieces: dict[int, int] = {}  # of a shard
+
     def count(n: int, contexts: int) -> DataFrame:
         """Stores the entries of order n; gives runs for the counts of the order below, and of this order for those that begin a text."""
         if contexts.bit_length() + m.bits > 64:
             raise ValueError(f"{contexts} contexts and {m.size} words do not fit 64 bits")
-        m.block[n] = block = -(-contexts // shards)
+        pieces[n] = -(-m.total // (shards * PIECE))
+        m.piece[n] = piece = -(-contexts // (shards * pieces[n]))
+        m.block[n] = block = piece * pieces[n]
 
         def grams(batches):
-            tally = Tally(lambda k: (m.parted(k)[0] // block).astype(np.int32))
+            tally = Tally(lambda k: (m.parted(k)[0] // piece).astype(np.int32))
             for batch in batches:
                 for _, _, data, off in textkit.chunks(batch.column("text")):
                     h, at = tokens(data, off)
@@ -394,42 +436,42 @@ def train(ws: Workspace, rows: DataFrame, order: int = ORDER) -> Model:
             yield from tally.take()
 
         def store(batches):
-            below = Tally(lambda k: ((k if n == 2 else m.parted(k)[0]) // m.block[n - 1]).astype(np.int32))
+            below = Tally(lambda k: ((k if n == 2 else m.parted(k)[0]) // m.piece[n - 1]).astype(np.int32))
             told = []
-            for s, k, c in by_shard(batches):
-                if len(k) >> 32:
-                    raise ValueError("a shard has 2^32 entries: raise spark.sql.shuffle.partitions")
-                context, w = m.parted(k)
-                ends = np.concatenate(([0], np.cumsum(np.bincount(context - s * block, minlength=block)))).astype(np.uint32)
-                write_array(f"{m.root}/ends{n}-{s}", ends)
-                write_array(f"{m.root}/words{n}-{s}", w.astype(np.uint32))
-                told.append((s, *(m.store_counts(n, s, ends, c) if n == order else (len(k), 0, 0, 0, 0))))
-                if n == 2:
-                    yield from _runs(below.add(w.astype(np.uint64))) if order == 2 else ()
-                    begins = context == m.size + 1
-                    if order == 3 and begins.any():
-                        yield from _runs([packed_rows(k[begins], c[begins], np.full(begins.sum(), s))])
-                else:
-                    each, back = np.unique(context, return_inverse=True)
-                    yield from _runs(below.add(m.keyed(m.last_words(2, each)[back], w)))
+            for s, parts in itertools.groupby(by_shard(batches), lambda x: x[0] // pieces[n]):
+                out = Stored(m, n, s)
+                for at, k, c in parts:
+                    context, w = m.parted(k)
+                    out.entries(context - s * block, w)
+                    if n == order:
+                        out.counts(context - s * block, c)
+                    if n == 3:
+                        each, back = np.unique(context, return_inverse=True)
+                        yield from _runs(below.add(m.keyed(m.last_words(2, each)[back], w)))
+                    elif order == 2:
+                        yield from _runs(below.add(w.astype(np.uint64)))
+                    elif (begins := context == m.size + 1).any():
+                        yield from _runs([packed_rows(k[begins], c[begins], np.full(begins.sum(), at))])
+                told.append(out.close())
             yield from _runs(below.take())
             yield from _told(told)
 
-        runs, told = _split(ws.put(f"grams{n}", deal(rows, grams).mapInArrow(store, _STORED)))
+        runs, told = _split(ws.put(f"grams{n}", deal(rows.mapInArrow(grams, _RUN), pieces[n]).mapInArrow(store, _STORED)))
         m.first[n] = starts({s: t[0] for s, t in told.items()})
         if n == order:
             m.d[n] = discounts(_by_counts(told))
         return runs
 
     def store_middle(batches):
-        below, told = Tally(lambda k: (k // m.block[1]).astype(np.int32)), []
-        for s, k, c in by_shard(batches):
-            ends, w = m.file("ends", 2, s, np.uint32), m.file("words", 2, s, np.uint32)
-            have = m.keyed(np.repeat(np.arange(m.block[2]), np.diff(ends.astype(np.int64))) + s * m.block[2], w)
-            kept = np.zeros(len(have), np.int64)
-            kept[np.searchsorted(have, k)] = c
-            told.append((s, *m.store_counts(2, s, ends, kept)))
-            yield from _runs(below.add(w.astype(np.uint64)))
+        # every bigram follows a start or another token, so the keys of a piece are its entries
+        below, told = Tally(lambda k: (k // m.piece[1]).astype(np.int32)), []
+        for s, parts in itertools.groupby(by_shard(batches), lambda x: x[0] // pieces[2]):
+            out = Stored(m, 2, s)
+            for _, k, c in parts:
+                context, w = m.parted(k)
+                out.counts(context - s * m.block[2], c)
+                yield from _runs(below.add(w.astype(np.uint64)))
+            told.append(out.close())
         yield from _runs(below.take())
         yield from _told(told)
 
@@ -440,17 +482,16 @@ def train(ws: Workspace, rows: DataFrame, order: int = ORDER) -> Model:
             write_array(f"{m.root}/follows1-{s}", a)
             yield from _told([(s, len(c), *(int((c == i).sum()) for i in (1, 2, 3, 4)))])
 
-    def dealt(runs: DataFrame) -> DataFrame:
-        return runs.repartition("shard").sortWithinPartitions("shard")
-
-    m.block[1] = -(-m.size // shards)
+    m.block[1] = m.piece[1] = -(-m.size // shards)
     runs = count(2, m.size + 2)
     if order == 3:
         runs = runs.unionByName(count(3, m.first[2][-1]))
-        runs, told = _split(ws.put("middle", dealt(runs).mapInArrow(store_middle, _STORED)))
+        runs, told = _split(ws.put("middle", deal(runs, pieces[2]).mapInArrow(store_middle, _STORED)))
+        if sum(t[0] for t in told.values()) != m.first[2][-1]:
+            raise RuntimeError("bigrams were counted that are not stored, or the other way round")
         m.d[2] = discounts(_by_counts(told))
         ws.drop("grams2", "grams3")
-    told = _split(ws.put("follows", dealt(runs).mapInArrow(store_follows, _STORED)))[1]
+    told = _split(ws.put("follows", deal(runs).mapInArrow(store_follows, _STORED)))[1]
     m.types = m.first[2][-1]
     n = _by_counts(told)
     m.d[1] = discounts(n)

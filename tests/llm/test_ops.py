@@ -304,8 +304,9 @@ def kneser_ney(docs, order):
     return out, p, one
 
 
-@pytest.mark.parametrize("order", [2, 3])
-def test_op4_against_plain_model(spark, odd, order):
+@pytest.mark.parametrize("order, piece", [(2, 2_000_000), (3, 2_000_000), (3, 300)])
+def test_op4_against_plain_model(spark, odd, monkeypatch, order, piece):
+    monkeypatch.setattr(op4_language_model, "PIECE", piece)
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()] + [(10_000 + r["doc_id"], r["text"]) for r in odd.collect()]
     want, p, one = kneser_ney(docs, order)
     got = op4_language_model.score(frame(spark, [(d, t, None, None) for d, t in docs]), order).collect()
@@ -342,12 +343,12 @@ def test_op4_large_counts_and_runs(spark, monkeypatch, tmp_path):
         parts.append(op4_language_model.packed_rows(k, c, np.zeros(len(k), np.int32)))
     (shard, k, c), = op4_language_model.by_shard(iter(parts))
     assert shard == 0 and dict(zip(k.tolist(), c.tolist())) == want and max(want.values()) >> 32
-    m = op4_language_model.Model(str(tmp_path), 1, 2, 9, {1: [0, 2], 2: [0, 2]}, {1: 2, 2: 4}, {1: (0, 0.5, 0.5, 0.5), 2: (0, 0.5, 0.5, 0.5)}, 2, 0.5)
-    ends = np.array([0, 2, 2, 2, 2], np.uint32)
-    op4_language_model.write_array(f"{tmp_path}/ends2-0", ends)
-    op4_language_model.write_array(f"{tmp_path}/words2-0", np.array([0, 1], np.uint32))
+    m = op4_language_model.Model(str(tmp_path), 1, 2, 9, {1: [0, 2], 2: [0, 2]}, {1: 2, 2: 4}, {1: 2, 2: 4}, {1: (0, 0.5, 0.5, 0.5), 2: (0, 0.5, 0.5, 0.5)}, 2, 0.5)
     op4_language_model.write_array(f"{tmp_path}/follows1-0", np.array([1, 1], np.uint32))
-    assert m.store_counts(2, 0, ends, np.array([3 << 32, 1 << 32], np.uint64)) == (2, 0, 0, 0, 0)
+    out = op4_language_model.Stored(m, 2, 0)
+    out.entries(np.array([0, 0]), np.array([0, 1]))
+    out.counts(np.array([0, 0]), np.array([3 << 32, 1 << 32], np.uint64))
+    assert out.close() == (0, 2, 0, 0, 0, 0)
     assert m.probability(np.array([0, 0, 0, 1]), np.array([0, 2, 4]))[1::2] == pytest.approx([0.75, 0.25])
 
 
@@ -356,8 +357,12 @@ def test_op4_contexts_with_many_entries(tmp_path):
     rnd, m = np.random.default_rng(5), op4_language_model.Model(str(tmp_path), 1)
     sizes = np.array([0, 1, 64, 65, 3000, 0, 7])
     ends, c = np.concatenate(([0], np.cumsum(sizes))).astype(np.uint32), rnd.zipf(1.3, sizes.sum()).clip(1, 10**6)
-    m.store_counts(3, 0, ends, c)
-    local = np.flatnonzero(sizes)
+    out, local = op4_language_model.Stored(m, 3, 0), np.flatnonzero(sizes)
+    m.block[3] = len(sizes) + 2
+    for part in np.split(np.repeat(np.arange(len(sizes)), sizes), [int(ends[3]), int(ends[5])]):
+        out.entries(part, np.zeros(len(part), np.int64))
+        out.counts(part, c[out.counted : out.counted + len(part)])
+    assert out.close()[1] == len(c) and m.file("ends", 3, 0, np.uint32).tolist() == [*ends.tolist(), *[len(c)] * 2]
     got = m.sums(3, 0, local, ends[local].astype(np.int64), ends[local + 1].astype(np.int64))
     for x, i in zip(got, local):
         part = c[ends[i] : ends[i + 1]]
