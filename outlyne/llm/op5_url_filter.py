@@ -2,7 +2,8 @@
 
 Listed rules are (verdict, host + path).  One fits its host and all subdomains if the url's path starts with the rule's path; the
 longest wins.  Urls that a listed rule decides are the labelled transactions: their tokens (host labels, path words with
-digits folded, extension, query keys, fragment) and the verdict as one more item.  Frequent sets with a verdict become rules
+digits folded, extension, query keys, fragment) and the verdict as one more item.  Tokens that are always together in them are one item,
+which a url has if it has any of them: of rules that differ in such tokens only, each says the same.  Frequent sets with a verdict become rules
 `tokens -> verdict`; those below SUPPORT or CONFIDENCE go, and so do those that no rule with fewer tokens is worse than.  An
 inverted index token -> rule finds the rules of a url: a rule matches when all of its tokens were found.
 The surest rule decides; with none the verdict is DEFAULT.
@@ -10,8 +11,9 @@ The surest rule decides; with none the verdict is DEFAULT.
 Of equally sure rules the one with more support decides, then the one with more tokens, then the verdict that sorts last.
 
 Scale: only the url column is read.  A support of SUPPORT bounds the frequent tokens, whatever the input, but not the sets of them: n frequent
-tokens that always occur together make 2^n sets, all of which are mined before the longer ones are pruned.  The index is broadcast
-only after its size was counted.  Equal urls are matched once.  All steps are DataFrame operations.
+tokens that are together in many urls, and apart in some, make 2^n sets, all of which are mined before the longer ones are pruned.  Tokens are
+told to be always together by two 64-bit hashes over the token sets that hold them.  Index and items are broadcast
+only after their size was counted.  Equal urls are matched once.  All steps are DataFrame operations.
 
 Nulls: a null url, or one without `://`, has an empty host and path, no rule and the DEFAULT verdict.  Repeated pages each get a row.
 An empty table gives an empty result.  Urls of any length are read whole.  Extra columns are ignored.
@@ -20,7 +22,7 @@ An empty table gives an empty result.  Urls of any length are read whole.  Extra
 from __future__ import annotations
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Workspace, lower_ascii, maybe_broadcast, table
@@ -60,6 +62,22 @@ def url_tokens(host: Column, path: Column, more: Column) -> Column:
     return F.array_distinct(F.array_compact(F.concat(part(host, r"\.", "h:"), part(words, r"[/_\-]", "p:"), keys, flags)))
 
 
+def together(labelled: DataFrame, support: float = SUPPORT) -> DataFrame:
+    """(token, item) for frequent tokens that other frequent ones are always with in rows (tokens); the item is the least of them."""
+    sets = labelled.groupBy(F.array_sort("tokens").alias("tokens")).count()
+    marks = [F.xxhash64(F.lit(i), "tokens").alias(f"mark{i}") for i in (1, 2)]
+    held = sets.select(F.explode("tokens").alias("token"), "count", *marks).groupBy("token").agg(F.sum("count").alias("rows"), F.bit_xor("mark1").alias("mark1"), F.bit_xor("mark2").alias("mark2"))
+    held = held.filter(F.col("rows") >= support * labelled.count())
+    alike = Window.partitionBy("rows", "mark1", "mark2")
+    return held.select("token", F.min("token").over(alike).alias("item"), F.count("*").over(alike).alias("n")).filter("n > 1").select("token", "item")
+
+
+def as_items(rows: DataFrame, key: str, items: DataFrame) -> DataFrame:
+    """rows (key, tokens) with items (token, item) in place of their tokens."""
+    each = rows.select(key, F.explode_outer("tokens").alias("token")).join(maybe_broadcast(items, items.count(), 200), "token", "left")
+    return each.groupBy(key).agg(F.collect_set(F.coalesce("item", "token")).alias("tokens"))
+
+
 def mine(ws: Workspace, labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """(rid, tokens, verdict, confidence, support) from rows (tokens, verdict)."""
     n = labelled.count()
@@ -99,9 +117,13 @@ def judge(pages: DataFrame, rules=RULES, support: float = SUPPORT, confidence: f
     said = F.lit(None).cast("string")
     for verdict, rule in rules:
         said = F.when(F.col("rule") == rule, F.lit(verdict)).otherwise(said)
-    mined = mine(ws, rows.filter("rule is not null").select("tokens", said.alias("verdict")), support, confidence)
+    labelled = ws.put("labelled", rows.filter("rule is not null").select(F.monotonically_increasing_id().alias("at"), "tokens", said.alias("verdict")))
     open_ = rows.filter("rule is null and url is not null").groupBy("url").agg(F.first("tokens").alias("tokens"))
-    found = ws.put("found", match(open_, mined))
+    items = ws.put("items", together(labelled, support))
+    if not items.isEmpty():
+        labelled = ws.put("merged", as_items(labelled, "at", items).join(labelled.select("at", "verdict"), "at"))
+        open_ = as_items(open_, "url", items)
+    found = ws.put("found", match(open_, mine(ws, labelled.select("tokens", "verdict"), support, confidence)))
     ws.keep("rows", "found")
     return rows.join(found, "url", "left").select("page_id", "host", "path", "rule", F.coalesce(said, "mined", F.lit(DEFAULT)).alias("verdict"))
 

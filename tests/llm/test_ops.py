@@ -437,6 +437,18 @@ def test_op5_mined_rules_against_counting(spark):
         assert found.get(f"u{i}") == (max(fit)[3] if fit else None)
 
 
+def test_op5_tokens_always_together(spark):
+    """Thirty tokens that are always together are one item and not 2^30 sets; a url with any of them has it."""
+    words_ = [chr(97 + i // 26) + chr(97 + i % 26) + "x" for i in range(30)]
+    urls = [f"http://shop.com/de/{'/'.join(words_)}?n={i}" for i in range(20)] + [f"http://shop.com/fr/other/{i}" for i in range(20)]
+    urls += ["http://x.net/abx", "http://x.net/other/1", "http://x.net/bdx/de", "http://x.net/unseen", "http://y.net/other/abx/fr"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {urls[r["page_id"]]: r["verdict"] for r in op5_url_filter.judge(pages).collect()}
+    assert got == {u: "block" if "com/de/" in u or u in (urls[40], urls[42], urls[44]) else "allow" for u in urls}
+    rows_ = spark.createDataFrame([(["b", "a", "c"],), (["c", "a", "b", "d"],), (["d"],), (["e", "f"],)] + [([],)] * 2, "tokens array<string>")
+    assert rows(op5_url_filter.together(rows_, 0.3), "token", "item") == [("a", "a"), ("b", "a"), ("c", "a")]  # e and f are together, and rare
+
+
 def test_op5_tokens_with_spaces(spark):
     """Rules whose tokens read alike when joined are two rules."""
     rules = spark.createDataFrame([(op, t, v, c, 0.1) for op, t, v, c in [("1", ["p:a p:b"], "allow", 0.8), ("2", ["p:a", "p:b"], "block", 0.9)]], "rid string, tokens array<string>, verdict string, confidence double, support double")
