@@ -2,7 +2,7 @@
 
 Templates are licence phrases, which must stand word for word, and licence notices, of which a part is enough.  The words of all
 templates get their document frequency over all documents, and with it an inverse one (IDF).  The index lists each template's
-rarest words with their places in it: RARE words of a notice, one of a phrase.  In a text only these words are looked up, at all their
+rarest words with their places in it: of the words that occur in any document RARE of a notice, one of a phrase.  In a text only these words are looked up, at all their
 positions: the position less the place is where the template would begin, so the postings of a template are intersected by relative
 position.  A phrase is verified word for word at such a beginning.  A notice's beginning is rated by the share of IDF of its postings that are within
 SLACK words of where they should be; it counts from SHARE on, if the notice's key phrases stand within REACH words of their places.
@@ -91,8 +91,8 @@ def _placed(own: Sequence[str]) -> list[dict]:
 def entry(n: int, found: Mapping[str, int], label: str, text: str, rare: int, keys: Sequence[str] = ()) -> dict:
     """A template in the index: its words, postings (word, place, share of the IDF) of its rarest words, and its key phrases."""
     own = text.split()
-    chosen = set(sorted(set(own), key=lambda w: (found.get(w, 0), w))[:rare])
-    worth = [(w, i, math.log((n + 2) / (found.get(w, 0) + 1))) for i, w in enumerate(own) if w in chosen]
+    chosen = set(sorted({w for w in own if w in found}, key=lambda w: (found[w], w))[:rare])
+    worth = [(w, i, math.log((n + 2) / (found[w] + 1))) for i, w in enumerate(own) if w in chosen]
     total, places = sum(v for _, _, v in worth), []
     for key in map(str.split, keys):
         places += [{"p": i, "words": _placed(key)} for i in range(len(own)) if own[i : i + len(key)] == key][:1]
