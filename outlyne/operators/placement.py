@@ -2,51 +2,40 @@
 
 words (clip, ix, w, start, end), sentences (clip, ix, text, start, end), bursts (clip, b_ix, start, end, label).
 
-Points are joined with intervals on the clip and a piece of time, in which an interval is as often as it is long; so a long clip is
-neither compared pair by pair nor held by one task.  What comes next or before in time is found by one sort of both sides.
+Points meet intervals through the interval index of `series`, and what comes before or after in time, or in number, is found by its segmented scan:
+a long clip is neither compared pair by pair nor held by one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scoring import pause_text
+from ..functions.scoring import is_finite, pause_text
 from ..model import Config
 from ..sources import stages
-
-PIECE = 16.0  # length of a piece of time
-
+from .series import SPAN, Running, piece_of_rows, piece_of_time, scan, within
 
 def midpoint() -> Column:
     return (F.col("start") + F.col("end")) / 2.0
 
 
-def within(points: DataFrame, intervals: DataFrame, keys: list[str], at: str, lo: str, hi: str, piece: float = PIECE) -> DataFrame:
-    """Points joined with each interval that holds them: keys equal, lo <= at <= hi.  Null times meet nothing."""
-    of = lambda c: F.floor(F.col(c) / piece)
-    p = points.withColumn("_piece", of(at))
-    i = intervals.filter(F.col(lo) <= F.col(hi)).withColumn("_piece", F.explode(F.sequence(of(lo), of(hi))))
-    return p.join(i, [*keys, "_piece"]).filter((F.col(lo) <= F.col(at)) & (F.col(at) <= F.col(hi))).drop("_piece")
-
-
-def bursts_to_sentences(bursts: DataFrame, sentences: DataFrame, cfg: Config) -> DataFrame:
-    """Each burst once, with `s_ix`: the first sentence that holds its midpoint (slack included), else the one with the nearest
-    edge, the earliest of equal ones; sentence 0 if none has times."""
+def bursts_to_sentences(bursts: DataFrame, sentences: DataFrame, cfg: Config, span: float = SPAN) -> DataFrame:
+    """Each burst (its b_ix is unique in its clip) once, with `s_ix`: the first sentence that holds its midpoint (slack included), else the one
+    with the nearest edge, the earliest of equal ones; sentence 0 if no sentence has times or the midpoint is not finite."""
     s = sentences.filter("start is not null and end is not null").select("clip", F.col("ix").alias("s_ix"), F.col("start").alias("sa"), F.col("end").alias("sb"))
     b = bursts.withColumn("mid", midpoint())
     bounds = s.select("clip", "s_ix", (F.col("sa") - cfg.slack).alias("lo"), (F.col("sb") + cfg.slack).alias("hi"))
     inside = within(b.select("clip", "b_ix", "mid"), bounds, ["clip"], "mid", "lo", "hi").groupBy("clip", "b_ix").agg(F.min("s_ix").alias("inside"))
     # the last edge before and the first after; of edges at one time that of the earliest sentence is nearest
     edges = s.select("clip", "s_ix", F.explode(F.array("sa", "sb")).alias("mid"))
-    both = b.unionByName(edges, allowMissingColumns=True)
-    edge = F.when(F.col("s_ix").isNotNull(), F.struct("mid", "s_ix"))
-    is_burst = F.col("s_ix").isNull()
-    around = [F.last(edge, ignorenulls=True).over(Window.partitionBy("clip").orderBy(t, is_burst, F.col("s_ix").desc()).rowsBetween(Window.unboundedPreceding, 0)) for t in (F.col("mid").asc_nulls_first(), F.col("mid").desc_nulls_first())]
+    both = b.select("clip", "b_ix", "mid").unionByName(edges, allowMissingColumns=True).filter(is_finite(F.col("mid")))
+    edge, is_burst = F.when(F.col("s_ix").isNotNull(), F.struct("mid", "s_ix")), F.col("s_ix").isNull()
+    by = lambda t: [t, is_burst, -F.col("s_ix")]
+    both = scan(both, ["clip"], piece_of_time(F.col("mid"), span), {"before": Running("last", edge, by(F.col("mid"))), "after": Running("last", edge, by(-F.col("mid")), down=True)}).filter(is_burst)
     near = lambda e: F.when(e.isNotNull(), F.struct(F.abs(F.col("mid") - e["mid"]).alias("d"), e["s_ix"].alias("s_ix")))
-    both = both.withColumns({"before": around[0], "after": around[1]}).filter(is_burst).drop("s_ix")
-    best = F.least(near(F.col("before")), near(F.col("after")))
-    placed = both.withColumn("near", best["s_ix"]).drop("before", "after", "mid").join(inside, ["clip", "b_ix"], "left")
+    best = both.select("clip", "b_ix", F.least(near(F.col("before")), near(F.col("after")))["s_ix"].alias("near"))
+    placed = b.drop("mid").join(best, ["clip", "b_ix"], "left").join(inside, ["clip", "b_ix"], "left")
     return placed.withColumn("s_ix", F.coalesce("inside", "near", F.lit(0))).drop("inside", "near")
 
 
@@ -64,39 +53,42 @@ def overlapping(bursts: DataFrame, sentences: DataFrame, cfg: Config) -> DataFra
     return sentences.join(hit, ["clip", "ix"], "left").withColumn("bursts", F.coalesce("bursts", F.array().cast("array<string>")))
 
 
-def slots(words: DataFrame, bursts: DataFrame, keys: list[str]) -> DataFrame:
+def slots(words: DataFrame, bursts: DataFrame, keys: list[str], span: float = SPAN, short: bool = False) -> DataFrame:
     """Bursts with `slot`: the place of the first word that starts at or after the midpoint (the number of words if none does), never
-    before the slot of a burst that started earlier.  words need `wi`, their place from 0."""
-    own = Window.partitionBy(*keys)
+    before the slot of a burst that started earlier; and `bo`, their order by start.  words need `wi`, their place from 0."""
     both = bursts.withColumn("mid", midpoint()).unionByName(words.select(*keys, F.col("start").alias("mid"), "wi"), allowMissingColumns=True)
-    is_burst = F.col("wi").isNull()
-    later = own.orderBy(F.col("mid").desc(), is_burst).rowsBetween(Window.unboundedPreceding, 0)
-    both = both.withColumns({"raw": F.when(F.col("mid").isNotNull(), F.min("wi").over(later)), "n": F.count("wi").over(own)}).filter(is_burst)
-    b = both.withColumn("raw", F.coalesce("raw", "n")).drop("mid", "wi", "n")
-    w = own.orderBy("start", "b_ix")
-    return b.withColumns({"slot": F.max("raw").over(w), "bo": F.row_number().over(w)}).drop("raw")
+    is_burst, known = F.col("wi").isNull(), F.col("mid").isNotNull() & ~F.isnan("mid")
+    later = Running("min", F.col("wi"), [-F.col("mid"), is_burst], down=True)
+    raw = scan(both.filter(known), keys, piece_of_time(F.col("mid"), span), {"raw": later}, short).filter(is_burst)
+    lost = both.filter(~known & is_burst).withColumn("raw", F.lit(None).cast("int"))
+    n = words.groupBy(*keys).agg(F.count("*").alias("n"))
+    b = raw.unionByName(lost).drop("mid", "wi").join(n, keys, "left").withColumn("raw", F.coalesce("raw", "n", F.lit(0))).drop("n")
+    by = [F.col("start"), F.col("b_ix")]
+    return scan(b, keys, piece_of_time(F.col("start"), span), {"slot": Running("max", F.col("raw"), by), "bo": Running("sum", F.lit(1), by)}, short).drop("raw")
 
 
-def numbered(words: DataFrame, keys: list[str]) -> DataFrame:
-    return words.filter("start is not null").withColumn("wi", F.row_number().over(Window.partitionBy(*keys).orderBy("ix")) - 1)
+def numbered(words: DataFrame, keys: list[str], short: bool = False) -> DataFrame:
+    """Words with a start, with `wi`, their place among them."""
+    timed = words.filter("start is not null")
+    return scan(timed, keys, piece_of_rows(F.col("ix")), {"wi": Running("sum", F.lit(1), [F.col("ix")])}, short).withColumn("wi", F.col("wi") - 1)
 
 
-def gaps(words: DataFrame, keys: list[str], cfg: Config) -> DataFrame:
+def gaps(words: DataFrame, keys: list[str], cfg: Config, short: bool = False) -> DataFrame:
     """Words with `gap`: time since the end of the word before, or since its start if it has no end, whether its end is null or
     absent (a column can't tell the two); null for the first."""
-    before = F.lag(F.coalesce("end", "start")).over(Window.partitionBy(*keys).orderBy("wi"))
-    return words.withColumn("gap", F.col("start") - before)
+    before = Running("last", F.coalesce("end", "start"), [F.col("wi")], before=True)
+    return scan(words, keys, piece_of_rows(F.col("wi")), {"gap": before}, short).withColumn("gap", F.col("start") - F.col("gap"))
 
 
-def inline(words: DataFrame, bursts: DataFrame, cfg: Config, keys: list[str]) -> DataFrame:
+def inline(words: DataFrame, bursts: DataFrame, cfg: Config, keys: list[str], short: bool = False) -> DataFrame:
     """(keys, text): the words with `(label)` before the next word and `[pause]` in gaps that no burst fills; without timed words the bursts alone."""
-    w = numbered(words, keys)
-    b = slots(w, bursts, keys)
+    w = numbered(words, keys, short)
+    b = slots(w, bursts, keys, short=short)
     tok = lambda df, slot, kind, order, text: df.select(*keys, slot.cast("int").alias("slot"), F.lit(kind).alias("kind"), order.cast("int").alias("o"), text.alias("tok"))
     rows = tok(b, F.col("slot"), 0, F.col("bo"), F.concat(F.lit("("), "label", F.lit(")"))).unionByName(tok(w, F.col("wi"), 2, F.lit(0), F.col("w")))
     if cfg.pause > 0:
         taken = b.select(*keys, F.col("slot").alias("wi")).distinct()
-        p = gaps(w, keys, cfg).filter(F.col("gap") >= cfg.pause).join(taken, [*keys, "wi"], "left_anti")
+        p = gaps(w, keys, cfg, short).filter(F.col("gap") >= cfg.pause).join(taken, [*keys, "wi"], "left_anti")
         rows = rows.unionByName(tok(p, F.col("wi"), 1, F.lit(0), pause_text(F.col("gap"))))
     listed = F.array_sort(F.collect_list(F.struct("slot", "kind", "o", "tok")))
     return rows.groupBy(*keys).agg(F.trim(F.array_join(F.transform(listed, lambda x: x["tok"]), " ")).alias("text"))
@@ -104,8 +96,8 @@ def inline(words: DataFrame, bursts: DataFrame, cfg: Config, keys: list[str]) ->
 
 def sentence_gaps(sentences: DataFrame) -> DataFrame:
     """Sentences with `gap`: start minus the last known end before."""
-    w = Window.partitionBy("clip").orderBy("ix").rowsBetween(Window.unboundedPreceding, -1)
-    return sentences.withColumn("gap", F.col("start") - F.last("end", ignorenulls=True).over(w))
+    last = Running("last", F.col("end"), [F.col("ix")], before=True)
+    return scan(sentences, ["clip"], piece_of_rows(F.col("ix")), {"gap": last}).withColumn("gap", F.col("start") - F.col("gap"))
 
 
 def labels_text(labels: Column) -> Column:
@@ -127,7 +119,7 @@ def script_lines(words: DataFrame, sentences: DataFrame, bursts: DataFrame, cfg:
     order = F.array_sort(F.collect_list(F.struct("start", "b_ix", "label")))
     own = placed.groupBy(*keys).agg(F.transform(order, lambda x: x["label"]).alias("labels"))
     both = inner.join(own.select(*keys), keys, "left_semi")
-    text = inline(both, placed.join(inner.select(*keys).distinct(), keys, "left_semi"), cfg, keys).withColumnRenamed("text", "inline")
+    text = inline(both, placed.join(inner.select(*keys).distinct(), keys, "left_semi"), cfg, keys, short=True).withColumnRenamed("text", "inline")
     lines = sentence_gaps(sentences).withColumn("s_ix", F.col("ix")).join(own, keys, "left").join(text, keys, "left")
     body = F.when(F.col("labels").isNull(), F.col("text")).otherwise(F.coalesce("inline", F.trim(F.concat(without_stops(F.col("text")), F.lit(" "), labels_text(F.col("labels"))))))
     lead = F.when(F.col("gap") >= cfg.pause, F.concat(pause_text(F.col("gap")), F.lit(" "))).otherwise("") if cfg.pause > 0 else F.lit("")

@@ -2,32 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scoring import is_finite, sigmoid
+from ..functions.scoring import is_finite
 from ..model import TRANSIENT, Config
 from ..sources import stages
+from .series import runs
 
 
 def islands(frames: DataFrame, cfg: Config, durations: DataFrame | None = None) -> DataFrame:
     """(clip, start, end, n_frames, peak) of maximal runs of frames (clip, frame_ix, p) with p at or above the threshold.
 
-    Only frames above it are ranked: within a run frame number and rank grow together, so their difference names the run.
+    Runs are found in pieces of the frames and put together at the pieces' edges, so a long clip is many tasks'.
     durations: (clip, dur); frames after int(dur * fps) + 1 are cut first.
     """
     f = frames
     if durations is not None:
         f = f.join(durations, "clip").filter(F.col("frame_ix") < (F.col("dur") * cfg.frames_per_second).cast("int") + 1)
     hot = f.filter(is_finite(F.col("p")) & (F.col("p") >= cfg.locator_threshold))
-    hot = hot.withColumn("run", F.col("frame_ix") - F.row_number().over(Window.partitionBy("clip").orderBy("frame_ix")))
+    found = runs(hot, ["clip"], "frame_ix", {"peak": ("max", "p")})
     fps = F.lit(float(cfg.frames_per_second))
-    runs = hot.groupBy("clip", "run").agg(F.min("frame_ix").alias("i"), F.max("frame_ix").alias("j"), F.count("*").alias("n_frames"), F.max("p").alias("peak"))
-    return runs.filter(F.col("n_frames") >= cfg.min_frames).select("clip", (F.col("i") / fps).alias("start"), ((F.col("j") + 1) / fps).alias("end"), "n_frames", "peak")
-
-
-def frame_probability(logits: Column) -> Column:
-    return sigmoid(logits)
+    return found.filter(F.col("n") >= cfg.min_frames).select("clip", (F.col("i") / fps).alias("start"), ((F.col("j") + 1) / fps).alias("end"), F.col("n").alias("n_frames"), "peak")
 
 
 def classify(spans: DataFrame, taxonomy: DataFrame, cfg: Config, length: Column | None = None) -> DataFrame:
