@@ -220,11 +220,16 @@ _HTML = """SELECT doc_id, regexp_replace(replace(replace(replace(replace(replace
 
 
 @query("x18_html", _HTML)
-@query("x18_html_whole", _HTML)
 def x18_html(spark, sf):
     return table(spark, sf, "documents").select("doc_id", S.emphasise(S.html_escape(F.concat(F.lit("("), F.col("text"), F.lit(")")))).alias("html"))
 
 
+@query("x18_html_whole", _HTML.replace("doc_id", "page_id").replace("text", "html").replace("documents", "pages"))
+def x18_pages(spark, sf):
+    """Whole raw pages as text of another page."""
+    return table(spark, sf, "pages").select("page_id", S.emphasise(S.html_escape(F.concat(F.lit("("), F.col("html"), F.lit(")")))).alias("html"))
+
+
 # ---- seeded variation ----
 @query("v01_template_pick", f"SELECT p_partkey, {T.pick(TEMPLATES, T.draw('p_partkey', 'template'))} AS template FROM part")
 def v01_template(spark, sf):
@@ -617,11 +622,6 @@ def j06_group(spark, sf):
     return table(spark, sf, "embeddings").select("vec_id", (F.col("label") * 7).alias("class_ix")).join(F.broadcast(tax), "class_ix", "left").drop("class_ix")
 
 
-@query("s10_taxonomy", f"WITH {_TAX_SQL} SELECT grp, count(*) AS n, min(class_ix) AS first_ix FROM tax GROUP BY grp")
-def s10_taxonomy(spark, sf):
-    return spark.createDataFrame(_TAX[:-1], "class_ix bigint, class string, grp string").groupBy("grp").agg(F.count("*").alias("n"), F.min("class_ix").alias("first_ix"))
-
-
 @query("s05_multi_file", "SELECT count(*) AS n, sum(l_quantity) AS quantity FROM lineitem")
 def s05_scan(spark, sf):
     from ..sources.scans import parquet_files

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import json
 import uuid
 
 from pyspark.sql import functions as F
 
 from ..operators import infer, records, stats
-from ..sources import scans, sinks, stages
+from ..sources import archives, documents, files, rejects, scans, sinks, stages
 from . import demo, twins as T
 from .demo import CFG, EVENT_CFG, LEXICON, table
 from .queries import _COLUMNS, _TAX, _TAX_SQL, _scores, _series, _SER, query
@@ -74,7 +73,7 @@ def s03_baseline(spark, sf):
     """A baseline document written as one JSON object and loaded again."""
     path = _folder(spark, "baseline")
     b = demo.supplier_baseline(_scores(spark, sf))
-    sinks.baseline_document(b, {"made_by": "test"}).coalesce(1).write.text(path)
+    documents.baseline(b, f"{path}/baseline.json", {"made_by": "test"})
     return scans.baseline_document(spark, path).select("dim", "grp", *stats.STATS)
 
 
@@ -88,14 +87,29 @@ def s05_several(spark, sf):
     return scans.parquet_files(spark, path, "*.parquet", ["o_totalprice"]).agg(F.count("*").alias("n"), F.sum("o_totalprice").alias("total"))
 
 
-@query("s10_taxonomy_file", f"WITH {_TAX_SQL}, o AS (SELECT *, row_number() OVER (ORDER BY class_ix % 4, class_ix) - 1 AS ix FROM tax) SELECT ix::INT AS class_ix, class, grp, 'sound ' || class AS description FROM o UNION ALL SELECT 63, 'no_burst', NULL, NULL")
+_ORDERED = "row_number() OVER (ORDER BY r_regionkey, n_nationkey) - 1"
+_REGIONS = f"SELECT ({_ORDERED})::INT AS class_ix, n_name AS class, r_name AS grp, 'sound ' || n_name AS description FROM nation JOIN region ON n_regionkey = r_regionkey"
+
+
+def _taxonomy(spark, sf):
+    """A taxonomy document with regions as groups and nations as classes, numbered in document order."""
+    path = f"{_folder(spark, 'taxonomy')}/taxonomy.json"
+    quoted = lambda c: F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2)
+    n = table(spark, sf, "nation").join(table(spark, sf, "region"), F.expr("n_regionkey = r_regionkey"))
+    item = F.concat(quoted(F.col("n_name")), F.lit(': {"description": '), quoted(F.concat(F.lit("sound "), "n_name")), F.lit("}"))
+    groups = n.groupBy("r_regionkey", "r_name").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", item.alias("t")))), lambda x: x["t"]), ", ").alias("items"))
+    documents.ordered(groups, path, F.concat(quoted(F.col("r_name")), F.lit(': {"items": {'), "items", F.lit("}}")), ["r_regionkey"], '{"categories": {', "}}")
+    return scans.taxonomy(spark, path)
+
+
+@query("s10_taxonomy_file", f"{_REGIONS} UNION ALL SELECT count(*), 'no_burst', NULL, NULL FROM nation")
 def s10_file(spark, sf):
-    """A taxonomy document, its classes numbered in document order."""
-    path, doc = _folder(spark, "taxonomy"), {}
-    for _, name, grp in _TAX[:-1]:
-        doc.setdefault(grp, {"items": {}})["items"][name] = {"description": f"sound {name}"}
-    spark.createDataFrame([(json.dumps({"categories": doc}),)], "value string").coalesce(1).write.text(path)
-    return scans.taxonomy(spark, path).select(F.col("class_ix").cast("int").alias("class_ix"), "class", "grp", "description")
+    return _taxonomy(spark, sf).select(F.col("class_ix").cast("int").alias("class_ix"), "class", "grp", "description")
+
+
+@query("s10_taxonomy", f"WITH t AS ({_REGIONS}) SELECT grp, count(*) AS n, min(class_ix)::BIGINT AS first_ix FROM t GROUP BY grp")
+def s10_taxonomy(spark, sf):
+    return _taxonomy(spark, sf).filter("grp is not null").groupBy("grp").agg(F.count("*").alias("n"), F.min("class_ix").cast("long").alias("first_ix"))
 
 
 @query("s11_synonyms_file", "SELECT lang AS dim, string_agg(DISTINCT source, ',' ORDER BY source) AS synonyms FROM documents WHERE lang IS NOT NULL GROUP BY lang")
@@ -141,10 +155,157 @@ def k04_cards(spark, sf):
 def k06_each(spark, sf):
     path = _folder(spark, "each")
     n = table(spark, sf, "nation")
-    sinks.one_file_each(n.select("n_nationkey", "n_name", "n_regionkey"), path, "n_regionkey")
+    sinks.folder_each(n.select("n_nationkey", "n_name", "n_regionkey"), path, "n_regionkey")
     return spark.read.schema("n_nationkey int, n_name string, n_regionkey int").json(path)
 
 
+@query("k06_file_for_each_row", "SELECT s_suppkey, s_name, s_acctbal, s_suppkey::VARCHAR || '.json' AS file FROM supplier")
+def k06_rows(spark, sf):
+    """A file for each row, named by its key."""
+    path = _folder(spark, "rows")
+    s = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    documents.one_file_each(s, path, "s_suppkey")
+    return spark.read.schema(s.schema).json(path).select("*", _file("_metadata.file_path"))
+
+
+_LINES = "l_orderkey, l_linenumber, l_quantity, l_returnflag, l_partkey"
+
+
+@query("k03_results_document", f"SELECT {_LINES}, count(*) OVER () AS n, row_number() OVER (ORDER BY {_LINES}) - 1 AS pos FROM lineitem")
+def k03_document(spark, sf):
+    """All lines as one document {n, results}, written by all tasks; positions are those in the document."""
+    path = f"{_folder(spark, 'document')}/results.json"
+    li = table(spark, sf, "lineitem").select(*_LINES.split(", "))
+    documents.results(li, path, li.columns)
+    back = spark.read.schema(f"n bigint, results array<{li.schema.simpleString()}>").json(path, multiLine=True)
+    return back.select("n", F.posexplode("results").alias("pos", "r")).select("r.*", "n", F.col("pos").cast("long").alias("pos"))
+
+
+@query("k06_combined_array", "SELECT o_orderkey, o_custkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos FROM orders")
+def k06_combined(spark, sf):
+    path = f"{_folder(spark, 'combined')}/all.json"
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    documents.combined(o, path, ["o_orderkey"])
+    back = spark.read.text(path, wholetext=True).select(F.posexplode(F.from_json("value", f"array<{o.schema.simpleString()}>")).alias("pos", "r"))
+    return back.select("r.*", F.col("pos").cast("long").alias("pos"))
+
+
+# ---- archives and arrays ----
+def _archived(df, path: str, cut: bool = False) -> None:
+    """(part, key, content) as one archive for each part, its members in order; cut: the last byte of each archive's last member is missing."""
+
+    def write(pdf):
+        import io
+        import tarfile
+
+        import pandas as pd
+
+        buf, end = io.BytesIO(), 0
+        with tarfile.open(fileobj=buf, mode="w") as tar:
+            for key, content in sorted(zip(pdf["key"], pdf["content"])):
+                info = tarfile.TarInfo(f"{key}.txt")
+                info.size = len(content)
+                tar.addfile(info, io.BytesIO(content))
+                end = tar.offset - (-info.size % 512)
+        with files.created(f"{path}/part{pdf['part'].iloc[0]}.tar") as out:
+            out.write(buf.getvalue()[: end - 1] if cut else buf.getvalue())
+        return pd.DataFrame({"n": [len(pdf)]})
+
+    df.groupBy("part").applyInPandas(write, "n long").write.format("noop").mode("overwrite").save()
+
+
+def _turns(spark, sf):
+    c = table(spark, sf, "conversations")
+    return c.select(F.pmod("conv_id", F.lit(7)).alias("part"), F.format_string("%08d-%04d", "conv_id", "turn").alias("key"), F.col("text").cast("binary").alias("content"))
+
+
+def _file(c="archive"):
+    return F.element_at(F.split(c, "/"), -1).alias("file")
+
+
+_KEY = "printf('%08d-%04d', conv_id, turn)"
+
+
+@query("s07_archive_members", f"SELECT 'part' || (conv_id % 7) || '.tar' AS file, {_KEY} AS key, text FROM conversations")
+def s07_members(spark, sf):
+    """Archives, written by tasks and read again member by member; they are deleted when the members have been written."""
+    path = _folder(spark, "archives")
+    _archived(_turns(spark, sf), path)
+    members, _ = rejects.parted(archives.tar_members(spark, f"{path}/*.tar", ".txt", piece=1 << 20))
+    archives.remove(spark, f"{path}/*.tar")
+    return members.select(_file(), "key", F.col("content").cast("string").alias("text"))
+
+
+@query("s07_archive_keys", f"SELECT {_KEY} AS key, text FROM conversations WHERE role = 'user'")
+def s07_keys(spark, sf):
+    path = _folder(spark, "archives")
+    _archived(_turns(spark, sf), path)
+    wanted = table(spark, sf, "conversations").filter("role = 'user'").select(F.format_string("%08d-%04d", "conv_id", "turn").alias("key"))
+    return archives.tar_members(spark, f"{path}/*.tar", ".txt", wanted).select("key", F.col("content").cast("string").alias("text"))
+
+
+@query("f15_archive_rejects", f"WITH p AS (SELECT 'part' || (conv_id % 7) || '.tar' AS file, max({_KEY}) AS key FROM conversations GROUP BY 1) SELECT file, key, 'member is cut off' AS error FROM p UNION ALL SELECT file, NULL, 'ReadError: unexpected end of data' FROM p")
+def f15_archives(spark, sf):
+    """What can't be read of archives whose last member is cut off."""
+    path = _folder(spark, "archives")
+    _archived(_turns(spark, sf), path, cut=True)
+    _, bad = rejects.parted(archives.tar_members(spark, f"{path}/*.tar", ".txt"))
+    return bad.select(_file(), "key", "error")
+
+
+def _saved_arrays(df, path: str, broken: int | None = None) -> None:
+    """(part, id, v) as one .npz file for each part; of one part only the first half of the bytes."""
+
+    def write(pdf):
+        import io
+
+        import numpy as np
+        import pandas as pd
+
+        buf = io.BytesIO()
+        np.savez(buf, ids=pdf["id"].to_numpy(), emb=np.stack(pdf["v"].to_numpy()).astype(np.float32))
+        part = int(pdf["part"].iloc[0])
+        with files.created(f"{path}/part{part}.npz") as out:
+            out.write(buf.getvalue()[: len(buf.getvalue()) // 2 if part == broken else None])
+        return pd.DataFrame({"n": [len(pdf)]})
+
+    df.groupBy("part").applyInPandas(write, "n long").write.format("noop").mode("overwrite").save()
+
+
+def _vectors(spark, sf):
+    return table(spark, sf, "embeddings").select(F.pmod("vec_id", F.lit(5)).alias("part"), F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+
+
+@query("s06_npz_rows", "SELECT 'part' || (vec_id % 5) || '.npz' AS file, vec_id::VARCHAR AS id, i::INT AS i, round(embedding[i + 1]::DOUBLE, 5) AS v FROM embeddings, (SELECT unnest(range(64)) AS i)")
+def s06_rows(spark, sf):
+    """Arrays in files, written by tasks and read again in runs of rows."""
+    path = _folder(spark, "arrays")
+    _saved_arrays(_vectors(spark, sf), path)
+    rows = archives.npz_rows(spark, f"{path}/*.npz", piece=64 << 10)
+    return rows.select(_file(), "id", F.posexplode("embedding").alias("i", "v")).withColumn("v", F.round(F.col("v").cast("double"), 5))
+
+
+@query("f15_npz_rejects", "SELECT 'part' || (vec_id % 5) || '.npz' AS file, CASE WHEN vec_id % 5 = 3 THEN 'BadZipFile' ELSE 'read' END AS state, CASE WHEN vec_id % 5 = 3 THEN 1 ELSE count(*) END AS n FROM embeddings GROUP BY vec_id % 5")
+def f15_npz(spark, sf):
+    """One of five files is cut in half: it is a reject, the others are read."""
+    path = _folder(spark, "arrays")
+    _saved_arrays(_vectors(spark, sf), path, broken=3)
+    good, bad = rejects.parted(archives.npz_rows(spark, f"{path}/*.npz"))
+    both = good.select("archive", F.lit("read").alias("state")).unionByName(bad.select("archive", F.split("error", ":")[0].alias("state")))
+    return both.groupBy(_file(), "state").agg(F.count("*").alias("n"))
+
+
+@query("f15_json_rejects", "SELECT CASE WHEN c_custkey % 5 = 2 THEN NULL WHEN c_custkey % 5 = 4 THEN NULL ELSE c_custkey::VARCHAR END AS key, CASE c_custkey % 5 WHEN 2 THEN 'not JSON' WHEN 4 THEN 'no id' ELSE 'read' END AS state FROM customer")
+def f15_json(spark, sf):
+    """Documents of which every fifth is broken and every fifth has no id."""
+    path, m = _folder(spark, "json"), F.pmod("c_custkey", F.lit(5))
+    c = table(spark, sf, "customer")
+    doc = F.when(m == 2, F.lit('{"id": ')).when(m == 4, F.lit('{"dims": {}}')).otherwise(F.to_json(F.struct(F.col("c_custkey").cast("string").alias("id"), "c_name")))
+    documents.texts_each(c, path, F.col("c_custkey"), doc)
+    good, bad = rejects.parted(scans.checked_predictions(spark, path))
+    return good.select("key", F.lit("read").alias("state")).unionByName(bad.select("key", F.col("error").alias("state")))
+
+
 _FORTY = 40
 
 

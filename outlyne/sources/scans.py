@@ -24,6 +24,16 @@ def predictions(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.explode(each).alias("preds")).select(F.get_json_object("preds", "$.id").alias("entity_id"), "preds")
 
 
+def checked_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """(archive, key, preds, error) of JSON documents: a file, or an object in an array, that is not JSON or has no id is a row with the reason."""
+    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("archive"), F.trim("value").alias("t"))
+    each = F.when(F.startswith("t", F.lit("[")), F.from_json("t", "array<string>")).otherwise(F.array("t"))
+    rows = raw.select("archive", F.explode_outer(F.coalesce(each, F.array(F.lit(None).cast("string")))).alias("preds"))
+    key, ok = F.get_json_object("preds", "$.id"), F.try_parse_json("preds").isNotNull()
+    error = F.when(~ok, "not JSON").when(key.isNull(), "no id")
+    return rows.select("archive", F.when(ok, key).alias("key"), F.when(error.isNull(), F.col("preds")).alias("preds"), error.alias("error"))
+
+
 def predictions_from_text(spark: SparkSession, text: str) -> DataFrame:
     """The same from text at hand, such as standard input."""
     return spark.createDataFrame([(json.loads(text).get("id"), text)], "entity_id string, preds string")
@@ -52,21 +62,6 @@ def parquet_files(spark: SparkSession, folder: str, pattern: str, columns: Seque
     return df.select(*columns)
 
 
-def embeddings_from_npz(spark: SparkSession, path: str) -> DataFrame:
-    """(id, embedding) of an .npz file with arrays ids and emb: read once, to be written as Parquet."""
-    content = spark.read.format("binaryFile").load(path).select("content")
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for c in batch.column("content"):
-                z = np.load(io.BytesIO(c.as_py()), allow_pickle=False)
-                ids, emb = z["ids"], z["emb"].astype(np.float32)
-                for a in range(0, len(ids), 10_000):
-                    yield pa.RecordBatch.from_arrays([pa.array([str(i) for i in ids[a : a + 10_000]]), pa.array(list(emb[a : a + 10_000]), pa.list_(pa.float32()))], names=["id", "embedding"])
-
-    return content.mapInArrow(rows, "id string, embedding array<float>")
-
-
 def _members(content: bytes, suffix: str, wanted: frozenset[str] | None) -> Iterator[tuple[str, bytes]]:
     """What can be read of an archive, up to the place where it is broken."""
     try:
@@ -91,7 +86,8 @@ def _members(content: bytes, suffix: str, wanted: frozenset[str] | None) -> Iter
 def tar_members(spark: SparkSession, path: str, suffix: str, keys: Iterable[str] | None = None) -> DataFrame:
     """(archive, key, content) of members with a suffix, and of some keys only; archives and members that can't be read are left out.
 
-    An archive meets a task whole, one at a time; its members leave the task one after another.
+    An archive meets a task whole, one at a time; its members leave the task one after another.  archives.tar_members reads archives in pieces and lists
+    what can't be read; this one serves stores that only Spark's own readers know.
     """
     wanted = None if keys is None else frozenset(keys)
     files = spark.read.format("binaryFile").load(path).select("path", "content")

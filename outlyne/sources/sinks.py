@@ -1,8 +1,8 @@
-"""Writers: stage tables, baseline document, results, reports."""
+"""Writers: stage tables, result lines, reports.  Single documents and files for each row are written by `documents`."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.scoring import emphasise, html_escape
@@ -14,27 +14,11 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def baseline_document(stats: DataFrame, meta: dict) -> DataFrame:
-    """One row (value): a JSON object with `_meta` first and the dimensions in code-point order.  As many rows as there are dimensions meet."""
-    import json
-
-    body = F.concat(F.to_json(F.struct(F.col("dim").alias("k"))), F.lit(""))
-    name = F.regexp_replace(body, r'^\{"k":(.*)\}$', "$1")
-    rows = F.struct("dim", F.concat(name, F.lit(": "), F.to_json(F.struct(*[F.col(c).alias("group" if c == "grp" else c) for c in stats.columns if c != "dim"]))).alias("t"))
-    entries = F.transform(F.array_sort(F.collect_list(rows)), lambda x: x["t"])
-    return stats.agg(F.concat(F.lit("{" + f'"_meta": {json.dumps(meta)}'), F.when(F.count("*") > 0, F.concat(F.lit(", "), F.array_join(entries, ", "))).otherwise(""), F.lit("}")).alias("value"))
-
-
 def results(df: DataFrame, path: str) -> int:
-    """One JSON object a line; returns how many."""
-    df.write.mode("overwrite").json(path)
-    return df.sparkSession.read.text(path).count()
-
-
-def results_document(df: DataFrame, order: Column) -> DataFrame:
-    """One row (value): {n, results: [...]}; for results that fit one document."""
-    listed = F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), F.to_json(F.struct(*df.columns)).alias("t")))), lambda x: x["t"])
-    return df.agg(F.concat(F.lit('{"n": '), F.count("*").cast("string"), F.lit(', "results": ['), F.array_join(listed, ", "), F.lit("]}")).alias("value"))
+    """One JSON object a line; returns how many, as counted while they were written."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").json(path)
+    return seen.get["n"]
 
 
 def cards(df: DataFrame, key: str, text: str, error: str | None = None) -> DataFrame:
@@ -45,6 +29,6 @@ def cards(df: DataFrame, key: str, text: str, error: str | None = None) -> DataF
     return df.select(key, body.alias("html"))
 
 
-def one_file_each(df: DataFrame, path: str, key: str) -> None:
-    """A folder of JSON files for each key."""
+def folder_each(df: DataFrame, path: str, key: str) -> None:
+    """A folder of JSON lines for each key."""
     df.write.mode("overwrite").partitionBy(key).json(path)

@@ -15,7 +15,7 @@ def test_twin(spark, name):
 
 def test_x18_whole_text(spark):
     long = spark.read.parquet(f"{SF}/documents.parquet").filter("length(text) > 80").select("doc_id", "text")
-    got = queries.QUERIES["x18_html_whole"](spark, SF).join(long, "doc_id").collect()
+    got = queries.QUERIES["x18_html"](spark, SF).join(long, "doc_id").collect()
     assert got
     for r in got:
         assert html.unescape(r["html"].replace('<span class="burst">', "").replace("</span>", "")) == f"({r['text']})"

@@ -6,7 +6,7 @@ import wave
 import numpy as np
 
 from outlyne.operators import records
-from outlyne.sources import scans, sinks
+from outlyne.sources import archives, documents, rejects, scans, sinks
 
 
 def test_json_documents(spark, tmp_path):
@@ -19,9 +19,8 @@ def test_json_documents(spark, tmp_path):
 
 def test_baseline_round_trip(spark, tmp_path):
     stats = spark.createDataFrame([("b", 1.0, 0.5, "trait", ["s"]), ("a", 2.0, 1.5, "emotion", None)], "dim string, median double, spread double, grp string, synonyms array<string>")
-    text = sinks.baseline_document(stats, {"seed": 1}).first()["value"]
-    assert list(json.loads(text)) == ["_meta", "a", "b"]
-    (tmp_path / "b.json").write_text(text)
+    assert documents.baseline(stats, str(tmp_path / "b.json"), {"seed": 1}) == 2
+    assert list(json.loads((tmp_path / "b.json").read_text())) == ["_meta", "a", "b"]
     got = {r["dim"]: r for r in scans.baseline_document(spark, str(tmp_path / "b.json")).collect()}
     assert set(got) == {"a", "b"} and got["b"]["spread"] == 0.5 and got["b"]["synonyms"] == ["s"] and got["a"]["grp"] == "emotion"
     assert {r["grp"] for r in scans.baseline_document(spark, str(tmp_path / "b.json"), {"trait": "x"}).collect()} == {"x", "emotion"}
@@ -29,13 +28,11 @@ def test_baseline_round_trip(spark, tmp_path):
     assert scans.baseline_table(spark, str(tmp_path / "st")).count() == 2
 
 
-def test_parquet_files_and_npz(spark, tmp_path):
+def test_parquet_files(spark, tmp_path):
     for i in range(3):
         spark.range(i + 1).selectExpr("id", "id * 2 AS other").coalesce(1).toPandas().to_parquet(tmp_path / f"scores-{i}.parquet")
     assert scans.parquet_files(spark, str(tmp_path), "scores-*.parquet", ["id"]).count() == 6
     assert scans.parquet_files(spark, str(tmp_path), "scores-*.parquet", ["id"], first=2).count() == 3
-    np.savez(tmp_path / "e.npz", ids=np.array(["p", "q"]), emb=np.array([[1, 2], [3, 4]], np.float16))
-    assert {r["id"]: list(r["embedding"]) for r in scans.embeddings_from_npz(spark, str(tmp_path / "e.npz")).collect()} == {"p": [1.0, 2.0], "q": [3.0, 4.0]}
 
 
 def test_archives_and_audio(spark, tmp_path):
@@ -60,6 +57,95 @@ def test_archives_and_audio(spark, tmp_path):
     assert got["b"]["samples"] is None and got["b"]["error"]
 
 
+def sums(df):
+    return {(r["archive"].rsplit("/", 1)[1], r["id"]): sum(r["embedding"]) for r in df.collect()}
+
+
+def test_arrays_in_runs_of_rows(spark, tmp_path):
+    x = np.arange(6400).reshape(100, 64) % 97
+    np.savez(tmp_path / "half.npz", ids=np.array([f"é{i}" for i in range(100)]), emb=x.astype(np.float16))
+    np.savez_compressed(tmp_path / "small.npz", emb=x.astype(np.float64), ids=np.arange(100))
+    np.savez(tmp_path / "none.npz", ids=np.array([], str), emb=np.zeros((0, 4)))
+    np.savez(tmp_path / "odd.npz", ids=np.arange(3), emb=np.zeros((4, 2)))
+    np.savez(tmp_path / "objects.npz", ids=np.array([{}, []], object), emb=np.zeros((2, 2)))
+    whole = (tmp_path / "half.npz").read_bytes()
+    (tmp_path / "cut.npz").write_bytes(whole[: len(whole) // 2])
+    good, bad = rejects.parted(archives.npz_rows(spark, str(tmp_path / "*.npz"), piece=1 << 10))
+    want = {("half.npz", f"é{i}"): float(r.sum()) for i, r in enumerate(x)} | {("small.npz", str(i)): float(r.sum()) for i, r in enumerate(x)}
+    assert sums(good) == want and good.count() == 200
+    assert sorted(r["archive"].rsplit("/", 1)[1] for r in bad.collect()) == ["cut.npz", "objects.npz", "odd.npz"] and all(r["error"] for r in bad.collect())
+
+
+def test_archive_larger_than_a_row(spark, tmp_path):
+    """A sparse archive of 2.5 GB: its small members are read by several tasks, the 2.4 GB member is passed over, and none of it is read for the index."""
+    with open(tmp_path / "big.tar", "wb") as f:
+        def member(name, data, size=None):
+            info = tarfile.TarInfo(name)
+            info.size = len(data) if size is None else size
+            f.write(info.tobuf(tarfile.GNU_FORMAT))
+            f.write(data)
+            f.seek(-f.tell() % 512 if size is None else f.tell() + -(-size // 512) * 512, 1 if size is None else 0)
+        for i in range(40):
+            member(f"a{i}.txt", b"x" * (1 << 20))
+        member("huge.bin", b"", 2_400_000_000)
+        for i in range(40):
+            member(f"b{i}.txt", b"y" * 1000)
+        f.truncate(f.tell() + 1024)
+    assert (tmp_path / "big.tar").stat().st_size > 2**31
+    m = archives.tar_members(spark, str(tmp_path / "big.tar"), ".txt", piece=4 << 20)
+    got = m.selectExpr("key", "length(content) AS n", "error", "spark_partition_id() AS task").collect()
+    assert {(r["key"], r["n"]) for r in got} == {(f"a{i}", 1 << 20) for i in range(40)} | {(f"b{i}", 1000) for i in range(40)} and len(got) == 80
+    assert len({r["task"] for r in got}) > 3 and not any(r["error"] for r in got)
+
+
+def test_archive_rejects_keys_and_removal(spark, tmp_path):
+    def archive(name, mode="w"):
+        with tarfile.open(tmp_path / name, mode) as t:
+            for i in range(5):
+                info = tarfile.TarInfo(f"m{i}.txt")
+                info.size = 1000
+                t.addfile(info, io.BytesIO(bytes([65 + i]) * 1000))
+            t.addfile(tarfile.TarInfo("other.bin"))
+    archive("a.tar"), archive("b.tar.gz", "w:gz")
+    whole = (tmp_path / "a.tar").read_bytes()
+    (tmp_path / "cut.tar").write_bytes(whole[:2500])
+    (tmp_path / "none.tar").write_bytes(b"no archive" * 100)
+    zipped = (tmp_path / "b.tar.gz").read_bytes()
+    (tmp_path / "cut.tar.gz").write_bytes(zipped[: len(zipped) // 2])
+    (tmp_path / "empty.tar").write_bytes(b"")
+    good, bad = rejects.parted(archives.tar_members(spark, f"{tmp_path}/*.tar*", ".txt", piece=1024))
+    name = lambda r: r["archive"].rsplit("/", 1)[1]
+    listed = {(name(r), r["key"], bytes(r["content"][:1])) for r in good.collect() if not name(r).startswith("cut.tar.gz")}
+    assert listed == {(f, f"m{i}", bytes([65 + i])) for f in ("a.tar", "b.tar.gz") for i in range(5)} | {("cut.tar", "m0", b"A")}
+    found = {(name(r), r["key"]) for r in bad.collect()}
+    assert found >= {("cut.tar", "m1"), ("cut.tar", None), ("none.tar", None), ("cut.tar.gz", None)} and bad.columns == ["archive", "key", "content", "error"]
+    keys = spark.createDataFrame([("m3",), ("m3",), ("none",)], "key string")
+    some = archives.tar_members(spark, f"{tmp_path}/[ab].tar*", ".txt", keys).collect()
+    assert sorted((name(r), r["key"], len(r["content"])) for r in some) == [("a.tar", "m3", 1000), ("b.tar.gz", "m3", 1000)]
+    assert archives.remove(spark, f"{tmp_path}/*.tar") == 3 and sorted(x.name for x in tmp_path.iterdir()) == ["b.tar.gz", "cut.tar.gz", "empty.tar"]
+
+
+def test_documents(spark, tmp_path):
+    df = spark.range(5000).selectExpr("id", "concat('é\"', id) AS name", "CAST(NULL AS STRING) AS none").repartition(7)
+    assert documents.results(df, str(tmp_path / "r.json"), ["id"]) == 5000
+    doc = json.loads((tmp_path / "r.json").read_text())
+    assert doc["n"] == 5000 and doc["results"] == [{"id": i, "name": f'é"{i}', "none": None} for i in range(5000)]
+    assert documents.combined(df.limit(0), str(tmp_path / "c.json"), ["id"]) == 0 and json.loads((tmp_path / "c.json").read_text()) == []
+    assert documents.one_file_each(df.filter("id < 20"), str(tmp_path / "each"), "id") == 20
+    assert {x.name for x in (tmp_path / "each").iterdir()} == {f"{i}.json" for i in range(20)} and json.loads((tmp_path / "each" / "7.json").read_text())["id"] == 7
+    assert sorted(x.name for x in tmp_path.iterdir()) == ["c.json", "each", "r.json"]  # no parts are left
+
+
+def test_json_rejects(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id": "x", "dims": {}}')
+    (tmp_path / "b.json").write_text('{"id": ')
+    (tmp_path / "c.json").write_text('[{"id": "y"}, {"dims": {}}]')
+    (tmp_path / "d.json").write_text("")
+    good, bad = rejects.parted(scans.checked_predictions(spark, str(tmp_path)))
+    assert sorted(r["key"] for r in good.collect()) == ["x", "y"]
+    assert sorted((r["archive"].rsplit("/", 1)[1], r["error"]) for r in bad.collect()) == [("b.json", "not JSON"), ("c.json", "no id"), ("d.json", "not JSON")]
+
+
 def test_taxonomies(spark, tmp_path):
     doc = {"meta": {"n": 3}, "categories": {"z_first": {"items": {"Zed": {"description": "d1", "group": "z_first"}, "Abe": {"description": "d2"}}}, "a_second": {"items": {"Cat": {"description": "d3"}}}}}
     (tmp_path / "t.json").write_text(json.dumps(doc))
@@ -87,11 +173,9 @@ def test_records(spark, tmp_path):
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("b", "x(y)", None), ("a", None, "bad")], "id string, text string, error string")
     assert sinks.results(df, str(tmp_path / "o")) == 2
-    doc = json.loads(sinks.results_document(df, df["id"]).first()["value"])
-    assert doc["n"] == 2 and [r["id"] for r in doc["results"]] == ["a", "b"]
     html = {r["id"]: r["html"] for r in sinks.cards(df, "id", "text", "error").collect()}
     assert "ERROR: bad" in html["a"] and 'class="burst">(y)' in html["b"]
-    sinks.one_file_each(df, str(tmp_path / "each"), "id")
+    sinks.folder_each(df, str(tmp_path / "each"), "id")
     assert spark.read.json(str(tmp_path / "each")).count() == 2
 
 
