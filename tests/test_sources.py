@@ -140,7 +140,7 @@ def test_json_rejects(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"id": "x", "dims": {}}')
     (tmp_path / "b.json").write_text('{"id": ')
     (tmp_path / "c.json").write_text('[{"id": "y"}, {"dims": {}}]')
-    (tmp_path / "d.json").write_text("")
+    (tmp_path / "d.json").write_text(" ")
     good, bad = rejects.parted(scans.checked_predictions(spark, str(tmp_path)))
     assert sorted(r["key"] for r in good.collect()) == ["x", "y"]
     assert sorted((r["archive"].rsplit("/", 1)[1], r["error"]) for r in bad.collect()) == [("b.json", "not JSON"), ("c.json", "no id"), ("d.json", "not JSON")]
