@@ -17,7 +17,9 @@ off at every size) the hash seed moves on.
 Verify: (1) copies of one shingle set are one class; one of them stands for it; (2) in rounds each bucket of one segment takes its most
 central member, the one with the fewest segments of its own, as hub and verifies the other members against it; links found
 join components, and a bucket whose members are all in one component is done; (3) when a round no longer halves what is open, pairs
-in a bucket that are still in different components are verified.  Before a pair is verified, a second parity sketch, of two
+in a bucket that are still in different components are verified, except pairs of documents that both have too many shingles that no other component of
+large buckets has: D counts these of both, so one of two linked documents has 9 own <= n, and two with more are never brought together.  What
+have few shingles of their own, share much and are yet unlinked are still compared pair by pair in each bucket.  Before a pair is verified, a second parity sketch, of two
 to four bits a shingle and 512 at least, must show a Hamming distance of no more than D.  So all links that can change a
 component are verified on whole sets, and no pair inside a component is listed.  No bucket or pair is capped.  all_links lists
 every candidate pair instead, and counts the links of each class.
@@ -50,6 +52,7 @@ from .graph import components
 WIDTH, NUM, DEN = 5, 80, 100
 BITS = 512
 SINGLE = 64  # below this size every segment holds one shingle
+SMALL = 8  # documents of a bucket that are compared without a count of their own shingles
 HELD = 1 << 20  # keys that a task gathers before it sends them
 _KNOWN = 64  # added to a key's band: another document is known to hold the key
 _META = "doc long, id long, n int, s1 long, s2 long, emits boolean, ok boolean"
@@ -385,15 +388,51 @@ def _join(ws: Workspace, live: DataFrame, sets: DataFrame, found: _Components, a
         before, left = left, live.count()
     if not left:
         return
-    open_ = found.of(live.select("key", "doc", "band"), "doc", "comp").join(about, "doc").withColumn("s", _fit("sketch", "band"))
-    open_ = ws.put("mixed", open_.select("key", "doc", "comp", "n", "s"))
-    x, y = (open_.select("key", F.col("doc").alias(i), F.col("comp").alias("c" + i), F.col("n").alias("n" + i), F.col("s").alias("s" + i)) for i in "ab")
-    apart = (F.col("a") < F.col("b")) & (F.lit(True) if all_links else F.col("ca") != F.col("cb"))
-    pairs = ws.put("pairs", x.join(y, (x["key"] == y["key"]) & apart & _near()).select("a", "b").distinct())
-    ws.drop("mixed")
+    open_ = found.of(live.select("key", "doc", "band"), "doc", "comp")
+    open_ = ws.put("open", open_.join(_own(ws, open_, sets), "doc", "left").join(about, "doc").withColumn("s", _fit("sketch", "band")).select("key", "doc", "comp", "n", "s", F.coalesce("own", F.lit(0)).alias("own")))
+    pairs = ws.put("pairs", _compared(*_sides(open_), all_links).distinct())
+    ws.drop("open")
     found.add(_verify(pairs, sets))
 
 
+def _own(ws: Workspace, open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """(doc, own) for documents of large buckets (key, doc, comp): how many of a document's shingles no document of another component has.
+
+    Only documents in such buckets are counted, and only against each other, since only they will be compared.  In small buckets own is not needed.
+    """
+    large = open_.groupBy("key").count().filter(F.col("count") > SMALL).select("key")
+    who = ws.put("large", open_.join(large, "key", "left_semi").select("doc", "comp").distinct())
+    held = sets.join(who, "doc").select("doc", "comp", F.explode("hashes").alias("h"))
+    lone = ws.put("lone", held.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo = hi").select("h"))
+    own = ws.put("own", held.select("doc", "h").join(lone, "h", "left_semi").groupBy("doc").agg(F.count("*").alias("own")))
+    ws.drop("lone")
+    return own
+
+
+def _sides(open_: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two sides (key, cls, doc, comp, n, s, room) of each bucket, to be joined on key and class.
+
+    Shingles that only x's component has are not in y, and the other way round, so a link needs own(x) + own(y) <= D.  That is room(x) + room(y) >= 0
+    with room = 20 n - 180 own.  Those with room meet each other (class -1); those without meet only such as have more room than they
+    lack, by powers of two: one with room looks into all classes up to its own.
+    """
+    room = F.col("n") * (DEN - NUM) - F.col("own") * (DEN + NUM)
+    size = F.length(F.bin(F.abs(room))) - F.when(room == 0, 1).otherwise(0)
+    rows = open_.select("key", "doc", "comp", "n", "s", room.cast("long").alias("room"), size.alias("size"))
+    x = rows.filter("room >= 0").withColumn("cls", F.explode(F.sequence(F.lit(-1), "size")))
+    y = rows.withColumn("cls", F.when(F.col("room") >= 0, -1).otherwise(F.col("size")))
+    named = lambda df, i: df.select("key", "cls", *[F.col(c).alias(c + i) for c in ("doc", "comp", "n", "s", "room")])
+    return named(x, "a"), named(y, "b")
+
+
+def _compared(x: DataFrame, y: DataFrame, all_links: bool) -> DataFrame:
+    """Pairs (a, b) of the two sides whose sizes, own shingles and sketches leave room for a link."""
+    once = (F.col("roomb") < 0) | (F.col("doca") < F.col("docb"))
+    apart = F.col("doca") != F.col("docb") if all_links else F.col("compa") != F.col("compb")
+    same = (x["key"] == y["key"]) & (x["cls"] == y["cls"])
+    return x.join(y, same & once & apart & (F.col("rooma") + F.col("roomb") >= 0) & _near()).select(F.least("doca", "docb").alias("a"), F.greatest("doca", "docb").alias("b"))
+
+
 def _result(meta: DataFrame, first: DataFrame, found: _Components, plain: bool, row: str | None, all_links: bool) -> DataFrame:
     id_ = F.col("least") if plain else F.col("least.id")
     if found.comp is None:
