@@ -1,4 +1,8 @@
-"""Model heads over embeddings.  Linear algebra that SQL can say is a column; the rest runs on Arrow batches."""
+"""Model heads over embeddings.
+
+Linear algebra that SQL can say is a column.  A model that a worker can hold is a Net on Arrow batches; the weights of any model may instead be a
+table, which is joined layer by layer (`layered`), so neither its size nor the number of heads is bounded by a worker.
+"""
 
 from __future__ import annotations
 
@@ -138,3 +142,48 @@ def run_classifier(df: DataFrame, key: str, vector: str, net: Net) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(out, pa.list_(pa.float64()))], names=[key, "scores"])
 
     return df.select(key, vector).mapInArrow(run, f"{key} {dict(df.dtypes)[key]}, scores array<double>")
+
+
+TERMS = 120  # of the series of erf, which then has all digits of a double up to 6
+
+
+def erf_column(x: Column) -> Column:
+    """The error function by the nested form of its series of positive terms; beyond 6 it is 1."""
+    y = F.greatest(F.lit(-6.0), F.least(F.lit(6.0), x))
+    nested = F.aggregate(F.sequence(F.lit(TERMS), F.lit(1), F.lit(-1)), F.lit(1.0), lambda t, n: 1.0 + t * 2.0 * y * y / (2 * n + 1))
+    return F.lit(2.0 / math.sqrt(math.pi)) * F.exp(-y * y) * y * nested
+
+
+def gelu(x: Column) -> Column:
+    return x * 0.5 * (1.0 + erf_column(x / math.sqrt(2)))
+
+
+def normed(x: Column) -> Column:
+    """A vector less its mean, over its deviation."""
+    n, total = F.size(x), lambda v: F.aggregate(v, F.lit(0.0), lambda t, a: t + a)
+    centred = F.transform(F.array(total(x) / n), lambda m: F.transform(x, lambda a: a - m))[0]
+    return F.transform(F.array(centred), lambda c: F.transform(F.array(F.sqrt(total(F.transform(c, lambda a: a * a)) / n + 1e-5)), lambda s: F.transform(c, lambda a: a / s))[0])[0]
+
+
+_AFTER = {"relu": lambda x: F.transform(x, lambda a: F.greatest(a, F.lit(0.0))), "gelu": lambda x: F.transform(x, gelu), "norm": normed, "sigmoid": lambda x: F.transform(x, lambda a: 1.0 / (1.0 + F.exp(-a)))}
+
+
+def layered(df: DataFrame, key: str, vector: str, weights: DataFrame, layers: Sequence[Sequence[str]]) -> DataFrame:
+    """(key, head, values) of every head for every row, by a join with the weights for each layer.
+
+    weights: (head, layer, out, w, b), a row for each output of a layer, numbered from 0; layers: what follows each linear layer, of norm, relu,
+    gelu and sigmoid.  A list of lists is flattened.  A join meets on the head; its outputs are put together by key and head.  key must be
+    unique; rows without a vector give none.
+    """
+    flat = F.flatten(vector) if dict(df.dtypes)[vector].startswith("array<array") else F.col(vector)
+    x = df.filter(F.col(vector).isNotNull()).select(key, F.transform(flat, lambda v: v.cast("double")).alias("x"))
+    for i, after in enumerate(layers):
+        own = weights.filter(F.col("layer") == i).select("head", "out", "w", "b")
+        if i == 0:  # the first layer reads every row: it meets the heads as a list, not by a join of all with all
+            names = own.agg(F.collect_set("head").alias("h"))
+            x = x.withColumn("head", F.explode(names.scalar()))
+        made = x.join(own, "head").select(key, "head", "out", (dot(F.col("x"), F.col("w")) + F.col("b")).alias("v"))
+        x = made.groupBy(key, "head").agg(F.transform(F.array_sort(F.collect_list(F.struct("out", "v"))), lambda s: s["v"]).alias("x"))
+        for kind in after:
+            x = x.withColumn("x", _AFTER[kind](F.col("x")))
+    return x.withColumnRenamed("x", "values")

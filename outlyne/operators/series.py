@@ -133,3 +133,24 @@ def runs(marked: DataFrame, keys: list[str], ix: str, values: dict[str, tuple[st
     open_ = open_.withColumn("_run", F.sum("_new").over(line.rowsBetween(Window.unboundedPreceding, 0)))
     whole = open_.groupBy(*keys, "_run").agg(F.min("i").alias("i"), F.max("j").alias("j"), F.sum("n").alias("n"), *[put(h, k).alias(k) for k, (h, _) in values.items()])
     return inner.unionByName(whole.drop("_run"))
+
+
+def convolve(frames: DataFrame, keys: list[str], ix: str, x: str, kernel: Sequence[Sequence[Sequence[float]]], bias: Sequence[float], rows: int = ROWS) -> DataFrame:
+    """(keys, ix, y): a convolution along each series of vectors x, one for each number ix; y has an output for each kernel (width, channel).
+
+    Frames are dealt out in pieces of numbers; a piece also gets copies of the frames within half a width of its edges, so a long series is
+    many tasks'.  A frame that is missing, and what lies beyond the ends, counts as zeros.
+    """
+    half = len(kernel[0]) // 2
+    at = F.col(ix)
+    near = F.array_distinct(F.array(piece_of_rows(at - half, rows), piece_of_rows(at, rows), piece_of_rows(at + half, rows)))
+    dealt = frames.select(*keys, ix, x).withColumn("_piece", F.explode(near))
+    around = Window.partitionBy(*keys, "_piece").orderBy(at.cast("long")).rangeBetween(-half, len(kernel[0]) - 1 - half)
+    seen = dealt.withColumn("_near", F.collect_list(F.struct(at.alias("i"), F.col(x).alias("v"))).over(around)).filter(F.col("_piece") == piece_of_rows(at, rows))
+
+    def output(w: Sequence[Sequence[float]], b: float) -> Column:
+        taps = F.array(*[F.array(*map(F.lit, map(float, tap))) for tap in w])
+        one = lambda s: F.aggregate(F.zip_with(s["v"], F.get(taps, (s["i"] - at + half).cast("int")), lambda a, c: a.cast("double") * c), F.lit(0.0), lambda t, v: t + F.coalesce(v, F.lit(0.0)))
+        return F.aggregate("_near", F.lit(float(b)), lambda t, s: t + one(s))
+
+    return seen.select(*keys, ix, F.array(*map(output, kernel, bias)).alias("y"))

@@ -575,7 +575,19 @@ def _net(hidden: int, act: str) -> infer.Net:
     return infer.Net([("linear", w1, np.zeros(hidden)), (act,), ("linear", w2, np.array([3.0]))], np.array(_MU), np.array(_SD), 0.0, 6.0)
 
 
-@query("p19_gelu_head", None)
+def gelu_sql(x: str) -> str:
+    """By the nested series of erf, as infer.erf_column has it."""
+    y = f"greatest(-6.0, least(6.0, ({x}) / sqrt(2.0::DOUBLE)))"
+    nested = f"list_reduce(list_concat([1.0::DOUBLE], list_reverse(list_transform(range(1, {infer.TERMS + 1}), lambda n: n::DOUBLE))), lambda t, n: 1.0 + t * 2.0 * ({y}) * ({y}) / (2 * n + 1))"
+    return f"(({x}) * 0.5 * (1.0 + 2.0 / sqrt(pi()) * exp(-({y}) * ({y})) * ({y}) * {nested}))"
+
+
+def _gelu_sql(hidden: int) -> str:
+    a = f"list_sum(list_transform(range(64), lambda i: ((embedding[i + 1]::DOUBLE - ({_arr(_MU)})[i + 1]) / ({_arr(_SD)})[i + 1]) * (((i * 37 + h * 17) % 11 - 5) / 10.0::DOUBLE)))"
+    return f"SELECT vec_id, 'gelu{hidden}' AS head, round(greatest(0.0, least(6.0, 3 + sum(((h * 7) % 5 - 2) / 4.0::DOUBLE * {gelu_sql('a')}))), 4) AS value FROM (SELECT vec_id, h, {a} AS a FROM embeddings, (SELECT unnest(range({hidden})) AS h)) GROUP BY vec_id"
+
+
+@query("p19_gelu_head", f"{_gelu_sql(8)} UNION ALL {_gelu_sql(16)}")
 def p19_gelu(spark, sf):
     return infer.run_heads(table(spark, sf, "embeddings"), "vec_id", "embedding", {"gelu8": _net(8, "gelu"), "gelu16": _net(16, "gelu")}).withColumn("value", F.round("value", 4))
 

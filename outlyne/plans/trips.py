@@ -6,11 +6,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import infer, records, stats
+from ..functions import scoring as S
+from ..operators import infer, records, series, stats
 from ..sources import archives, documents, files, rejects, scans, sinks, stages
 from . import demo, twins as T
 from .demo import CFG, EVENT_CFG, LEXICON, table
-from .queries import _COLUMNS, _TAX, _TAX_SQL, _scores, _series, _SER, query
+from .queries import _COLUMNS, _scores, _series, _SER, gelu_sql, query
 
 
 def _folder(spark, name: str) -> str:
@@ -339,3 +340,67 @@ def p20_classifier(spark, sf):
     last = np.array([[(((j + k) % 3) - 1) * 0.5 for j in range(4)] for k in range(3)])
     net = infer.Net([("linear", first, np.zeros(4)), ("norm", np.ones(4), np.zeros(4)), ("relu",), ("linear", last, np.zeros(3))])
     return infer.run_classifier(table(spark, sf, "embeddings"), "vec_id", "embedding", net).select("vec_id", *[F.round(F.col("scores")[i], 4).alias(f"s{i}") for i in range(3)])
+
+
+# ---- models of full depth, their weights in a table ----
+def _weights(spark, heads: int, widths: tuple[int, ...]):
+    """(head, layer, out, w, b) by a rule: the weight of head h, layer l, output o and input i is ((7 h + 3 l + 5 o + 2 i) mod 9 - 4) / 8, b is (o mod 3 - 1) / 4."""
+    each = F.sequence(F.lit(0), F.lit(heads - 1))
+    sizes = [F.struct(F.lit(n).alias("layer"), F.lit(a).alias("ins"), F.lit(b).alias("outs")) for n, (a, b) in enumerate(zip(widths, widths[1:]))]
+    rows = spark.range(1).select(F.explode(each).alias("h")).select("h", F.inline(F.array(*sizes))).withColumn("out", F.explode(F.sequence(F.lit(0), F.col("outs") - 1)))
+    w = F.transform(F.sequence(F.lit(0), F.col("ins") - 1), lambda i: (F.pmod(F.col("h") * 7 + F.col("layer") * 3 + F.col("out") * 5 + i * 2, F.lit(9)) - 4) / 8.0)
+    return rows.select(F.concat(F.lit("head"), F.col("h").cast("string")).alias("head"), "layer", "out", w.alias("w"), ((F.pmod("out", F.lit(3)) - 1) / 4.0).alias("b"))
+
+
+def _layers_sql(heads: int, widths: tuple[int, ...], after) -> str:
+    """CTEs l0, l1, ...: (vec_id, h, x) after each layer; after(n) gives the CTEs that lead from a{n} to l{n}, for all layers but the last."""
+    ctes = [f"z AS (SELECT vec_id, h, list_transform(embedding, lambda v: v::DOUBLE) AS x FROM embeddings, (SELECT unnest(range({heads})) AS h))"]
+    for n, outs in enumerate(widths[1:]):
+        src = f"l{n - 1}" if n else "z"
+        w = f"((h * 7 + {n * 3} + o * 5 + i * 2) % 9 - 4) / 8.0::DOUBLE"
+        ctes.append(f"a{n} AS (SELECT vec_id, h, list_transform(range({outs}), lambda o: (o % 3 - 1) / 4.0::DOUBLE + list_sum(list_transform(range({widths[n]}), lambda i: x[i + 1] * ({w})))) AS x FROM {src})")
+        ctes.append(after(n) if n + 2 < len(widths) else f"l{n} AS (SELECT * FROM a{n})")
+    return "WITH " + ", ".join(ctes)
+
+
+_EMOTION = (64, 16, 8, 8, 4, 1)
+
+
+@query("p21_forty_chains", f"{_layers_sql(40, _EMOTION, lambda n: f'l{n} AS (SELECT vec_id, h, list_transform(x, lambda v: greatest(0.0, v)) AS x FROM a{n})')} SELECT vec_id, 'head' || h AS head, round(x[1], 4) AS value FROM l4")
+def p21_chains(spark, sf):
+    """Forty chains of five linear layers with ReLU between them, over sequences that are flattened."""
+    e = table(spark, sf, "embeddings").select("vec_id", F.transform(F.sequence(F.lit(0), F.lit(15)), lambda t: F.slice("embedding", t * 4 + 1, F.lit(4))).alias("steps"))
+    w = stages.once(_weights(spark, 40, _EMOTION), "weights")
+    return infer.layered(e, "vec_id", "steps", w, [["relu"]] * 4 + [[]]).select("vec_id", "head", F.round(F.col("values")[0], 4).alias("value"))
+
+
+_BLOCKS = (64, 16, 16, 16, 16, 83)
+_NORMED = "list_transform(x, lambda v: (v - list_avg(x)) / sqrt(list_sum(list_transform(x, lambda u: (u - list_avg(x)) ** 2)) / len(x) + 1e-5))"
+
+
+def _block_sql(n: int) -> str:
+    return f"n{n} AS (SELECT vec_id, h, unnest({_NORMED}) AS v, unnest(range(16)) AS o FROM a{n}), l{n} AS (SELECT vec_id, h, list({gelu_sql('v')} ORDER BY o) AS x FROM n{n} GROUP BY vec_id, h)"
+
+
+@query("p20_four_blocks", f"{_layers_sql(1, _BLOCKS, _block_sql)} SELECT vec_id, o::INT AS out, round(v, 3) + 0.0 AS score FROM (SELECT vec_id, unnest(x) AS v, unnest(range(83)) AS o FROM l4)")
+def p20_blocks(spark, sf):
+    """Four blocks of a linear layer, a norm and GELU, and 83 scores."""
+    w = stages.once(_weights(spark, 1, _BLOCKS), "weights")
+    made = infer.layered(table(spark, sf, "embeddings"), "vec_id", "embedding", w, [["norm", "gelu"]] * 4 + [[]])
+    return made.select("vec_id", F.posexplode("values").alias("out", "score")).withColumn("score", F.round("score", 3))
+
+
+_TAPS = (((0.25, -0.5), (0.5, 0.125), (-0.25, 0.75), (0.125, 0.0), (0.5, 0.25)), ((1.0, 0.0), (0.0, 0.5), (0.0, -1.0), (0.25, 0.0), (0.0, 0.0)))
+
+
+def _taps_sql(w, b: float) -> str:
+    terms = " + ".join(f"coalesce(max(f.p) FILTER (WHERE f.frame_ix = t.frame_ix + {j - 2}) * {a} + max(f.s) FILTER (WHERE f.frame_ix = t.frame_ix + {j - 2}) * {c}, 0.0)" for j, (a, c) in enumerate(w))
+    return f"{b} + {terms}"
+
+
+@query("p22_convolution", f"WITH {T.FRAMES}, c AS (SELECT clip, frame_ix, p, (frame_ix % 7)::DOUBLE AS s FROM frames), y AS (SELECT t.clip, t.frame_ix, {_taps_sql(_TAPS[0], 0.5)} AS a, {_taps_sql(_TAPS[1], -20.0)} AS b FROM c t JOIN c f ON f.clip = t.clip AND f.frame_ix BETWEEN t.frame_ix - 2 AND t.frame_ix + 2 GROUP BY t.clip, t.frame_ix) SELECT clip, frame_ix, round(a, 6) AS a, round(1 / (1 + exp(-b)), 6) AS p FROM y")
+def p22_convolution(spark, sf):
+    """Two outputs over five frames of two channels, in pieces of 16 frames; the second becomes a probability."""
+    f = demo.event_frames(spark, sf).select("clip", "frame_ix", F.array("p", F.pmod("frame_ix", F.lit(7)).cast("double")).alias("x"))
+    y = series.convolve(f, ["clip"], "frame_ix", "x", _TAPS, (0.5, -20.0), 16)
+    return y.select("clip", "frame_ix", F.round(F.col("y")[0], 6).alias("a"), F.round(S.sigmoid(F.col("y")[1]), 6).alias("p"))
