@@ -2,7 +2,8 @@
 
 Templates are licence phrases, which must stand word for word, and licence notices, of which a part is enough.  The words of all
 templates get their document frequency over all documents, and with it an inverse one (IDF).  The index lists each template's
-rarest words with their places in it: of the words that occur in any document RARE of a notice, one of a phrase.  In a text only these words are looked up, at all their
+rarest words with their places in it: of the words that occur in any document RARE of a notice, one of a phrase, less those whose IDF is under LEAST of
+the template's highest.  A notice with a key word that no document has can't be verified and is not indexed.  In a text only these words are looked up, at all their
 positions: the position less the place is where the template would begin, so the postings of a template are intersected by relative
 position.  A phrase is verified word for word at such a beginning.  A notice's beginning is rated by the share of IDF of its postings that are within
 SLACK words of where they should be; it counts from SHARE on, if the notice's key phrases stand within REACH words of their places.
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import lower_ascii, table
 
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-RARE, SLACK, REACH, SHARE = 8, 2, 12, 0.6
+RARE, LEAST, SLACK, REACH, SHARE = 8, 0.3, 2, 12, 0.6
 
 #: Phrases that are a licence's name, and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -91,8 +92,9 @@ def _placed(own: Sequence[str]) -> list[dict]:
 def entry(n: int, found: Mapping[str, int], label: str, text: str, rare: int, keys: Sequence[str] = ()) -> dict:
     """A template in the index: its words, postings (word, place, share of the IDF) of its rarest words, and its key phrases."""
     own = text.split()
-    chosen = set(sorted({w for w in own if w in found}, key=lambda w: (found[w], w))[:rare])
-    worth = [(w, i, math.log((n + 2) / (found[w] + 1))) for i, w in enumerate(own) if w in chosen]
+    idf = {w: math.log((n + 2) / (found[w] + 1)) for w in own if w in found}
+    chosen = {w for w in sorted(idf, key=lambda w: (found[w], w))[:rare] if idf[w] >= LEAST * max(idf.values())}
+    worth = [(w, i, idf[w]) for i, w in enumerate(own) if w in chosen]
     total, places = sum(v for _, _, v in worth), []
     for key in map(str.split, keys):
         places += [{"p": i, "words": _placed(key)} for i in range(len(own)) if own[i : i + len(key)] == key][:1]
@@ -136,7 +138,7 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, notices: Sequenc
     templates = [*phrases, *(x.text for x in notices)]
     n, found = frequencies(docs, sorted({w for t in templates for w in t.split()}))
     names = [entry(n, found, label, p, 1) for p, label in phrases.items()]
-    texts = [entry(n, found, x.label, x.text, rare, x.keys) for x in notices]
+    texts = [entry(n, found, x.label, x.text, rare, x.keys) for x in notices if all(w in found for k in x.keys for w in k.split())]
     lookup = sorted({q["w"] for e in (*names, *texts) for q in e["postings"]})
     rows = docs.select("doc_id", words(F.col("text")).alias("w"))
     rows = rows.withColumn("spots", F.array_compact(F.transform("w", lambda x, i: F.when(x.isin(*lookup), i))))

@@ -49,7 +49,8 @@ def plain_scan(texts, notices=lic.NOTICES):
         for x in notices:
             own, best = x.text.split(), None
             rare = sorted({w for w in own if seen[w]}, key=lambda w: (seen[w], w))[: lic.RARE]
-            worth = [(w, i, math.log((n + 2) / (seen[w] + 1))) for i, w in enumerate(own) if w in rare]
+            idf = {w: math.log((n + 2) / (seen[w] + 1)) for w in rare}
+            worth = [(w, i, idf[w]) for i, w in enumerate(own) if w in rare and idf[w] >= lic.LEAST * max(idf.values())]
             total, where = sum(v for *_, v in worth), defaultdict(list)
             for i, w in enumerate(d):
                 where[w].append(i)
