@@ -657,4 +657,4 @@ def ext_stream(spark, sf):
     return spark.read.schema(scored.schema).parquet(f"{root}/out").select("event_id", "dim", F.round("z", 2).alias("z"), "intensity")
 
 
-from . import trips  # noqa: E402, F401  registers more
+from . import flows, trips  # noqa: E402, F401  registers more
