@@ -657,4 +657,26 @@ def ext_stream(spark, sf):
     return spark.read.schema(scored.schema).parquet(f"{root}/out").select("event_id", "dim", F.round("z", 2).alias("z"), "intensity")
 
 
+@query("ext_stream_islands", f'WITH {T.FRAMES}, {T.ISLANDS} SELECT clip, start, "end", n_frames, peak FROM spans')
+def ext_stream_islands(spark, sf):
+    """Frames that arrive file by file, the parts of each clip in several files; a last file with a later frame moves the watermark on."""
+    import uuid
+
+    from ..streaming.live import live_islands
+
+    root = f"{stages.shared_dir(spark)}/live-{uuid.uuid4().hex[:12]}"
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("frame_ix").cast("long"))
+    frames = demo.event_frames(spark, sf).select("clip", "frame_ix", "p", at.alias("time"))
+    frames.repartitionByRange(6, "frame_ix").sortWithinPartitions("frame_ix").write.parquet(f"{root}/in/a")
+    # files may come in any order, so a frame may be as late as the longest clip is long; one frame of a clip of its own, far later, closes
+    # what is open and stays open itself
+    n = (frames.agg(F.max("frame_ix")).first()[0] or 0) + 1
+    last = spark.range(1).select((F.lit(3 * n + 10)).alias("frame_ix")).select(F.lit(-1).cast(dict(frames.dtypes)["clip"]).alias("clip"), F.col("frame_ix").cast("int").alias("frame_ix"), F.lit(1e9).alias("p"), at.alias("time"))
+    last.write.parquet(f"{root}/in/b")
+    live = spark.readStream.schema(frames.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in/*")
+    found = live_islands(live, EVENT_CFG, "time", f"{n} seconds")
+    found.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(found.schema).parquet(f"{root}/out")
+
+
 from . import flows, trips  # noqa: E402, F401  registers more

@@ -404,3 +404,75 @@ def p22_convolution(spark, sf):
     f = demo.event_frames(spark, sf).select("clip", "frame_ix", F.array("p", F.pmod("frame_ix", F.lit(7)).cast("double")).alias("x"))
     y = series.convolve(f, ["clip"], "frame_ix", "x", _TAPS, (0.5, -20.0), 16)
     return y.select("clip", "frame_ix", F.round(F.col("y")[0], 6).alias("a"), F.round(S.sigmoid(F.col("y")[1]), 6).alias("p"))
+
+
+# ---- audio: vectors as samples of 8, 16, 24 and 32 bits at two rates; every fiftieth file is broken ----
+_BITS, _RATES, _NEW = (8, 16, 24, 32), (32_000, 24_000), 16_000
+
+
+def _wav(bits: int, rate: int, ints) -> bytes:
+    import io
+    import wave
+
+    out = io.BytesIO()
+    with wave.open(out, "wb") as w:
+        w.setnchannels(1)
+        w.setsampwidth(bits // 8)
+        w.setframerate(rate)
+        n = bits // 8
+        w.writeframes(b"".join((i + 128).to_bytes(1, "little") if n == 1 else i.to_bytes(n, "little", signed=True) for i in ints))
+    return out.getvalue()
+
+
+def _sounds(spark, sf):
+    """(vec_id, content)"""
+    k = F.col("vec_id")
+    bits = F.element_at(F.array(*map(F.lit, _BITS)), F.pmod(F.floor(k / 2), F.lit(4)).cast("int") + 1)
+    full = F.pow(F.lit(2.0), bits - 2)
+    ints = F.transform("embedding", lambda x: F.floor(x.cast("double") * full).cast("bigint"))
+    rows = table(spark, sf, "embeddings").select("vec_id", bits.alias("bits"), F.element_at(F.array(*map(F.lit, _RATES)), F.pmod(k, F.lit(2)).cast("int") + 1).alias("rate"), ints.alias("ints"))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            cells = zip(*(b.column(c).to_pylist() for c in ("vec_id", "bits", "rate", "ints")))
+            sounds = [b"RIFF broken" if k % 50 == 7 else _wav(bits, rate, ints) for k, bits, rate, ints in cells]
+            yield pa.RecordBatch.from_arrays([b.column("vec_id"), pa.array(sounds, pa.binary())], names=["vec_id", "content"])
+
+    return rows.mapInArrow(run, f"vec_id {dict(rows.dtypes)['vec_id']}, content binary")
+
+
+def _filter_sql(up: int, down: int) -> str:
+    """The filter's definition: a sinc under a raised cosine over sixteen crossings, for each phase scaled to add up to one."""
+    import math
+
+    cut, rows = min(1.0, up / down), []
+    w = math.ceil(16 / cut)
+    for phase in range(up):
+        at = [k - phase / up for k in range(-w + 1, w + 1)]
+        t = [(math.sin(math.pi * cut * d) / (math.pi * cut * d) if d else 1.0) * (0.5 + 0.5 * math.cos(math.pi * max(-1.0, min(1.0, d * cut / 16)))) for d in at]
+        rows.append("[" + ", ".join(f"{x / sum(t)!r}::DOUBLE" for x in t) + "]")
+    return "[" + ", ".join(rows) + "]"
+
+
+_UP_DOWN = {32_000: (1, 2), 24_000: (2, 3)}
+_AUDIO = f"""WITH q AS (SELECT vec_id, (vec_id % 2)::INT AS r, ([8, 16, 24, 32])[(vec_id // 2 % 4 + 1)::INT] AS bits, embedding FROM embeddings WHERE vec_id % 50 <> 7),
+x AS (SELECT vec_id, r, list_transform(embedding, lambda v: floor(v::DOUBLE * pow(2.0, bits - 2)) / pow(2.0, bits - 1)) AS x FROM q),
+t AS (SELECT vec_id, r, x, unnest(range((len(x) * CASE r WHEN 0 THEN 0.5 ELSE 2 / 3.0 END + 0.5)::BIGINT - CASE WHEN (len(x) * CASE r WHEN 0 THEN 0.5 ELSE 2 / 3.0 END + 0.5)::BIGINT > len(x) * CASE r WHEN 0 THEN 0.5 ELSE 2 / 3.0 END + 0.5 THEN 1 ELSE 0 END)) AS i FROM x),
+f AS (SELECT 0 AS r, 1 AS up, 2 AS down, {_filter_sql(1, 2)} AS taps UNION ALL SELECT 1, 2, 3, {_filter_sql(2, 3)}),
+g AS (SELECT vec_id, i, x, i * down // up AS base, taps[(i * down % up + 1)::INT] AS tap FROM t JOIN f USING (r)),
+y AS (SELECT vec_id, i, list_sum(list_transform(range(1, len(tap) + 1), lambda k: CASE WHEN base + k - len(tap) // 2 BETWEEN 0 AND len(x) - 1 THEN tap[k] * x[(base + k - len(tap) // 2 + 1)::INT] ELSE 0.0 END)) AS y FROM g)
+SELECT vec_id, i::INT AS i, round(y::FLOAT::DOUBLE, 5) + 0.0::DOUBLE AS sample FROM y"""
+
+
+@query("s08_resampled", _AUDIO)
+def s08_resampled(spark, sf):
+    good = scans.decode_audio(_sounds(spark, sf), "vec_id", "content", _NEW).filter("error is null")
+    return good.select("vec_id", F.posexplode("samples").alias("i", "s")).select("vec_id", "i", (F.round(F.col("s").cast("double"), 5) + 0.0).alias("sample"))
+
+
+@query("f15_audio", "SELECT vec_id, vec_id % 50 = 7 AS rejected, CASE WHEN vec_id % 50 <> 7 THEN (len(embedding) * CASE vec_id % 2 WHEN 0 THEN 1 ELSE 4 / 3.0 END / 2)::INT END AS n FROM embeddings")
+def f15_audio(spark, sf):
+    good, bad = rejects.parted(scans.decode_audio(_sounds(spark, sf), "vec_id", "content", _NEW))
+    return good.select("vec_id", F.lit(False).alias("rejected"), F.size("samples").alias("n")).unionByName(bad.select("vec_id", F.lit(True).alias("rejected"), F.lit(None).cast("int").alias("n")))

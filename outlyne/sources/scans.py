@@ -7,11 +7,12 @@ import json
 import tarfile
 from collections.abc import Iterable, Iterator, Sequence
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .audio import wav_samples
+
 STAT = "mean double, median double, std double, mad double, spread double, p10 double, p90 double, n bigint, name string, `group` string, `range` array<int>, n_primary bigint, n_secondary bigint, synonyms array<string>"
 _SCORES = "struct<dims:map<string,double>,emo:map<string,double>,genu:double,blend:double>"
 RECORD = f"id string, ei_gender double, global_scores {_SCORES}, sentences array<struct<text:string,start:double,`end`:double,scores:{_SCORES},bursts:array<string>>>"
@@ -101,20 +102,6 @@ def tar_members(spark: SparkSession, path: str, suffix: str, keys: Iterable[str]
     return files.mapInArrow(rows, "archive string, key string, content binary")
 
 
-def wav_samples(content: bytes, rate: int) -> list[float]:
-    """Mono samples at a rate from 16-bit PCM WAV data; channels are averaged, other rates interpolated."""
-    import wave
-
-    with wave.open(io.BytesIO(content)) as w:
-        if w.getsampwidth() != 2:
-            raise ValueError("16-bit samples only")
-        x = np.frombuffer(w.readframes(w.getnframes()), "<i2").reshape(-1, w.getnchannels()).mean(1) / 32768.0
-        n = round(len(x) * rate / w.getframerate())
-        if w.getframerate() != rate:
-            x = np.interp(np.arange(n) * w.getframerate() / rate, np.arange(len(x)), x) if len(x) else x
-    return x.tolist()
-
-
 def decode_audio(files: DataFrame, key: str, content: str, rate: int = 16_000) -> DataFrame:
     """(key, samples, error): a file that can't be decoded gives its error and no samples, and does not stop the others."""
 
