@@ -8,19 +8,21 @@ Lexicon: candidates are the beginnings of words (three to eight characters, the
 counts among toxic and clean training texts give a log-odds weight; those with enough toxic documents and a weight of MIN_WEIGHT or
 more are kept.  A beginning, not a word, is what inflected forms share.  Copies of a text count once.
 
-Exceptions: a hit together with the word before or after it is a phrase; phrases that clean training texts use at least as much
-as toxic ones are exceptions, and their hits do not count.
+Exceptions: a hit together with the word before or after it is a phrase; phrases of MIN_DOCS clean training texts or more that clean texts use at
+least as much as toxic ones, by the upper bound of their log-odds (EXCEPTION_BOUND standard errors), are exceptions, and their hits do not count.
+The bar is one of certainty, so it does not rise with the input.
 
 Score: each word that hits gives the largest weight of its matches; a logistic curve of the sum, of the sum over the number of words
 and of the largest weight is fitted on about FIT_ROWS labelled rows (a stated sample: the least text hashes).
 
 Scale: candidates are counted in each task before they are shuffled.  A candidate needs MIN_DOCS toxic documents, however many there
 are: with MIN_WEIGHT that is enough for a 95 % lower bound of the log-odds above 0 (at 5 toxic and no clean ones the standard error is
-1.48).  The lexicon is stored in the shared folder and loaded by the workers; the driver gets one row for each part.  Exceptions reach
-the driver; MIN_SHARE bounds their number.  Labels are broadcast only below a checked size.
+1.48).  The lexicon is stored in the shared folder and loaded by the workers; the driver gets one row for each part.  Exceptions are stored as sorted 64-bit
+hashes in ranges, which workers map and search; a phrase with the hash of an exception is taken for it.  Labels are broadcast only below a checked size.
+A labelled text is known by a 64-bit hash of it and its label when copies are counted once.
 
 Nulls: a null or empty text scores as a text without hits; null labels are not learned from; of repeated labels of a document the
-largest counts.  Without toxic or without clean training rows all scores are the share of toxic ones.  An empty table gives an
+largest counts.  Texts of any length are read whole.  Without toxic or without clean training rows all scores are the share of toxic ones.  An empty table gives an
 empty result.  A null id is not held out and not learned from.  Extra columns are ignored.
 """
 
@@ -29,12 +31,14 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +48,7 @@ from .mapped import map_array, write_array
 from .textkit import rest
 
 SHORT, LONG = 3, 8
-MIN_DOCS, MIN_SHARE, MIN_WEIGHT = 5, 0.003, 2.5
+MIN_DOCS, MIN_WEIGHT, EXCEPTION_BOUND = 5, 2.5, 1.64
 FIT_ROWS = 20_000
 HELD = 200_000
 
@@ -147,20 +151,54 @@ def _store(root: str):
     return run
 
 
+def phrase_hash(phrase: str) -> int:
+    h = xxhash.xxh64_intdigest(phrase.encode())
+    return h - (1 << 64) if h >> 63 else h
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([phrase_hash(p) for p in batch.column("phrase").to_pylist()], pa.int64())], names=["h"])
+
+
+def _store_hashes(root: str):
+    """Writes the sorted hashes of each task; gives (first, part) of each part that has any."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, found = f"{root}/{TaskContext.get().partitionId()}", [batch.column("h").to_numpy() for batch in batches]
+        if sum(map(len, found)):
+            h = np.unique(np.concatenate(found))
+            write_array(part, h)
+            yield pa.RecordBatch.from_arrays([pa.array([int(h[0])], pa.int64()), pa.array([part], pa.string())], names=["first", "part"])
+
+    return run
+
+
 class Lexicon:
-    """Weighted beginnings of words, given or stored in parts, and exception phrases."""
+    """Weighted beginnings of words, given or stored in parts, and exception phrases, given or stored as ranges (first, part) of hashes."""
 
-    def __init__(self, weights: dict[str, float], exceptions: set[str] = frozenset(), curve: tuple[float, ...] | None = None, parts: tuple[str, ...] = ()):
-        self.weights, self.exceptions, self.curve, self.parts = weights, exceptions, curve, parts
+    def __init__(self, weights: dict[str, float], exceptions: set[str] = frozenset(), curve: tuple[float, ...] | None = None, parts: tuple[str, ...] = (), ranges: tuple[tuple[int, str], ...] = ()):
+        self.weights, self.exceptions, self.curve, self.parts, self.ranges = weights, exceptions, curve, parts, ranges
         self._machine = None
 
     def __getstate__(self):
-        return self.weights, self.exceptions, self.curve, self.parts
+        return self.weights, self.exceptions, self.curve, self.parts, self.ranges
 
     def __setstate__(self, state):
-        self.weights, self.exceptions, self.curve, self.parts = state
+        self.weights, self.exceptions, self.curve, self.parts, self.ranges = state
         self._machine = None
 
+    def excepted(self, phrase: str) -> bool:
+        if phrase in self.exceptions:
+            return True
+        h = phrase_hash(phrase)
+        k = bisect_right(self.ranges, h, key=lambda r: r[0]) - 1
+        if k < 0:
+            return False
+        known = map_array(self.ranges[k][1], np.int64)
+        at = np.searchsorted(known, h)
+        return bool(at < len(known) and known[at] == h)
+
     def entries(self) -> Iterator[tuple[str, float]]:
         yield from self.weights.items()
         for part in self.parts:
@@ -198,8 +236,8 @@ class Lexicon:
 
     def _features(self, folded: str) -> tuple[float, float, float]:
         hits = self.hits(folded)
-        if hits and self.exceptions:
-            for at in {at for at, p in self.phrases(folded) if p in self.exceptions}:
+        if hits and (self.exceptions or self.ranges):
+            for at in {at for at, p in self.phrases(folded) if self.excepted(p)}:
                 hits.pop(at)
         total = sum(hits.values())
         words = max(1, folded.count(" ") - 1)
@@ -248,8 +286,11 @@ def learn(ws: Workspace, labelled: DataFrame) -> Lexicon:
         return {p for _, p in lexicon.phrases(folded)}
 
     phrases = rows.mapInArrow(_tally(pairs, "phrase"), "phrase string, bad long, good long").groupBy("phrase").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    phrases = phrases.filter(F.col("good") >= max(MIN_DOCS, math.ceil(MIN_SHARE * good / 10))).filter(log_odds() <= 0)
-    lexicon.exceptions = frozenset(r["phrase"] for r in ws.put("exceptions", phrases).collect())
+    doubt = F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
+    phrases = phrases.filter(F.col("good") >= MIN_DOCS).filter(log_odds() + EXCEPTION_BOUND * doubt <= 0)
+    hashes = ws.put("exceptions", phrases.mapInArrow(_hashed, "h long"))
+    stored = ws.put("ranges", hashes.repartitionByRange("h").mapInArrow(_store_hashes(f"{ws.root}/phrases"), "first long, part string"))
+    lexicon.ranges = tuple(sorted((r["first"], r["part"]) for r in stored.collect()))
     # the curve, on the rows with the least hashes: about FIT_ROWS of them
     sample = rows.filter(F.col("h") < F.lit(2**64 * FIT_ROWS // n - 2**63)) if n > FIT_ROWS else rows
 

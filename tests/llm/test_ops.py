@@ -608,7 +608,7 @@ def test_op7_against_plain_lexicon(spark):
         return {(i, p) for i in h for p in ([f"{w[i - 1]} {w[i]}"] if i else []) + ([f"{w[i]} {w[i + 1]}"] if i + 1 < len(w) else [])}
 
     good, bad = tally(lambda x: {p for _, p in phrases(x)})
-    exempt = {p for p, n in good.items() if n >= max(op.MIN_DOCS, math.ceil(op.MIN_SHARE * total[0] / 10)) and odds(n, bad[p]) <= 0}
+    exempt = {p for p, n in good.items() if n >= op.MIN_DOCS and odds(n, bad[p]) + op.EXCEPTION_BOUND * math.sqrt(1 / (bad[p] + 0.5) + 1 / (n + 0.5)) <= 0}
 
     def features(t):
         out = []
@@ -637,6 +637,16 @@ def test_op7_rare_terms_of_many_toxic_texts(spark):
     assert not found.weights and found.score("a zorblat") > found.score("a thing")
 
 
+@pytest.mark.parametrize("n", [4_000, 160_000])
+def test_op7_exceptions_hold_at_any_size(spark, n):
+    text = lambda start: F.concat(F.lit(start), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"))
+    bad = spark.range(n).select(F.col("id").alias("doc_id"), text("you vile thing ").alias("text"), F.lit(1).alias("toxic"))
+    good = spark.range(n, 2 * n).select(F.col("id").alias("doc_id"), F.when(F.col("id") < n + 40, text("a vile moth ")).otherwise(text("a kind thing ")).alias("text"), F.lit(0).alias("toxic"))
+    found = op7_toxicity.learn(Workspace(spark, "size"), bad.union(good))
+    assert found.hits(" a vile moth ") and found.excepted("vile moth") and not found.excepted("you vile")
+    assert found.score("a vile moth") == found.score("a moth") < found.score("you vile thing")
+
+
 def words_of(i):
     return "".join("abcdefghij"[int(c)] for c in str(i))
 
