@@ -89,7 +89,7 @@ def mine(ws: Workspace, labelled: DataFrame, support: float = SUPPORT, confidenc
     sets = ws.put("sets", sets.select(F.array_sort("items").alias("items"), "freq"))
     is_label = lambda x: F.startswith(x, F.lit("="))
     with_label = sets.filter(F.exists("items", is_label) & (F.size("items") > 1))
-    with_label = with_label.select(F.filter("items", lambda x: ~is_label(x)).alias("tokens"), F.substring(F.filter("items", is_label)[0], 2, 99).alias("verdict"), "freq")
+    with_label = with_label.select(F.filter("items", lambda x: ~is_label(x)).alias("tokens"), F.substr(F.filter("items", is_label)[0], F.lit(2)).alias("verdict"), "freq")
     alone = sets.filter(~F.exists("items", is_label)).select(F.col("items").alias("tokens"), F.col("freq").alias("all"))
     rules = with_label.join(alone, "tokens").select("tokens", "verdict", (F.col("freq") / F.col("all")).alias("confidence"), (F.col("freq") / F.lit(n)).alias("support"))
     rules = ws.put("rules", rules.filter(F.col("confidence") >= confidence).withColumn("rid", F.to_json(F.struct("tokens", "verdict"))))

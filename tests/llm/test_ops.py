@@ -485,6 +485,12 @@ def test_op5_tokens_always_together(spark):
     assert rows(op5_url_filter.together(rows_, 0.3), "token", "item") == [("a", "a"), ("b", "a"), ("c", "a")]  # e and f are together, and rare
 
 
+def test_op5_long_verdicts(spark):
+    verdict = "block because " + "x" * 200
+    mined = op5_url_filter.mine(Workspace(spark, "t"), spark.createDataFrame([(["a"], verdict)] * 5, "tokens array<string>, verdict string"), 0.05, 0.7).collect()
+    assert [(r["tokens"], r["verdict"]) for r in mined] == [(["a"], verdict)]
+
+
 def test_op5_tokens_with_spaces(spark):
     """Rules whose tokens read alike when joined are two rules."""
     rules = spark.createDataFrame([(op, t, v, c, 0.1) for op, t, v, c in [("1", ["p:a p:b"], "allow", 0.8), ("2", ["p:a", "p:b"], "block", 0.9)]], "rid string, tokens array<string>, verdict string, confidence double, support double")
