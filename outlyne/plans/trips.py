@@ -476,3 +476,11 @@ def s08_resampled(spark, sf):
 def f15_audio(spark, sf):
     good, bad = rejects.parted(scans.decode_audio(_sounds(spark, sf), "vec_id", "content", _NEW))
     return good.select("vec_id", F.lit(False).alias("rejected"), F.size("samples").alias("n")).unionByName(bad.select("vec_id", F.lit(True).alias("rejected"), F.lit(None).cast("int").alias("n")))
+
+
+@query("p27_level_count", "SELECT p_partkey, CASE WHEN p_partkey % 4 IN (0, 1) THEN 7 ELSE len(string_split(p_type, ' ')) + p_partkey % 2 END::INT AS n FROM part")
+def p27_levels(spark, sf):
+    """Levels that are not named, null or an empty list, count as seven."""
+    k, words = F.pmod("p_partkey", F.lit(4)), F.split("p_type", " ")
+    levels = F.when(k == 1, F.array().cast("array<string>")).when(k == 2, words).when(k == 3, F.concat(words, F.array("p_brand")))
+    return table(spark, sf, "part").select("p_partkey", S.level_count(levels).cast("int").alias("n"))
