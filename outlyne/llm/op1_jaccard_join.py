@@ -17,9 +17,10 @@ off at every size) the hash seed moves on.
 Verify: (1) copies of one shingle set are one class; one of them stands for it; (2) in rounds each bucket of one segment takes its most
 central member, the one with the fewest segments of its own, as hub and verifies the other members against it; links found
 join components, and a bucket whose members are all in one component is done; (3) when a round no longer halves what is open, pairs
-in a bucket that are still in different components are verified, except pairs of documents that both have too many shingles that no other component of
-large buckets has: D counts these of both, so one of two linked documents has 9 own <= n, and two with more are never brought together.  What
-have few shingles of their own, share much and are yet unlinked are still compared pair by pair in each bucket.  Before a pair is verified, a second parity sketch, of two
+in a bucket of up to eight that are still in different components are verified; documents of larger buckets are brought together again by their rarest
+shingles instead: of n, ordered by how many of these documents have them (those of one component alone come first and meet no one), the first n / 5 + 1,
+of which two linked documents share one.  D counts what precedes the first that they share in either, so one of the two has it in its first n / 9
+places; rows with more before them are never brought together.  Before a pair is verified, a second parity sketch, of two
 to four bits a shingle and 512 at least, must show a Hamming distance of no more than D.  So all links that can change a
 component are verified on whole sets, and no pair inside a component is listed.  No bucket or pair is capped.  all_links lists
 every candidate pair instead, and counts the links of each class.
@@ -388,31 +389,42 @@ def _join(ws: Workspace, live: DataFrame, sets: DataFrame, found: _Components, a
         before, left = left, live.count()
     if not left:
         return
-    open_ = found.of(live.select("key", "doc", "band"), "doc", "comp")
-    open_ = ws.put("open", open_.join(_own(ws, open_, sets), "doc", "left").join(about, "doc").withColumn("s", _fit("sketch", "band")).select("key", "doc", "comp", "n", "s", F.coalesce("own", F.lit(0)).alias("own")))
+    met = ws.put("met", found.of(live.select("key", "doc", "band"), "doc", "comp"))
+    met = met.join(met.groupBy("key").agg(F.count("*").alias("c")), "key")
+    few = met.filter(F.col("c") <= SMALL).select("key", "doc", "comp", "band", F.lit(0).cast("long").alias("own"))
+    rare = _rare(ws, met.filter(F.col("c") > SMALL).select("doc", "comp").distinct(), sets)
+    open_ = few.unionByName(rare).join(about, "doc").withColumn("s", _fit("sketch", "band"))
+    open_ = ws.put("open", open_.select("key", "doc", "comp", "n", "s", "own"))
     pairs = ws.put("pairs", _compared(*_sides(open_), all_links).distinct())
-    ws.drop("open")
+    ws.drop("open", "met", "often")
     found.add(_verify(pairs, sets))
 
 
-def _own(ws: Workspace, open_: DataFrame, sets: DataFrame) -> DataFrame:
-    """(doc, own) for documents of large buckets (key, doc, comp): how many of a document's shingles no document of another component has.
+def _rare(ws: Workspace, who: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, doc, comp, band, own): the shingles by which documents (doc, comp) of large buckets are brought together again, as keys.
 
-    Only documents in such buckets are counted, and only against each other, since only they will be compared.  In small buckets own is not needed.
+    A set of n shingles lacks n / 5 at most of a linked one's; so if both order theirs in one way, the first n / 5 + 1 of each have one in common.
+    The order puts shingles of one component first, then rare ones.  own: the place of the key in that order, from 0.  What precedes the first common key
+    is in one of the two sets only, so D counts it: there own(x) + own(y) <= D.  Only these documents are counted, since only they are compared.
     """
-    large = open_.groupBy("key").count().filter(F.col("count") > SMALL).select("key")
-    who = ws.put("large", open_.join(large, "key", "left_semi").select("doc", "comp").distinct())
-    held = sets.join(who, "doc").select("doc", "comp", F.explode("hashes").alias("h"))
-    lone = ws.put("lone", held.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo = hi").select("h"))
-    own = ws.put("own", held.select("doc", "h").join(lone, "h", "left_semi").groupBy("doc").agg(F.count("*").alias("own")))
-    ws.drop("lone")
-    return own
+    who = ws.put("large", who)
+    held = sets.join(who, "doc").select("doc", "comp", F.size("hashes").alias("n"), F.explode("hashes").alias("h"))
+    often = held.groupBy("h").agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    often = ws.put("often", often.filter("lo < hi").select("h", "c"))
+    in_doc = Window.partitionBy("doc")
+    x = held.join(often, "h").withColumn("own", F.col("n") - F.count("*").over(in_doc) + F.row_number().over(in_doc.orderBy("c", "h")) - 1)
+    x = x.filter(F.col("own") <= F.floor(F.col("n") * (DEN - NUM) / DEN))
+    b = F.length(F.bin("n")) - 1
+    below = F.call_function("shiftleft", F.lit(1), b) - 1
+    bands = F.when((below > 0) & (below * DEN >= F.col("n") * NUM), F.array(b, b - 1)).otherwise(F.array(b))
+    x = x.select("h", "doc", "comp", F.explode(bands).alias("band"), "own")
+    return x.select(F.xxhash64("h", "band").alias("key"), "doc", "comp", "band", "own")
 
 
 def _sides(open_: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two sides (key, cls, doc, comp, n, s, room) of each bucket, to be joined on key and class.
 
-    Shingles that only x's component has are not in y, and the other way round, so a link needs own(x) + own(y) <= D.  That is room(x) + room(y) >= 0
+    What x and y have before their first common key is not in both, so a link needs own(x) + own(y) <= D.  That is room(x) + room(y) >= 0
     with room = 20 n - 180 own.  Those with room meet each other (class -1); those without meet only such as have more room than they
     lack, by powers of two: one with room looks into all classes up to its own.
     """

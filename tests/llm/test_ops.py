@@ -127,8 +127,8 @@ def below(n, edits, seed=6):
 
 
 def test_op1_comparisons(spark, monkeypatch):
-    """Not the rows that the last join puts out are counted but the pairs that it goes through, over all buckets; without the count of own shingles they
-    were 0.3, 1.3 and 5.3 million, about 17 for each pair of texts."""
+    """Not the rows that the last join puts out are counted but the pairs that it goes through, over all buckets; by buckets alone they
+    were 0.3, 1.3 and 5.3 million, about 17 for each pair of texts; by rare shingles 1.6, 5.3 and 15 thousand."""
     made, real = [], op1_jaccard_join._compared
     monkeypatch.setattr(op1_jaccard_join, "_compared", lambda x, y, links: made.append(x.join(y, ["key", "cls"]).count()) or real(x, y, links))
     for n in (200, 400, 800):
@@ -136,7 +136,23 @@ def test_op1_comparisons(spark, monkeypatch):
         got = op1_jaccard_join.similarity_classes(frame(spark, [(d, t, None, None) for d, t in docs])).collect()
         want = {d: d % 100_000 for d, _ in docs}
         assert {r["doc_id"]: r["component_id"] for r in got} == want
-    assert all(x < n * n for x, n in zip(made, (200, 400, 800))) and made[2] < 3.5 * made[1], made
+    assert all(x < 30 * n for x, n in zip(made, (200, 400, 800))) and made[2] < 3.5 * made[1], made
+
+
+def test_op1_rare_shingles_lose_no_link(spark):
+    """A large bucket of texts around the bound, so that many pairs are just linked or just not, of sizes in two bands."""
+    rnd, base, docs = random.Random(12), [f"w{i}" for i in range(140)], []
+    for i in range(160):
+        t = list(base[: rnd.choice((118, 126, 133, 140))])
+        for at in rnd.sample(range(len(t) // 5), rnd.choice((2, 3, 4))):
+            t[at * 5] = f"v{rnd.randrange(6)}-{at}"
+        docs.append((i, " ".join(t)))
+    for links in (False, True):
+        got = op1_jaccard_join.similarity_classes(frame(spark, [(d, t, None, None) for d, t in docs]), all_links=links).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == jaccard_components(docs)
+    sets = {d: frozenset(shingle_set(t)) for d, t in docs}
+    every = set(sets.values())
+    assert all(r["links"] == sum(s is not o and s != o and 100 * len(s & o) >= 80 * len(s | o) for o in every) for r in got for s in [sets[r["doc_id"]]])
 
 
 def test_op1_few_shingles_of_their_own(spark):
