@@ -7,8 +7,8 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scoring import by_dim, scalar_cell
-from ..model import Config, Lexicon
+from ..functions.scoring import by_dim, draw, pick, scalar_cell
+from ..model import TEMPLATES, Config, Lexicon
 from . import render, seeded, select
 from .placement import document, labels_text, overlapping, without_stops
 from .select import KEY
@@ -58,17 +58,20 @@ def detail_json(detail: DataFrame) -> DataFrame:
     return rows.select(KEY, F.to_json(F.struct(*map(part, ("dims", "emotions", "quality")))).alias("json"))
 
 
-def caption(predictions: DataFrame, baseline: DataFrame, lexicon: Lexicon, cfg: Config, output: str = "text", seed: Column | None = None, experts: DataFrame | None = None) -> DataFrame:
+def caption(predictions: DataFrame, baseline: DataFrame, lexicon: Lexicon, cfg: Config, output: str = "text", seed: Column | None = None, experts: DataFrame | None = None, shuffle: bool = False) -> DataFrame:
     """From prediction documents (entity_id, preds) to what is said of each: output is text (entity_id, template, text), list (entity_id,
-    phrases), or json (entity_id, json).  cfg.template names the form."""
-    d = select.detail(scores_of(predictions, baseline), baseline, lexicon, cfg, seed, experts)
+    phrases), or json (entity_id, json).  cfg.template names the form; `random` draws one by seed and entity.  seed: a literal or a column of entity_id."""
+    d = select.detail(scores_of(predictions, baseline), baseline, lexicon, cfg, seed, experts, shuffle)
     if output == "json":
         return detail_json(d)
     if output == "list":
         return render.groups(d).select(KEY, F.col("ordered").alias("phrases"))
     if output != "text":
         raise ValueError(output)
-    return render.render(d, cfg.template, predictions.select(KEY))
+    form: str | Column = cfg.template
+    if form == "random":
+        form = pick(TEMPLATES, draw(F.lit(0) if seed is None else seed, "template", F.col(KEY)))
+    return render.render(d, form, predictions.select(KEY))
 
 
 def _drawn(scores: DataFrame, who: DataFrame, template: str | None) -> tuple[DataFrame, DataFrame]:

@@ -116,6 +116,20 @@ def source_counts(index: DataFrame, *by: str) -> DataFrame:
     return index.groupBy(*by).agg(F.count("*").alias("n"))
 
 
+def numbered_distinct(df: DataFrame, column: str) -> DataFrame:
+    """(pos, column): distinct values in order, numbered from 0, without gathering them: ranges are numbered apart, behind the counts of earlier ones.
+
+    Nulls are left out.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().repartitionByRange(ranges, column)
+    rows = stages.once(rows.withColumn("_range", F.spark_partition_id()), "distinct")
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    base = rows.groupBy("_range").agg(F.count("*").alias("c")).select("_range", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("base"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(column)) - 1
+    return rows.join(F.broadcast(base), "_range").select((F.col("base") + place).alias("pos"), column)
+
+
 def sorted_distinct(df: DataFrame, column: str) -> DataFrame:
-    """Number and sorted list of distinct values."""
+    """Number and sorted list of distinct values, in one row; numbered_distinct gives a row for each."""
     return df.agg(F.count_distinct(column).alias("n"), F.array_sort(F.collect_set(column)).alias("names"))

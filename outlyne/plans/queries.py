@@ -88,6 +88,11 @@ def a04_distinct(spark, sf):
     return stats.sorted_distinct(table(spark, sf, "part"), "p_brand").withColumn("names", F.array_join("names", ","))
 
 
+@query("a04_distinct_numbered", "SELECT row_number() OVER (ORDER BY l_partkey) - 1 AS pos, l_partkey FROM (SELECT DISTINCT l_partkey FROM lineitem)")
+def a04_numbered(spark, sf):
+    return stats.numbered_distinct(table(spark, sf, "lineitem"), "l_partkey")
+
+
 @query("f09_finite_filter", "SELECT count(*) AS n, round(avg(v), 4) AS mean FROM (SELECT CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 'NaN'::DOUBLE WHEN 2 THEN 'Infinity'::DOUBLE ELSE value END AS v FROM events) WHERE v IS NOT NULL AND NOT isnan(v) AND NOT isinf(v)")
 def f09_finite(spark, sf):
     m = F.pmod("event_id", F.lit(5))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scoring as S
 from ..operators import infer, records, series, stats
-from ..sources import archives, documents, files, rejects, scans, sinks, stages
+from ..sources import archives, documents, files, rejects, report, scans, sinks, stages
 from . import demo, twins as T
 from .demo import CFG, EVENT_CFG, LEXICON, table
 from .queries import _COLUMNS, _scores, _series, _SER, gelu_sql, query
@@ -152,6 +152,41 @@ def k04_cards(spark, sf):
     return body.select(k["conv_id"].alias("conv_id"), k["turn"].alias("turn"), shown.alias("html"))
 
 
+def _shown(c: str) -> str:
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("''", "&#x27;")):
+        c = f"replace({c}, '{a}', '{b}')"
+    return f"regexp_replace({c}, '\\r\\n|\\r|\\n', '<br>', 'g')"
+
+
+_OFF = '<span class="off">'
+_BURST = '<span class="burst">'
+_PAGE = f"""WITH t AS (SELECT conv_id, turn, role, text, conv_id % 11 = 4 AS bad, turn % 2 = 1 AS loud, turn % 3 <> 0 AS kept, len(text) AS n FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+s AS (SELECT conv_id, any_value(bad) AS bad, count(*) AS n, sum(n) AS words, CASE conv_id % 3 WHEN 0 THEN 'calm' WHEN 1 THEN 'a<b' ELSE '' END AS kind,
+  string_agg('<li>' || {_shown('text')} || ' <i>' || role || '</i> ' || CASE WHEN loud THEN '{_BURST}' || role || ', with E' || turn || '.</span>' ELSE '{_OFF}no burst</span>' END || '</li>', '' ORDER BY turn) AS said,
+  string_agg('<li>' || turn || '.5–' || (turn + 1) || '.0 s: ' || CASE WHEN kept THEN '{_BURST}E' || turn || ' (0.25)</span>' WHEN loud THEN '{_OFF}E' || turn || ' (0.25) left out, too short</span>' ELSE '{_OFF}left out, no burst by 0.75</span>' END || '</li>', '' ORDER BY turn) AS spans,
+  regexp_replace({_shown("string_agg('(E' || turn || ') ' || role, ' ' ORDER BY turn)")}, '\\(([^)]+)\\)', '{_BURST}(\\1)</span>', 'g') AS placed FROM t GROUP BY conv_id)
+SELECT '<p>' || {_shown('kind')} || ': ' || (count(*) - count(*) FILTER (bad)) || ' clips, ' || count(*) FILTER (bad) || ' errors, ' || coalesce(sum(n) FILTER (NOT bad), 0) || ' spans</p>' AS line FROM s GROUP BY kind
+UNION ALL SELECT CASE WHEN bad THEN '<section class="error"><h3>' || conv_id || ' <small>' || {_shown('kind')} || '</small></h3><p>Error: not &amp; read</p></section>' ELSE
+  '<section><h3>' || conv_id || ' <small>' || {_shown('kind')} || ', ' || n || '.0 s, ' || words || ' words</small></h3><p>Clip ' || conv_id || '.</p><h4>In place</h4><p>' || placed || '</p><ul>' || spans || '</ul><h4>By sentence</h4><ul>' || said || '</ul></section>' END FROM s"""
+
+
+@query("k04_report", _PAGE)
+def k04_report(spark, sf):
+    """Conversations as clips, their turns as sentences and spans: the page's lines, read back from the file without its first and last."""
+    t = table(spark, sf, "conversations").filter("conv_id is not null and turn is not null").withColumns({"loud": F.col("turn") % 2 == 1, "kept": F.col("turn") % 3 != 0, "label": F.concat(F.lit("E"), F.col("turn").cast("string"))})
+    told = F.concat("role", F.lit(", with "), "label", F.lit("."))
+    named = F.when(F.col("loud") | F.col("kept"), F.col("label"))
+    sentence = F.struct("turn", "text", F.col("role").alias("caption"), F.when(F.col("loud"), F.col("label")).alias("burst"), told.alias("burst_caption"), F.concat(F.lit("("), "label", F.lit(") "), "role").alias("placed"))
+    span = F.struct("turn", (F.col("turn") + 0.5).cast("double").alias("start"), (F.col("turn") + 1).cast("double").alias("end"), named.alias("label"), F.lit(0.25).cast("double").alias("prob"), F.lit(0.75).cast("double").alias("p_noburst"), "kept")
+    c = t.groupBy(F.col("conv_id").alias("clip")).agg(F.array_sort(F.collect_list(sentence)).alias("sentences"), F.array_sort(F.collect_list(span)).alias("bursts"), F.count("*").cast("double").alias("dur"), F.sum(F.length("text")).alias("n_words"))
+    bad = F.pmod("clip", F.lit(11)) == 4
+    c = c.withColumns({"error": F.when(bad, "not & read"), "n_spans": F.when(~bad, F.size("bursts")), "inline": F.array_join(F.transform("sentences", lambda s: s["placed"]), " "), "global_caption": F.concat(F.lit("Clip "), F.col("clip").cast("string"), F.lit("."))})
+    kind = F.when(F.col("clip") % 3 == 0, "calm").when(F.col("clip") % 3 == 1, "a<b")
+    path = f"{_folder(spark, 'page')}/index.html"
+    report.page(c, path, "Clips & bursts", kind)
+    return spark.read.text(path).select(F.col("value").alias("line")).filter("line like '<p>%' or line like '<section%'")
+
+
 @query("k06_file_for_each", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
 def k06_each(spark, sf):
     path = _folder(spark, "each")

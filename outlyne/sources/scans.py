@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import json
 import tarfile
 from collections.abc import Iterable, Iterator, Sequence
 
@@ -20,7 +19,12 @@ RECORD = f"id string, ei_gender double, global_scores {_SCORES}, sentences array
 
 def predictions(spark: SparkSession, path: str) -> DataFrame:
     """(entity_id, preds) of JSON documents, one object or an array of objects in each file; preds keeps the object's text."""
-    raw = spark.read.text(path, wholetext=True).select(F.trim("value").alias("t"))
+    return documents_of(spark.read.text(path, wholetext=True))
+
+
+def documents_of(texts: DataFrame) -> DataFrame:
+    """The same of texts (value) in a table."""
+    raw = texts.select(F.trim("value").alias("t"))
     each = F.when(F.startswith("t", F.lit("[")), F.from_json("t", "array<string>")).otherwise(F.array("t"))
     return raw.select(F.explode(each).alias("preds")).select(F.get_json_object("preds", "$.id").alias("entity_id"), "preds")
 
@@ -36,8 +40,8 @@ def checked_predictions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def predictions_from_text(spark: SparkSession, text: str) -> DataFrame:
-    """The same from text at hand, such as standard input."""
-    return spark.createDataFrame([(json.loads(text).get("id"), text)], "entity_id string, preds string")
+    """The same from text at hand, such as standard input: one object or an array of objects."""
+    return documents_of(spark.createDataFrame([(text,)], "value string"))
 
 
 def baseline_document(spark: SparkSession, path: str, groups: dict[str, str] | None = None) -> DataFrame:
