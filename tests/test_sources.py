@@ -204,3 +204,36 @@ def test_heads_on_sequences(spark):
     assert {r["id"]: r["scores"] for r in infer.run_classifier(df, "id", "v", conv).collect()} == {1: [3.0, 7.0], 2: None, 3: [1.0, 1.0], 4: [2.0]}
     flat = infer.Net([("linear", np.array([[1.0, 1.0, 1.0, 10.0]]), np.zeros(1))])
     assert {r["id"]: r["value"] for r in infer.run_heads(df.filter("id < 4"), "id", "v", {"h": flat}).collect()} == {1: 46.0, 2: None, 3: 6.5}
+
+
+def test_stage_tables_have_an_owner(spark):
+    from pathlib import Path
+
+    from outlyne.sources import stages
+
+    at = lambda df: Path(df.inputFiles()[0].removeprefix("file://")).parent
+    one = spark.range(3)
+    free = stages.once(one, "free")
+    with stages.owned(spark):
+        a = at(stages.once(one, "a"))
+        with stages.owned(spark):
+            b = at(stages.once(one, "b"))
+        assert a.exists() and not b.exists()
+    assert not a.exists() and at(free).exists() and free.count() == 3
+    try:
+        with stages.owned(spark):
+            a = at(stages.once(one, "a"))
+            raise ValueError
+    except ValueError:
+        assert not a.exists()
+
+
+def test_broadcast_counts_bytes(spark):
+    from outlyne.sources import stages
+
+    def hinted(df, **limits):
+        return "ResolvedHint" in stages.small(df, **limits)._jdf.queryExecution().analyzed().toString()
+
+    numbers, lists = spark.range(100), spark.range(100).selectExpr("id", "sequence(0, 999) AS l", "CAST(NULL AS string) AS s")
+    assert hinted(numbers) and not hinted(numbers, rows=99) and hinted(numbers, size=0)
+    assert hinted(lists) and not hinted(lists, size=100_000) and hinted(lists.filter("false"), size=0)
