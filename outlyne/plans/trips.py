@@ -213,8 +213,7 @@ def k03_document(spark, sf):
     path = f"{_folder(spark, 'document')}/results.json"
     li = table(spark, sf, "lineitem").select(*_LINES.split(", "))
     documents.results(li, path, li.columns)
-    back = spark.read.schema(f"n bigint, results array<{li.schema.simpleString()}>").json(path, multiLine=True)
-    return back.select("n", F.posexplode("results").alias("pos", "r")).select("r.*", "n", F.col("pos").cast("long").alias("pos"))
+    return documents.results_rows(spark, path, li.schema.simpleString()).select("r.*", "n", "pos")
 
 
 @query("k06_combined_array", "SELECT o_orderkey, o_custkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos FROM orders")

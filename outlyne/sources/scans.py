@@ -31,7 +31,12 @@ def documents_of(texts: DataFrame) -> DataFrame:
 
 def checked_predictions(spark: SparkSession, path: str) -> DataFrame:
     """(archive, key, preds, error) of JSON documents: a file, or an object in an array, that is not JSON or has no id is a row with the reason."""
-    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("archive"), F.trim("value").alias("t"))
+    return checked_of(spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value"))
+
+
+def checked_of(texts: DataFrame) -> DataFrame:
+    """The same of texts (file, value) in a table, such as documents.texts_of."""
+    raw = texts.select(F.col("file").alias("archive"), F.trim("value").alias("t"))
     each = F.when(F.startswith("t", F.lit("[")), F.from_json("t", "array<string>")).otherwise(F.array("t"))
     rows = raw.select("archive", F.explode_outer(F.coalesce(each, F.array(F.lit(None).cast("string")))).alias("preds"))
     key, ok = F.get_json_object("preds", "$.id"), F.try_parse_json("preds").isNotNull()
@@ -151,3 +156,9 @@ def synonyms(spark: SparkSession, path: str) -> DataFrame:
 def records(spark: SparkSession, path: str) -> DataFrame:
     """Stored score records."""
     return spark.read.schema(RECORD).json(path, multiLine=True)
+
+
+def records_of(texts: DataFrame) -> DataFrame:
+    """The same of texts (value) in a table, one record or an array of records in each."""
+    t, one = F.trim("value"), f"struct<{RECORD}>"
+    return texts.select(F.inline(F.when(F.startswith(t, F.lit("[")), F.from_json(t, f"array<{one}>")).otherwise(F.array(F.from_json(t, one)))))

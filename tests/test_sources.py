@@ -4,6 +4,7 @@ import tarfile
 import wave
 
 import numpy as np
+import pytest
 
 from outlyne.operators import records
 from outlyne.sources import archives, documents, rejects, scans, sinks
@@ -136,6 +137,29 @@ def test_documents(spark, tmp_path):
     assert sorted(x.name for x in tmp_path.iterdir()) == ["c.json", "each", "r.json"]  # no parts are left
 
 
+def test_documents_are_read_in_pieces(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    df = spark.range(3000).selectExpr("id", "concat('é,\\n]\"', repeat('x', int(id % 90))) AS name", "CAST(NULL AS STRING) AS none")
+    at, kind = str(tmp_path / "r.json"), "id bigint, name string, none string"
+    documents.results(df, at, ["id"])
+    want = [(r["id"], r["name"]) for r in df.orderBy("id").collect()]
+    for piece in (37, 4096, 1 << 20):  # lines are longer than the shortest pieces
+        got = documents.results_rows(spark, at, kind, piece)
+        assert [(r["r"]["id"], r["r"]["name"]) for r in got.orderBy("pos").collect()] == want
+        assert got.agg(F.min("n"), F.max("n"), F.min("pos"), F.max("pos")).first()[:] == (3000, 3000, 0, 2999)
+    # no task reads the document alone
+    assert documents.results_rows(spark, at, kind, 4096).select(F.spark_partition_id().alias("p")).distinct().count() > 4
+    for write in (documents.results, documents.combined):
+        write(df.limit(0), str(tmp_path / "none.json"), ["id"])
+        assert documents.rows(spark, str(tmp_path / "none.json"), kind).count() == 0
+    documents.combined(df, str(tmp_path / "c.json"), ["id"])
+    assert [r["r"]["name"] for r in documents.rows(spark, str(tmp_path / "c.json"), kind, 5000).orderBy("pos").collect()] == [n for _, n in want]
+    (tmp_path / "other.json").write_text('[{"id": 1}, {"id": 2}]')
+    with pytest.raises(Exception, match="line of their own"):
+        documents.rows(spark, str(tmp_path / "other.json"), kind).collect()
+
+
 def test_json_rejects(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"id": "x", "dims": {}}')
     (tmp_path / "b.json").write_text('{"id": ')
