@@ -221,8 +221,7 @@ def k06_combined(spark, sf):
     path = f"{_folder(spark, 'combined')}/all.json"
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     documents.combined(o, path, ["o_orderkey"])
-    back = spark.read.text(path, wholetext=True).select(F.posexplode(F.from_json("value", f"array<{o.schema.simpleString()}>")).alias("pos", "r"))
-    return back.select("r.*", F.col("pos").cast("long").alias("pos"))
+    return documents.rows(spark, path, o.schema.simpleString()).select("r.*", "pos")
 
 
 # ---- archives and arrays ----
