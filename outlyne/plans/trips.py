@@ -335,8 +335,8 @@ def f15_json(spark, sf):
     path, m = _folder(spark, "json"), F.pmod("c_custkey", F.lit(5))
     c = table(spark, sf, "customer")
     doc = F.when(m == 2, F.lit('{"id": ')).when(m == 4, F.lit('{"dims": {}}')).otherwise(F.to_json(F.struct(F.col("c_custkey").cast("string").alias("id"), "c_name")))
-    documents.texts_each(c, path, F.col("c_custkey"), doc)
-    good, bad = rejects.parted(scans.checked_predictions(spark, path))
+    documents.texts_each(c, path, F.col("c_custkey"), doc, folders=documents.FOLDERS)
+    good, bad = rejects.parted(scans.checked_of(documents.texts_of(spark, path)))
     return good.select("key", F.lit("read").alias("state")).unionByName(bad.select("key", F.col("error").alias("state")))
 
 

@@ -243,7 +243,8 @@ def texts_each(df: DataFrame, path: str, name: Column, value: Column, suffix: st
     so that very many files can be listed by many tasks."""
     name = name.cast("string")
     placed = F.concat_ws("/", F.pmod(F.xxhash64(name), F.lit(folders)).cast("string"), name) if folders else name
-    return _saved(df.select(placed.alias("name"), value.alias("value")), path, each="row", suffix=suffix)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _saved(df.select(placed.alias("name"), value.alias("value")).repartition(n, "name"), path, each="row", suffix=suffix)
 
 
 def one_file_each(df: DataFrame, path: str, name: str, folders: int = 0) -> int:

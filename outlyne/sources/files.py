@@ -36,7 +36,7 @@ def created(uri: str, made: set[str] | None = None) -> Any:
 def entries(uri: str, inner: bool) -> Iterator[tuple[str, bool]]:
     """(uri, is it a folder) of what is in a folder, or of a file itself, as Spark lists it: without hidden and empty files.  inner: files of inner folders instead of these."""
     store, path = at(uri)
-    root = uri[: len(uri) - len(path)] if "://" in uri else "file://"
+    root = "file:" if isinstance(store, fs.LocalFileSystem) else uri[: len(uri) - len(path)]
     info = store.get_file_info(path)
     found = [info] if info.type == fs.FileType.File else store.get_file_info(fs.FileSelector(path, recursive=inner))
     for f in found:

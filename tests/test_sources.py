@@ -179,6 +179,37 @@ def test_taxonomies(spark, tmp_path):
     assert {r["dim"]: r["synonyms"] for r in scans.synonyms(spark, str(tmp_path / "s.json")).collect()} == {"Joy": ["glee"], "Fear": []}
 
 
+def test_json_rejects_in_folders(spark, tmp_path):
+    import gzip
+
+    from pyspark.sql import functions as F
+
+    df = spark.range(300).selectExpr("id", "IF(id % 3 = 0, '{\"id\": ', concat('{\"id\": \"', id, '\"}')) AS t")
+    assert documents.texts_each(df, str(tmp_path), F.col("id"), F.col("t"), folders=16) == 300
+    assert len(list(tmp_path.iterdir())) == 16  # each is listed by a task of its own
+    (tmp_path / "top.json").write_text('[{"id": "é"}, {"dims": {}}]')
+    (tmp_path / "3" / "packed.json.gz").write_bytes(gzip.compress(b'{"id": "z"}'))
+    for name in ("empty.json", "_hidden.json", ".hidden.json"):
+        (tmp_path / name).write_text("" if name == "empty.json" else "{}")
+    texts = documents.texts_of(spark, str(tmp_path))
+    good, bad = rejects.parted(scans.checked_of(texts))
+    assert sorted(r["key"] for r in good.collect()) == sorted([str(i) for i in range(300) if i % 3] + ["é", "z"])
+    assert sorted(r["error"] for r in bad.collect()) == ["no id"] + ["not JSON"] * 100
+    assert all(r["archive"].startswith("file:/") for r in bad.collect()) and texts.select(F.spark_partition_id()).distinct().count() > 2
+    old = scans.checked_predictions(spark, str(tmp_path / "3"))  # the same rows as Spark's reader gives
+    assert sorted(map(str, old.collect())) == sorted(map(str, scans.checked_of(documents.texts_of(spark, f"file://{tmp_path}/3")).collect()))
+
+
+def test_record_files_in_folders(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    df = spark.range(60).selectExpr("concat('{\"id\": \"', id, '\", \"sentences\": [{\"text\": \"A\", \"bursts\": [\"B\"]}]}') AS t", "id")
+    documents.texts_each(df, str(tmp_path), F.col("id"), F.col("t"), folders=4)
+    (tmp_path / "0" / "two.json").write_text('[{"id": "x"}, {"id": "y", "ei_gender": 1}]')
+    got = {r["id"]: r for r in scans.records_of(documents.texts_of(spark, str(tmp_path))).collect()}
+    assert set(got) == {str(i) for i in range(60)} | {"x", "y"} and got["7"]["sentences"][0]["bursts"] == ["B"] and got["x"]["sentences"] is None
+
+
 def test_records(spark, tmp_path):
     from outlyne.model import Config
 
