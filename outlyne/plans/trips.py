@@ -62,9 +62,9 @@ def s01_documents(spark, sf):
     _, docs = _documents(spark, sf)
     path = _folder(spark, "documents")
     whole = F.to_json(F.struct(F.col("entity_id").cast("string").alias("id"), F.from_json("preds", "map<string,string>").getItem("dims").alias("dims"), "preds"))
-    files = docs.groupBy(F.floor(F.col("entity_id") / 3)).agg(F.concat(F.lit("["), F.array_join(F.collect_list(whole), ","), F.lit("]")).alias("value"))
-    files.select("value").write.option("maxRecordsPerFile", 1).text(path)
-    back = scans.predictions(spark, path).select("entity_id", F.get_json_object("preds", "$.preds").alias("p"))
+    files = docs.groupBy(F.floor(F.col("entity_id") / 3).alias("name")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(whole), ","), F.lit("]")).alias("value"))
+    documents.texts_each(files, path, F.col("name"), F.col("value"), folders=documents.FOLDERS)
+    back = scans.documents_of(documents.texts_of(spark, path)).select("entity_id", F.get_json_object("preds", "$.preds").alias("p"))
     dims = F.from_json(F.coalesce(F.get_json_object("p", "$.dims"), F.col("p")), "map<string,double>")
     return back.select("entity_id", F.explode(dims).alias("dim", "value")).filter(F.col("dim").isin(*demo.DIM_ORDER))
 
@@ -130,8 +130,9 @@ def s12_records(spark, sf):
     path = _folder(spark, "records")
     clips = s.select("clip").distinct().withColumns({"ei_gender": F.lit(1.0), "global_scores": F.lit(None).cast("string")})
     r = records.score_record(clips, s, b, EVENT_CFG)
-    r.select(F.col("clip").cast("string").alias("id"), "ei_gender", F.transform("sentences", lambda x: x.dropFields("scores")).alias("sentences")).write.option("maxRecordsPerFile", 1).json(path)
-    back = scans.records(spark, path).select("id", F.posexplode("sentences").alias("ix", "s"))
+    record = F.to_json(F.struct(F.col("clip").cast("string").alias("id"), "ei_gender", F.transform("sentences", lambda x: x.dropFields("scores")).alias("sentences")))
+    documents.texts_each(r, path, F.col("clip"), record, folders=documents.FOLDERS)
+    back = scans.records_of(documents.texts_of(spark, path)).select("id", F.posexplode("sentences").alias("ix", "s"))
     return back.select("id", "ix", "s.text", "s.start", "s.end", F.array_join("s.bursts", ",").alias("bursts"))
 
 
@@ -200,8 +201,8 @@ def k06_rows(spark, sf):
     """A file for each row, named by its key."""
     path = _folder(spark, "rows")
     s = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal")
-    documents.one_file_each(s, path, "s_suppkey")
-    return spark.read.schema(s.schema).json(path).select("*", _file("_metadata.file_path"))
+    documents.one_file_each(s, path, "s_suppkey", documents.FOLDERS)
+    return documents.texts_of(spark, path).select(F.from_json("value", s.schema.simpleString()).alias("r"), "file").select("r.*", _file("file"))
 
 
 _LINES = "l_orderkey, l_linenumber, l_quantity, l_returnflag, l_partkey"
