@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scoring import by_dim, draw, pick, scalar_cell
 from ..model import TEMPLATES, Config, Lexicon
+from ..sources import stages
 from . import render, seeded, select
 from .placement import document, labels_text, overlapping, without_stops
 from .select import KEY
@@ -44,11 +45,16 @@ _CELLS = ("pos", "dim", "name", "value", "z", "direction", "intensity", "always_
 
 
 def scores_of(predictions: DataFrame, baseline: DataFrame) -> DataFrame:
-    """(entity_id, grp, dim, dim_ix, value) of prediction documents (entity_id, preds), nested or flat; a cell without a number is null."""
-    rows = select.normalise_layout(predictions, baseline)
+    """(entity_id, grp, dim, dim_ix, value) of prediction documents (entity_id, preds), nested or flat; a cell without a number is null.
+
+    Documents are stored once and dealt out by number, since they are small next to the work of parsing them, and so are the values, which are read again
+    by what describes them.
+    """
+    n = int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = select.normalise_layout(stages.once(predictions.select(KEY, "preds").repartition(n), "predictions"), baseline)
     grp = by_dim(F.col("grp"), _PARTS)
     dim = F.when(F.col("grp") == "genu", "genuineness").when(F.col("grp") == "blend", "blend").otherwise(F.col("dim"))
-    return rows.select(KEY, grp.alias("grp"), dim.alias("dim"), "dim_ix", scalar_cell(F.col("cell")).alias("value"))
+    return stages.once(rows.select(KEY, grp.alias("grp"), dim.alias("dim"), "dim_ix", scalar_cell(F.col("cell")).alias("value")), "values")
 
 
 def detail_json(detail: DataFrame) -> DataFrame:

@@ -46,8 +46,8 @@ def k07_caption_json(spark, sf):
     doc = records.caption(docs, stages.once(demo.supplier_baseline(s), "baseline"), LEXICON, CFG, "json")
     cell = "array<struct<pos:int,dim:string,name:string,value:double,z:double,direction:string,intensity:string,always_on:boolean,phrase:string,tag:string>>"
     doc = doc.select("entity_id", F.from_json("json", f"dims {cell}, emotions {cell}, quality {cell}").alias("d"))
-    rows = [doc.select("entity_id", F.lit(p).alias("part"), F.inline(f"d.{p}")) for p in ("dims", "emotions", "quality")]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2]).select(*_COLUMNS.split(", "))
+    part = lambda p: F.transform(f"d.{p}", lambda x: F.struct(F.lit(p).alias("part"), *(x[c].alias(c) for c in _COLUMNS.split(", ") if c not in ("entity_id", "part"))))
+    return doc.select("entity_id", F.inline(F.concat(*map(part, ("dims", "emotions", "quality"))))).select(*_COLUMNS.split(", "))
 
 
 @query("k07_caption_list", f"{T.detail()} SELECT entity_id, string_agg(phrase, ' / ' ORDER BY part_ix, pos) AS phrases FROM detail GROUP BY entity_id")
