@@ -49,3 +49,21 @@ def test_no_frames(spark, tmp_path):
     folder = str(tmp_path / "in")
     _file(spark, folder, 0, [("a", 0, 0.1)])
     assert _drain(spark, folder, str(tmp_path), "5 seconds") == []
+
+
+def test_many_clips_share_a_call(spark, tmp_path):
+    """Clips of one group keep their own runs; large numbers beside a null clip stay exact, and states are as many as groups."""
+    from pyspark.sql import functions as F
+
+    folder, big = str(tmp_path / "in"), 1 << 60
+    ids = [None, *range(big, big + 40)]
+    rows = [(c, i, 0.9, T0 + dt.timedelta(seconds=i)) for c in ids for i in (0, 1, 2, 7, 8)] + [(-1, 900, 0.9, T0 + dt.timedelta(seconds=900))]
+    kind = "clip bigint, frame_ix int, p double, time timestamp"
+    spark.createDataFrame(rows, kind).coalesce(1).write.parquet(folder)
+    live = spark.readStream.schema(kind).parquet(folder)
+    found = live_islands(live, CFG, "time", "20 seconds", groups=4)
+    q = found.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = spark.read.schema(found.schema).parquet(f"{tmp_path}/out").select(F.col("clip"), "start", "n_frames").collect()
+    assert sorted((r[0] or 0, r[1], r[2]) for r in got) == sorted((c or 0, a, n) for c in ids for a, n in ((0.0, 3), (7.0, 2)))
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]) <= 4
