@@ -43,29 +43,30 @@ def direction(z: Column) -> Column:
 
 def tier(z: Column, capped: Column | None = None) -> Column:
     """Intensity of |z|; capped rows get no more than the third tier."""
-    out = F.lit(TIERS[-1][1])
-    for bound, word in reversed(TIERS[:-1]):
+    out = F
+    for bound, word in TIERS[:-1]:
         hit = F.abs(z) >= bound
         if capped is not None and bound > 1.0:
             hit = hit & ~capped
-        out = F.when(hit, word).otherwise(out)
-    return out
+        out = out.when(hit, word)
+    return out.otherwise(TIERS[-1][1])
 
 
 def level(value: Column, bounds: Sequence[float], words: Sequence[str]) -> Column:
     """The word of the first bound above the value; null for NaN, null, or a value beyond all bounds."""
-    out = F.lit(None).cast("string")
-    for b, w in reversed(list(zip(bounds, words))):
-        out = F.when(value < b, w).otherwise(out)
-    return out
+    out = F
+    for b, w in zip(bounds, words):
+        out = out.when(value < b, w)
+    return F.lit(None).cast("string") if out is F else out
 
 
-def by_dim(dim: Column, table: Mapping[str, Column | str | None]) -> Column:
-    """The entry of a small fixed table for a dimension; null without one."""
-    out = F.lit(None).cast("string")
-    for d, v in table.items():
-        out = F.when(dim == d, v if isinstance(v, Column) else F.lit(v)).otherwise(out)
-    return out
+def by_dim(dim: Column, table: Mapping[str, str | None | Sequence], kind: str = "string") -> Column:
+    """The entry of a small fixed table for a dimension; null without one.
+
+    One lookup in a literal map, however many dimensions there are: the JVM does not compile methods beyond 8000 bytes, and a branch for each makes them.
+    """
+    entry = lambda v: F.lit(list(v) if isinstance(v, (list, tuple)) else v).cast(kind)
+    return F.element_at(F.create_map(*[x for d, v in table.items() for x in (F.lit(d), entry(v))]), dim) if table else F.lit(None).cast(kind)
 
 
 def short_tag(intensity: Column, word: Column) -> Column:
@@ -87,10 +88,10 @@ def gate(value: Column, median: Column, z: Column) -> Column:
 
 
 def genuine_phrase(z: Column) -> Column:
-    out = F.when(z > GENUINE[2][0], GENUINE[2][1]).otherwise(NOT_GENUINE)
-    for bound, words in reversed(GENUINE[:2]):
-        out = F.when(z >= bound, words).otherwise(out)
-    return F.when(z.isNotNull(), out)
+    out = F
+    for bound, words in GENUINE[:2]:
+        out = out.when(z >= bound, words)
+    return out.when(z > GENUINE[2][0], GENUINE[2][1]).when(z.isNotNull(), NOT_GENUINE)
 
 
 def genuine_tag(z: Column) -> Column:

@@ -63,14 +63,19 @@ def slots(words: DataFrame, bursts: DataFrame, keys: list[str], span: float = SP
     lost = both.filter(~known & is_burst).withColumn("raw", F.lit(None).cast("int"))
     n = words.groupBy(*keys).agg(F.count("*").alias("n"))
     b = raw.unionByName(lost).drop("mid", "wi").join(n, keys, "left").withColumn("raw", F.coalesce("raw", "n", F.lit(0))).drop("n")
+    b = b if short else stages.once(b, "raw")  # the scan reads it twice
     by = [F.col("start"), F.col("b_ix")]
     return scan(b, keys, piece_of_time(F.col("start"), span), {"slot": Running("max", F.col("raw"), by), "bo": Running("sum", F.lit(1), by)}, short).drop("raw")
 
 
-def numbered(words: DataFrame, keys: list[str], short: bool = False) -> DataFrame:
-    """Words with a start, with `wi`, their place among them."""
+def numbered(words: DataFrame, keys: list[str], short: bool = False, with_gap: bool = False) -> DataFrame:
+    """Words with a start, with `wi`, their place among them; with_gap: and the `gap` before them, as gaps gives it, in the same scan."""
     timed = words.filter("start is not null")
-    return scan(timed, keys, piece_of_rows(F.col("ix")), {"wi": Running("sum", F.lit(1), [F.col("ix")])}, short).withColumn("wi", F.col("wi") - 1)
+    found = {"wi": Running("sum", F.lit(1), [F.col("ix")])}
+    if with_gap:
+        found["gap"] = Running("last", F.coalesce("end", "start"), [F.col("ix")], before=True)
+    w = scan(timed, keys, piece_of_rows(F.col("ix")), found, short).withColumn("wi", F.col("wi") - 1)
+    return w.withColumn("gap", F.col("start") - F.col("gap")) if with_gap else w
 
 
 def gaps(words: DataFrame, keys: list[str], cfg: Config, short: bool = False) -> DataFrame:
@@ -81,17 +86,20 @@ def gaps(words: DataFrame, keys: list[str], cfg: Config, short: bool = False) ->
 
 
 def inline(words: DataFrame, bursts: DataFrame, cfg: Config, keys: list[str], short: bool = False) -> DataFrame:
-    """(keys, text): the words with `(label)` before the next word and `[pause]` in gaps that no burst fills; without timed words the bursts alone."""
-    w = numbered(words, keys, short)
-    b = slots(w, bursts, keys, short=short)
-    tok = lambda df, slot, kind, order, text: df.select(*keys, slot.cast("int").alias("slot"), F.lit(kind).alias("kind"), order.cast("int").alias("o"), text.alias("tok"))
-    rows = tok(b, F.col("slot"), 0, F.col("bo"), F.concat(F.lit("("), "label", F.lit(")"))).unionByName(tok(w, F.col("wi"), 2, F.lit(0), F.col("w")))
-    if cfg.pause > 0:
-        taken = b.select(*keys, F.col("slot").alias("wi")).distinct()
-        p = gaps(w, keys, cfg, short).filter(F.col("gap") >= cfg.pause).join(taken, [*keys, "wi"], "left_anti")
-        rows = rows.unionByName(tok(p, F.col("wi"), 1, F.lit(0), pause_text(F.col("gap"))))
-    listed = F.array_sort(F.collect_list(F.struct("slot", "kind", "o", "tok")))
-    return rows.groupBy(*keys).agg(F.trim(F.array_join(F.transform(listed, lambda x: x["tok"]), " ")).alias("text"))
+    """(keys, text): the words with `(label)` before the next word and `[pause]` in gaps that no burst fills; without timed words the bursts alone.
+
+    The numbered words are a stage table unless short, since slots reads them several times.  A burst that fills a gap stands right before the gap's word.
+    """
+    w = numbered(words, keys, short, with_gap=cfg.pause > 0)
+    w = (w if cfg.pause > 0 else w.withColumn("gap", F.lit(None).cast("double"))).select(*keys, "wi", "w", "start", "gap")
+    w = w if short else stages.once(w, "numbered")
+    b = slots(w.drop("gap"), bursts, keys, short=short)
+    tok = lambda df, slot, kind, order, text, gap: df.select(*keys, slot.cast("int").alias("slot"), F.lit(kind).alias("kind"), order.cast("int").alias("o"), text.alias("tok"), gap.cast("double").alias("gap"))
+    rows = tok(b, F.col("slot"), 0, F.col("bo"), F.concat(F.lit("("), "label", F.lit(")")), F.lit(None)).unionByName(tok(w, F.col("wi"), 1, F.lit(0), F.col("w"), F.col("gap")))
+    listed = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("slot", "kind", "o", "tok", "gap"))).alias("l"))
+    filled = lambda i: F.coalesce(F.get("l", i - 1)["kind"] == 0, F.lit(False))
+    said = lambda x, i: F.when((x["gap"] >= cfg.pause) & ~filled(i), F.concat_ws(" ", pause_text(x["gap"]), x["tok"])).otherwise(x["tok"])
+    return listed.select(*keys, F.trim(F.array_join(F.transform("l", said), " ")).alias("text"))
 
 
 def sentence_gaps(sentences: DataFrame) -> DataFrame:

@@ -91,15 +91,31 @@ def with_always_on(z: DataFrame, k: int, always_on: Sequence[str]) -> DataFrame:
     return r.withColumn("pos", F.when(F.col("rk") <= max(0, k), F.col("rk")).otherwise(max(0, k) + _place(always_on))).drop("rk")
 
 
+_PARTS = ("_tier", "_level", "_words", "_synonym")  # what texts are made of
+
+
+def _with_level(rows: DataFrame, lexicon: Lexicon, tier: Column) -> DataFrame:
+    """_tier, and _level: the number of a banded dimension's level, null beyond all bounds."""
+    level = F
+    for i in range(max(map(len, lexicon.bands.values()), default=0)):
+        level = level.when(F.col("value") < F.get("_bounds", F.lit(i)), i)
+    bounds = S.by_dim(F.col("dim"), {k: [b for b, _ in v] for k, v in lexicon.bands.items()}, "array<double>")
+    return rows.withColumn("_bounds", bounds).withColumns({"_tier": tier, "_level": F.lit(None).cast("int") if level is F else level}).drop("_bounds")
+
+
+def _words(lexicon: Lexicon) -> Column:
+    return S.by_dim(F.col("dim"), lexicon.dims, "array<string>")
+
+
 def _dim_columns(lexicon: Lexicon) -> dict[str, Column]:
-    d, z = F.col("dim"), F.col("z")
+    """Needs the parts as columns."""
+    d, z, tier = F.col("dim"), F.col("z"), F.col("_tier")
     banded = d.isin(sorted(lexicon.bands)) if lexicon.bands else F.lit(False)
-    at = lambda i: S.by_dim(d, {k: v[i] for k, v in lexicon.dims.items()})
-    band = S.by_dim(d, {k: S.level(F.col("value"), [b for b, _ in v], [w for _, w in v]) for k, v in lexicon.bands.items()})
-    band_tag = S.by_dim(d, {k: S.level(F.col("value"), [b for b, _ in lexicon.bands[k]], v) for k, v in lexicon.band_tags.items()})
+    at = lambda high, low: F.get("_words", F.when(z >= 0, high).otherwise(low))
+    band = F.get(S.by_dim(d, {k: [w for _, w in v] for k, v in lexicon.bands.items()}, "array<string>"), F.col("_level"))
+    band_tag = F.get(S.by_dim(d, lexicon.band_tags, "array<string>"), F.col("_level"))
     average = F.abs(z) < NEUTRAL
-    tier = S.tier(z)
-    word, tag = F.when(z >= 0, at(0)).otherwise(at(1)), F.when(z >= 0, at(2)).otherwise(at(3))
+    word, tag = at(0, 1), at(2, 3)
     return {
         "direction": S.direction(z),
         "intensity": F.when(banded, "Absolute").when(average, "About-average").otherwise(tier),
@@ -110,7 +126,7 @@ def _dim_columns(lexicon: Lexicon) -> dict[str, Column]:
 
 def dim_words(sel: DataFrame, lexicon: Lexicon) -> DataFrame:
     """direction, intensity, phrase and tag of chosen dimensions."""
-    return sel.withColumns(_dim_columns(lexicon))
+    return _with_level(sel, lexicon, S.tier(F.col("z"))).withColumn("_words", _words(lexicon)).withColumns(_dim_columns(lexicon)).drop(*_PARTS)
 
 
 def genuineness(quality: DataFrame) -> DataFrame:
@@ -119,19 +135,21 @@ def genuineness(quality: DataFrame) -> DataFrame:
     return g.select(KEY, S.gate(F.col("value"), F.col("median"), F.col("z")).alias("gate"), S.genuine_phrase(F.col("z")).alias("descriptor"), F.col("z").alias("zg"), F.col("value").alias("g"))
 
 
-def _emotion_columns(seed: Column) -> dict[str, Column]:
-    """Needs the entity's gate."""
-    z = F.col("z")
-    n = F.size(F.coalesce("synonyms", F.array().cast("array<string>")))
-    word = F.when(n > 0, F.element_at("synonyms", (F.pmod(S.draw(seed, "synonym", F.col("dim")), F.greatest(n, F.lit(1))) + 1).cast("int"))).otherwise(F.lower("dim"))
-    t = S.tier(z, F.col("gate") == "capped")
+def _synonym(seed: Column) -> Column:
+    n = F.size("synonyms")
+    return F.when(n > 0, F.get("synonyms", F.pmod(S.draw(seed, "synonym", F.col("dim")), n).cast("int"))).otherwise(F.lower("dim"))
+
+
+def _emotion_columns() -> dict[str, Column]:
+    """Needs the parts as columns."""
+    z, t, word = F.col("z"), F.col("_tier"), F.col("_synonym")
     return {"synonym": word, "intensity": t, "direction": S.direction(z), "phrase": S.emotion_phrase(z, t, word), "tag": S.emotion_tag(z, t, word)}
 
 
 def emotion_words(z: DataFrame, gates: DataFrame, k: int, seed: Column) -> DataFrame:
     """The emotions of each entity: none behind a dropped gate; the top k, of which those near average then go; words by seed."""
     gated = z.join(gates.select(KEY, "gate"), KEY, "left").withColumn("gate", F.coalesce("gate", F.lit("open"))).filter("gate <> 'dropped'")
-    return top_k(gated, k).filter(F.abs("z") >= NEUTRAL).withColumnRenamed("rk", "pos").withColumns(_emotion_columns(seed))
+    return top_k(gated, k).filter(F.abs("z") >= NEUTRAL).withColumnRenamed("rk", "pos").withColumns({"_tier": S.tier(F.col("z"), F.col("gate") == "capped"), "_synonym": _synonym(seed)}).withColumns(_emotion_columns()).drop(*_PARTS)
 
 
 def _quality_columns() -> dict[str, Column]:
@@ -155,8 +173,8 @@ def detail(scores: DataFrame, baseline: DataFrame, lexicon: Lexicon, cfg: Config
     seed: a column of the scores or a literal; shuffle: whether all entities are shuffled, or a column of the scores that says which.
     The exact z decides; z and value are rounded at the end.
 
-    One pass: scores meet the baseline once and are shuffled once, by entity; the gate and the ranks of all groups are windows over
-    that partitioning.
+    One pass: scores meet the baseline once and are shuffled and sorted once, by entity and size; the gate and the ranks of all groups are windows
+    over that order.  Tiers and levels are found between the two, so that each method that Spark generates is small enough for the JVM to compile.
     """
     seed = F.lit(0) if seed is None else seed
     grp, dim, z = F.col("grp"), F.col("dim"), F.col("z")
@@ -165,14 +183,17 @@ def detail(scores: DataFrame, baseline: DataFrame, lexicon: Lexicon, cfg: Config
     if experts is not None and cfg.confidence_gate > 0:
         weak = F.col("expert").isNotNull() & (F.abs("expert") < cfg.confidence_gate) & trait & (dim == cfg.gated_dim)
         rows = rows.join(experts.select(KEY, "expert"), KEY, "left").filter(~F.coalesce(weak, F.lit(False))).drop("expert")
-    gate = F.max(F.when(quality & (dim == "genuineness"), S.gate(F.col("value"), F.col("median"), z))).over(Window.partitionBy(KEY))
+    rows, largest = rows.withColumn("_size", F.abs("z")), (F.desc("_size"), F.asc("dim_ix"))
+    gate = F.max(F.when(quality & (dim == "genuineness"), S.gate(F.col("value"), F.col("median"), z))).over(Window.partitionBy(KEY).orderBy("grp", *largest).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     rows = rows.withColumn("gate", F.coalesce(gate, F.lit("open"))).filter(~emotion | (F.col("gate") != "dropped"))
-    rows = rows.withColumns({"rk": F.row_number().over(by_size(KEY, "grp")), "always_on": trait & _always_on(cfg.always_on)})
+    rows = _with_level(rows, lexicon, S.tier(z, emotion & (F.col("gate") == "capped")))
+    rows = rows.withColumns({"rk": F.row_number().over(Window.partitionBy(KEY, "grp").orderBy(*largest)), "always_on": trait & _always_on(cfg.always_on)})
     k = max(0, cfg.k_dims)
     shown = F.when(trait, (F.col("rk") <= k) | F.col("always_on")).when(emotion, (F.col("rk") <= max(0, cfg.k_emotions)) & (F.abs(z) >= NEUTRAL)).otherwise(_quality_shown())
     part = {"trait": (1, "dims"), "emotion": (2, "emotions"), "quality": (3, "quality")}
     of = lambda cells: F.when(trait, cells[0]).when(emotion, cells[1]).otherwise(cells[2])
-    dims, emotions, qual = _dim_columns(lexicon), _emotion_columns(seed), _quality_columns()
+    rows = rows.filter(shown).withColumns({"_words": _words(lexicon), "_synonym": F.when(emotion, _synonym(seed))})
+    dims, emotions, qual = _dim_columns(lexicon), _emotion_columns(), _quality_columns()
     dims["pos"] = F.when(F.col("rk") <= k, F.col("rk")).otherwise(k + _place(cfg.always_on))
     emotions["pos"] = F.col("rk")
     none = F.lit(None).cast("string")
@@ -181,7 +202,7 @@ def detail(scores: DataFrame, baseline: DataFrame, lexicon: Lexicon, cfg: Config
     if moves is not None:
         movable = F.coalesce(moves, F.lit(False)) & ~quality & ~F.col("always_on")
         drawn = [movable.alias("mv"), F.when(trait, S.draw(seed, "dims", dim)).otherwise(S.draw(seed, "emotions", dim)).alias("drawn")]
-    rows = rows.filter(shown).select(
+    rows = rows.select(
         KEY, of([F.lit(i) for i, _ in part.values()]).alias("part_ix"), of([F.lit(n) for _, n in part.values()]).alias("part"), of([x["pos"].cast("int") for x in (dims, emotions, qual)]).alias("pos"), "dim",
         F.coalesce("name", "dim").alias("name"), "value", "z", *(of([x.get(c, none) for x in (dims, emotions, qual)]).alias(c) for c in ("direction", "intensity")), "always_on", *(of([x[c] for x in (dims, emotions, qual)]).alias(c) for c in ("phrase", "tag")), *drawn,
     )

@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources import stages
+
 CLASSES = (-10, 60)  # exponents of the shortest and the longest cells; what is longer is in one cell
 ROWS = 4096  # numbered rows of a piece
 SPAN = 512.0  # time of a piece
@@ -120,12 +122,13 @@ def scan(df: DataFrame, keys: list[str], piece: Column, values: dict[str, Runnin
 def runs(marked: DataFrame, keys: list[str], ix: str, values: dict[str, tuple[str, str]], rows: int = ROWS) -> DataFrame:
     """(keys, i, j, n, values) of the maximal runs of consecutive numbers `ix` among the rows of each series; values: name -> (min, max or sum, column).
 
-    Runs are found within pieces of numbers; those that touch a piece's edge are then put together.
+    Runs are found within pieces of numbers, once, as a stage table; those that touch a piece's edge are then put together.
     """
     put = lambda how, c: {"min": F.min, "max": F.max, "sum": F.sum}[how](c)
     at = marked.withColumn("_piece", piece_of_rows(F.col(ix), rows))
     at = at.withColumn("_run", F.col(ix) - F.row_number().over(Window.partitionBy(*keys, "_piece").orderBy(ix)))
     found = at.groupBy(*keys, "_piece", "_run").agg(F.min(ix).alias("i"), F.max(ix).alias("j"), F.count("*").alias("n"), *[put(h, c).alias(k) for k, (h, c) in values.items()])
+    found = stages.once(found, "runs")
     edge = (F.pmod("i", F.lit(rows)) == 0) | (F.pmod(F.col("j") + 1, F.lit(rows)) == 0)
     inner = found.filter(~edge).drop("_piece", "_run")
     line = Window.partitionBy(*keys).orderBy("i")

@@ -97,8 +97,11 @@ def sentences_of(words: DataFrame) -> DataFrame:
 
 
 def event_frames(spark: SparkSession, sf: str) -> DataFrame:
-    """A user's events in time order are the frames, their values the probabilities."""
+    """A user's events in time order are the frames, their values the probabilities; word_ix numbers the words among them."""
     from pyspark.sql import Window
 
+    line = Window.partitionBy("clip").orderBy("ts", "event_id")
+    is_word = F.col("event_type").isin("view", "click")
+    word_ix = F.count_if(is_word).over(line.rowsBetween(Window.unboundedPreceding, 0)) - 1
     e = table(spark, sf, "events").select(F.col("user_id").alias("clip"), "ts", "event_id", "event_type", "value")
-    return e.select("clip", (F.row_number().over(Window.partitionBy("clip").orderBy("ts", "event_id")) - 1).alias("frame_ix"), F.col("value").alias("p"), "event_type")
+    return e.select("clip", (F.row_number().over(line) - 1).alias("frame_ix"), F.col("value").alias("p"), "event_type", F.when(is_word, word_ix).cast("int").alias("word_ix"))

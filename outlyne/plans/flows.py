@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from ..functions import scoring as S
-from ..operators import flow, placement, seeded
+from ..operators import flow, seeded
 from ..sources import stages
 from . import demo, twins as T
 from .demo import EVENT_CFG, LEXICON, table
@@ -75,9 +75,8 @@ def _given(spark, sf):
     dur = (F.max("frame_ix") - F.pmod(k, F.lit(3)) * 2) / FLOW_CFG.frames_per_second
     clips = frames.groupBy("clip").agg(dur.alias("dur"))
     clips = clips.select("clip", "dur", F.when(F.pmod(k, F.lit(5)) != 0, (F.pmod(k, F.lit(9)) - 4) / 4.0).alias("expert"), F.when(F.pmod(k, F.lit(11)) == 4, "unreadable").alias("error"))
-    spoken = frames.filter("event_type IN ('view', 'click')")
-    words = placement.numbered(spoken.select("clip", F.col("frame_ix").alias("ix"), F.concat("event_type", F.col("frame_ix").cast("string")).alias("w"), at.alias("start"), F.round(at + F.floor("p") * 0.1, 2).alias("end")), ["clip"])
-    words = stages.once(words.withColumn("ix", F.col("wi").cast("int")).drop("wi"), "spoken")
+    spoken = frames.filter("word_ix is not null")
+    words = spoken.select("clip", F.col("word_ix").alias("ix"), F.concat("event_type", F.col("frame_ix").cast("string")).alias("w"), at.alias("start"), F.round(at + F.floor("p") * 0.1, 2).alias("end"))
     sentences = stages.once(demo.sentences_of(words), "said")
     scores = _scores(spark, sf)
     inner = scores.join(sentences.select(F.col("clip").alias("entity_id"), "ix"), "entity_id").withColumn("entity_id", F.struct(F.col("entity_id").alias("clip"), "ix")).drop("ix")
@@ -90,7 +89,8 @@ def flow_captions(spark, sf):
     vectors = table(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda x: S.sigmoid(x.cast("double") * 4)).alias("scores"))
     n = vectors.count()
     classifier = lambda seg: seg.withColumn("vec_id", F.pmod(F.col("clip") * 31 + F.floor("start"), F.lit(n))).join(vectors, "vec_id").drop("vec_id")
-    taxonomy = spark.createDataFrame(_TAX, "class_ix int, class string, grp string")
+    # rows made by the JVM: no Python worker starts for them
+    taxonomy = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(i).alias("class_ix"), F.lit(c).alias("class"), F.lit(g).cast("string").alias("grp")) for i, c, g in _TAX])))
     out = flow.captions(given, stages.once(demo.supplier_baseline(scores), "baseline"), classifier, taxonomy, LEXICON, FLOW_CFG)
     told = F.array_join(F.transform("sentences", lambda s: F.concat(s["ix"].cast("string"), F.lit("="), s["burst_caption"])), " | ")
     line = F.array_join(F.transform("lines", lambda x: F.array_join(x["bursts"], ",")), ";")

@@ -1,5 +1,6 @@
 """The one-call flow on clips made by hand."""
 
+import re
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -75,3 +76,43 @@ def test_flow_without_sentences_or_finite_frames(spark):
     frames = {"m": [(0, None), (1, float("nan")), (2, 0.9), (3, 0.9), (4, 0.9), (5, float("inf"))]}
     got = _run(spark, _given(spark, [("m", 0.6, None, None)], frames, [], []), {0.2: (0.9, 0.0, 0.0)})["m"]
     assert got["inline"] == "(Laugh)" and got["document"] == f"GENERAL: {NOTHING}\nSCRIPT:\n() (Laugh)" and not got["gated"]
+
+
+def _explained(spark, df, mode):
+    return spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+
+
+def test_descriptions_are_compiled_and_sorted_once(spark):
+    """The JVM interprets methods beyond 8000 bytes; the gate and the ranks share one order."""
+    from outlyne.plans.demo import LEXICON
+
+    base = spark.createDataFrame([("trait", "QTY", "Quantity", 0.0, 1.0, 1.0, 1.0, ["many", "lots"])], BASE)
+    scores = spark.createDataFrame([(("a", 0), "trait", "QTY", 0, 2.5)], "entity_id struct<clip:string,ix:int>, grp string, dim string, dim_ix int, value double")
+    clips = spark.createDataFrame([("a", 1.0)], "entity_id string, expert double")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        inner = flow.select.detail(scores, base, LEXICON, replace(CFG, k_dims=3, always_on=()), flow.seeded.sentence_seed(flow.seeded.clip_seed(F.col("entity_id.clip")), F.col("entity_id.ix")))
+        whole = flow.select.detail(scores.withColumn("entity_id", F.col("entity_id.clip")), base, LEXICON, CFG, flow.seeded.clip_seed(F.col("entity_id")), clips)
+        for d in (inner, whole):
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", _explained(spark, d, "codegen"))]
+            assert sizes and max(sizes) <= 8000, sizes
+            assert len(re.findall(r"Sort \[[^\n]*grp", _explained(spark, d, "simple"))) == 1
+        assert [r["phrase"] for r in inner.collect()] == ["extremely large in order quantity"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_inline_and_runs_read_their_scans_once(spark):
+    from outlyne.operators import placement, series
+
+    words = spark.createDataFrame([("a", 0, "x", 0.0, 0.1), ("a", 1, None, 5.0, 5.1), ("a", 2, "z", 9.0, None), ("a", 3, "no", None, None), ("a", 4, "end", 19.0, 19.5)], "clip string, ix int, w string, start double, end double")
+    bursts = spark.createDataFrame([("a", 0, 7.0, 8.0, "B"), ("b", 0, 1.0, 2.0, "C"), ("a", 1, 30.0, 31.0, "D")], "clip string, b_ix long, start double, end double, label string")
+    text = placement.inline(words, bursts, CFG, ["clip"])
+    assert _explained(spark, text, "simple").count("Window [") <= 4  # of two running values of the bursts, in their pieces and over them
+    assert {r["clip"]: r["text"] for r in text.collect()} == {"a": "x [pause 4.9s] (B) z [pause 10.0s] end (D)", "b": "(C)"}
+    none = placement.inline(words, bursts, replace(CFG, pause=0.0), ["clip"])
+    assert {r["clip"]: r["text"] for r in none.collect()} == {"a": "x (B) z end (D)", "b": "(C)"}
+    marked = spark.createDataFrame([("a", i) for i in (0, 1, 2, 5, 7, 8, 9, 10)], "clip string, i long")
+    found = series.runs(marked.withColumnRenamed("i", "at"), ["clip"], "at", {}, rows=4)
+    assert _explained(spark, found, "simple").count("row_number") == 0
+    assert sorted((r["i"], r["j"], r["n"]) for r in found.collect()) == [(0, 2, 3), (5, 5, 1), (7, 10, 4)]
